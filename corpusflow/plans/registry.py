@@ -1,0 +1,295 @@
+"""Registered queries: one per operator of SURVEY §2, each over whole tables.
+
+``QUERIES[name](spark, sf_dir) -> DataFrame`` and, where the operator is
+expressible in SQL, ``ORACLE[name]`` with the same columns for DuckDB.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusflow.operators import chunking as ch
+from corpusflow.operators import index as ix
+from corpusflow.operators import retrieval as rt
+from corpusflow.plans import sql_parts as S
+from corpusflow.session import read_table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql
+        return fn
+
+    return deco
+
+
+def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return read_table(spark, sf, name)
+
+
+def _bench_queries(spark, sf) -> DataFrame:
+    return T(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+def _chunks(spark, sf, size=512, overlap=50) -> DataFrame:
+    return ch.chunk_text(T(spark, sf, "documents"), "doc_id", "text", size, overlap)
+
+
+# ---------------------------------------------------------------- C: chunking
+
+register(
+    "chunk_text",
+    f"WITH {S.chunks_cte()} SELECT doc_id, chunk_index, content, n_tokens, token_estimate FROM chunks",
+)(lambda spark, sf: _chunks(spark, sf))
+
+
+def _hier_sql() -> str:
+    return f"""WITH {S.chunks_cte('parents')},
+kids_w AS (
+  SELECT doc_id, chunk_index AS parent_index, content AS parent_text, string_split(content, ' ') AS toks,
+         unnest(range(0, len(string_split(content, ' ')), 128)) AS s
+  FROM parents
+)
+SELECT doc_id, CAST(parent_index * 4 + s // 128 AS INTEGER) AS chunk_index,
+       array_to_string(toks[s + 1 : s + 128], ' ') AS content,
+       parent_text, parent_index, true AS is_hierarchical,
+       CAST(floor(length(array_to_string(toks[s + 1 : s + 128], ' ')) / 4) AS BIGINT) AS token_estimate
+FROM kids_w"""
+
+
+register("chunk_hierarchical", _hier_sql())(
+    lambda spark, sf: ch.chunk_hierarchical(T(spark, sf, "documents"), "doc_id", "text", 512, 128, 50)
+)
+
+
+def _contexts(spark, sf) -> DataFrame:
+    # Context per chunk from the labels table: labelled good documents get a
+    # context line, labelled bad ones a blank one, unlabelled ones none.
+    keys = _chunks(spark, sf).select("doc_id", "chunk_index")
+    labels = T(spark, sf, "labels")
+    docs = T(spark, sf, "documents").select("doc_id", "lang", "source")
+    return keys.join(labels, "doc_id").join(docs, "doc_id").select(
+        "doc_id",
+        "chunk_index",
+        F.when(F.col("quality") == 1, F.concat(F.lit("Part "), F.col("chunk_index").cast("string"), F.lit(" of "), F.col("source"), F.lit(" ("), F.col("lang"), F.lit(")")))
+        .otherwise(F.lit("  ")).alias("context"),
+    )
+
+
+@register(
+    "contextualize",
+    f"""WITH {S.chunks_cte()},
+ctx AS (
+  SELECT c.doc_id, c.chunk_index,
+         CASE WHEN l.quality = 1 THEN 'Part ' || CAST(c.chunk_index AS VARCHAR) || ' of ' || d.source || ' (' || d.lang || ')'
+              ELSE '  ' END AS context
+  FROM chunks c JOIN labels l USING (doc_id) JOIN documents d USING (doc_id)
+),
+good AS (SELECT * FROM ctx WHERE {S.squash('context')} <> '')
+SELECT c.doc_id, c.chunk_index, c.n_tokens, c.token_estimate,
+       CASE WHEN g.context IS NOT NULL THEN 'Context: ' || g.context || chr(10) || chr(10) || c.content ELSE c.content END AS content,
+       g.context AS context,
+       CASE WHEN g.context IS NOT NULL THEN c.content END AS original_text
+FROM chunks c LEFT JOIN good g USING (doc_id, chunk_index)""",
+)
+def q_contextualize(spark, sf):
+    return ch.contextualize(_chunks(spark, sf), _contexts(spark, sf))
+
+
+@register(
+    "truncate_words",
+    f"""SELECT doc_id, len(string_split({S.squash('text')}, ' ')) > 1000 AS content_truncated,
+       CASE WHEN {S.squash('text')} <> '' AND len(string_split({S.squash('text')}, ' ')) > 1000
+            THEN array_to_string(string_split({S.squash('text')}, ' ')[1:1000], ' ') ELSE text END AS text
+FROM documents""",
+)
+def q_truncate_words(spark, sf):
+    return ch.truncate_words(T(spark, sf, "documents").select("doc_id", "text"), "text", 1000)
+
+
+register(
+    "cap_chunks",
+    f"WITH {S.chunks_cte(size=64, overlap=0)} SELECT doc_id, chunk_index, CAST(chunk_index // 10 AS INTEGER) AS request_index FROM chunks",
+)(lambda spark, sf: ch.cap_chunks(_chunks(spark, sf, 64, 0), 10).select("doc_id", "chunk_index", "request_index"))
+
+
+register(
+    "chunk_stats",
+    f"""WITH {S.chunks_cte()}
+SELECT doc_id, count(*) AS total_chunks, sum(token_estimate) AS total_tokens FROM chunks GROUP BY doc_id""",
+)(lambda spark, sf: ch.chunk_stats(_chunks(spark, sf), "doc_id"))
+
+
+register(
+    "reassemble",
+    f"""WITH {S.chunks_cte()}
+SELECT doc_id, trim(string_agg(content, chr(10) || chr(10) ORDER BY chunk_index)) AS text FROM chunks GROUP BY doc_id""",
+)(lambda spark, sf: ch.reassemble(_chunks(spark, sf)))
+
+
+# ---------------------------------------------------------------- F: retrieval
+
+_BM25_SQL = f"""WITH {S.chunks_cte()},
+{S.bm25_ctes('chunks', 'doc_id, chunk_index', 'content', 'benchmark', 'item_id', 'text')}
+{S.topk('bm25', 'query_id', 'score', 'doc_id, chunk_index', 5, 'query_id, rank, doc_id, chunk_index, score')}"""
+
+register("bm25_topk", _BM25_SQL)(
+    lambda spark, sf: rt.bm25_topk(_bench_queries(spark, sf), _chunks(spark, sf)).select(
+        "query_id", "rank", "doc_id", "chunk_index", "score"
+    )
+)
+
+register(
+    "match_text",
+    f"""WITH q AS (
+  SELECT DISTINCT item_id AS query_id, unnest({S.terms('text')}) AS term FROM benchmark WHERE {S.squash('text')} <> ''
+),
+need AS (SELECT query_id, count(*) AS n FROM q GROUP BY query_id),
+dt AS (SELECT DISTINCT doc_id, unnest({S.terms('text')}) AS term FROM documents),
+have AS (SELECT q.query_id, dt.doc_id, count(*) AS n FROM dt JOIN q USING (term) GROUP BY ALL)
+SELECT h.query_id, h.doc_id FROM have h JOIN need n ON h.query_id = n.query_id AND h.n = n.n""",
+)(lambda spark, sf: rt.match_text(_bench_queries(spark, sf), T(spark, sf, "documents")))
+
+
+def _query_vectors(spark, sf, dim=64) -> DataFrame:
+    return ix.embed_hashed(_bench_queries(spark, sf), "query_id", "text", dim)
+
+
+_VEC_SQL = f"""WITH {S.hashed_cte('qv', 'benchmark', 'item_id', 'text', 64)},
+ev AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos FROM embeddings),
+vn AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM ev GROUP BY vec_id),
+qn AS (SELECT item_id, sqrt(sum(weight * weight)) AS n FROM qv GROUP BY item_id),
+dots AS (SELECT q.item_id AS query_id, e.vec_id, sum(q.weight * e.x) AS dot FROM qv q JOIN ev e ON q.bucket = e.pos GROUP BY ALL),
+sc AS (SELECT d.query_id, d.vec_id, round((1 + d.dot / (vn.n * qn.n)) / 2, 6) AS score
+       FROM dots d JOIN vn USING (vec_id) JOIN qn ON qn.item_id = d.query_id)
+{S.topk('sc', 'query_id', 'score', 'vec_id', 5, 'query_id, rank, vec_id, score')}"""
+
+register("vector_topk", _VEC_SQL)(
+    lambda spark, sf: rt.vector_topk(_query_vectors(spark, sf), T(spark, sf, "embeddings")).select(
+        "query_id", "rank", "vec_id", "score"
+    )
+)
+
+
+def _chunk_index(spark, sf, dim=64) -> DataFrame:
+    chunks = _chunks(spark, sf)
+    vecs = ix.embed_hashed(chunks, ["doc_id", "chunk_index"], "content", dim)
+    return chunks.join(vecs, ["doc_id", "chunk_index"], "left")
+
+
+def q_hybrid(spark, sf):
+    queries = _bench_queries(spark, sf).join(_query_vectors(spark, sf), "query_id")
+    h = rt.hybrid_search(queries, _chunk_index(spark, sf), k=5)
+    return h.select(
+        "query_id", "rank", "doc_id", "chunk_index", "rrf_score", "score",
+        F.array_join("hybrid_sources", ",").alias("hybrid_sources"),
+    )
+
+
+_HYBRID_SQL = f"""WITH {S.chunks_cte()},
+{S.hashed_cte('qv', 'benchmark', 'item_id', 'text', 64)},
+{S.hashed_cte('cv', 'chunks', 'doc_id, chunk_index', 'content', 64)},
+qn AS (SELECT item_id, sqrt(sum(weight * weight)) AS n FROM qv GROUP BY item_id),
+cn AS (SELECT doc_id, chunk_index, sqrt(sum(weight * weight)) AS n FROM cv GROUP BY ALL),
+dots AS (SELECT q.item_id AS query_id, c.doc_id, c.chunk_index, sum(q.weight * c.weight) AS dot
+         FROM qv q JOIN cv c ON q.bucket = c.bucket GROUP BY ALL),
+pairs AS (
+  SELECT qn.item_id AS query_id, cn.doc_id, cn.chunk_index,
+         round((1 + coalesce(d.dot, 0) / (qn.n * cn.n)) / 2, 6) AS score
+  FROM qn CROSS JOIN cn
+  LEFT JOIN dots d ON d.query_id = qn.item_id AND d.doc_id = cn.doc_id AND d.chunk_index = cn.chunk_index
+),
+vec AS ({S.topk('pairs', 'query_id', 'score', 'doc_id, chunk_index', 50)}),
+{S.bm25_ctes('chunks', 'doc_id, chunk_index', 'content', 'benchmark', 'item_id', 'text')},
+kw AS ({S.topk('bm25', 'query_id', 'score', 'doc_id, chunk_index', 50)}),
+lists AS (
+  SELECT query_id, doc_id, chunk_index, 'vector' AS list, 0 AS o, rank FROM vec
+  UNION ALL SELECT query_id, doc_id, chunk_index, 'keyword' AS list, 1 AS o, rank FROM kw
+),
+fused AS (
+  SELECT query_id, doc_id, chunk_index, round(sum(1.0::DOUBLE / (60 + rank)), 6) AS rrf_score,
+         string_agg(list, ',' ORDER BY o) AS hybrid_sources
+  FROM lists GROUP BY ALL
+),
+top AS ({S.topk('fused', 'query_id', 'rrf_score', 'doc_id, chunk_index', 5)})
+SELECT t.query_id, t.rank, t.doc_id, t.chunk_index, t.rrf_score, v.score, t.hybrid_sources
+FROM top t LEFT JOIN vec v USING (query_id, doc_id, chunk_index)"""
+
+register("hybrid_search", _HYBRID_SQL)(q_hybrid)
+
+
+def q_expand_parents(spark, sf):
+    kids = ch.chunk_hierarchical(T(spark, sf, "documents"), "doc_id", "text", 512, 128, 50)
+    hits = rt.bm25_topk(_bench_queries(spark, sf), kids, k=10)
+    hits = hits.join(kids, ["doc_id", "chunk_index"])
+    return rt.expand_parents(hits).select("query_id", "doc_id", "unit_kind", "unit_index", "rank", "context")
+
+
+_EXPAND_SQL = f"""WITH kids AS ({_hier_sql()}),
+{S.bm25_ctes('kids', 'doc_id, chunk_index', 'content', 'benchmark', 'item_id', 'text')},
+hits AS ({S.topk('bm25', 'query_id', 'score', 'doc_id, chunk_index', 10)}),
+j AS (SELECT h.query_id, h.rank, k.* FROM hits h JOIN kids k USING (doc_id, chunk_index))
+SELECT query_id, doc_id, 'parent' AS unit_kind, parent_index AS unit_index, min(rank) AS rank, any_value(parent_text) AS context
+FROM j GROUP BY query_id, doc_id, parent_index"""
+
+register("expand_parents", _EXPAND_SQL)(q_expand_parents)
+
+
+def q_assemble_context(spark, sf):
+    chunks = _chunks(spark, sf)
+    hits = rt.bm25_topk(_bench_queries(spark, sf), chunks, k=5).join(chunks, ["doc_id", "chunk_index"])
+    return rt.assemble_context(hits, _bench_queries(spark, sf), text_col="content", max_chars=6000)
+
+
+register(
+    "assemble_context",
+    f"""WITH {S.chunks_cte()},
+{S.bm25_ctes('chunks', 'doc_id, chunk_index', 'content', 'benchmark', 'item_id', 'text')},
+hits AS ({S.topk('bm25', 'query_id', 'score', 'doc_id, chunk_index', 5)}),
+h AS (SELECT h.query_id, h.rank, '[' || CAST(h.rank AS VARCHAR) || '] ' || c.content AS t
+      FROM hits h JOIN chunks c USING (doc_id, chunk_index)),
+r AS (SELECT *, sum(length(t) + 2) OVER (PARTITION BY query_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM h),
+g AS (SELECT query_id, string_agg(t, chr(10) || chr(10) ORDER BY rank) AS context, count(*) AS n FROM r WHERE run - 2 <= 6000 GROUP BY query_id)
+SELECT b.query_id, coalesce(g.context, 'No relevant context found.') AS context, CAST(coalesce(g.n, 0) AS BIGINT) AS chunks_retrieved
+FROM (SELECT DISTINCT item_id AS query_id FROM benchmark) b LEFT JOIN g USING (query_id)""",
+)(q_assemble_context)
+
+
+register(
+    "history_window",
+    """WITH m AS (SELECT * FROM conversations WHERE role <> 'system'),
+h AS (
+  SELECT conv_id, turn, role, text,
+         list(role || ': ' || text) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS hist
+  FROM m
+)
+SELECT conv_id, turn, text AS query, coalesce(array_to_string(hist, chr(10)), '') AS history,
+       CAST(coalesce(len(hist), 0) AS BIGINT) AS history_messages
+FROM h WHERE role = 'user'""",
+)(lambda spark, sf: rt.history_window(T(spark, sf, "conversations")))
+
+
+def q_present_hits(spark, sf):
+    chunks = _chunks(spark, sf)
+    docs = T(spark, sf, "documents").select("doc_id", "source")
+    hits = rt.bm25_topk(_bench_queries(spark, sf), chunks, k=5).join(chunks, ["doc_id", "chunk_index"]).join(docs, "doc_id")
+    return rt.present_hits(hits).select("query_id", "rank", "doc_id", "chunk_index", "shown_score", "preview", "source_label")
+
+
+register(
+    "present_hits",
+    f"""WITH {S.chunks_cte()},
+{S.bm25_ctes('chunks', 'doc_id, chunk_index', 'content', 'benchmark', 'item_id', 'text')},
+hits AS ({S.topk('bm25', 'query_id', 'score', 'doc_id, chunk_index', 5)})
+SELECT h.query_id, h.rank, h.doc_id, h.chunk_index, round(h.score, 4) AS shown_score,
+       substr(c.content, 1, 500) AS preview, coalesce(d.source, '') AS source_label
+FROM hits h JOIN chunks c USING (doc_id, chunk_index) JOIN documents d USING (doc_id)""",
+)(q_present_hits)
