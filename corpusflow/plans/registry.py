@@ -293,3 +293,223 @@ SELECT h.query_id, h.rank, h.doc_id, h.chunk_index, round(h.score, 4) AS shown_s
        substr(c.content, 1, 500) AS preview, coalesce(d.source, '') AS source_label
 FROM hits h JOIN chunks c USING (doc_id, chunk_index) JOIN documents d USING (doc_id)""",
 )(q_present_hits)
+
+
+# ---------------------------------------------------------------- A8, D: pages
+from corpusflow.functions import html as fh  # noqa: E402
+from corpusflow.functions import urls as fu  # noqa: E402
+from corpusflow.operators import html as oh  # noqa: E402
+from corpusflow.operators import links as ol  # noqa: E402
+
+
+def _pages(spark, sf, *cols) -> DataFrame:
+    p = T(spark, sf, "pages")
+    return p.select(*cols) if cols else p
+
+
+register("html_text", f"SELECT page_id, {S.html_text('html')} AS text FROM pages")(
+    lambda spark, sf: oh.extract_text(_pages(spark, sf, "page_id", "html")).select("page_id", "text")
+)
+
+register("page_title", f"SELECT page_id, {S.title('html')} AS title FROM pages")(
+    lambda spark, sf: oh.page_titles(_pages(spark, sf, "page_id", "html")).select("page_id", "title")
+)
+
+
+def _section_sql(selector: str) -> str:
+    pat = oh.open_tag_pattern(selector)
+    tag = f"lower(regexp_extract(html, {S.q(pat)}, 1))"
+    start = f"(length(regexp_extract(html, {S.q('(?is)^(.*?)' + pat[5:])}, 1)) + 1)"
+    close = f"('</' || {tag})"
+    r = f"instr(reverse(lower(html)), reverse({close}))"
+    last = f"(length(html) - {r} - length({close}) + 2)"
+    end = f"(CASE WHEN {last} >= 1 AND instr(substr(html, {last}), '>') > 0 THEN instr(substr(html, {last}), '>') + {last} - 1 ELSE 0 END)"
+    ok = f"(regexp_matches(html, {S.q(pat)}) AND {r} > 0 AND {last} > {start} AND {end} > 0)"
+    return f"CASE WHEN {ok} THEN substr(html, {start}, {end} - {start} + 1) ELSE html END"
+
+
+register(
+    "select_section",
+    f"SELECT page_id, {_section_sql('article')} AS article, {_section_sql('.ad')} AS ad FROM pages",
+)(
+    lambda spark, sf: _pages(spark, sf, "page_id", "html").select(
+        "page_id", oh._section(F.col("html"), "article").alias("article"), oh._section(F.col("html"), ".ad").alias("ad")
+    )
+)
+
+register(
+    "detect_selectors",
+    "SELECT page_id, array_to_string(list_filter(["
+    + ", ".join(f"CASE WHEN regexp_matches(html, {S.q(oh.open_tag_pattern(s))}) THEN {S.q(s)} END" for s in oh.CANDIDATE_SELECTORS)
+    + "], lambda x: x IS NOT NULL), ',') AS selectors_found FROM pages",
+)(
+    lambda spark, sf: oh.detect_selectors(_pages(spark, sf, "page_id", "html")).select(
+        "page_id", F.array_join("selectors_found", ",").alias("selectors_found")
+    )
+)
+
+register(
+    "html_to_markdown",
+    f"SELECT page_id, {S.title('html')} AS title, {S.markdown('html')} AS markdown FROM pages",
+)(lambda spark, sf: oh.to_markdown(_pages(spark, sf, "page_id", "html")).select("page_id", "title", "markdown"))
+
+
+def _words_sql(expr: str) -> str:
+    return f"(CASE WHEN {S.squash(expr)} = '' THEN 0 ELSE len(string_split({S.squash(expr)}, ' ')) END)"
+
+
+register(
+    "thin_content",
+    f"""SELECT page_id, CAST({_words_sql('md')} AS BIGINT) AS n_words,
+       CASE WHEN {_words_sql('md')} < 50 THEN {S.q(oh.THIN_CONTENT_WARNING)} END AS content_warning
+FROM (SELECT page_id, {S.markdown(_section_sql('article'))} AS md FROM pages)""",
+)(
+    lambda spark, sf: oh.thin_content(oh.to_markdown(_pages(spark, sf, "page_id", "html"), selector="article")).select(
+        "page_id", F.col("markdown").alias("md"), "content_warning"
+    ).select("page_id", __import__("corpusflow.functions.text", fromlist=["x"]).word_count("md").alias("n_words"), "content_warning")
+)
+
+
+# ---------------------------------------------------------------- B: URLs and links
+
+register("normalize_url", f"SELECT page_id, url, {S.normalize_url('url')} AS nurl FROM pages")(
+    lambda spark, sf: _pages(spark, sf, "page_id", "url").withColumn("nurl", fu.normalize_url("url"))
+)
+
+
+def _roots_spark(spark, sf) -> DataFrame:
+    p = _pages(spark, sf, "page_id", "url").withColumn("_h", fu.url_host("url"))
+    apex2 = F.array_join(F.slice(F.split("_h", r"\."), -2, 2), ".")
+    roots = F.array(
+        F.struct(F.lit("same").alias("root_kind"), F.concat(F.lit("https://"), F.col("_h")).alias("root")),
+        F.struct(F.lit("apex").alias("root_kind"), F.concat(F.lit("https://"), apex2, F.lit("/")).alias("root")),
+        F.struct(F.lit("sibling").alias("root_kind"), F.concat(F.lit("http://www."), F.col("_h"), F.lit(":8080")).alias("root")),
+        F.struct(F.lit("foreign").alias("root_kind"), F.concat(F.lit("https://"), F.col("_h"), F.lit(".evil.co.uk")).alias("root")),
+        F.struct(F.lit("userinfo").alias("root_kind"), F.concat(F.lit("https://"), F.col("_h"), F.lit(":x@evil.com/")).alias("root")),
+    )
+    return p.select("page_id", "url", F.inline(roots))
+
+
+def _roots_sql() -> str:
+    h = S.host("url")
+    apex2 = f"array_to_string(string_split({h}, '.')[-2:], '.')"
+    return f"""roots AS (
+  SELECT page_id, url, unnest(['same', 'apex', 'sibling', 'foreign', 'userinfo']) AS root_kind,
+         unnest(['https://' || {h}, 'https://' || {apex2} || '/', 'http://www.' || {h} || ':8080',
+                 'https://' || {h} || '.evil.co.uk', 'https://' || {h} || ':x@evil.com/']) AS root
+  FROM pages
+)"""
+
+
+register(
+    "in_scope",
+    f"""WITH {_roots_sql()}
+SELECT page_id, root_kind, root, {S.in_scope('url', 'root', False)} AS exact, {S.in_scope('url', 'root', True)} AS with_subdomains
+FROM roots""",
+)(
+    lambda spark, sf: _roots_spark(spark, sf).select(
+        "page_id", "root_kind", "root",
+        fu.in_scope(F.col("url"), F.col("root"), False).alias("exact"),
+        fu.in_scope(F.col("url"), F.col("root"), True).alias("with_subdomains"),
+    )
+)
+
+register("harvest_links", f"WITH {S.links_cte()} SELECT page_id, pos, href FROM links")(
+    lambda spark, sf: ol.harvest_links(_pages(spark, sf, "page_id", "url", "html")).select("page_id", "pos", "href")
+)
+
+register("resolve_links", f"WITH {S.links_cte()} SELECT page_id, pos, href, {S.resolve('url', 'href')} AS target FROM links")(
+    lambda spark, sf: ol.resolve_links(ol.harvest_links(_pages(spark, sf, "page_id", "url", "html"))).select(
+        "page_id", "pos", "href", "target"
+    )
+)
+
+
+def _sitemaps_sql() -> str:
+    h = S.host("url")
+    return f"""sm AS (
+  SELECT host, part, 'https://' || host || '/sitemap.xml' AS sitemap_url,
+         '<?xml version="1.0" encoding="UTF-8"?>' || chr(10) || '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">' || chr(10)
+         || string_agg('<url><loc>' || replace(url, '&', '&amp;') || '</loc></url>', chr(10) ORDER BY page_id, url)
+         || CASE WHEN starts_with(host, 'm.') THEN '' ELSE chr(10) || '</urlset>' END AS xml
+  FROM (SELECT {h} AS host, floor(page_id / 50000) AS part, page_id, url FROM pages) GROUP BY host, part
+),
+locs_l AS (
+  SELECT host, part, sitemap_url,
+         CASE WHEN regexp_extract(xml, {S.q(ol.SITEMAP_DOC)}, 1) = 'sitemapindex' THEN 'sitemap' ELSE 'page' END AS kind,
+         CASE WHEN regexp_matches(xml, {S.q(ol.SITEMAP_DOC)})
+              THEN list_transform(regexp_extract_all(xml, {S.q(ol.LOC_VALID)}, 1), lambda v: {S.strip_edges(S.decode('v'))})
+              ELSE regexp_extract_all(xml, {S.q(ol.LOC_RAW)}, 1) END AS locs
+  FROM sm
+),
+locs AS (
+  SELECT * FROM (SELECT host, part, sitemap_url, kind, unnest(locs) AS loc, CAST(unnest(range(len(locs))) AS INTEGER) AS pos FROM locs_l)
+  WHERE loc <> ''
+)"""
+
+
+def _locs_spark(spark, sf) -> DataFrame:
+    return ol.sitemap_locs(ol.build_sitemaps(_pages(spark, sf, "page_id", "url")))
+
+
+register("sitemap_locs", f"WITH {_sitemaps_sql()} SELECT host, part, kind, pos, loc FROM locs")(
+    lambda spark, sf: _locs_spark(spark, sf).select("host", "part", "kind", "pos", "loc")
+)
+
+
+register(
+    "filter_urls",
+    f"""WITH {_sitemaps_sql()},
+u AS (SELECT 'https://' || host AS root, loc AS url, min(pos) AS pos FROM locs WHERE loc IS NOT NULL AND loc <> '' GROUP BY ALL),
+f AS (SELECT * FROM u WHERE {S.in_scope('url', 'root', False)} AND NOT {S.skip_ext('url')} AND NOT contains(url, 'utm_source'))
+SELECT root, url, pos FROM (SELECT *, row_number() OVER (PARTITION BY root ORDER BY pos, url) AS rn FROM f) WHERE rn <= 3""",
+)(
+    lambda spark, sf: ol.filter_urls(
+        _locs_spark(spark, sf).select(F.concat(F.lit("https://"), F.col("host")).alias("root"), F.col("loc").alias("url"), "pos"),
+        exclude="utm_source", max_pages=3,
+    ).select("root", "url", "pos")
+)
+
+
+def q_robots(spark, sf):
+    sm = ol.build_sitemaps(_pages(spark, sf, "page_id", "url"))
+    robots = ol.build_robots(sm.select("host").distinct())
+    return ol.robots_sitemaps(robots, sm.select("sitemap_url"))
+
+
+register(
+    "robots_sitemaps",
+    f"""WITH {_sitemaps_sql()},
+rb AS (SELECT DISTINCT host, 'User-agent: *' || chr(10) || 'Disallow: /private' || chr(10) || 'SITEMAP: https://' || host || '/old-sitemap.xml'
+       || chr(10) || 'Sitemap:  https://' || host || '/sitemap.xml ' || chr(10) AS robots FROM sm),
+ln AS (SELECT host, unnest(string_split_regex(robots, '\\r\\n|\\r|\\n')) AS line,
+              unnest(range(len(string_split_regex(robots, '\\r\\n|\\r|\\n')))) AS pos FROM rb),
+s AS (SELECT host, pos, {S.strip_edges("substr(line, instr(line, ':') + 1)")} AS sitemap_url FROM ln WHERE starts_with(lower(line), 'sitemap:'))
+SELECT host, arg_min(sitemap_url, pos) AS sitemap_url FROM s WHERE sitemap_url IN (SELECT sitemap_url FROM sm) GROUP BY host""",
+)(q_robots)
+
+
+def q_redact(spark, sf):
+    links = ol.resolve_links(ol.harvest_links(_pages(spark, sf, "page_id", "url", "html")))
+    req = links.select(
+        "page_id", "pos", F.col("target").alias("url"), F.col("url").alias("root"),
+        F.concat(F.lit("session="), F.col("page_id").cast("string")).alias("cookies"),
+        F.concat(F.lit("X-Page: "), F.col("page_id").cast("string")).alias("headers"),
+    )
+    return ol.redact_credentials(req).select("page_id", "pos", "url", "cookies", "headers", "send_credentials")
+
+
+register(
+    "redact_credentials",
+    f"""WITH {S.links_cte()},
+r AS (SELECT page_id, pos, {S.resolve('url', 'href')} AS target, url AS root FROM links),
+s AS (SELECT *, {S.in_scope('target', 'root', False)} AS ok FROM r)
+SELECT page_id, pos, target AS url, CASE WHEN ok THEN 'session=' || CAST(page_id AS VARCHAR) END AS cookies,
+       CASE WHEN ok THEN 'X-Page: ' || CAST(page_id AS VARCHAR) END AS headers, ok AS send_credentials FROM s""",
+)(q_redact)
+
+
+register(
+    "auto_batch",
+    "SELECT page_id, CAST(floor((row_number() OVER (ORDER BY page_id) - 1) / 200) AS BIGINT) AS batch_index FROM pages",
+)(lambda spark, sf: ol.auto_batch(_pages(spark, sf, "page_id"), [], ["page_id"], 200).select("page_id", "batch_index"))

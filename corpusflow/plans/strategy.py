@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Rows of a query-side table we are willing to ship to every executor.
 # A query row carries at most a few hundred terms or one vector of <= 3072
@@ -41,3 +42,37 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tupl
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False
+
+
+def dense_position(df: DataFrame, part: list[str], order: list[str], name: str = "position") -> DataFrame:
+    """1-based position of each row inside its ``part`` group by ``order``
+    (which must make the order total), without gathering a group in one task.
+
+    A range-partitioned sort spreads even a group holding a third of all rows
+    over many tasks; ``monotonically_increasing_id`` then carries (task,
+    index-in-task); a tiny per-task count table turns that into a global
+    index, and each group's first index (a partial aggregate) into a position.
+    The sorted frame is checkpointed to the shared checkpoint folder so both
+    uses see the same partitioning, and so a lost executor cannot re-deal it.
+    """
+    keys = [*part, *order]
+    s = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    s = s.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    s = s.withColumn("_task", F.shiftright("_mid", 33)).withColumn(
+        "_idx", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    )
+    counts = s.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per task: a window over it is tiny.
+    offsets = counts.withColumn(
+        "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select("_task", "_off")
+    g = s.join(F.broadcast(offsets), "_task").withColumn("_g", F.col("_off") + F.col("_idx"))
+    if not part:
+        return g.withColumn(name, F.col("_g") + 1).drop("_mid", "_task", "_idx", "_off", "_g")
+    first = g.groupBy(*part).agg(F.min("_g").alias("_first"))
+    first, _ = bounded_broadcast(first)
+    return (
+        g.join(first, part)
+        .withColumn(name, F.col("_g") - F.col("_first") + 1)
+        .drop("_mid", "_task", "_idx", "_off", "_g", "_first")
+    )
