@@ -11,8 +11,11 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 from pyspark.sql.window import Window
 
 from corpusflow.functions.text import search_terms
@@ -45,13 +48,28 @@ def hashed_weights(df: DataFrame, id_cols, text_col: str, dim: int) -> DataFrame
     return raw.withColumn("_n", norm).where(F.col("_n") > 0).select(*ids, "bucket", (F.col("_w") / F.col("_n")).alias("weight"))
 
 
+def _densify(dim: int):
+    """Sparse (buckets, weights) arrays to a dense vector: a numpy scatter per
+    row inside Arrow batches (a map lookup per position would cost dim x nnz)."""
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def densify(buckets: pd.Series, weights: pd.Series) -> pd.Series:
+        out = []
+        for b, w in zip(buckets, weights):
+            v = np.zeros(dim)
+            v[np.asarray(b, dtype=np.int64)] = np.asarray(w, dtype=np.float64)
+            out.append(v)
+        return pd.Series(out)
+
+    return densify
+
+
 def embed_hashed(df: DataFrame, id_cols="doc_id", text_col: str = "text", dim: int = 64) -> DataFrame:
     """One dense ARRAY<DOUBLE> of ``dim`` per row with at least one term."""
     ids = _ids(id_cols)
     sparse = hashed_weights(df, ids, text_col, dim)
-    g = sparse.groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "weight"))).alias("_m"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(F.element_at(F.col("_m"), i), F.lit(0.0)))
-    return g.select(*ids, dense.alias("embedding"))
+    g = sparse.groupBy(*ids).agg(F.collect_list("bucket").alias("_b"), F.collect_list("weight").alias("_w"))
+    return g.select(*ids, _densify(dim)(F.col("_b"), F.col("_w")).alias("embedding"))
 
 
 def attach_embeddings(chunks: DataFrame, vectors: DataFrame, keys: Sequence[str] = ("doc_id", "chunk_index")) -> DataFrame:

@@ -599,3 +599,101 @@ SELECT r.root, r.pages_discovered, r.pages_crawled, r.pages_failed,
        CAST(coalesce(t.total_chunks, 0) AS BIGINT) AS total_chunks, CAST(coalesce(t.total_tokens, 0) AS BIGINT) AS total_tokens
 FROM rep r LEFT JOIN tot t USING (root)""",
 )(q_crawl_report)
+
+
+# ---------------------------------------------------------------- E, A13: index
+from corpusflow.sources import catalog as cat  # noqa: E402
+
+
+register(
+    "embed_hashed",
+    f"""WITH {S.hashed_cte('hv', 'documents', 'doc_id', 'text', 64)}
+SELECT doc_id, bucket, round(weight, 6) AS weight FROM hv WHERE weight <> 0""",
+)(
+    lambda spark, sf: ix.embed_hashed(T(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", 64)
+    .select("doc_id", F.posexplode("embedding").alias("bucket", "weight"))
+    .where(F.col("weight") != 0)
+    .select("doc_id", "bucket", F.round("weight", 6).alias("weight"))
+)
+
+
+def q_index_rows(spark, sf):
+    chunks = _chunks(spark, sf).join(T(spark, sf, "documents").select("doc_id", F.col("source").alias("url")), "doc_id")
+    vecs = ix.embed_hashed(chunks, ["doc_id", "chunk_index"], "content", 64)
+    rows = ix.index_rows(chunks, vecs)
+    return rows.select(
+        "id", "doc_id", "chunk_index", F.size("embedding").alias("dimension"), "text",
+        F.col("metadata")["url"].alias("meta_url"), F.col("metadata")["chunk_index"].alias("meta_chunk_index"),
+        F.col("metadata")["is_hierarchical"].alias("meta_is_hierarchical"),
+    )
+
+
+register(
+    "index_rows",
+    f"""WITH {S.chunks_cte()},
+c AS (SELECT c.*, d.source AS url FROM chunks c JOIN documents d USING (doc_id)),
+{S.hashed_cte('cv', 'c', 'doc_id, chunk_index', 'content', 64)},
+has AS (SELECT DISTINCT doc_id, chunk_index FROM cv)
+SELECT sha256(url || '|' || CAST(chunk_index AS VARCHAR) || '|' || content) AS id, doc_id, chunk_index,
+       64 AS dimension, content AS text, url AS meta_url, CAST(chunk_index AS VARCHAR) AS meta_chunk_index,
+       'false' AS meta_is_hierarchical
+FROM c JOIN has USING (doc_id, chunk_index)""",
+)(q_index_rows)
+
+
+register(
+    "inspect_index",
+    """SELECT label, CAST(CASE WHEN min(len(embedding)) = max(len(embedding)) AND min(len(embedding)) > 0 THEN min(len(embedding)) ELSE 0 END AS INTEGER) AS dimension,
+       coalesce(min(len(embedding)) = max(len(embedding)) AND min(len(embedding)) > 0, false) AS dimension_known,
+       count(*) AS total_vectors
+FROM embeddings GROUP BY ROLLUP (label)""",
+)(lambda spark, sf: ix.inspect_index(T(spark, sf, "embeddings"), "embedding", "label"))
+
+
+def _mixed_index(spark, sf) -> DataFrame:
+    docs = ix.embed_hashed(T(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text", 1024)
+    return T(spark, sf, "embeddings").select(F.lit("embeddings").alias("namespace"), "embedding").unionByName(
+        docs.select(F.lit("documents").alias("namespace"), "embedding")
+    )
+
+
+_MODELS_SQL = "(VALUES " + ", ".join(f"({S.q(p)}, {S.q(m)}, {d})" for p, m, d in cat.EMBEDDING_MODELS) + ") AS models(provider, model, dimension)"
+
+register(
+    "suggest_models",
+    f"""WITH {S.hashed_cte('dv', 'documents', 'doc_id', 'text', 1024)},
+idx AS (
+  SELECT 'embeddings' AS namespace, len(embedding) AS d FROM embeddings
+  UNION ALL SELECT 'documents' AS namespace, 1024 AS d FROM (SELECT DISTINCT doc_id FROM dv)
+),
+ins AS (
+  SELECT namespace, CAST(CASE WHEN min(d) = max(d) AND min(d) > 0 THEN min(d) ELSE 0 END AS INTEGER) AS dimension,
+         coalesce(min(d) = max(d) AND min(d) > 0, false) AS dimension_known, count(*) AS total_vectors
+  FROM idx GROUP BY ROLLUP (namespace)
+)
+SELECT i.dimension, i.namespace, i.dimension_known, i.total_vectors, m.provider, m.model
+FROM ins i JOIN {_MODELS_SQL} ON m.dimension = i.dimension WHERE i.dimension_known""".replace("AS models(", "AS m("),
+)(lambda spark, sf: ix.suggest_models(ix.inspect_index(_mixed_index(spark, sf), "embedding", "namespace")))
+
+
+def q_upsert(spark, sf):
+    existing = T(spark, sf, "embeddings").select("vec_id", "embedding", F.lit(0).alias("version"))
+    incoming = ix.embed_hashed(_bench_queries(spark, sf), "query_id", "text", 64).select(
+        F.col("query_id").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), F.lit(1).alias("version")
+    )
+    up = ix.upsert_index(existing, incoming, "vec_id", "version")
+    return up.select("vec_id", "version", F.size("embedding").alias("dimension"),
+                     F.round(F.element_at("embedding", 1).cast("double"), 6).alias("first_value"))
+
+
+register(
+    "upsert_index",
+    f"""WITH {S.hashed_cte('qv', 'benchmark', 'item_id', 'text', 64)},
+inc AS (SELECT item_id AS vec_id, 1 AS version,
+               round(CAST(CAST(coalesce(max(weight) FILTER (WHERE bucket = 0), 0) AS FLOAT) AS DOUBLE), 6) AS first_value
+        FROM qv GROUP BY item_id),
+ex AS (SELECT vec_id, 0 AS version, round(CAST(embedding[1] AS DOUBLE), 6) AS first_value FROM embeddings),
+u AS (SELECT vec_id, version, 64 AS dimension, first_value FROM inc UNION ALL SELECT vec_id, version, len(e.embedding), first_value FROM ex JOIN embeddings e USING (vec_id))
+SELECT vec_id, version, CAST(dimension AS INTEGER) AS dimension, first_value FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY version DESC) AS rn FROM u) WHERE rn = 1""",
+)(q_upsert)
