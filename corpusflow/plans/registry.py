@@ -7,6 +7,7 @@ expressible in SQL, ``ORACLE[name]`` with the same columns for DuckDB.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -697,3 +698,214 @@ u AS (SELECT vec_id, version, 64 AS dimension, first_value FROM inc UNION ALL SE
 SELECT vec_id, version, CAST(dimension AS INTEGER) AS dimension, first_value FROM (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY version DESC) AS rn FROM u) WHERE rn = 1""",
 )(q_upsert)
+
+
+# ---------------------------------------------------------------- G: extraction
+from corpusflow.operators import accounting as oa  # noqa: E402
+from corpusflow.operators import extraction as oe  # noqa: E402
+
+EXTRACT_SPEC = {
+    "title": "string — the page title",
+    "lang": "string — the page language",
+    "track_id": "number — the tracking id",
+    "has_ad": "boolean — whether an ad block is present",
+    "price": "number — a price in dollars",
+}
+EXTRACT_RULES = {
+    "title": r"(?is)<title[^>]*>(.*?)</title>",
+    "lang": r'<html[^>]*\slang="([^"]*)"',
+    "track_id": r"track\((\d+)\)",
+    "has_ad": r'class="(ad)"',
+    "price": r"\$\s*([0-9]+(?:\.[0-9]+)?)",
+}
+LIST_SPEC = {"label": "string — link text", "href": "string — link target"}
+LIST_RULES = {"label": r'<li><a href="[^"]*">([^<]*)</a></li>', "href": r'<li><a href="([^"]*)">[^<]*</a></li>'}
+
+
+def _typed_sql(expr: str, t: str) -> str:
+    v = f"nullif(trim({expr}), '')"
+    if t == "number":
+        return f"TRY_CAST({v} AS DOUBLE)"
+    if t == "boolean":
+        tw = ", ".join(S.q(x) for x in oe.TRUE_WORDS)
+        fw = ", ".join(S.q(x) for x in oe.FALSE_WORDS)
+        return f"(CASE WHEN lower({v}) IN ({tw}) THEN true WHEN lower({v}) IN ({fw}) THEN false WHEN {v} IS NOT NULL THEN true END)"
+    return v
+
+
+def _extract_sql() -> str:
+    _, rows = oe.parse_schema(EXTRACT_SPEC)
+    cols = ", ".join(f"{_typed_sql(f'regexp_extract(html, {S.q(EXTRACT_RULES[f])}, 1)', t)} AS {f}" for f, t, _ in rows)
+    found = " OR ".join(f"{f} IS NOT NULL" for f, _, _ in rows)
+    return f"""ex AS (SELECT page_id, {cols} FROM pages),
+st AS (SELECT *, CASE WHEN {found} THEN 'ok' ELSE 'error' END AS status FROM ex)"""
+
+
+def _extracted(spark, sf) -> DataFrame:
+    ex = oe.extract_fields(_pages(spark, sf, "page_id", "url", "html"), EXTRACT_SPEC, EXTRACT_RULES)
+    return oe.page_status(ex, EXTRACT_SPEC)
+
+
+register("extract_fields", f"WITH {_extract_sql()} SELECT page_id, title, lang, track_id, has_ad, price, status FROM st")(
+    lambda spark, sf: _extracted(spark, sf).select("page_id", "extracted.*", "status")
+)
+
+register(
+    "extract_list",
+    f"""WITH l AS (
+  SELECT page_id, regexp_extract_all(html, {S.q(LIST_RULES['label'])}, 1) AS a, regexp_extract_all(html, {S.q(LIST_RULES['href'])}, 1) AS b FROM pages
+)
+SELECT page_id, CAST(unnest(range(greatest(len(a), len(b)))) AS INTEGER) AS item_index,
+       {_typed_sql('unnest(a)', 'string')} AS label, {_typed_sql('unnest(b)', 'string')} AS href,
+       CAST(greatest(len(a), len(b)) AS BIGINT) AS item_count
+FROM l""",
+)(lambda spark, sf: oe.extract_list(_pages(spark, sf, "page_id", "html"), LIST_SPEC, LIST_RULES))
+
+register(
+    "extract_report",
+    f"""WITH {_extract_sql()}
+SELECT count(*) AS pages_attempted, count(*) FILTER (WHERE status = 'ok') AS pages_extracted,
+       count(*) FILTER (WHERE status <> 'ok') AS pages_failed, count(*) AS pages_discovered FROM st""",
+)(lambda spark, sf: oe.extract_report(_extracted(spark, sf)))
+
+MODELS = ["gpt-4o-mini", "claude-sonnet-4"]
+
+register(
+    "model_window",
+    f"""WITH t AS (SELECT page_id, {S.html_text('html')} AS text FROM pages),
+m AS (SELECT unnest([{', '.join(S.q(m) for m in MODELS)}]) AS model)
+SELECT page_id, model, CASE WHEN regexp_matches(model, '(?i)(mini|flash|haiku|lite|nano)') THEN 8000 ELSE 30000 END AS window_chars,
+       substr(text, 1, CASE WHEN regexp_matches(model, '(?i)(mini|flash|haiku|lite|nano)') THEN 8000 ELSE 30000 END) AS text_sent
+FROM t, m""",
+)(
+    lambda spark, sf: oe.model_window(
+        oh.extract_text(_pages(spark, sf, "page_id", "html")).select(
+            "page_id", "text", F.explode(F.array(*[F.lit(m) for m in MODELS])).alias("model")
+        ),
+        F.col("model"),
+    ).select("page_id", "model", "window_chars", "text_sent")
+)
+
+register(
+    "rate_slots",
+    "SELECT page_id, CAST(floor((row_number() OVER (ORDER BY page_id) - 1) / 10) AS BIGINT) AS minute_slot FROM pages",
+)(lambda spark, sf: oe.rate_slots(_pages(spark, sf, "page_id"), 10, [], ["page_id"]).select("page_id", "minute_slot"))
+
+
+# ---------------------------------------------------------------- H: accounting
+
+def _rates_sql() -> str:
+    return "(VALUES " + ", ".join(f"({S.q(o)}, CAST({r} AS DECIMAL(18,4)))" for o, r in oa.RATES) + ") AS r(operation, rate)"
+
+
+def q_cost_rows(spark, sf):
+    chunks = ch.chunk_stats(_chunks(spark, sf), "doc_id")
+    labels = T(spark, sf, "labels").select("doc_id", "toxic")
+    docs = T(spark, sf, "documents").select("doc_id").join(chunks, "doc_id", "left").join(labels, "doc_id", "left")
+    n = F.coalesce(F.col("total_chunks"), F.lit(0)).cast("long")
+    doc_usage = docs.select(
+        F.lit("doc").alias("source"), F.col("doc_id").alias("id"),
+        F.explode(F.array(
+            F.struct(F.lit("chunk").alias("operation"), n.alias("quantity"), F.lit(True).alias("ok")),
+            F.struct(F.lit("injection").alias("operation"), n.alias("quantity"), F.coalesce(F.col("toxic") == 0, F.lit(True)).alias("ok")),
+        )).alias("u"),
+    ).select("source", "id", "u.*", F.lit(0).alias("fields"))
+    st = _extracted(spark, sf).select("page_id", "status")
+    page_usage = st.select(
+        F.lit("page").alias("source"), F.col("page_id").alias("id"),
+        F.explode(F.array(
+            F.struct(F.lit("url_local").alias("operation"), F.lit(1).cast("long").alias("quantity"), F.lit(True).alias("ok")),
+            F.struct(F.lit("extract").alias("operation"), F.lit(1).cast("long").alias("quantity"), (F.col("status") == "ok").alias("ok")),
+        )).alias("u"),
+    ).select("source", "id", "u.*", F.lit(len(EXTRACT_SPEC)).alias("fields"))
+    q_usage = _bench_queries(spark, sf).select(
+        F.lit("query").alias("source"), F.col("query_id").alias("id"), F.lit("query").alias("operation"),
+        F.lit(5).cast("long").alias("quantity"), F.lit(True).alias("ok"), F.lit(0).alias("fields"),
+    )
+    usage = doc_usage.unionByName(page_usage).unionByName(q_usage)
+    return oa.cost_rows(usage).select("source", "id", "operation", "quantity", "ok", F.col("credits").cast("double").alias("credits"))
+
+
+register(
+    "cost_rows",
+    f"""WITH {S.chunks_cte()},
+cs AS (SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id),
+d AS (SELECT d.doc_id, CAST(coalesce(cs.n, 0) AS BIGINT) AS n, l.toxic FROM documents d LEFT JOIN cs USING (doc_id) LEFT JOIN labels l USING (doc_id)),
+{_extract_sql()},
+usage AS (
+  SELECT 'doc' AS source, doc_id AS id, 'chunk' AS operation, n AS quantity, true AS ok, 0 AS fields FROM d
+  UNION ALL SELECT 'doc', doc_id, 'injection', n, coalesce(toxic = 0, true), 0 FROM d
+  UNION ALL SELECT 'page', page_id, 'url_local', 1, true, 0 FROM st
+  UNION ALL SELECT 'page', page_id, 'extract', 1, status = 'ok', {len(EXTRACT_SPEC)} FROM st
+  UNION ALL SELECT 'query', item_id, 'query', 5, true, 0 FROM benchmark
+)
+SELECT u.source, u.id, u.operation, CAST(u.quantity AS BIGINT) AS quantity, u.ok,
+       CAST(CAST(CASE WHEN u.ok THEN (CASE WHEN u.operation = 'extract'
+            THEN r.rate + CAST(0.0001 AS DECIMAL(18,4)) * u.fields + CAST(0.0020 AS DECIMAL(18,4)) ELSE r.rate END) * u.quantity
+            ELSE 0 END AS DECIMAL(18,4)) AS DOUBLE) AS credits
+FROM usage u LEFT JOIN {_rates_sql()} ON r.operation = u.operation""",
+)(q_cost_rows)
+
+
+def q_balance(spark, sf):
+    ev = T(spark, sf, "events").select("event_id", "ts", F.col("user_id").alias("account"), "value")
+    costs = ev.withColumn("credits", (F.round(F.col("value") * 100).cast("long") * F.lit(Decimal("0.0001"))).cast(oa.MONEY))
+    b = oa.running_balance(costs, 5.0, "account", ["ts", "event_id"])
+    return b.select("event_id", F.col("account").alias("user_id"), F.col("credits_remaining").cast("double").alias("credits_remaining"), "overdrawn")
+
+
+register(
+    "running_balance",
+    """WITH c AS (SELECT event_id, ts, user_id, CAST(CAST(round(value * 100) AS BIGINT) * CAST(0.0001 AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS credits FROM events),
+r AS (SELECT *, CAST(CAST(5.0 AS DECIMAL(18,4)) - sum(credits) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,4)) AS rem FROM c)
+SELECT event_id, user_id, CAST(rem AS DOUBLE) AS credits_remaining, rem < 0 AS overdrawn FROM r""",
+)(q_balance)
+
+
+def q_ingest_report(spark, sf):
+    docs = T(spark, sf, "documents").select("doc_id", "lang")
+    labels = T(spark, sf, "labels").select("doc_id", "toxic")
+    files = docs.join(labels, "doc_id", "left").select(
+        F.col("lang").alias("job"), F.col("doc_id").alias("file"),
+        F.when(F.col("toxic") == 1, F.lit("rejected: toxic content")).alias("error"),
+    )
+    chunks = _chunks(spark, sf).select(F.col("doc_id").alias("file"))
+    r = oa.ingest_report(files, chunks)
+    return r.withColumn("credits_used", F.col("credits_used").cast("double"))
+
+
+register(
+    "ingest_report",
+    f"""WITH {S.chunks_cte()},
+cs AS (SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id),
+f AS (SELECT d.lang AS job, d.doc_id, CASE WHEN l.toxic = 1 THEN 'rejected: toxic content' END AS error, cs.n
+      FROM documents d LEFT JOIN labels l USING (doc_id) LEFT JOIN cs USING (doc_id)),
+g AS (SELECT job, count(*) FILTER (WHERE error IS NULL) AS files_processed, count(*) FILTER (WHERE error IS NOT NULL) AS files_failed,
+             CAST(coalesce(sum(n) FILTER (WHERE error IS NULL), 0) AS BIGINT) AS total_chunks FROM f GROUP BY job)
+SELECT job, files_processed, files_failed, total_chunks, total_chunks AS vectors_upserted,
+       CAST(CAST(total_chunks * CAST(0.0035 AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS DOUBLE) AS credits_used,
+       CASE WHEN files_failed = 0 THEN 'success' ELSE 'partial' END AS status FROM g""",
+)(q_ingest_report)
+
+
+def q_status(spark, sf):
+    pages = _pages(spark, sf, "page_id", "url", "html")
+    links = ol.resolve_links(ol.harvest_links(pages))
+    fetch = ol.page_keys(pages).select(F.col("nurl").alias("target"), F.lit(True).alias("_f"))
+    log = links.join(fetch, "target", "left").select(
+        F.when(F.col("_f"), F.lit(200)).otherwise(F.lit(404)).alias("status"), F.lit(None).cast("string").alias("retry_after")
+    )
+    return oa.status_counts(oa.classify_status(log))
+
+
+register(
+    "classify_status",
+    f"""WITH {S.links_cte()},
+r AS (SELECT {S.resolve('url', 'href')} AS target FROM links),
+fe AS (SELECT DISTINCT {S.normalize_url('url')} AS target FROM pages),
+lg AS (SELECT CASE WHEN fe.target IS NOT NULL THEN 200 ELSE 404 END AS status FROM r LEFT JOIN fe USING (target))
+SELECT CASE WHEN status BETWEEN 200 AND 299 THEN 'ok' WHEN status = 402 THEN 'credits' WHEN status IN (401, 403) THEN 'auth'
+            WHEN status = 422 THEN 'validation' WHEN status = 429 THEN 'rate_limit' WHEN status = 503 THEN 'busy'
+            WHEN status >= 500 THEN 'server' ELSE 'generic' END AS error_class, count(*) AS n
+FROM lg GROUP BY 1""",
+)(q_status)
