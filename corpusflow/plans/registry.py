@@ -909,3 +909,261 @@ SELECT CASE WHEN status BETWEEN 200 AND 299 THEN 'ok' WHEN status = 402 THEN 'cr
             WHEN status >= 500 THEN 'server' ELSE 'generic' END AS error_class, count(*) AS n
 FROM lg GROUP BY 1""",
 )(q_status)
+
+
+# ---------------------------------------------------------------- A: formats
+from corpusflow.operators import code_units as cu  # noqa: E402
+from corpusflow.sources import files as sfiles  # noqa: E402
+from corpusflow.sources import formats as fm  # noqa: E402
+
+
+def _json_files(spark, sf) -> DataFrame:
+    """One JSON export per document, built from its chunks; the shape depends
+    on the language: en = objects with text, fr = blank text then content and
+    a link, de = strings plus a number and a null, es = one object."""
+    chunks = _chunks(spark, sf)
+    docs = T(spark, sf, "documents").select("doc_id", "lang", "source")
+    per = chunks.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("chunk_index", "content"))).alias("_c"))
+    d = docs.join(per, "doc_id", "left").withColumn("_c", F.coalesce("_c", F.array().cast(per.schema["_c"].dataType)))
+    texts = F.col("_c.content")
+    en = F.to_json(F.transform("_c", lambda c: F.struct(F.col("source").alias("url"), c["content"].alias("text"))))
+    fr = F.to_json(F.transform("_c", lambda c: F.struct(F.lit("  ").alias("text"), c["content"].alias("content"),
+                                                         F.concat(F.lit("https://x.example.com/"), F.col("doc_id").cast("string")).alias("link"))))
+    de = F.concat(F.lit("["), F.array_join(F.transform(texts, lambda t: F.to_json(F.array(t)).substr(F.lit(2), F.length(F.to_json(F.array(t))) - 2)), ","),
+                  F.when(F.size("_c") > 0, F.lit(",")).otherwise(F.lit("")), F.lit("3,null]"))
+    es = F.to_json(F.struct(F.element_at(texts, 1).alias("body"), F.col("source").alias("url")))
+    body = F.when(F.col("lang") == "en", en).when(F.col("lang") == "fr", fr).when(F.col("lang") == "de", de).otherwise(es)
+    return d.select(F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("file"), body.alias("text"))
+
+
+register(
+    "json_records",
+    f"""WITH {S.chunks_cte()},
+d AS (SELECT doc_id, lang, source, 'docs/' || CAST(doc_id AS VARCHAR) || '.json' AS file FROM documents)
+SELECT d.file, c.chunk_index AS item_index, c.content AS text,
+       CASE d.lang WHEN 'en' THEN d.source WHEN 'fr' THEN 'https://x.example.com/' || CAST(d.doc_id AS VARCHAR)
+                   ELSE 'file://' || CAST(d.doc_id AS VARCHAR) || '.json' END AS url
+FROM d JOIN chunks c USING (doc_id)
+WHERE d.lang IN ('en', 'fr', 'de') AND {S.squash('c.content')} <> ''
+UNION ALL
+SELECT d.file, 0, c.content, d.source FROM d JOIN chunks c USING (doc_id) WHERE d.lang NOT IN ('en', 'fr', 'de') AND c.chunk_index = 0""",
+)(lambda spark, sf: fm.json_records(_json_files(spark, sf)))
+
+
+def _lines(spark, sf) -> DataFrame:
+    return T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
+
+
+register(
+    "row_text",
+    """WITH r AS (SELECT l_orderkey, l_linenumber, 'Row ' || CAST(l_linenumber AS VARCHAR) || ': ' ||
+       concat_ws(' | ', 'l_partkey: ' || CAST(l_partkey AS VARCHAR), 'l_quantity: ' || CAST(l_quantity AS VARCHAR),
+                 CASE WHEN l_returnflag <> '' THEN 'l_returnflag: ' || l_returnflag END) AS line, l_linenumber
+FROM lineitem)
+SELECT l_orderkey, string_agg(line, chr(10) ORDER BY l_linenumber, line) AS text FROM r GROUP BY l_orderkey""",
+)(lambda spark, sf: fm.row_text(_lines(spark, sf), "l_orderkey", "l_linenumber", ["l_partkey", "l_quantity", "l_returnflag"]))
+
+register(
+    "sheet_text",
+    """WITH s AS (
+  SELECT l_orderkey, l_linestatus, string_agg(concat_ws(' | ', CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_quantity AS VARCHAR)),
+                                             chr(10) ORDER BY l_linenumber, concat_ws(' | ', CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(l_quantity AS VARCHAR))) AS r
+  FROM lineitem GROUP BY ALL
+)
+SELECT l_orderkey, string_agg('## Sheet: status ' || l_linestatus || chr(10) || r, chr(10) || chr(10) ORDER BY l_linestatus) AS text
+FROM s GROUP BY l_orderkey""",
+)(
+    lambda spark, sf: fm.sheet_text(
+        _lines(spark, sf).withColumn("sheet", F.concat(F.lit("status "), F.col("l_linestatus"))),
+        "l_orderkey", "sheet", "l_linestatus", "l_linenumber", ["l_partkey", "l_suppkey", "l_quantity"],
+    )
+)
+
+_GFM_COLS = ["l_linenumber", "l_partkey", "l_quantity", "l_returnflag"]
+
+
+def _gfm_sql() -> str:
+    cells = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _GFM_COLS)
+    heads = ", ".join(f"'{c}'" for c in _GFM_COLS)
+    widths = ", ".join(f"greatest(max(length({c})), 3) AS w_{i}" for i, c in enumerate(_GFM_COLS))
+    line = " || ' | ' || ".join(f"rpad({c}, CAST(w_{i} AS INTEGER), ' ')" for i, c in enumerate(_GFM_COLS))
+    sep = " || ' | ' || ".join(f"repeat('-', CAST(w_{i} AS INTEGER))" for i in range(len(_GFM_COLS)))
+    return f"""WITH c AS (
+  SELECT l_orderkey, 1 AS h, l_linenumber AS o, {cells} FROM lineitem
+  UNION ALL SELECT DISTINCT l_orderkey, 0, NULL, {heads} FROM lineitem
+),
+w AS (SELECT l_orderkey, {widths} FROM c GROUP BY l_orderkey),
+r AS (SELECT c.l_orderkey, h, o, '| ' || {line} || ' |' AS l, '| ' || {sep} || ' |' AS sep FROM c JOIN w USING (l_orderkey))
+SELECT l_orderkey, string_agg(CASE WHEN h = 0 THEN l || chr(10) || sep ELSE l END, chr(10) ORDER BY h, o, l) AS text FROM r GROUP BY l_orderkey"""
+
+
+register("gfm_table", _gfm_sql())(lambda spark, sf: fm.gfm_table(_lines(spark, sf), "l_orderkey", "l_linenumber", _GFM_COLS))
+
+
+def _notebooks(spark, sf) -> DataFrame:
+    """One notebook per conversation: user turns are markdown cells, assistant
+    turns code cells, system turns raw cells; odd turns carry the source as a
+    list of one string."""
+    c = T(spark, sf, "conversations")
+    kind = F.when(F.col("role") == "user", "markdown").when(F.col("role") == "assistant", "code").otherwise("raw")
+    src = F.when(F.col("turn") % 2 == 1, F.to_json(F.array("text"))).otherwise(
+        F.expr("substr(to_json(array(text)), 2, length(to_json(array(text))) - 2)")
+    )
+    cell = F.concat(F.lit('{"cell_type": "'), kind, F.lit('", "source": '), src, F.lit("}"))
+    g = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", cell.alias("j")))).alias("_c"))
+    return g.select(F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit(".ipynb")).alias("file"),
+                    F.concat(F.lit('{"cells": ['), F.array_join(F.col("_c.j"), ", "), F.lit("]}")).alias("text"))
+
+
+register(
+    "notebook_text",
+    f"""SELECT 'conv_' || CAST(conv_id AS VARCHAR) || '.ipynb' AS file,
+       coalesce(string_agg(CASE WHEN role = 'user' THEN text ELSE '```python' || chr(10) || text || chr(10) || '```' END,
+                           chr(10) || chr(10) ORDER BY turn) FILTER (WHERE role IN ('user', 'assistant') AND {S.strip_edges('text')} <> ''), '') AS text
+FROM conversations GROUP BY conv_id""",
+)(lambda spark, sf: fm.notebook_text(_notebooks(spark, sf)))
+
+
+register(
+    "xml_text",
+    f"""WITH {_sitemaps_sql()}
+SELECT sitemap_url AS file, CASE WHEN regexp_matches(xml, {S.q(fm.XML_DOC)})
+  THEN array_to_string(list_filter(list_transform(regexp_extract_all(xml, {S.q(fm.XML_TEXT)}, 1), lambda t: {S.strip_edges(S.decode('t'))}), lambda t: t <> ''), chr(10))
+  ELSE xml END AS text FROM sm""",
+)(
+    lambda spark, sf: fm.xml_text(ol.build_sitemaps(_pages(spark, sf, "page_id", "url")).select(F.col("sitemap_url").alias("file"), F.col("xml").alias("text")))
+)
+
+
+def q_flatten(spark, sf):
+    li = _lines(spark, sf)
+    per = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity"))).alias("_r"))
+    rows = F.transform("_r", lambda r: F.create_map(F.lit("part"), r["l_partkey"].cast("string"), F.lit("qty"), r["l_quantity"].cast("string")))
+    tables = per.select("l_orderkey", F.array(F.struct(F.lit(1).alias("page"), F.lit(0).alias("table_index"), rows.alias("rows"))).alias("tables"))
+    return fm.flatten_tables(tables, "l_orderkey")
+
+
+register(
+    "flatten_tables",
+    """WITH r AS (SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) - 1 AS INTEGER) AS row_index,
+                  CAST(l_partkey AS VARCHAR) AS part, CAST(l_quantity AS VARCHAR) AS qty FROM lineitem)
+SELECT l_orderkey, 1 AS page, 0 AS table_index, row_index, 'part' AS "column", part AS value FROM r
+UNION ALL SELECT l_orderkey, 1, 0, row_index, 'qty', qty FROM r""",
+)(q_flatten)
+
+
+def q_scan(spark, sf):
+    return sfiles.scan_corpus(spark, sf, extensions=[".parquet"]).select("name", "suffix", "source_type", "length")
+
+
+# A folder listing has no SQL form over the registered views.
+register("scan_corpus")(q_scan)
+
+
+def q_missing(spark, sf):
+    provs = [p for p, *_ in cat.VECTOR_DB_PROVIDERS] + ["unknown_db"]
+    c = T(spark, sf, "customer")
+    cfg = F.create_map(
+        F.lit("api_key"), F.col("c_name"), F.lit("url"), F.col("c_mktsegment"),
+        F.lit("collection_name"), F.when(F.col("c_acctbal") > 0, F.lit("col")).otherwise(F.lit("")),
+        F.lit("table_name"), F.when(F.col("c_acctbal") > 5000, F.lit("t")).otherwise(F.lit(" ")),
+        F.lit("connection_string"), F.lit("postgresql://db"),
+    )
+    configs = c.select(
+        F.col("c_custkey").alias("name"),
+        F.element_at(F.array(*[F.lit(p) for p in provs]), (F.col("c_nationkey") % F.lit(len(provs))) + 1).alias("provider"),
+        cfg.alias("config"),
+    )
+    return cat.missing_fields(configs)
+
+
+def _missing_sql() -> str:
+    provs = [p for p, *_ in cat.VECTOR_DB_PROVIDERS] + ["unknown_db"]
+    req = " UNION ALL ".join(f"SELECT {S.q(p)} AS provider, unnest([{', '.join(S.q(x) for x in r)}]::VARCHAR[]) AS field"
+                             for p, _, r, _, _ in cat.VECTOR_DB_PROVIDERS if r)
+    return f"""WITH cfg AS (
+  SELECT c_custkey AS name, [{', '.join(S.q(p) for p in provs)}][c_nationkey % {len(provs)} + 1] AS provider,
+         MAP {{'api_key': c_name, 'url': c_mktsegment, 'collection_name': CASE WHEN c_acctbal > 0 THEN 'col' ELSE '' END,
+              'table_name': CASE WHEN c_acctbal > 5000 THEN 't' ELSE ' ' END, 'connection_string': 'postgresql://db'}} AS config
+  FROM customer
+),
+req AS ({req})
+SELECT c.name, c.provider, r.field FROM cfg c JOIN req r USING (provider)
+WHERE coalesce(trim(element_at(c.config, r.field)[1]), '') = ''
+UNION ALL SELECT name, provider, NULL FROM cfg WHERE provider NOT IN (SELECT provider FROM req)"""
+
+
+register("missing_fields", _missing_sql())(q_missing)
+
+
+# ---------------------------------------------------------------- C7-C11: code units
+
+def _sql_files(spark, sf) -> DataFrame:
+    """One SQL script per customer; the market segment picks a variant so all
+    quirks occur: a leading comment, CREATE OR REPLACE, INSERT then SELECT on
+    the next line, COMMENT ON, a double space, a file with no statement."""
+    c = T(spark, sf, "customer")
+    k = F.col("c_custkey").cast("string")
+    seg = F.col("c_mktsegment")
+    body = (
+        F.when(seg == "BUILDING", F.concat(F.lit("-- customer "), F.col("c_name"), F.lit("\nCREATE TABLE c_"), k, F.lit(" (k BIGINT);\nINSERT INTO c_"), k,
+                                           F.lit("\nSELECT "), F.col("c_acctbal").cast("string"), F.lit(";\n")))
+        .when(seg == "AUTOMOBILE", F.concat(F.lit("create or replace view v_"), k, F.lit(" as\n  select 1;\n\ncomment on view v_"), k, F.lit(" is 'x';\n")))
+        .when(seg == "MACHINERY", F.concat(F.lit("CREATE  TABLE d_"), k, F.lit(" (x INT);\nUPDATE d_"), k, F.lit(" SET x = 1;\nDELETE FROM d_"), k, F.lit(";\n")))
+        .when(seg == "FURNITURE", F.concat(F.lit("WITH a AS (SELECT 1)\nSELECT * FROM a;\nGRANT SELECT ON a TO r_"), k, F.lit(";\n")))
+        .otherwise(F.concat(F.lit("-- nothing to run for "), F.col("c_name"), F.lit("\n")))
+    )
+    return c.select(F.concat(F.lit("c_"), k, F.lit(".sql")).alias("file"), body.alias("text"))
+
+
+def _sql_units_sql() -> str:
+    k = "CAST(c_custkey AS VARCHAR)"
+    types = "".join(f"WHEN starts_with(upper({S.strip_edges('first_line')}), {S.q(t)}) THEN {S.q(t.lower().replace(' ', '_'))} " for t in cu.SQL_TYPES)
+    return f"""WITH files AS (
+  SELECT 'c_' || {k} || '.sql' AS file, CASE c_mktsegment
+    WHEN 'BUILDING' THEN '-- customer ' || c_name || chr(10) || 'CREATE TABLE c_' || {k} || ' (k BIGINT);' || chr(10) || 'INSERT INTO c_' || {k} || chr(10) || 'SELECT ' || CAST(c_acctbal AS VARCHAR) || ';' || chr(10)
+    WHEN 'AUTOMOBILE' THEN 'create or replace view v_' || {k} || ' as' || chr(10) || '  select 1;' || chr(10) || chr(10) || 'comment on view v_' || {k} || ' is ''x'';' || chr(10)
+    WHEN 'MACHINERY' THEN 'CREATE  TABLE d_' || {k} || ' (x INT);' || chr(10) || 'UPDATE d_' || {k} || ' SET x = 1;' || chr(10) || 'DELETE FROM d_' || {k} || ';' || chr(10)
+    WHEN 'FURNITURE' THEN 'WITH a AS (SELECT 1)' || chr(10) || 'SELECT * FROM a;' || chr(10) || 'GRANT SELECT ON a TO r_' || {k} || ';' || chr(10)
+    ELSE '-- nothing to run for ' || c_name || chr(10) END AS text
+  FROM customer
+),
+l AS (SELECT file, text, string_split(text, chr(10)) AS ls FROM files),
+b AS (SELECT file, text, ls, list_filter(list_transform(ls, lambda x, i: CASE WHEN regexp_matches(x, {S.q(cu.SQL_STATEMENT)}) THEN i - 1 ELSE -1 END), lambda x: x >= 0) AS bs FROM l),
+z AS (SELECT file, ls, unnest(bs) AS s, unnest(list_concat(bs[2:], [len(ls)])) AS e, unnest(range(len(bs))) AS idx FROM b WHERE len(bs) > 0),
+u AS (SELECT file, CAST(idx AS INTEGER) AS statement_index, ls[s + 1] AS first_line,
+             {S.rx('array_to_string(ls[s + 1 : e], chr(10))', cu.PY_STRIP, "''")} AS text FROM z)
+SELECT file, statement_index, CASE {types}ELSE 'unknown' END AS statement_type, text FROM u WHERE text <> ''
+UNION ALL SELECT file, 0, 'unknown', text FROM b WHERE len(bs) = 0"""
+
+
+register("sql_units", _sql_units_sql())(lambda spark, sf: cu.sql_units(_sql_files(spark, sf)))
+
+register(
+    "unit_urls",
+    f"""WITH q AS ({_sql_units_sql()})
+SELECT file, statement_index, 'file://' || file || '#' || statement_type || '_' || CAST(statement_index AS VARCHAR) AS url FROM q""",
+)(lambda spark, sf: cu.unit_urls(cu.sql_units(_sql_files(spark, sf)), "file", "sql").select("file", "statement_index", "url"))
+
+
+def _py_files(spark, sf) -> DataFrame:
+    """One Python module per part: aliased imports, a decorated class with a
+    docstring and a method, an async function, module code between them."""
+    p = T(spark, sf, "part")
+    k = F.col("p_partkey").cast("string")
+    text = F.concat(
+        F.lit("import os\nfrom typing import List as L, Dict\nfrom collections import (\n    OrderedDict,\n    defaultdict,\n)\n\n"),
+        F.lit("SIZE = "), F.col("p_size").cast("string"), F.lit("\n\n@register\nclass Part"), k, F.lit(":\n    \"\"\""),
+        F.col("p_name"), F.lit("\"\"\"\n\n    def price(self) -> Dict:\n        # list price\n        return "),
+        F.col("p_retailprice").cast("string"), F.lit("\n\n\n# helpers\nasync def fetch_"), k,
+        F.lit("(x):\n    return L[x]\n\n\nBRAND = '"), F.col("p_brand"), F.lit("'\nif SIZE > 25:\n    BRAND = BRAND.lower()\n\n\ndef size_"), k,
+        F.lit("(\n    a,\n    b,\n):\n    return os.path.join(a, b)\n"),
+    )
+    return p.select(F.concat(F.lit("part_"), k, F.lit(".py")).alias("file"), text.alias("text"))
+
+
+# Python units are checked against the standard-library AST on the same
+# generated modules (tests/test_code_units.py), not against SQL.
+register("python_units")(
+    lambda spark, sf: cu.unit_urls(cu.python_units(_py_files(spark, sf))).select("file", "type", "name", "line_start", "line_end", "text", "url")
+)
