@@ -1167,3 +1167,64 @@ def _py_files(spark, sf) -> DataFrame:
 register("python_units")(
     lambda spark, sf: cu.unit_urls(cu.python_units(_py_files(spark, sf))).select("file", "type", "name", "line_start", "line_end", "text", "url")
 )
+
+
+# ---------------------------------------------------------------- I: streaming
+from corpusflow.streaming import streams as st  # noqa: E402
+
+
+def q_stream_ingest(spark, sf):
+    docs = st.file_stream(spark, sf, "documents.parquet", T(spark, sf, "documents").schema)
+    base, ck = st.run_dir(spark, "index"), st.run_dir(spark, "ingest-ckpt")
+    st.stream_ingest(docs.select("doc_id", "text"), base, ck).awaitTermination()
+    idx = st.read_index(spark, base)
+    return idx.select("doc_id", "chunk_index", "token_estimate", F.size("embedding").alias("dimension"))
+
+
+register(
+    "stream_ingest",
+    f"""WITH {S.chunks_cte()},
+{S.hashed_cte('cv', 'chunks', 'doc_id, chunk_index', 'content', 64)},
+has AS (SELECT DISTINCT doc_id, chunk_index FROM cv)
+SELECT doc_id, chunk_index, token_estimate, 64 AS dimension FROM chunks JOIN has USING (doc_id, chunk_index)""",
+)(q_stream_ingest)
+
+
+def _event_urls(df: DataFrame) -> DataFrame:
+    url = F.concat(
+        F.lit("https://shop.example.com/"), F.col("event_type"), F.lit("/"), F.get_json_object("props", "$.k"),
+        F.when(F.col("value") > 25, F.lit("/#top")).otherwise(F.lit("")),
+    )
+    return df.select("event_id", "ts", url.alias("url"))
+
+
+def q_stream_dedupe(spark, sf):
+    ev = st.file_stream(spark, sf, "events.parquet", T(spark, sf, "events").schema)
+    out = st.stream_dedupe_urls(_event_urls(ev), "url", "ts", "1 hour").select("nurl")
+    path, ck = st.run_dir(spark, "dedupe"), st.run_dir(spark, "dedupe-ckpt")
+    st.run_available_now(out, ck, "append", path=path)
+    return spark.read.parquet(path)
+
+
+register(
+    "stream_dedupe_urls",
+    f"""SELECT DISTINCT {S.normalize_url("'https://shop.example.com/' || event_type || '/' || json_extract_string(props, '$.k') || CASE WHEN value > 25 THEN '/#top' ELSE '' END")} AS nurl FROM events""",
+)(q_stream_dedupe)
+
+
+def q_stream_rate(spark, sf):
+    ev = st.file_stream(spark, sf, "events.parquet", T(spark, sf, "events").schema)
+    out = st.stream_rate(ev.select("ts"), rpm=1)
+    base, ck = st.run_dir(spark, "rate"), st.run_dir(spark, "rate-ckpt")
+    st.run_available_now(out, ck, "update", sink=st.updates_writer(base))
+    r = spark.read.parquet(base).groupBy("window").agg(F.max("calls").alias("calls"))
+    return r.select(
+        F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "calls", (F.col("calls") > 1).alias("over_budget")
+    )
+
+
+register(
+    "stream_rate",
+    """SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS calls, count(*) > 1 AS over_budget
+FROM events GROUP BY 1""",
+)(q_stream_rate)
