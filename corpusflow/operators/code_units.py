@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusflow.plans.strategy import materialize
+
 # The statement-start pattern and the statement types, in order.
 SQL_STATEMENT = (
     r"(?i)^\s*("
@@ -139,7 +141,7 @@ def python_units(files: DataFrame, file_col: str = "file", text_col: str = "text
     tagged = lines.join(spans, [file_col, "seg"], "left").withColumn(
         "covered", F.col("kind").isNotNull() & (F.col("ln") >= F.col("start")) & (F.col("ln") <= F.col("end"))
     )
-    tagged = tagged.checkpoint(eager=True)
+    tagged = materialize(tagged, "py-lines")
 
     def gather(df, keys):
         return df.groupBy(*keys).agg(

@@ -10,9 +10,9 @@ level order, so we run one Spark job per level for all crawl roots at once:
 
 The FIFO key of a URL is its parent's key with the link position appended:
 at one level all keys have the same length, and their lexicographic order is
-the queue order. Each level is checkpointed (reliable checkpoint to the
-shared ``spark.checkpoint.dir``), so lineage stays one level deep and a lost
-executor only recomputes one level. The driver sees counts only.
+the queue order. Each level is written as a parquet table in the shared
+``spark.checkpoint.dir`` and read back, so lineage stays one level deep and a
+lost executor only recomputes one level. The driver sees counts only.
 
 ``max_pages`` stops a root after that many successful fetches (failures are
 visited but not counted). Within the level that crosses the budget the cut is
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusflow.functions.urls import in_scope, normalize_url, skip_extension
-from corpusflow.plans.strategy import dense_position
+from corpusflow.plans.strategy import dense_position, materialize
 
 DEFAULT_MAX_PAGES = 50
 
@@ -58,11 +58,11 @@ def crawl_frontier(
     Output: root, url, depth, fifo_key, page_id (null when the fetch
     failed), ok, crawl_rank (1-based visit order per root).
     """
-    # Both tables are read at every level: materialise them once (reliable
-    # checkpoint) instead of re-running their regex work per level.
+    # Both tables are read at every level: materialise them once instead of
+    # re-running their regex work per level.
     fetch = pages.select(normalize_url("url").alias("url"), "page_id").groupBy("url").agg(F.min("page_id").alias("page_id"))
-    fetch = fetch.checkpoint(eager=True)
-    lk = links.select("page_id", F.col("pos").cast("long").alias("pos"), F.col("target")).checkpoint(eager=True)
+    fetch = materialize(fetch, "crawl-fetch")
+    lk = materialize(links.select("page_id", F.col("pos").cast("long").alias("pos"), F.col("target")), "crawl-links")
 
     seed_rows = seeds.select(F.col("root"), normalize_url("root").alias("url")).where(
         (F.col("url") != "") & in_scope(F.col("url"), F.col("root"), allow_subdomains)
@@ -88,7 +88,7 @@ def crawl_frontier(
         lv = lv.join(cut, "root", "left").where(F.col("_cut").isNull() | (F.col("fifo_key") <= F.col("_cut")))
         return lv.drop("_cut", "_done")
 
-    level = fetch_and_cut(level, None).checkpoint(eager=True)
+    level = materialize(fetch_and_cut(level, None), "crawl-level")
     visited = level
     depth = 0
     while True:
@@ -115,10 +115,10 @@ def crawl_frontier(
         cand = cand.groupBy("root", "url").agg(F.min("fifo_key").alias("fifo_key"))
         cand = cand.where(_pop_filter(F.col("url"), include, exclude))
         depth += 1
-        nxt = fetch_and_cut(cand.withColumn("depth", F.lit(depth)), done).checkpoint(eager=True)
+        nxt = materialize(fetch_and_cut(cand.withColumn("depth", F.lit(depth)), done), "crawl-level")
         if nxt.limit(1).count() == 0:
             break
-        # Every level is its own checkpoint: the union stays one scan deep.
+        # Every level is its own written table: the union stays one scan deep.
         visited = visited.unionByName(nxt)
         level = nxt
     ranked = dense_position(visited, ["root"], ["depth", "fifo_key"], "crawl_rank")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.html import html_text, html_to_markdown, page_title
 from corpusflow.functions.text import word_count
+from corpusflow.plans.strategy import spread
 
 # Content sections we look for, in order.
 CANDIDATE_SELECTORS = ["article", "main", "#main-content", ".content", ".post-body"]
@@ -67,7 +68,7 @@ def detect_selectors(pages: DataFrame, html_col: str = "html", candidates=CANDID
 
 def extract_text(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:
     """Visible text of every page."""
-    return pages.withColumn(out, html_text(html_col))
+    return spread(pages).withColumn(out, html_text(html_col))
 
 
 def page_titles(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -77,7 +78,7 @@ def page_titles(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
 def to_markdown(pages: DataFrame, html_col: str = "html", selector: str | None = None) -> DataFrame:
     """D4 (with D1, D2, D3): one Markdown row per page."""
-    p = detect_selectors(pages, html_col)
+    p = detect_selectors(spread(pages), html_col)
     p = p.withColumn("title", page_title(html_col))
     p = select_section(p, selector, html_col)
     return p.withColumn("markdown", html_to_markdown(html_col))

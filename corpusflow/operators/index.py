@@ -19,6 +19,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from pyspark.sql.window import Window
 
 from corpusflow.functions.text import search_terms
+from corpusflow.plans.strategy import spread
 from corpusflow.sources.catalog import embedding_models
 
 
@@ -39,7 +40,7 @@ def hashed_weights(df: DataFrame, id_cols, text_col: str, dim: int) -> DataFrame
     """Sparse form of E1: (ids, bucket, weight) with weights L2-normalised per row.
     Rows without any search term give nothing."""
     ids = _ids(id_cols)
-    t = df.select(*ids, F.explode(search_terms(text_col)).alias("_tok"))
+    t = spread(df.select(*ids, text_col), *ids).select(*ids, F.explode(search_terms(text_col)).alias("_tok"))
     raw = t.groupBy(*ids, hash_bucket(F.col("_tok"), dim).alias("bucket")).agg(
         F.sum(hash_sign(F.col("_tok"))).alias("_w")
     )

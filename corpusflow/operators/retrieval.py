@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusflow.functions.text import is_blank, search_terms
-from corpusflow.plans.strategy import MAX_BROADCAST_ROWS, bounded_broadcast, spread
+from corpusflow.plans.strategy import MAX_BROADCAST_ROWS, bounded_broadcast, materialize, spread
 
 # Fixed values.
 BM25_K1, BM25_B = 1.2, 0.75
@@ -74,28 +74,44 @@ def bm25_scores(
     doc_text: str = "content",
     k1: float = BM25_K1,
     b: float = BM25_B,
+    max_terms: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Every (query, doc) pair that shares at least one term, with its score."""
+    """Every (query, doc) pair that shares at least one term, with its score.
+
+    One tokenising pass: each document keeps its length and only the terms
+    that some query asks for (a size-checked set, tested with a hash-set
+    ``isin``). That compact table is written once to the shared checkpoint
+    folder, and both the corpus
+    statistics (N, average length) and the postings come from it. Beyond
+    ``max_terms`` distinct query terms, the terms are matched by a shuffle
+    join instead and the documents are tokenised twice.
+    """
     keys = _ids(doc_keys)
     qt = query_terms(queries, query_id, query_text)
-    qt_b, small = bounded_broadcast(qt)
     term_set = qt.select("term").distinct()
-    term_set_b = F.broadcast(term_set) if small else term_set
-
+    n_terms = term_set.count()
     d = spread(docs.select(*keys, doc_text), *keys).select(*keys, search_terms(doc_text).alias("_t"))
-    d = d.select(*keys, F.size("_t").alias("dl"), "_t")
-    # Corpus statistics: two scalars, computed by a distributed aggregate.
-    st = d.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    if n_terms <= max_terms:
+        wanted = [r["term"] for r in term_set.collect()]  # bounded by the check above
+        compact = d.select(*keys, F.size("_t").alias("dl"), F.filter("_t", lambda t: t.isin(wanted)).alias("_t"))
+        compact = materialize(compact, "bm25-terms")
+        st = compact.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+        tok = compact.select(*keys, "dl", F.explode("_t").alias("term"))
+        qt_side, terms_side = F.broadcast(qt), True
+    else:
+        d = d.select(*keys, F.size("_t").alias("dl"), "_t")
+        st = d.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+        tok = d.select(*keys, "dl", F.explode("_t").alias("term")).join(term_set, "term", "left_semi")
+        qt_side, terms_side = qt, False
     n_docs, avgdl = int(st["n"]), float(st["avgdl"] or 0.0)
 
-    tok = d.select(*keys, "dl", F.explode("_t").alias("term")).join(term_set_b, "term", "left_semi")
     post = tok.groupBy(*keys, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    dfreq = F.broadcast(dfreq) if small else dfreq
+    dfreq = F.broadcast(dfreq) if terms_side else dfreq
     idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
     contrib = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    scored = post.join(dfreq, "term").join(qt_b, "term").select(query_id, *keys, contrib.alias("_c"))
+    scored = post.join(dfreq, "term").join(qt_side, "term").select(query_id, *keys, contrib.alias("_c"))
     return scored.groupBy(query_id, *keys).agg(F.round(F.sum("_c"), SCORE_DECIMALS).alias("score"))
 
 

@@ -244,9 +244,19 @@ FROM j GROUP BY query_id, doc_id, parent_index"""
 register("expand_parents", _EXPAND_SQL)(q_expand_parents)
 
 
+def _with_hit_text(spark, sf, hits: DataFrame, size=512, overlap=50) -> DataFrame:
+    """Attach chunk text to top-k hits by re-chunking only the documents that
+    were hit (a size-checked broadcast semi-join), not the whole corpus."""
+    from corpusflow.plans.strategy import bounded_broadcast
+
+    hit_docs, _ = bounded_broadcast(hits.select("doc_id").distinct())
+    docs = T(spark, sf, "documents").join(hit_docs, "doc_id", "left_semi")
+    return hits.join(ch.chunk_text(docs, "doc_id", "text", size, overlap), ["doc_id", "chunk_index"])
+
+
 def q_assemble_context(spark, sf):
     chunks = _chunks(spark, sf)
-    hits = rt.bm25_topk(_bench_queries(spark, sf), chunks, k=5).join(chunks, ["doc_id", "chunk_index"])
+    hits = _with_hit_text(spark, sf, rt.bm25_topk(_bench_queries(spark, sf), chunks, k=5))
     return rt.assemble_context(hits, _bench_queries(spark, sf), text_col="content", max_chars=6000)
 
 
@@ -281,7 +291,7 @@ FROM h WHERE role = 'user'""",
 def q_present_hits(spark, sf):
     chunks = _chunks(spark, sf)
     docs = T(spark, sf, "documents").select("doc_id", "source")
-    hits = rt.bm25_topk(_bench_queries(spark, sf), chunks, k=5).join(chunks, ["doc_id", "chunk_index"]).join(docs, "doc_id")
+    hits = _with_hit_text(spark, sf, rt.bm25_topk(_bench_queries(spark, sf), chunks, k=5)).join(docs, "doc_id")
     return rt.present_hits(hits).select("query_id", "rank", "doc_id", "chunk_index", "shown_score", "preview", "source_label")
 
 

@@ -52,12 +52,12 @@ def dense_position(df: DataFrame, part: list[str], order: list[str], name: str =
     over many tasks; ``monotonically_increasing_id`` then carries (task,
     index-in-task); a tiny per-task count table turns that into a global
     index, and each group's first index (a partial aggregate) into a position.
-    The sorted frame is checkpointed to the shared checkpoint folder so both
-    uses see the same partitioning, and so a lost executor cannot re-deal it.
+    The numbered frame is written to the shared checkpoint folder so both
+    uses see the same numbering, and so a lost executor cannot re-deal it.
     """
     keys = [*part, *order]
     s = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    s = s.withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    s = materialize(s.withColumn("_mid", F.monotonically_increasing_id()), "positions")
     s = s.withColumn("_task", F.shiftright("_mid", 33)).withColumn(
         "_idx", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     )
@@ -85,7 +85,7 @@ def running_sum(df: DataFrame, part: list[str], order: list[str], value: str, na
     per-(task, group) totals gives every slice its starting offset."""
     keys = [*part, *order]
     s = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_task", F.spark_partition_id())
-    s = s.checkpoint(eager=True)
+    s = materialize(s, "running")
     local = Window.partitionBy("_task", *part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     s = s.withColumn("_local", F.sum(value).over(local))
     tot = s.groupBy("_task", *part).agg(F.sum(value).alias("_tot"))
@@ -95,3 +95,21 @@ def running_sum(df: DataFrame, part: list[str], order: list[str], value: str, na
     out = s.join(off, ["_task", *part], "left")
     zero = F.lit(0).cast(df.schema[value].dataType)
     return out.withColumn(name, F.coalesce(F.col("_off"), zero) + F.col("_local")).drop("_task", "_local", "_off")
+
+
+def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+    """Cut lineage by writing ``df`` as a parquet table in the shared
+    checkpoint folder (``spark.checkpoint.dir``) and reading it back.
+
+    Unlike ``checkpoint()`` the plan runs once (no separate count job) and the
+    rows are stored columnar. The folder is shared, so a lost executor costs
+    nothing already written; nothing goes to a machine-local folder.
+    """
+    import uuid
+
+    from corpusflow.session import shared_path
+
+    spark = df.sparkSession
+    path = shared_path(spark, f"tables/{name}-{uuid.uuid4().hex[:16]}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
