@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusflow.functions.text import is_blank, search_terms
-from corpusflow.plans.strategy import MAX_BROADCAST_ROWS, bounded_broadcast, materialize, spread
+from corpusflow.plans.strategy import MAX_BROADCAST_ROWS, bounded_broadcast, dense_position, materialize, spread
 
 # Fixed values.
 BM25_K1, BM25_B = 1.2, 0.75
@@ -400,18 +400,28 @@ def history_window(conversations: DataFrame, exchanges: int = 3, conv: str = "co
     """F8: for every user turn, the last ``exchanges`` exchanges (2 messages
     each, system messages left out) before it, as ``role: text`` lines.
 
-    The frame is bounded (2 * exchanges rows), so a long conversation never
-    gathers more than that per row.
+    Skew-safe: messages get their position in the conversation from
+    ``dense_position`` (no conversation is gathered in one task); each
+    message is offered to the next 2 x exchanges positions, and user turns
+    pick them up with an equi-join on (conversation, position), a key no
+    larger than 2 x exchanges rows.
     """
-    msgs = conversations.where(F.col("role") != "system")
-    w = Window.partitionBy(conv).orderBy(turn).rowsBetween(-2 * exchanges, -1)
-    line = F.concat(F.col("role"), F.lit(": "), F.col("text"))
-    h = msgs.withColumn("_h", F.collect_list(line).over(w))
-    return h.where(F.col("role") == "user").select(
-        conv,
-        turn,
-        F.col("text").alias("query"),
-        F.array_join("_h", "\n").alias("history"),
+    n = 2 * exchanges
+    msgs = conversations.where(F.col("role") != "system").select(conv, turn, "role", "text")
+    pos = dense_position(msgs, [conv], [turn], "_p")
+    back = pos.select(
+        F.col(conv).alias("_c"), F.col("_p").alias("_src"),
+        F.concat(F.col("role"), F.lit(": "), F.col("text")).alias("_line"),
+        F.explode(F.sequence(F.lit(1), F.lit(n))).alias("_j"),
+    ).select("_c", (F.col("_src") + F.col("_j")).alias("_target"), "_j", "_line")
+    users = pos.where(F.col("role") == "user").select(conv, turn, F.col("text").alias("query"), "_p")
+    j = users.join(back, (F.col(conv) == F.col("_c")) & (F.col("_p") == F.col("_target")), "left")
+    g = j.groupBy(conv, turn, "query").agg(
+        F.sort_array(F.collect_list(F.when(F.col("_j").isNotNull(), F.struct((-F.col("_j")).alias("o"), F.col("_line").alias("l"))))).alias("_h")
+    )
+    return g.select(
+        conv, turn, "query",
+        F.array_join(F.col("_h.l"), "\n").alias("history"),
         F.size("_h").cast("long").alias("history_messages"),
     )
 

@@ -61,36 +61,33 @@ def json_records(files: DataFrame, file_col: str = "file", text_col: str = "text
     src_url = F.concat(F.lit("file://"), F.element_at(F.split(F.col(file_col), "/"), -1))
     f = files.select(file_col, text_col, src_url.alias("_src"), F.try_parse_json(text_col).alias("_v"))
     f = f.withColumn("_t", F.when(F.col("_v").isNotNull(), _vtype(F.col("_v"))))
-    arr = f.where(F.col("_t") == "ARRAY").select(
-        file_col, text_col, "_src",
-        F.posexplode(F.arrays_zip(
-            F.try_variant_get("_v", "$", "array<variant>").alias("v"),
-            F.from_json(F.col(text_col), "array<string>").alias("j"),
-        )).alias("item_index", "_it"),
-    )
-    it = F.col("_it.v")
-    ityp = _vtype(it)
-    rec_text = (
-        F.when(ityp == "OBJECT", F.coalesce(_first_text(it, text_keys), F.col("_it.j")))
-        .when((ityp == "STRING") & (_strip(F.try_variant_get(it, "$", "string")) != ""), F.try_variant_get(it, "$", "string"))
-    )
-    rec_url = F.when(ityp == "OBJECT", _item_url(it, F.col("_src"))).otherwise(F.col("_src"))
-    items = arr.select(file_col, "item_index", rec_text.alias("text"), rec_url.alias("url")).where(F.col("text").isNotNull())
-    items = items.select(file_col, F.col("item_index").cast("int"), "text", "url")
-    kept = items.select(file_col).distinct()
-    empty_arrays = f.where(F.col("_t") == "ARRAY").join(kept, file_col, "left_anti").select(
-        file_col, F.lit(0).alias("item_index"), F.col(text_col).alias("text"), F.col("_src").alias("url")
+    items = F.arrays_zip(
+        F.try_variant_get("_v", "$", "array<variant>").alias("v"),
+        F.from_json(F.col(text_col), "array<string>").alias("j"),
     )
+
+    def record(it, i):
+        v = it["v"]
+        t = _vtype(v)
+        s = F.try_variant_get(v, "$", "string")
+        text = F.when(t == "OBJECT", F.coalesce(_first_text(v, text_keys), it["j"])).when((t == "STRING") & (_strip(s) != ""), s)
+        url = F.when(t == "OBJECT", _item_url(v, F.col("_src"))).otherwise(F.col("_src"))
+        return F.struct(i.cast("int").alias("item_index"), text.alias("text"), url.alias("url"))
+
+    def one(text, url):
+        return F.array(F.struct(F.lit(0).alias("item_index"), text.alias("text"), url.alias("url")))
+
+    kept = F.filter(F.transform(items, record), lambda r: r["text"].isNotNull())
+    raw = one(F.col(text_col), F.col("_src"))
     obj_text = _first_text(F.col("_v"), text_keys)
-    others = f.where(F.col("_t").isNull() | (F.col("_t") != "ARRAY")).select(
-        file_col,
-        F.lit(0).alias("item_index"),
-        F.when(F.col("_t") == "OBJECT", F.coalesce(obj_text, F.col(text_col)))
-        .when(F.col("_t") == "STRING", F.try_variant_get("_v", "$", "string"))
-        .otherwise(F.col(text_col)).alias("text"),
-        F.when((F.col("_t") == "OBJECT") & obj_text.isNotNull(), _item_url(F.col("_v"), F.col("_src"))).otherwise(F.col("_src")).alias("url"),
+    recs = (
+        F.when(F.col("_t") == "ARRAY", F.when(F.size(kept) > 0, kept).otherwise(raw))
+        .when((F.col("_t") == "OBJECT") & obj_text.isNotNull(), one(obj_text, _item_url(F.col("_v"), F.col("_src"))))
+        .when(F.col("_t") == "STRING", one(F.try_variant_get("_v", "$", "string"), F.col("_src")))
+        .otherwise(raw)
     )
-    return items.unionByName(empty_arrays).unionByName(others)
+    # Row-local: one file in, its records out; no join, no shuffle.
+    return f.select(file_col, F.inline(recs))
 
 
 def row_text(rows: DataFrame, group: str, order: str, cols: Sequence[str]) -> DataFrame:
