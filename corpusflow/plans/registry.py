@@ -1020,17 +1020,19 @@ def _notebooks(spark, sf) -> DataFrame:
         F.expr("substr(to_json(array(text)), 2, length(to_json(array(text))) - 2)")
     )
     cell = F.concat(F.lit('{"cell_type": "'), kind, F.lit('", "source": '), src, F.lit("}"))
-    g = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", cell.alias("j")))).alias("_c"))
-    return g.select(F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit(".ipynb")).alias("file"),
+    # A notebook holds at most 1,000 turns, so no file (group) is unbounded.
+    g = c.groupBy("conv_id", F.floor(F.col("turn") / 1000).alias("part")).agg(
+        F.sort_array(F.collect_list(F.struct("turn", cell.alias("j")))).alias("_c"))
+    return g.select(F.concat(F.lit("conv_"), F.col("conv_id").cast("string"), F.lit("_"), F.col("part").cast("string"), F.lit(".ipynb")).alias("file"),
                     F.concat(F.lit('{"cells": ['), F.array_join(F.col("_c.j"), ", "), F.lit("]}")).alias("text"))
 
 
 register(
     "notebook_text",
-    f"""SELECT 'conv_' || CAST(conv_id AS VARCHAR) || '.ipynb' AS file,
+    f"""SELECT 'conv_' || CAST(conv_id AS VARCHAR) || '_' || CAST(CAST(floor(turn / 1000) AS BIGINT) AS VARCHAR) || '.ipynb' AS file,
        coalesce(string_agg(CASE WHEN role = 'user' THEN text ELSE '```python' || chr(10) || text || chr(10) || '```' END,
                            chr(10) || chr(10) ORDER BY turn) FILTER (WHERE role IN ('user', 'assistant') AND {S.strip_edges('text')} <> ''), '') AS text
-FROM conversations GROUP BY conv_id""",
+FROM conversations GROUP BY conv_id, floor(turn / 1000)""",
 )(lambda spark, sf: fm.notebook_text(_notebooks(spark, sf)))
 
 

@@ -69,10 +69,14 @@ def dense_position(df: DataFrame, part: list[str], order: list[str], name: str =
     g = s.join(F.broadcast(offsets), "_task").withColumn("_g", F.col("_off") + F.col("_idx"))
     if not part:
         return g.withColumn(name, F.col("_g") + 1).drop("_mid", "_task", "_idx", "_off", "_g")
-    first = g.groupBy(*part).agg(F.min("_g").alias("_first"))
+    # First global index of each group, via the small (task, group) table: a
+    # group that spans many tasks has one row per task there, and the join
+    # back is on (task, group), so no key holds more than one task's rows.
+    per_task = g.groupBy("_task", *part).agg(F.min("_g").alias("_tmin"))
+    first = per_task.withColumn("_first", F.min("_tmin").over(Window.partitionBy(*part))).select("_task", *part, "_first")
     first, _ = bounded_broadcast(first)
     return (
-        g.join(first, part)
+        g.join(first, ["_task", *part])
         .withColumn(name, F.col("_g") - F.col("_first") + 1)
         .drop("_mid", "_task", "_idx", "_off", "_g", "_first")
     )
