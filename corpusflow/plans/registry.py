@@ -1240,3 +1240,19 @@ register(
     """SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS calls, count(*) > 1 AS over_budget
 FROM events GROUP BY 1""",
 )(q_stream_rate)
+
+
+def q_write_chunks(spark, sf):
+    """Export chunks (url, content, token_estimate) to a fresh folder in
+    the shared checkpoint area (never over an earlier run) and read it back."""
+    chunks = _chunks(spark, sf).join(T(spark, sf, "documents").select("doc_id", F.col("source").alias("url")), "doc_id")
+    path = st.run_dir(spark, "export")
+    sfiles.write_chunks(chunks, path, "parquet")
+    return spark.read.parquet(path)
+
+
+register(
+    "write_chunks",
+    f"""WITH {S.chunks_cte()}
+SELECT d.source AS url, c.content, c.token_estimate FROM chunks c JOIN documents d USING (doc_id)""",
+)(q_write_chunks)
