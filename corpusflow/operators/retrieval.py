@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusflow.functions.text import is_blank, search_terms
@@ -115,6 +116,13 @@ def bm25_scores(
     return scored.groupBy(query_id, *keys).agg(F.round(F.sum("_c"), SCORE_DECIMALS).alias("score"))
 
 
+def _bm25_compact(docs: DataFrame, keys: list[str], doc_text: str, wanted: list[str]) -> DataFrame:
+    """One tokenising pass: each document's length and its query terms only."""
+    d = spread(docs.select(*keys, doc_text), *keys).select(*keys, search_terms(doc_text).alias("_t"))
+    compact = d.select(*keys, F.size("_t").alias("dl"), F.filter("_t", lambda t: t.isin(wanted)).alias("_t"))
+    return materialize(compact, "bm25-terms")
+
+
 def bm25_topk(
     queries: DataFrame,
     docs: DataFrame,
@@ -123,11 +131,89 @@ def bm25_topk(
     query_text: str = "text",
     doc_keys: str | Sequence[str] = ("doc_id", "chunk_index"),
     doc_text: str = "content",
+    k1: float = BM25_K1,
+    b: float = BM25_B,
+    max_cells: int = 20_000_000,
 ) -> DataFrame:
-    """k best documents per query by BM25."""
+    """k best documents per query by BM25.
+
+    Exact and pair-free: the (query x term) matrix is size-checked
+    (queries x distinct terms <= ``max_cells``) and broadcast; each task
+    scores its documents against every query with one numpy product over its
+    postings and keeps only the k best per query, so the shuffle carries
+    k x tasks rows per query instead of every (query, document) pair that
+    shares a common word. Beyond the bound, the join path of ``bm25_scores``
+    is used.
+    """
     keys = _ids(doc_keys)
-    s = bm25_scores(queries, docs, query_id, query_text, keys, doc_text)
-    return top_k(s, [query_id], "score", keys, k)
+    qt = query_terms(queries, query_id, query_text)
+    size = qt.agg(F.count(F.lit(1)).alias("p"), F.count_distinct("term").alias("t"), F.count_distinct(query_id).alias("q")).first()
+    n_pairs, n_terms, n_q = int(size["p"]), int(size["t"]), int(size["q"])
+    numeric = all(isinstance(docs.schema[c].dataType, (T.IntegerType, T.LongType, T.ShortType)) for c in keys)
+    if not numeric or n_pairs > MAX_BROADCAST_ROWS or n_terms * max(n_q, 1) > max_cells:
+        s = bm25_scores(queries, docs, query_id, query_text, keys, doc_text, k1, b)
+        return top_k(s, [query_id], "score", keys, k)
+
+    pairs = qt.collect()  # bounded by the checks above
+    terms = sorted({r["term"] for r in pairs})
+    t_index = {t: i for i, t in enumerate(terms)}
+    qids = sorted({r[query_id] for r in pairs})
+    q_index = {q: j for j, q in enumerate(qids)}
+    compact = _bm25_compact(docs, keys, doc_text, terms)
+    st = compact.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    n_docs, avgdl = int(st["n"]), float(st["avgdl"] or 0.0) or 1.0
+    dfreq = {r["term"]: r["df"] for r in compact.select(F.explode(F.array_distinct("_t")).alias("term"))
+             .groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}  # <= n_terms rows
+    idf = np.array([math.log(1.0 + (n_docs - dfreq.get(t, 0) + 0.5) / (dfreq.get(t, 0) + 0.5)) for t in terms])
+    qm = np.zeros((len(terms), len(qids)))
+    for r in pairs:
+        qm[t_index[r["term"]], q_index[r[query_id]]] = 1.0
+    bc = docs.sparkSession.sparkContext.broadcast((t_index, idf, qm, np.array(qids, dtype=np.int64)))
+    schema = T.StructType([T.StructField(query_id, T.LongType())] + [T.StructField(c, docs.schema[c].dataType) for c in keys]
+                          + [T.StructField("score", T.DoubleType())])
+
+    def scan(batches):
+        t_ix, idf_, q_m, q_ids = bc.value
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            lens = pdf["_t"].map(len).to_numpy()
+            if lens.sum() == 0:
+                continue
+            rows = np.repeat(np.arange(len(pdf)), lens)
+            tids = np.fromiter((t_ix[t] for ts in pdf["_t"] for t in ts), dtype=np.int64, count=int(lens.sum()))
+            # term frequency per (row, term): unique pairs, sorted by row
+            pair, tf = np.unique(rows * len(idf_) + tids, return_counts=True)
+            prow, pterm = pair // len(idf_), pair % len(idf_)
+            dl = pdf["dl"].to_numpy(dtype=np.float64)[prow]
+            norm = k1 * ((1.0 - b) + (b * dl) / avgdl)
+            w = idf_[pterm] * tf * (k1 + 1.0) / (tf + norm)
+            urows, starts = np.unique(prow, return_index=True)
+            key_arrays = [pdf[c].to_numpy()[urows] for c in keys]
+            step = max(1, int(4_000_000 // max(q_m.shape[1], 1)))
+            parts = []
+            for lo in range(0, len(urows), step):
+                hi = min(len(urows), lo + step)
+                a, z = starts[lo], (starts[hi] if hi < len(urows) else len(prow))
+                sc = np.add.reduceat(w[a:z, None] * q_m[pterm[a:z]], starts[lo:hi] - a, axis=0)
+                sc = np.round(sc, SCORE_DECIMALS)
+                ka = [x[lo:hi] for x in key_arrays]
+                for j in range(sc.shape[1]):
+                    col = sc[:, j]
+                    cand = np.nonzero(col > 0)[0]
+                    if cand.size == 0:
+                        continue
+                    if cand.size > k:
+                        kth = np.partition(col[cand], cand.size - k)[cand.size - k]
+                        cand = cand[col[cand] >= kth]
+                    order = np.lexsort(tuple(x[cand] for x in reversed(ka)) + (-col[cand],))[:k]
+                    sel = cand[order]
+                    parts.append(pd.DataFrame({query_id: q_ids[j], **{c: x[sel] for c, x in zip(keys, ka)}, "score": col[sel]}))
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
+
+    cand = compact.mapInPandas(scan, schema)
+    return top_k(cand, [query_id], "score", keys, k)
 
 
 def match_text(

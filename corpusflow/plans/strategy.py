@@ -3,9 +3,9 @@
 Two rules live here so that every operator applies them the same way:
 
 * ``spread``: CPU-heavy text work (tokenising, windowing, regex chains) on an
-  input that arrives in fewer partitions than the cluster has cores is
-  hash-partitioned on its key first. On a real corpus the scan already yields
-  far more partitions than cores and no shuffle is added.
+  input read from fewer files than the cluster has cores is hash-partitioned
+  on its key first. On a real corpus the scan already yields far more
+  partitions than cores and no shuffle is added.
 * ``bounded_broadcast``: a side is broadcast only after its row count has been
   measured against a bound. Beyond the bound the caller gets the plain frame
   and must take its shuffle path (AQE may still convert it at run time).
@@ -24,9 +24,16 @@ MAX_BROADCAST_ROWS = 50_000
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition ``df`` on ``keys`` only when its input comes from fewer
+    files than the cluster has cores (a small table of one or two row groups
+    would otherwise run its CPU-heavy text work in one task). A real corpus
+    arrives in thousands of files and is returned untouched, with no shuffle.
+
+    The decision uses ``inputFiles()``, a file listing that runs no job.
+    """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if len(df.inputFiles()) >= cores:
         return df
     if keys:
         return df.repartition(cores, *keys)

@@ -152,3 +152,12 @@ def test_inspect_and_suggest(spark):
     models = {(r.ns, r.model) for r in ix.suggest_models(ins).collect()}
     assert ("b", "embed-english-light-v3.0") in models and ("a", "voyage-3") in models
     assert not any(ns == "c" for ns, _ in models)
+
+
+def test_bm25_paths_agree(spark):
+    docs = ch.chunk_text(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), "doc_id", "text", 256, 20)
+    qs = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
+    fast = rt.bm25_topk(qs, docs, k=7).collect()
+    joined = rt.bm25_topk(qs, docs, k=7, max_cells=0).collect()
+    key = lambda rows: sorted((r.query_id, r.rank, r.doc_id, r.chunk_index, r.score) for r in rows)
+    assert key(fast) == key(joined)
