@@ -50,13 +50,15 @@ def crawl_frontier(
     exclude: str | None = None,
     allow_subdomains: bool = False,
     max_levels: int | None = None,
+    with_rank: bool = True,
 ) -> DataFrame:
     """Visits of a FIFO breadth-first crawl per root.
 
     seeds: (root) seed URLs; pages: (url, page_id) the fetchable pages;
     links: (page_id, pos, target) with resolved, normalised targets.
     Output: root, url, depth, fifo_key, page_id (null when the fetch
-    failed), ok, crawl_rank (1-based visit order per root).
+    failed), ok, crawl_rank (1-based visit order per root; left out when
+    ``with_rank`` is false, which saves a distributed sort).
     """
     # Both tables are read at every level: materialise them once instead of
     # re-running their regex work per level.
@@ -91,12 +93,8 @@ def crawl_frontier(
     level = materialize(fetch_and_cut(level, None), "crawl-level")
     visited = level
     depth = 0
-    while True:
-        if max_levels is not None and depth >= max_levels:
-            break
-        n_ok = level.where("ok").limit(1).count()
-        if n_ok == 0:
-            break
+    has_ok = level.where("ok").limit(1).count() > 0
+    while has_ok and (max_levels is None or depth < max_levels):
         done = None
         if max_pages is not None:
             done = visited.groupBy("root").agg(F.count_if(F.col("ok")).alias("_done"))
@@ -116,11 +114,15 @@ def crawl_frontier(
         cand = cand.where(_pop_filter(F.col("url"), include, exclude))
         depth += 1
         nxt = materialize(fetch_and_cut(cand.withColumn("depth", F.lit(depth)), done), "crawl-level")
-        if nxt.limit(1).count() == 0:
+        size = nxt.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ok")).alias("k")).first()
+        if size["n"] == 0:
             break
         # Every level is its own written table: the union stays one scan deep.
         visited = visited.unionByName(nxt)
         level = nxt
+        has_ok = size["k"] > 0
+    if not with_rank:
+        return visited.select("root", "url", "depth", "fifo_key", "page_id", "ok")
     ranked = dense_position(visited, ["root"], ["depth", "fifo_key"], "crawl_rank")
     return ranked.select("root", "url", "depth", "fifo_key", "page_id", "ok", "crawl_rank")
 

@@ -137,10 +137,6 @@ def page_keys(pages: DataFrame, url_col: str = "url", id_col: str = "page_id") -
     return pages.select(normalize_url(url_col).alias("nurl"), id_col).groupBy("nurl").agg(F.min(id_col).alias(id_col))
 
 
-def host_of(col: str) -> Column:
-    return url_host(col)
-
-
 SITEMAP_FILE_URLS = 50_000  # sitemap protocol limit per file
 
 

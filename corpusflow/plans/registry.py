@@ -12,6 +12,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.functions.text import word_count
 from corpusflow.operators import chunking as ch
 from corpusflow.operators import index as ix
 from corpusflow.operators import retrieval as rt
@@ -376,8 +377,8 @@ register(
 FROM (SELECT page_id, {S.markdown(_section_sql('article'))} AS md FROM pages)""",
 )(
     lambda spark, sf: oh.thin_content(oh.to_markdown(_pages(spark, sf, "page_id", "html"), selector="article")).select(
-        "page_id", F.col("markdown").alias("md"), "content_warning"
-    ).select("page_id", __import__("corpusflow.functions.text", fromlist=["x"]).word_count("md").alias("n_words"), "content_warning")
+        "page_id", word_count("markdown").alias("n_words"), "content_warning"
+    )
 )
 
 
@@ -567,7 +568,7 @@ visits AS (SELECT b.root, b.url, b.depth, f.page_id, f.page_id IS NOT NULL AS ok
 
 def q_crawl(spark, sf):
     seeds, pages, links = _crawl_inputs(spark, sf)
-    return oc.crawl_frontier(seeds, pages, links, max_pages=None).select("root", "url", "depth", "page_id", "ok")
+    return oc.crawl_frontier(seeds, pages, links, max_pages=None, with_rank=False).select("root", "url", "depth", "page_id", "ok")
 
 
 register("crawl_frontier", f"WITH RECURSIVE {_crawl_sql_ctes()} SELECT root, url, depth, page_id, ok FROM visits")(q_crawl)
@@ -592,7 +593,7 @@ def _page_chunks(spark, sf) -> DataFrame:
 
 def q_crawl_report(spark, sf):
     seeds, pages, links = _crawl_inputs(spark, sf)
-    visits = oc.crawl_frontier(seeds, pages, links, max_pages=None)
+    visits = oc.crawl_frontier(seeds, pages, links, max_pages=None, with_rank=False)
     return oc.crawl_report(visits, _page_chunks(spark, sf))
 
 
