@@ -3,9 +3,9 @@
 SQL (C7) is row-local: a file's lines, its boundary positions and its blocks
 are arrays of the file's own row, so splitting needs no shuffle at all.
 
-Python (C8-C10) is a line-table job: one row per line, flags per line, and
-per-file windows (a file was one row to begin with, so a window group is
-bounded by one file). Units are found from column-0 lines instead of an AST:
+Python (C8-C10) is row-local too: line flags, segments, covered ranges and
+global runs are arrays of the file's row. Units are found from column-0
+lines instead of an AST:
 a column-0 ``class`` / ``def`` / ``async def`` opens a unit that ends at its
 last code line before the next column-0 line that is not blank, a comment or
 a lone closing bracket. This differs from an AST only inside multi-line
@@ -19,9 +19,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from corpusflow.plans.strategy import materialize
 
 # The statement-start pattern and the statement types, in order.
 SQL_STATEMENT = (
@@ -91,37 +88,10 @@ def sql_units(files: DataFrame, file_col: str = "file", text_col: str = "text")
     return blocks.unionByName(whole)
 
 
-def _lines(files: DataFrame, file_col: str, text_col: str) -> DataFrame:
-    ln = files.select(file_col, F.posexplode(F.split(F.col(text_col), "\n")).alias("_i", "line"))
-    ln = ln.select(file_col, (F.col("_i") + 1).alias("ln"), "line")
-    sig = (
-        F.col("line").rlike(r"^[^ \t#\r\f\x0B]")
-        & ~F.col("line").rlike(PY_LONE_BRACKET)
-    )
-    code = (_strip("line") != "") & ~_strip("line").startswith("#")
-    w = Window.partitionBy(file_col).orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
-    return ln.withColumn("sig", sig).withColumn("code", code).withColumn("seg", F.sum(F.col("sig").cast("int")).over(w))
-
-
-def _segments(lines: DataFrame, file_col: str) -> DataFrame:
-    """Per column-0 segment: its first line, kind and last code line."""
-    first = lines.where("sig").select(file_col, "seg", F.col("ln").alias("start"), F.col("line").alias("head"))
-    last = lines.where("code").groupBy(file_col, "seg").agg(F.max("ln").alias("end"))
-    s = first.join(last, [file_col, "seg"], "left").withColumn("end", F.coalesce("end", "start"))
-    kind = (
-        F.when(F.col("head").rlike(r"^class[ \t]"), F.lit("class"))
-        .when(F.col("head").rlike(r"^async[ \t]+def[ \t]"), F.lit("async_function"))
-        .when(F.col("head").rlike(r"^def[ \t]"), F.lit("function"))
-        .when(F.col("head").rlike(PY_IMPORT), F.lit("import"))
-    )
-    return s.withColumn("kind", kind).withColumn("name", F.regexp_extract("head", PY_OPENER, 2))
-
-
 def _import_names(stmt) -> F.Column:
     """Names an import statement binds (brackets and line breaks removed, so
     ``from x import (a, b)`` binds a and b)."""
-    flat = F.regexp_replace(F.regexp_replace(stmt, r"[()\\]", " "), r"[ \t\r\n]+", " ")
-    flat = _strip(flat)
+    flat = _strip(F.regexp_replace(F.regexp_replace(stmt, r"[()\\]", " "), r"[ \t\r\n]+", " "))
     after = F.when(flat.startswith("from "), F.element_at(F.split(flat, " import ", 2), 2)).otherwise(
         F.substring(flat, 8, 1 << 30)
     )
@@ -134,47 +104,72 @@ def python_units(files: DataFrame, file_col: str = "file", text_col: str = "text
     """Class / function / async_function units with the imports they
     use prepended, global_scope blocks for the other lines, or one 'module'
     unit when a file has neither. Output: file, type, name, line_start,
-    line_end, text, ordered by line_start within a file."""
-    lines = _lines(files, file_col, text_col)
-    seg = _segments(lines, file_col)
-    spans = seg.where(F.col("kind").isNotNull()).select(file_col, "seg", "kind", "name", "start", "end")
-    tagged = lines.join(spans, [file_col, "seg"], "left").withColumn(
-        "covered", F.col("kind").isNotNull() & (F.col("ln") >= F.col("start")) & (F.col("ln") <= F.col("end"))
+    line_end, text.
+
+    Row-local, like ``sql_units``: segments start at column-0 code lines; a
+    segment headed by ``class`` / ``def`` / ``async def`` / an import covers
+    its lines up to its last code line; uncovered lines form the global
+    blocks. All of it is array expressions over the file's own row.
+    """
+    lines = F.split(F.regexp_replace(F.col(text_col), "\n$", ""), "\n")
+    f = files.select(file_col, text_col, lines.alias("_l"))
+    n = F.size("_l")
+    f = f.withColumn(
+        "_sig",
+        F.filter(F.sequence(F.lit(1), n), lambda i: F.element_at("_l", i).rlike(r"^[^ \t#\r\f\x0B]")
+                 & ~F.element_at("_l", i).rlike(PY_LONE_BRACKET)),
     )
-    tagged = materialize(tagged, "py-lines")
-
-    def gather(df, keys):
-        return df.groupBy(*keys).agg(
-            F.array_join(F.sort_array(F.collect_list(F.struct("ln", "line"))).getField("line"), "\n").alias("src"),
-            F.min("ln").alias("line_start"),
-            F.max("ln").alias("line_end"),
+    f = f.withColumn("_code", F.transform("_l", lambda l: (_strip(l) != "") & ~_strip(l).startswith("#")))
+
+    def seg(s, k):
+        seg_end = F.when(k + 1 < F.size("_sig"), F.element_at("_sig", k + 2) - 1).otherwise(n)
+        last = F.array_max(F.filter(F.sequence(s, seg_end), lambda i: F.element_at("_code", i)))
+        head = F.element_at("_l", s)
+        kind = (
+            F.when(head.rlike(r"^class[ \t]"), F.lit("class"))
+            .when(head.rlike(r"^async[ \t]+def[ \t]"), F.lit("async_function"))
+            .when(head.rlike(r"^def[ \t]"), F.lit("function"))
+            .when(head.rlike(PY_IMPORT), F.lit("import"))
         )
+        return F.struct(s.alias("s"), F.coalesce(last, s).alias("e"), kind.alias("kind"),
+                        F.regexp_extract(head, PY_OPENER, 2).alias("name"))
 
-    defs = gather(tagged.where(F.col("covered") & (F.col("kind") != "import")), [file_col, "seg", "kind", "name"])
-    imports = gather(tagged.where(F.col("covered") & (F.col("kind") == "import")), [file_col, "seg"])
-    imports = imports.select(file_col, "line_start", F.col("src").alias("stmt"), _import_names(F.col("src")).alias("names"))
-    per_file = imports.groupBy(file_col).agg(F.sort_array(F.collect_list(F.struct("line_start", "stmt", "names"))).alias("_imp"))
-    d = defs.join(per_file, file_col, "left")
-    rel = F.filter(F.coalesce("_imp", F.array().cast(per_file.schema["_imp"].dataType)),
-                   lambda i: F.exists(i["names"], lambda n: F.col("src").contains(n)))
-    text = F.when(F.size(rel) > 0, F.concat(F.array_join(F.transform(rel, lambda i: i["stmt"]), "\n"), F.lit("\n\n"), F.col("src"))).otherwise(F.col("src"))
-    units = d.select(file_col, F.col("kind").alias("type"), "name", "line_start", "line_end", text.alias("text"))
-
-    # Uncovered lines in consecutive runs (gaps and islands).
-    un = tagged.where(~F.col("covered"))
-    w = Window.partitionBy(file_col).orderBy("ln")
-    un = un.withColumn("_grp", F.col("ln") - F.row_number().over(w))
-    glob = gather(un, [file_col, "_grp"]).select(
-        file_col, F.lit("global_scope").alias("type"), F.lit("<module>").alias("name"), "line_start", "line_end",
-        _strip("src").alias("text"),
-    ).where(F.col("text") != "")
-    out = units.unionByName(glob)
-    have = out.select(file_col).distinct()
-    module = files.join(have, file_col, "left_anti").select(
-        file_col, F.lit("module").alias("type"), F.lit("<module>").alias("name"), F.lit(1).cast("long").alias("line_start"),
-        (F.size(F.split(F.col(text_col), "\n"))).cast("long").alias("line_end"), F.col(text_col).alias("text"),
-    )
-    return out.select(file_col, "type", "name", F.col("line_start").cast("long"), F.col("line_end").cast("long"), "text").unionByName(module)
+    f = f.withColumn("_segs", F.filter(F.transform("_sig", seg), lambda x: x["kind"].isNotNull()))
+
+    def src(x):
+        return F.array_join(F.slice("_l", x["s"], x["e"] - x["s"] + 1), "\n")
+
+    imports = F.transform(F.filter("_segs", lambda x: x["kind"] == "import"),
+                          lambda x: F.struct(src(x).alias("stmt"), _import_names(src(x)).alias("names")))
+    f = f.withColumn("_imp", imports)
+
+    def unit(x):
+        body = src(x)
+        rel = F.filter("_imp", lambda i: F.exists(i["names"], lambda nm: body.contains(nm)))
+        text = F.when(F.size(rel) > 0, F.concat(F.array_join(F.transform(rel, lambda i: i["stmt"]), "\n"), F.lit("\n\n"), body)).otherwise(body)
+        return F.struct(x["kind"].alias("type"), x["name"].alias("name"), x["s"].cast("long").alias("line_start"),
+                        x["e"].cast("long").alias("line_end"), text.alias("text"))
+
+    units = F.transform(F.filter("_segs", lambda x: x["kind"] != "import"), unit)
+
+    # Lines no unit or import covers, in maximal consecutive runs.
+    def covered(i):
+        return F.exists("_segs", lambda r: (i >= r["s"]) & (i <= r["e"]))
+
+    starts = F.filter(F.sequence(F.lit(1), n), lambda i: ~covered(i) & ((i == 1) | covered(i - 1)))
+
+    def block(s):
+        nxt = F.array_min(F.transform(F.filter("_segs", lambda r: r["s"] > s), lambda r: r["s"]))
+        e = F.coalesce(nxt - 1, n)
+        return F.struct(F.lit("global_scope").alias("type"), F.lit("<module>").alias("name"), s.cast("long").alias("line_start"),
+                        e.cast("long").alias("line_end"), _strip(F.array_join(F.slice("_l", s, e - s + 1), "\n")).alias("text"))
+
+    blocks = F.filter(F.transform(starts, block), lambda b: b["text"] != "")
+    every = F.concat(units, blocks)
+    module = F.array(F.struct(F.lit("module").alias("type"), F.lit("<module>").alias("name"), F.lit(1).cast("long").alias("line_start"),
+                              n.cast("long").alias("line_end"), F.col(text_col).alias("text")))
+    out = f.select(file_col, F.when(F.size(every) > 0, every).otherwise(module).alias("_u"))
+    return out.select(file_col, F.inline("_u"))
 
 
 def unit_urls(units: DataFrame, file_col: str = "file", kind: str = "python") -> DataFrame:

@@ -99,3 +99,19 @@ def test_sql_units_quirks(spark):
         assert mine == ref_sql_units(src), name
     urls = {r.url for r in unit_urls(sql_units(df), "file", "sql").collect()}
     assert "file://a.sql#create_or_replace_view_0" in urls and "file://c.sql#unknown_0" in urls
+
+
+TRICKY = [
+    '"""Module doc."""\nimport os, sys as system\n\nX = call(\n    1,\n)\n\n# comment\n\ndef f(a,\n      b):\n    # inner\n    return os.path.join(a, b)\n    # trailing comment\n\n\nclass K(Base):\n    def m(self):\n        return system.argv\n\nif __name__ == "__main__":\n    f(1, 2)\n',
+    "from a import (\n    b,\n    c as d,\n)\n\n\n@dec\nasync def g():\n    return d\n\n\n\nY = [\n    1,\n]\nZ = 2\n",
+    "def only():\n    pass",
+    "x = 1\ny = 2\n",
+]
+
+
+def test_python_units_tricky_match_ast(spark):
+    df = spark.createDataFrame([(f"t{i}.py", s) for i, s in enumerate(TRICKY)], "file string, text string")
+    got = python_units(df).collect()
+    for i, src in enumerate(TRICKY):
+        mine = sorted(((r.type, r.name, r.line_start, r.line_end, r.text) for r in got if r.file == f"t{i}.py"), key=lambda u: u[2])
+        assert mine == ast_units(src), i
