@@ -224,20 +224,29 @@ def match_text(
     doc_keys: str | Sequence[str] = "doc_id",
     doc_text: str = "text",
 ) -> DataFrame:
-    """documents holding every term of the query (relational division)."""
+    """documents holding every term of the query (relational division).
+
+    Without (query, document) pairs for common words: a document can only
+    match if it holds the query's rarest term, so candidates come from that
+    one term (at most its document frequency per query); each candidate is
+    then checked against the query's other terms with an equi-join on
+    (document, term). A query with a term no document holds matches nothing.
+    """
     keys = _ids(doc_keys)
     qt = query_terms(queries, query_id, query_text)
     need = qt.groupBy(query_id).agg(F.count(F.lit(1)).alias("_need"))
-    qt_b, small = bounded_broadcast(qt)
-    term_set = qt.select("term").distinct()
-    term_set_b = F.broadcast(term_set) if small else term_set
+    term_set, small = bounded_broadcast(qt.select("term").distinct())
     d = spread(docs.select(*keys, doc_text), *keys)
-    dt = d.select(*keys, F.explode(F.array_distinct(search_terms(doc_text))).alias("term")).join(
-        term_set_b, "term", "left_semi"
-    )
-    hits = dt.join(qt_b, "term").groupBy(query_id, *keys).agg(F.count(F.lit(1)).alias("_have"))
-    need_b = F.broadcast(need) if small else need
-    return hits.join(need_b, query_id).where(F.col("_have") == F.col("_need")).select(query_id, *keys)
+    dt = d.select(*keys, F.explode(F.array_distinct(search_terms(doc_text))).alias("term")).join(term_set, "term", "left_semi")
+    dt = materialize(dt, "match-terms")
+    dfreq = dt.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    q = qt.join(F.broadcast(dfreq) if small else dfreq, "term")
+    rare = q.groupBy(query_id).agg(F.min_by("term", F.struct("_df", "term")).alias("term"), F.count(F.lit(1)).alias("_known"))
+    rare = rare.join(need, query_id).where(F.col("_known") == F.col("_need")).select(query_id, "term", "_need")
+    cand = dt.join(F.broadcast(rare) if small else rare, "term").select(query_id, *keys, "_need")
+    check = cand.join(qt, query_id).select(query_id, *keys, "_need", "term").join(dt, [*keys, "term"], "left_semi")
+    hits = check.groupBy(query_id, *keys, "_need").agg(F.count(F.lit(1)).alias("_have"))
+    return hits.where(F.col("_have") == F.col("_need")).select(query_id, *keys)
 
 
 # --------------------------------------------------------------------------- vectors

@@ -161,3 +161,16 @@ def test_bm25_paths_agree(spark):
     joined = rt.bm25_topk(qs, docs, k=7, max_cells=0).collect()
     key = lambda rows: sorted((r.query_id, r.rank, r.doc_id, r.chunk_index, r.score) for r in rows)
     assert key(fast) == key(joined)
+
+
+def test_match_text_brute_force(spark):
+    docs = spark.createDataFrame(
+        [(1, "The cat sat on the mat"), (2, "the dog and the cat"), (3, "a mat, a cat, the end"), (4, "nothing here")],
+        "doc_id long, text string",
+    )
+    qs = spark.createDataFrame([(10, "the cat"), (11, "cat mat"), (12, "cat unicorn"), (13, "THE"), (14, "   ")],
+                               "query_id long, text string")
+    got = sorted((r.query_id, r.doc_id) for r in rt.match_text(qs, docs).collect())
+    D = {r.doc_id: set(terms(r.text)) for r in docs.collect()}
+    want = sorted((q.query_id, d) for q in qs.collect() if terms(q.text) for d, ts in D.items() if set(terms(q.text)) <= ts)
+    assert got == want
