@@ -174,3 +174,15 @@ def test_match_text_brute_force(spark):
     D = {r.doc_id: set(terms(r.text)) for r in docs.collect()}
     want = sorted((q.query_id, d) for q in qs.collect() if terms(q.text) for d, ts in D.items() if set(terms(q.text)) <= ts)
     assert got == want
+
+
+def test_vector_topk_mixed_dimensions(spark):
+    idx = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0, 0.0]), (4, [0.6, 0.8]), (5, None)],
+        "vec_id long, embedding array<double>",
+    )
+    q = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, embedding array<double>")
+    for rows in (rt.vector_topk(q, idx, k=5).collect(), rt.vector_topk(q, idx, k=5, max_broadcast_rows=0, block_rows=2).collect()):
+        got = sorted((r.rank, r.vec_id, r.score) for r in rows)
+        # vectors of another size (or none) never match
+        assert got == [(1, 1, 1.0), (2, 4, 0.8), (3, 2, 0.5)]
