@@ -5,8 +5,8 @@ level order, so we run one Spark job per level for all crawl roots at once:
 
   level d+1 = (ok pages of level d) join links
               - out of scope / skipped suffix / empty
-              - anti join with everything already visited
               - first occurrence per (root, url): min of the FIFO key
+              - anti join with everything already visited
 
 The FIFO key of a URL is its parent's key with the link position appended:
 at one level all keys have the same length, and their lexicographic order is
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusflow.functions.urls import in_scope, normalize_url, skip_extension
-from corpusflow.plans.strategy import dense_position, materialize
+from corpusflow.plans.strategy import bounded_broadcast, dense_position, materialize
 
 DEFAULT_MAX_PAGES = 50
 
@@ -109,8 +109,17 @@ def crawl_frontier(
             F.col("url").isNotNull() & (F.col("url") != "")
             & in_scope(F.col("url"), F.col("root"), allow_subdomains) & ~skip_extension("url")
         )
-        cand = cand.join(visited.select("root", "url"), ["root", "url"], "left_anti")
+        # First occurrence per (root, url), then drop what earlier levels
+        # visited. When the level's candidates pass the size check their keys
+        # are broadcast and the visited set is only scanned (no shuffle of
+        # the growing visited set); otherwise a shuffle anti-join.
         cand = cand.groupBy("root", "url").agg(F.min("fifo_key").alias("fifo_key"))
+        keys, small = bounded_broadcast(cand.select("root", "url"))
+        if small:
+            seen = visited.select("root", "url").join(keys, ["root", "url"], "left_semi")
+            cand = cand.join(F.broadcast(seen), ["root", "url"], "left_anti")
+        else:
+            cand = cand.join(visited.select("root", "url"), ["root", "url"], "left_anti")
         cand = cand.where(_pop_filter(F.col("url"), include, exclude))
         depth += 1
         nxt = materialize(fetch_and_cut(cand.withColumn("depth", F.lit(depth)), done), "crawl-level")
