@@ -81,3 +81,24 @@ def test_stream_dedupe_equals_batch(spark):
     st.run_available_now(out, ck, "append", path=path)
     got = sorted(r.nurl for r in spark.read.parquet(path).collect())
     assert got == sorted({f"https://s.example.com/{t}" for t in ["signup", "error", "click", "view", "purchase"]})
+
+
+def test_stream_ingest_incremental_upsert(spark):
+    import os
+
+    src = st.run_dir(spark, "t-ingest-src")
+    base, ck = st.run_dir(spark, "t-ingest-index"), st.run_dir(spark, "t-ingest-ck")
+    first = spark.createDataFrame([(1, "alpha beta gamma " * 10), (2, "delta epsilon")], "doc_id long, text string")
+    first.write.parquet(os.path.join(src, "a"))
+    schema = first.schema
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+    st.stream_ingest(stream, base, ck).awaitTermination()
+    v1 = {r.chunk_id: r.content for r in st.read_index(spark, base).collect()}
+    assert set(v1) == {"1:0", "2:0"}
+    # a new file arrives with a new text for doc 2 and a new doc 3
+    spark.createDataFrame([(2, "zeta eta"), (3, "theta")], "doc_id long, text string").write.parquet(os.path.join(src, "b"))
+    st.stream_ingest(stream, base, ck).awaitTermination()
+    v2 = {r.chunk_id: r.content for r in st.read_index(spark, base).collect()}
+    assert v2 == {"1:0": v1["1:0"], "2:0": "zeta eta", "3:0": "theta"}
+    # the checkpoint remembers the first file: nothing is ingested twice
+    assert st.read_index(spark, base).count() == 3
