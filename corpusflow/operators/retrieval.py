@@ -292,6 +292,7 @@ def vector_topk(
     vec_col: str = "embedding",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     block_rows: int = 4096,
+    max_broadcast_cells: int = 20_000_000,
 ) -> DataFrame:
     """F1: exact k nearest vectors per query by cosine; score = (1+cos)/2.
 
@@ -303,11 +304,12 @@ def vector_topk(
     spark = index.sparkSession
     schema = f"{query_id} long, {id_col} long, score double"
     q = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).alias("_qv"))
-    n_q = q.count()
+    size = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_qv")).alias("d")).first()
+    n_q, dim = int(size["n"]), int(size["d"] or 0)
     idx = index.select(F.col(id_col).cast("long").alias(id_col), F.col(vec_col).alias("_v"))
 
-    if n_q <= max_broadcast_rows:
-        # Size-checked: n_q rows of one vector each go to every executor.
+    if n_q <= max_broadcast_rows and n_q * dim <= max_broadcast_cells:
+        # Size-checked (rows and rows x dimension): the query block goes to every executor.
         qpdf = q.toPandas()
         qids = qpdf[query_id].to_numpy(dtype=np.int64)
         qmat = _unit(_as_matrix(qpdf["_qv"]))
