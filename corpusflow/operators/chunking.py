@@ -5,8 +5,7 @@ max(n - overlap - 1, 0), step = size - overlap; a window holds tokens
 [s, s + size). So no window is made only of overlap, and only the last window
 of a text can be short.
 
-Everything is one narrow projection plus ``posexplode``: no shuffle beyond the
-optional ``spread`` of a badly partitioned input.
+Everything is one narrow projection plus ``posexplode``: no shuffle.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import is_blank, token_estimate, tokens
-from corpusflow.plans.strategy import spread
 
 # Chunk size bounds and defaults.
 MIN_CHUNK, MAX_CHUNK = 64, 4096
@@ -50,7 +48,7 @@ def chunk_text(
     n_tokens, token_estimate. Blank texts give no chunk."""
     _check(size, overlap)
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    src = spread(df.select(*ids, text_col), *ids)
+    src = df.select(*ids, text_col)
     src = src.where(~is_blank(text_col)).select(*ids, tokens(text_col).alias("_toks"))
     out = src.select(*ids, "_toks", F.posexplode(_windows(F.col("_toks"), size, overlap)).alias("chunk_index", "_s"))
     out = out.select(

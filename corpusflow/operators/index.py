@@ -8,18 +8,19 @@ newest version of each id and writes a new version folder, never in place.
 
 from __future__ import annotations
 
+import hashlib
+import math
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 from pyspark.sql.window import Window
 
 from corpusflow.functions.text import search_terms
-from corpusflow.plans.strategy import spread
 from corpusflow.sources.catalog import embedding_models
 
 
@@ -27,50 +28,47 @@ def _ids(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def hash_bucket(term, dim: int):
-    h = F.md5(term)
-    return F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int")
+#: Terms whose bucket a Python worker remembers.
+MAX_KNOWN_TERMS = 300_000
 
 
-def hash_sign(term):
-    return F.when(F.conv(F.substring(F.md5(term), 9, 1), 16, 10).cast("int") < 8, F.lit(1.0)).otherwise(F.lit(-1.0))
-
-
-def hashed_weights(df: DataFrame, id_cols, text_col: str, dim: int) -> DataFrame:
-    """Sparse form of E1: (ids, bucket, weight) with weights L2-normalised per row.
-    Rows without any search term give nothing."""
-    ids = _ids(id_cols)
-    t = spread(df.select(*ids, text_col), *ids).select(*ids, F.explode(search_terms(text_col)).alias("_tok"))
-    raw = t.groupBy(*ids, hash_bucket(F.col("_tok"), dim).alias("bucket")).agg(
-        F.sum(hash_sign(F.col("_tok"))).alias("_w")
-    )
-    w = Window.partitionBy(*ids)
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(w))
-    return raw.withColumn("_n", norm).where(F.col("_n") > 0).select(*ids, "bucket", (F.col("_w") / F.col("_n")).alias("weight"))
-
-
-def _densify(dim: int):
-    """Sparse (buckets, weights) arrays to a dense vector: a numpy scatter per
-    row inside Arrow batches (a map lookup per position would cost dim x nnz)."""
+def _embed_column(terms: Column, dim: int) -> Column:
+    """Dense signed feature-hashing vector of a terms array, L2-normalised;
+    null if there is no term or the signs cancel out. One Arrow batch in, one
+    out: nothing is exploded."""
 
     @F.pandas_udf(ArrayType(DoubleType()))
-    def densify(buckets: pd.Series, weights: pd.Series) -> pd.Series:
-        out = []
-        for b, w in zip(buckets, weights):
-            v = np.zeros(dim)
-            v[np.asarray(b, dtype=np.int64)] = np.asarray(w, dtype=np.float64)
-            out.append(v)
-        return pd.Series(out)
-
-    return densify
-
-
-def embed_hashed(df: DataFrame, id_cols="doc_id", text_col: str = "text", dim: int = 64) -> DataFrame:
-    """One dense ARRAY<DOUBLE> of ``dim`` per row with at least one term."""
-    ids = _ids(id_cols)
-    sparse = hashed_weights(df, ids, text_col, dim)
-    g = sparse.groupBy(*ids).agg(F.collect_list("bucket").alias("_b"), F.collect_list("weight").alias("_w"))
-    return g.select(*ids, _densify(dim)(F.col("_b"), F.col("_w")).alias("embedding"))
+    def embed(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, tuple[int, float]] = {}
+        for rows in it:
+            out = []
+            for ts in rows:
+                v = np.zeros(dim)
+                for t in ts if ts is not None else ():
+                    hit = known.get(t)
+                    if hit is None:
+                        if len(known) >= MAX_KNOWN_TERMS:
+                            known.clear()
+                        h = hashlib.md5(t.encode()).hexdigest()
+                        hit = known[t] = (int(h[:8], 16) % dim, 1.0 if int(h[8], 16) < 8 else -1.0)
+                    v[hit[0]] += hit[1]
+                n = math.sqrt(float((v * v).sum()))
+                out.append(v / n if n > 0 else None)
+            yield pd.Series(out, dtype=object)
+
+    return embed(terms)
+
+
+def embed_column(text_col: str | Column, dim: int = 64) -> Column:
+    """E1 as a column of the text: a projection, no shuffle."""
+    text = F.col(text_col) if isinstance(text_col, str) else text_col
+    return _embed_column(search_terms(F.coalesce(text, F.lit(""))), dim)
+
+
+def embed_hashed(df: DataFrame, id_cols="doc_id", text_col: str = "text", dim: int = 64, keep: Sequence[str] = ()) -> DataFrame:
+    """One dense ARRAY<DOUBLE> of ``dim`` per row with at least one term,
+    next to its ids and the ``keep`` columns."""
+    return df.select(*_ids(id_cols), *keep, embed_column(text_col, dim).alias("embedding")).where("embedding is not null")
 
 
 def attach_embeddings(chunks: DataFrame, vectors: DataFrame, keys: Sequence[str] = ("doc_id", "chunk_index")) -> DataFrame:
@@ -78,11 +76,14 @@ def attach_embeddings(chunks: DataFrame, vectors: DataFrame, keys: Sequence[str]
     return chunks.join(vectors, list(keys), "inner")
 
 
-def index_rows(chunks: DataFrame, vectors: DataFrame, keys: Sequence[str] = ("doc_id", "chunk_index"), url_col: str = "url") -> DataFrame:
+def index_rows(
+    chunks: DataFrame, vectors: DataFrame | None = None, keys: Sequence[str] = ("doc_id", "chunk_index"), url_col: str = "url"
+) -> DataFrame:
     """Stored rows. id = sha256(source|chunk_index|content); the child text is
-    embedded, the parent text rides in metadata."""
+    embedded, the parent text rides in metadata. Without ``vectors`` the chunks
+    carry their own ``embedding`` and nothing is joined."""
     keys = list(keys)
-    j = chunks.join(vectors, keys, "inner")
+    j = chunks.where("embedding is not null") if vectors is None else chunks.join(vectors, keys, "inner")
     cols = j.columns
     src = F.col(url_col).cast("string") if url_col in cols else F.col(keys[0]).cast("string")
 

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from corpusflow.functions.html import COMMENT, SCRIPT, STYLE, decode_entities, strip_edges
 from corpusflow.functions.urls import in_scope, normalize_url, resolve_url, skip_extension, url_host
-from corpusflow.plans.strategy import dense_position, spread
+from corpusflow.plans.strategy import dense_position
 
 A_TAG = r"(?is)<a\s[^>]*>"
 HREF_DQ = r'(?is)\shref\s*=\s*"([^"]*)"'
@@ -42,7 +42,7 @@ def harvest_links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     for pat in (COMMENT, SCRIPT, STYLE):
         h = F.regexp_replace(h, pat, "")
     tags = F.regexp_extract_all(h, F.lit(A_TAG), 0)
-    out = spread(pages.select(id_col, url_col, html_col)).select(id_col, url_col, F.posexplode(tags).alias("pos", "_tag"))
+    out = pages.select(id_col, url_col, html_col).select(id_col, url_col, F.posexplode(tags).alias("pos", "_tag"))
     out = out.select(id_col, url_col, "pos", decode_entities(_href(F.col("_tag"))).alias("href"))
     return out.where(F.col("href").isNotNull() & (F.col("href") != ""))
 

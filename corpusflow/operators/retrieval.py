@@ -7,16 +7,14 @@ Fixed definitions (SURVEY §2.0):
 * RRF (Cormack 2009): sum of 1 / (60 + rank), 1-based ranks, 50 candidates per list.
 
 Physical plan:
-* BM25 never builds the full postings table: document terms are semi-joined
-  with the (broadcast, size-checked) set of query terms right after the
-  explode, so only postings of query terms are aggregated and shuffled. A hot
-  term (one that sits in a third of all documents) is handled by partial
-  aggregation, never by one task.
-* Vector top-k scans the index once. Each task scores its partition against
-  the broadcast query block with one matrix product and keeps only k rows per
-  query, so the shuffle carries k x partitions rows per query. When the query
-  table is too large to broadcast, queries and vectors are cut into blocks and
-  cogrouped per (query block, vector block); no side is ever whole in a task.
+* BM25 keeps, in one pass over the documents, each one's length and its terms,
+  and scores documents against blocks of queries: a task multiplies the
+  postings of its documents with the block's (term x query) matrix and keeps k
+  rows per query and batch, so no (query, document) pairs are shuffled. Blocks
+  bound the matrix; any number of queries takes the same path.
+* Vector top-k deals both sides into blocks of fixed size per dimension; a
+  task multiplies one query block with one vector block.
+* Both select by the rounded score with ties by id, and give ids of any type.
 * Top-k per query uses ``row_number() <= k``, which Spark plans as a partial
   WindowGroupLimit before the shuffle.
 """
@@ -24,7 +22,8 @@ Physical plan:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -34,14 +33,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusflow.functions.text import is_blank, search_terms
-from corpusflow.plans.strategy import MAX_BROADCAST_ROWS, bounded_broadcast, dense_position, materialize, spread
+from corpusflow.plans.strategy import MAX_BROADCAST_ROWS, bounded_broadcast, dense_position, materialize
 
 # Fixed values.
 BM25_K1, BM25_B = 1.2, 0.75
 RRF_K = 60
 RRF_CANDIDATES = 50
 DEFAULT_TOP_K = 5
-MAX_TOP_K_QUERY, MAX_TOP_K_CHAT = 50, 20
 NO_CONTEXT = "No relevant context found."
 SCORE_DECIMALS = 6
 
@@ -66,6 +64,28 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "tex
     )
 
 
+def _doc_terms(docs: DataFrame, keys: list[str], doc_text: str, qt: DataFrame, max_terms: int) -> DataFrame:
+    """(keys, dl, _t): length and terms of every document, written once. A null
+    text is an empty document. Up to ``max_terms`` distinct query terms, the
+    others are left out of ``_t``; that saves space and changes no score."""
+    d = docs.select(*keys, search_terms(F.coalesce(F.col(doc_text), F.lit(""))).alias("_t"))
+    terms = qt.select("term").distinct().limit(max_terms + 1).collect()
+    kept = F.col("_t")
+    if len(terms) <= max_terms:
+        wanted = [r["term"] for r in terms]
+        kept = F.filter("_t", lambda t: t.isin(wanted)) if wanted else F.array().cast("array<string>")
+    return materialize(d.select(*keys, F.size("_t").alias("dl"), kept.alias("_t")), "bm25-terms")
+
+
+def _corpus_stats(compact: DataFrame) -> tuple[int, float]:
+    st = compact.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    return int(st["n"]), float(st["avgdl"] or 0.0) or 1.0
+
+
+def _doc_freq(compact: DataFrame) -> DataFrame:
+    return compact.select(F.explode(F.array_distinct("_t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def bm25_scores(
     queries: DataFrame,
     docs: DataFrame,
@@ -77,50 +97,49 @@ def bm25_scores(
     b: float = BM25_B,
     max_terms: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Every (query, doc) pair that shares at least one term, with its score.
-
-    One tokenising pass: each document keeps its length and only the terms
-    that some query asks for (a size-checked set, tested with a hash-set
-    ``isin``). That compact table is written once to the shared checkpoint
-    folder, and both the corpus
-    statistics (N, average length) and the postings come from it. Beyond
-    ``max_terms`` distinct query terms, the terms are matched by a shuffle
-    join instead and the documents are tokenised twice.
-    """
+    """Every (query, document) pair that shares a term, with its score: the
+    whole relation, as large as it is. For the best k use ``bm25_topk``.
+
+    The joins on ``term`` are plain equi-joins, so a hot term is split by
+    adaptive execution."""
     keys = _ids(doc_keys)
     qt = query_terms(queries, query_id, query_text)
-    term_set = qt.select("term").distinct()
-    n_terms = term_set.count()
-    d = spread(docs.select(*keys, doc_text), *keys).select(*keys, search_terms(doc_text).alias("_t"))
-    if n_terms <= max_terms:
-        wanted = [r["term"] for r in term_set.collect()]  # bounded by the check above
-        compact = d.select(*keys, F.size("_t").alias("dl"), F.filter("_t", lambda t: t.isin(wanted)).alias("_t"))
-        compact = materialize(compact, "bm25-terms")
-        st = compact.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-        tok = compact.select(*keys, "dl", F.explode("_t").alias("term"))
-        qt_side, terms_side = F.broadcast(qt), True
-    else:
-        d = d.select(*keys, F.size("_t").alias("dl"), "_t")
-        st = d.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-        tok = d.select(*keys, "dl", F.explode("_t").alias("term")).join(term_set, "term", "left_semi")
-        qt_side, terms_side = qt, False
-    n_docs, avgdl = int(st["n"]), float(st["avgdl"] or 0.0)
-
-    post = tok.groupBy(*keys, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    dfreq = F.broadcast(dfreq) if terms_side else dfreq
+    compact = _doc_terms(docs, keys, doc_text, qt, max_terms)
+    n_docs, avgdl = _corpus_stats(compact)
+    row = compact.withColumn("_row", F.monotonically_increasing_id())
+    post = row.select("_row", *keys, "dl", F.explode("_t").alias("term")).groupBy("_row", *keys, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
     idf = F.log(F.lit(1.0) + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl))
     contrib = idf * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    scored = post.join(dfreq, "term").join(qt_side, "term").select(query_id, *keys, contrib.alias("_c"))
-    return scored.groupBy(query_id, *keys).agg(F.round(F.sum("_c"), SCORE_DECIMALS).alias("score"))
+    scored = post.join(_doc_freq(compact), "term").join(qt, "term").select(query_id, "_row", *keys, contrib.alias("_c"))
+    return scored.groupBy(query_id, "_row", *keys).agg(F.round(F.sum("_c"), SCORE_DECIMALS).alias("score")).drop("_row")
 
 
-def _bm25_compact(docs: DataFrame, keys: list[str], doc_text: str, wanted: list[str]) -> DataFrame:
-    """One tokenising pass: each document's length and its query terms only."""
-    d = spread(docs.select(*keys, doc_text), *keys).select(*keys, search_terms(doc_text).alias("_t"))
-    compact = d.select(*keys, F.size("_t").alias("dl"), F.filter("_t", lambda t: t.isin(wanted)).alias("_t"))
-    return materialize(compact, "bm25-terms")
+def _round(x: np.ndarray) -> np.ndarray:
+    """Half-up rounding of the shortest decimal form, as ``F.round`` does."""
+    uniq, inv = np.unique(x, return_inverse=True)
+    step = Decimal(1).scaleb(-SCORE_DECIMALS)
+    return np.array([float(Decimal(repr(float(v))).quantize(step, ROUND_HALF_UP)) for v in uniq])[inv]
+
+
+def _best(score: np.ndarray, order: list[np.ndarray], k: int) -> np.ndarray:
+    """Indices of the k best by rounded score descending, then by ``order``."""
+    cand = np.arange(len(score))
+    if len(score) > k:
+        # Rounding moves a score by at most half a unit of the last decimal.
+        kth = np.partition(score, len(score) - k)[len(score) - k]
+        cand = np.flatnonzero(score >= kth - 2.0 * 10.0**-SCORE_DECIMALS)
+    rounded = _round(score[cand])
+    return cand[np.lexsort((*[o[cand] for o in reversed(order)], -rounded))[:k]]
+
+
+def _ranks(pdf: pd.DataFrame, cols: Sequence[str]) -> list[np.ndarray]:
+    """Sort positions of id columns of any type (nulls first)."""
+    return [pd.factorize(pdf[c], sort=True)[0] for c in cols]
+
+
+def _fields(df: DataFrame, cols: Sequence[str]) -> list[T.StructField]:
+    return [T.StructField(c, df.schema[c].dataType) for c in cols]
 
 
 def bm25_topk(
@@ -133,87 +152,93 @@ def bm25_topk(
     doc_text: str = "content",
     k1: float = BM25_K1,
     b: float = BM25_B,
+    max_terms: int = MAX_BROADCAST_ROWS,
+    max_pairs: int = 50_000,
     max_cells: int = 20_000_000,
 ) -> DataFrame:
-    """k best documents per query by BM25.
-
-    Exact and pair-free: the (query x term) matrix is size-checked
-    (queries x distinct terms <= ``max_cells``) and broadcast; each task
-    scores its documents against every query with one numpy product over its
-    postings and keeps only the k best per query, so the shuffle carries
-    k x tasks rows per query instead of every (query, document) pair that
-    shares a common word. Beyond the bound, the join path of ``bm25_scores``
-    is used.
+    """k best documents per query by BM25; ids of any type, null texts are
+    empty documents, a document without a common term is no hit.
+
+    Exact and pair-free. The queries are taken in blocks of about ``max_pairs``
+    (query, term) rows and ``max_cells`` (term x query) cells; each block is
+    one scan of the compact documents, in which a task holds the block's matrix
+    and, at a time, at most ``SCORE_CELLS`` (posting x query) cells.
     """
     keys = _ids(doc_keys)
-    qt = query_terms(queries, query_id, query_text)
+    qt = materialize(query_terms(queries, query_id, query_text), "query-terms")
     size = qt.agg(F.count(F.lit(1)).alias("p"), F.count_distinct("term").alias("t"), F.count_distinct(query_id).alias("q")).first()
-    n_pairs, n_terms, n_q = int(size["p"]), int(size["t"]), int(size["q"])
-    numeric = all(isinstance(docs.schema[c].dataType, (T.IntegerType, T.LongType, T.ShortType)) for c in keys)
-    if not numeric or n_pairs > MAX_BROADCAST_ROWS or n_terms * max(n_q, 1) > max_cells:
-        s = bm25_scores(queries, docs, query_id, query_text, keys, doc_text, k1, b)
-        return top_k(s, [query_id], "score", keys, k)
-
-    pairs = qt.collect()  # bounded by the checks above
-    terms = sorted({r["term"] for r in pairs})
-    t_index = {t: i for i, t in enumerate(terms)}
-    qids = sorted({r[query_id] for r in pairs})
-    q_index = {q: j for j, q in enumerate(qids)}
-    compact = _bm25_compact(docs, keys, doc_text, terms)
-    st = compact.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-    n_docs, avgdl = int(st["n"]), float(st["avgdl"] or 0.0) or 1.0
-    dfreq = {r["term"]: r["df"] for r in compact.select(F.explode(F.array_distinct("_t")).alias("term"))
-             .groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()}  # <= n_terms rows
-    idf = np.array([math.log(1.0 + (n_docs - dfreq.get(t, 0) + 0.5) / (dfreq.get(t, 0) + 0.5)) for t in terms])
-    qm = np.zeros((len(terms), len(qids)))
-    for r in pairs:
-        qm[t_index[r["term"]], q_index[r[query_id]]] = 1.0
-    bc = docs.sparkSession.sparkContext.broadcast((t_index, idf, qm, np.array(qids, dtype=np.int64)))
-    schema = T.StructType([T.StructField(query_id, T.LongType())] + [T.StructField(c, docs.schema[c].dataType) for c in keys]
-                          + [T.StructField("score", T.DoubleType())])
-
-    def scan(batches):
-        t_ix, idf_, q_m, q_ids = bc.value
+    blocks = max(1, math.ceil(size["p"] / max_pairs), math.ceil(size["t"] * size["q"] / max_cells))
+    compact = _doc_terms(docs, keys, doc_text, qt, max_terms)
+    n_docs, avgdl = _corpus_stats(compact)
+    df = qt.select("term").distinct().join(_doc_freq(compact), "term")
+    qt = materialize(qt.join(df, "term", "left").withColumn("_b", F.pmod(F.xxhash64(query_id), F.lit(blocks))), "query-terms")
+    schema = T.StructType([*_fields(qt, [query_id]), *_fields(docs, keys), T.StructField("score", T.DoubleType())])
+    out = None
+    for block in range(blocks):
+        pairs = qt.where(F.col("_b") == block).select(query_id, "term", "df").toPandas()
+        found = compact.mapInPandas(_bm25_scan(docs.sparkSession, pairs, query_id, keys, n_docs, avgdl, k, k1, b), schema)
+        out = found if out is None else out.unionByName(found)
+    return top_k(out.withColumn("score", F.round("score", SCORE_DECIMALS)), [query_id], "score", keys, k)
+
+
+#: Cells of the (posting x query) product that a task holds at a time.
+SCORE_CELLS = 4_000_000
+
+
+def _bm25_scan(spark, pairs: pd.DataFrame, query_id: str, keys: list[str], n_docs: int, avgdl: float, k: int, k1: float, b: float):
+    qx, qids = pd.factorize(pairs[query_id])
+    tx, terms = pd.factorize(pairs["term"])
+    df = np.zeros(len(terms))
+    df[tx] = pairs["df"].fillna(0).to_numpy(dtype=float)
+    matrix = np.zeros((len(terms), len(qids)))
+    matrix[tx, qx] = 1.0
+    idf = np.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
+    bc = spark.sparkContext.broadcast(({t: i for i, t in enumerate(terms)}, idf, matrix, list(qids)))
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index, idf, matrix, qids = bc.value
+        n_q = len(qids)
         for pdf in batches:
-            if pdf.empty:
-                continue
-            lens = pdf["_t"].map(len).to_numpy()
-            if lens.sum() == 0:
+            known = [[index[t] for t in ts if t in index] for ts in pdf["_t"]]
+            lens = np.array([len(x) for x in known], dtype=np.int64)
+            if not lens.sum():
                 continue
             rows = np.repeat(np.arange(len(pdf)), lens)
-            tids = np.fromiter((t_ix[t] for ts in pdf["_t"] for t in ts), dtype=np.int64, count=int(lens.sum()))
-            # term frequency per (row, term): unique pairs, sorted by row
-            pair, tf = np.unique(rows * len(idf_) + tids, return_counts=True)
-            prow, pterm = pair // len(idf_), pair % len(idf_)
-            dl = pdf["dl"].to_numpy(dtype=np.float64)[prow]
-            norm = k1 * ((1.0 - b) + (b * dl) / avgdl)
-            w = idf_[pterm] * tf * (k1 + 1.0) / (tf + norm)
-            urows, starts = np.unique(prow, return_index=True)
-            key_arrays = [pdf[c].to_numpy()[urows] for c in keys]
-            step = max(1, int(4_000_000 // max(q_m.shape[1], 1)))
-            parts = []
-            for lo in range(0, len(urows), step):
-                hi = min(len(urows), lo + step)
-                a, z = starts[lo], (starts[hi] if hi < len(urows) else len(prow))
-                sc = np.add.reduceat(w[a:z, None] * q_m[pterm[a:z]], starts[lo:hi] - a, axis=0)
-                sc = np.round(sc, SCORE_DECIMALS)
-                ka = [x[lo:hi] for x in key_arrays]
-                for j in range(sc.shape[1]):
-                    col = sc[:, j]
-                    cand = np.nonzero(col > 0)[0]
-                    if cand.size == 0:
-                        continue
-                    if cand.size > k:
-                        kth = np.partition(col[cand], cand.size - k)[cand.size - k]
-                        cand = cand[col[cand] >= kth]
-                    order = np.lexsort(tuple(x[cand] for x in reversed(ka)) + (-col[cand],))[:k]
-                    sel = cand[order]
-                    parts.append(pd.DataFrame({query_id: q_ids[j], **{c: x[sel] for c, x in zip(keys, ka)}, "score": col[sel]}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
-
-    cand = compact.mapInPandas(scan, schema)
-    return top_k(cand, [query_id], "score", keys, k)
+            tids = np.concatenate([np.array(x, np.int64) for x in known if x])
+            pair, tf = np.unique(rows * len(idf) + tids, return_counts=True)
+            prow, pterm = pair // len(idf), pair % len(idf)
+            dl = pdf["dl"].to_numpy(dtype=float)[prow]
+            w = idf[pterm] * tf * (k1 + 1.0) / (tf + k1 * ((1.0 - b) + b * dl / avgdl))
+            hit_rows, starts = np.unique(prow, return_index=True)
+            ends = np.r_[starts[1:], len(prow)]
+            best: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(n_q)]
+            lo = 0
+            while lo < len(hit_rows):
+                hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + SCORE_CELLS // max(n_q, 1), "right")))
+                a, z = starts[lo], ends[hi - 1]
+                score = np.add.reduceat(w[a:z, None] * matrix[pterm[a:z]], starts[lo:hi] - a, axis=0)
+                for j in range(n_q):
+                    c = np.flatnonzero(score[:, j] > 0)
+                    if len(c) > 4 * k:  # a superset of the k best of these rows
+                        kth = np.partition(score[c, j], len(c) - k)[len(c) - k]
+                        c = c[score[c, j] >= kth - 2.0 * 10.0**-SCORE_DECIMALS]
+                    if len(c):
+                        best[j].append((hit_rows[lo + c], score[c, j]))
+                lo = hi
+            order = _ranks(pdf, keys)
+            take_q, take_r, take_s = [], [], []
+            for j, parts in enumerate(best):
+                if parts:
+                    r, s = (np.concatenate(x) for x in zip(*parts))
+                    sel = _best(s, [o[r] for o in order], k)
+                    take_q += [qids[j]] * len(sel)
+                    take_r.append(r[sel])
+                    take_s.append(s[sel])
+            got = pdf[keys].iloc[np.concatenate(take_r)].reset_index(drop=True)
+            got.insert(0, query_id, take_q)
+            yield got.assign(score=np.concatenate(take_s))
+
+    return scan
 
 
 def match_text(
@@ -235,15 +260,15 @@ def match_text(
     keys = _ids(doc_keys)
     qt = query_terms(queries, query_id, query_text)
     need = qt.groupBy(query_id).agg(F.count(F.lit(1)).alias("_need"))
-    term_set, small = bounded_broadcast(qt.select("term").distinct())
-    d = spread(docs.select(*keys, doc_text), *keys)
-    dt = d.select(*keys, F.explode(F.array_distinct(search_terms(doc_text))).alias("term")).join(term_set, "term", "left_semi")
+    term_set, _ = bounded_broadcast(qt.select("term").distinct())
+    dt = docs.select(*keys, F.explode(F.array_distinct(search_terms(doc_text))).alias("term")).join(term_set, "term", "left_semi")
     dt = materialize(dt, "match-terms")
     dfreq = dt.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    q = qt.join(F.broadcast(dfreq) if small else dfreq, "term")
+    q = qt.join(dfreq, "term")
     rare = q.groupBy(query_id).agg(F.min_by("term", F.struct("_df", "term")).alias("term"), F.count(F.lit(1)).alias("_known"))
     rare = rare.join(need, query_id).where(F.col("_known") == F.col("_need")).select(query_id, "term", "_need")
-    cand = dt.join(F.broadcast(rare) if small else rare, "term").select(query_id, *keys, "_need")
+    rare, _ = bounded_broadcast(rare)
+    cand = dt.join(rare, "term").select(query_id, *keys, "_need")
     check = cand.join(qt, query_id).select(query_id, *keys, "_need", "term").join(dt, [*keys, "term"], "left_semi")
     hits = check.groupBy(query_id, *keys, "_need").agg(F.count(F.lit(1)).alias("_have"))
     return hits.where(F.col("_have") == F.col("_need")).select(query_id, *keys)
@@ -252,132 +277,79 @@ def match_text(
 # --------------------------------------------------------------------------- vectors
 
 
-def _local_topk(scores: np.ndarray, ids: np.ndarray, k: int) -> list[np.ndarray]:
-    """Per column of ``scores`` (n_vec x n_query): indices of the k best rows
-    ordered by rounded score desc, id asc."""
-    out = []
-    n = scores.shape[0]
-    for j in range(scores.shape[1]):
-        s = np.round(scores[:, j], SCORE_DECIMALS)
-        if n > k:
-            # candidates: everything scoring at least the k-th best value
-            kth = np.partition(s, n - k)[n - k]
-            cand = np.nonzero(s >= kth)[0]
-        else:
-            cand = np.arange(n)
-        order = np.lexsort((ids[cand], -s[cand]))[:k]
-        out.append(cand[order])
-    return out
-
-
-def _as_matrix(col: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in col.values]) if len(col) else np.zeros((0, 0))
-
-
 def _unit(m: np.ndarray) -> np.ndarray:
-    if m.size == 0:
-        return m
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     norms[norms == 0] = 1.0
     return m / norms
 
 
+def _finite(df: DataFrame, ids: list[str], vec: str) -> DataFrame:
+    """Rows whose vector is not null or empty and holds numbers only."""
+    v = F.col(vec).cast("array<double>")
+    bad = F.exists("_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return df.select(*ids, v.alias("_v")).where("size(_v) > 0").where(~bad).withColumn("_dim", F.size("_v"))
+
+
 def vector_topk(
     queries: DataFrame,
     index: DataFrame,
     k: int = DEFAULT_TOP_K,
     query_id: str = "query_id",
     query_vec: str = "embedding",
-    id_col: str = "vec_id",
+    id_col: str | Sequence[str] = "vec_id",
     vec_col: str = "embedding",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-    block_rows: int = 4096,
-    max_broadcast_cells: int = 20_000_000,
+    block_rows: int = 32_768,
+    query_rows: int = 4096,
 ) -> DataFrame:
     """F1: exact k nearest vectors per query by cosine; score = (1+cos)/2.
 
-    Output: query_id, id, score, rank. Vectors of a dimension other than the
-    query's never match (they score nothing).
+    Output: query_id, id columns, score, rank. Ids keep their type; vectors of
+    another dimension than the query's never match; null, empty and non-finite
+    vectors take no part; a zero vector scores 0.5.
+
+    Both sides are dealt into blocks per dimension (vectors by hash of their
+    id, queries copied to every vector block and the other way round), so a
+    task holds one block of each, multiplies them and keeps k rows per query.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    spark = index.sparkSession
-    schema = f"{query_id} long, {id_col} long, score double"
-    q = queries.select(F.col(query_id).cast("long").alias(query_id), F.col(query_vec).alias("_qv"))
-    size = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_qv")).alias("d")).first()
-    n_q, dim = int(size["n"]), int(size["d"] or 0)
-    idx = index.select(F.col(id_col).cast("long").alias(id_col), F.col(vec_col).alias("_v"))
-
-    if n_q <= max_broadcast_rows and n_q * dim <= max_broadcast_cells:
-        # Size-checked (rows and rows x dimension): the query block goes to every executor.
-        qpdf = q.toPandas()
-        qids = qpdf[query_id].to_numpy(dtype=np.int64)
-        qmat = _unit(_as_matrix(qpdf["_qv"]))
-        bc = spark.sparkContext.broadcast((qids, qmat))
-
-        def scan(batches):
-            q_ids, q_m = bc.value
-            for pdf in batches:
-                if pdf.empty or q_m.size == 0:
-                    continue
-                pdf = pdf[pdf["_v"].map(lambda v: v is not None and len(v) == q_m.shape[1])]
-                if pdf.empty:
-                    continue
-                ids = pdf[id_col].to_numpy(dtype=np.int64)
-                cos = _unit(_as_matrix(pdf["_v"])) @ q_m.T
-                score = (1.0 + cos) / 2.0
-                parts = []
-                for j, sel in enumerate(_local_topk(score, ids, k)):
-                    parts.append(pd.DataFrame({query_id: q_ids[j], id_col: ids[sel], "score": score[sel, j]}))
-                yield pd.concat(parts, ignore_index=True)
-
-        cand = spread(idx).mapInPandas(scan, schema)
-    else:
-        cand = _vector_topk_blocked(q, idx, k, query_id, id_col, block_rows, schema)
-
-    cand = cand.withColumn("score", F.round("score", SCORE_DECIMALS))
-    return top_k(cand, [query_id], "score", [id_col], k)
-
-
-def _vector_topk_blocked(q, idx, k, query_id, id_col, block_rows, schema) -> DataFrame:
-    """Large query tables: cogroup (query block, vector block) pairs.
-
-    Each query row is copied to every vector block and each vector to every
-    query block; a task holds one block of each, scores them with one matrix
-    product and keeps k rows per query.
-    """
-    n_q = q.count()
-    n_v = idx.count()
-    qb = max(1, math.ceil(n_q / block_rows))
-    vb = max(1, math.ceil(n_v / block_rows))
-    qx = q.select(
-        "*",
-        F.pmod(F.xxhash64(query_id), F.lit(qb)).alias("_qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(vb - 1))).alias("_vb"),
-    )
-    vx = idx.select(
-        "*",
-        F.pmod(F.xxhash64(id_col), F.lit(vb)).alias("_vb"),
-        F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("_qb"),
-    )
-
-    def pair(qpdf: pd.DataFrame, vpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or vpdf.empty:
-            return pd.DataFrame({query_id: [], id_col: [], "score": []})
-        qm = _unit(_as_matrix(qpdf["_qv"]))
-        vpdf = vpdf[vpdf["_v"].map(lambda v: v is not None and len(v) == qm.shape[1])]
-        if vpdf.empty:
-            return pd.DataFrame({query_id: [], id_col: [], "score": []})
-        ids = vpdf[id_col].to_numpy(dtype=np.int64)
-        score = (1.0 + _unit(_as_matrix(vpdf["_v"])) @ qm.T) / 2.0
-        qids = qpdf[query_id].to_numpy(dtype=np.int64)
-        parts = [
-            pd.DataFrame({query_id: qids[j], id_col: ids[sel], "score": score[sel, j]})
-            for j, sel in enumerate(_local_topk(score, ids, k))
-        ]
-        return pd.concat(parts, ignore_index=True)
-
-    return qx.groupBy("_qb", "_vb").cogroup(vx.groupBy("_qb", "_vb")).applyInPandas(pair, schema)
+    ids = _ids(id_col)
+    # Names of the sides must not meet: queries go by position.
+    q = _finite(queries.select(F.col(query_id).alias("_q"), F.col(query_vec).alias("_qv")), ["_q"], "_qv")
+    x = _finite(index, ids, vec_col)
+    schema = T.StructType([T.StructField("_q", queries.schema[query_id].dataType), *_fields(index, ids), T.StructField("score", T.DoubleType())])
+    count = lambda df: {r["_dim"]: r["n"] for r in df.groupBy("_dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_x, n_q = count(x), count(q)
+    dims = sorted(set(n_x) & set(n_q))
+    blocks = {d: (math.ceil(n_x[d] / block_rows), math.ceil(n_q[d] / query_rows)) for d in dims}
+    of = lambda i: F.create_map(*[F.lit(v) for d in dims for v in (d, blocks[d][i])])[F.col("_dim")]
+    if not dims:
+        empty = index.sparkSession.createDataFrame([], schema).withColumnRenamed("_q", query_id)
+        return empty.withColumn("rank", F.lit(1))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    x = x.where(F.col("_dim").isin(dims)).withColumn("_xb", F.pmod(F.xxhash64(*ids), of(0)).cast("int")).withColumn("_qb", every(of(1)))
+    q = q.where(F.col("_dim").isin(dims)).withColumn("_qb", F.pmod(F.xxhash64("_q"), of(1)).cast("int")).withColumn("_xb", every(of(0)))
+
+    def tile(qpdf: pd.DataFrame, xpdf: pd.DataFrame) -> pd.DataFrame:
+        if qpdf.empty or xpdf.empty:
+            return pd.DataFrame({f.name: [] for f in schema.fields})
+        qm, xm = _unit(np.stack(qpdf["_v"].to_list())), _unit(np.stack(xpdf["_v"].to_list()))
+        order = _ranks(xpdf, ids)
+        rows, take, scores = [], [], []
+        for lo in range(0, len(qm), 64):
+            score = (1.0 + qm[lo : lo + 64] @ xm.T) / 2.0
+            for j, s in enumerate(score):
+                sel = _best(s, order, k)
+                rows.append(np.full(len(sel), lo + j))
+                take.append(sel)
+                scores.append(s[sel])
+        got = xpdf[ids].iloc[np.concatenate(take)].reset_index(drop=True)
+        got.insert(0, "_q", qpdf["_q"].to_numpy()[np.concatenate(rows)])
+        return got.assign(score=np.concatenate(scores))
+
+    by = ["_dim", "_qb", "_xb"]
+    cand = q.groupBy(*by).cogroup(x.groupBy(*by)).applyInPandas(tile, schema).withColumnRenamed("_q", query_id)
+    return top_k(cand.withColumn("score", F.round("score", SCORE_DECIMALS)), [query_id], "score", ids, k)
 
 
 # --------------------------------------------------------------------------- fusion
@@ -391,16 +363,18 @@ def rrf_fuse(
     list_col: str = "list",
     rank_col: str = "rank",
     list_order: Sequence[str] = ("vector", "keyword"),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """fuse ranked lists by RRF; ``hybrid_sources`` keeps which lists found
-    each hit, in ``list_order``."""
+    each hit, in ``list_order``; of the ``keep`` columns the largest value."""
     ids = _ids(id_cols)
     order = F.create_map(*[x for i, name in enumerate(list_order) for x in (F.lit(name), F.lit(i))])
     fused = ranked.groupBy(query_id, *ids).agg(
         F.round(F.sum(F.lit(1.0) / (F.lit(RRF_K) + F.col(rank_col))), SCORE_DECIMALS).alias("rrf_score"),
         F.sort_array(F.collect_set(F.struct(F.coalesce(order[F.col(list_col)], F.lit(len(list_order))).alias("o"), F.col(list_col).alias("n")))).alias("_src"),
+        *[F.max(c).alias(c) for c in keep],
     )
-    fused = fused.select(query_id, *ids, "rrf_score", F.col("_src.n").alias("hybrid_sources"))
+    fused = fused.select(query_id, *ids, "rrf_score", F.col("_src.n").alias("hybrid_sources"), *keep)
     return top_k(fused, [query_id], "rrf_score", ids, k)
 
 
@@ -416,33 +390,17 @@ def hybrid_search(
     doc_vec: str = "embedding",
     candidates: int = RRF_CANDIDATES,
 ) -> DataFrame:
-    """vector top-50 and BM25 top-50 fused by RRF; the cosine score of a
-    hit is kept when the vector list found it (full outer join)."""
+    """the best ``max(candidates, k)`` by vectors and by BM25, fused by RRF;
+    the cosine score of a hit is kept when the vector list found it. The key
+    columns keep their types. The short lists are united and grouped once."""
     keys = list(doc_keys)
-    # The vector path needs one long id; pack the chunk key.
-    vid = (F.col(keys[0]).cast("long") * F.lit(1 << 20) + F.col(keys[1]).cast("long")) if len(keys) == 2 else F.col(keys[0]).cast("long")
-    index = chunks.select(vid.alias("_vid"), F.col(doc_vec).alias("_v"))
-    vec = vector_topk(queries, index, candidates, query_id, query_vec, "_vid", "_v")
-    vec = vec.select(
-        query_id,
-        (F.col("_vid") / F.lit(1 << 20)).cast("long").alias(keys[0]),
-        (F.col("_vid") % F.lit(1 << 20)).cast("int").alias(keys[1]),
-        F.col("score").alias("vector_score"),
-        F.col("rank").alias("vector_rank"),
-    ) if len(keys) == 2 else vec.select(query_id, F.col("_vid").alias(keys[0]), F.col("score").alias("vector_score"), F.col("rank").alias("vector_rank"))
-    kw = bm25_topk(queries, chunks, candidates, query_id, query_text, keys, doc_text).select(
-        query_id, *keys, F.col("score").alias("keyword_score"), F.col("rank").alias("keyword_rank")
-    )
-    both = vec.join(kw, [query_id, *keys], "full_outer")
-    ranked = both.select(
-        query_id, *keys, F.lit("vector").alias("list"), F.col("vector_rank").alias("rank")
-    ).where(F.col("rank").isNotNull()).unionByName(
-        both.select(query_id, *keys, F.lit("keyword").alias("list"), F.col("keyword_rank").alias("rank")).where(
-            F.col("rank").isNotNull()
-        )
+    n = max(candidates, k)
+    vec = vector_topk(queries, chunks, n, query_id, query_vec, keys, doc_vec)
+    kw = bm25_topk(queries, chunks, n, query_id, query_text, keys, doc_text)
+    ranked = vec.select(query_id, *keys, F.lit("vector").alias("list"), "rank", "score").unionByName(
+        kw.select(query_id, *keys, F.lit("keyword").alias("list"), "rank", F.lit(None).cast("double").alias("score"))
     )
-    fused = rrf_fuse(ranked, k, query_id, keys)
-    return fused.join(both.select(query_id, *keys, F.col("vector_score").alias("score")), [query_id, *keys], "left").select(
+    return rrf_fuse(ranked, k, query_id, keys, keep=["score"]).select(
         query_id, "rank", *keys, "rrf_score", "score", "hybrid_sources", F.lit(True).alias("hybrid_search")
     )
 

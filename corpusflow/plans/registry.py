@@ -182,9 +182,7 @@ register("vector_topk", _VEC_SQL)(
 
 
 def _chunk_index(spark, sf, dim=64) -> DataFrame:
-    chunks = _chunks(spark, sf)
-    vecs = ix.embed_hashed(chunks, ["doc_id", "chunk_index"], "content", dim)
-    return chunks.join(vecs, ["doc_id", "chunk_index"], "left")
+    return _chunks(spark, sf).withColumn("embedding", ix.embed_column("content", dim))
 
 
 def q_hybrid(spark, sf):
@@ -251,8 +249,9 @@ register("expand_parents", _EXPAND_SQL)(q_expand_parents)
 def _with_hit_text(spark, sf, hits: DataFrame, size=512, overlap=50) -> DataFrame:
     """Attach chunk text to top-k hits by re-chunking only the documents that
     were hit (a size-checked broadcast semi-join), not the whole corpus."""
-    from corpusflow.plans.strategy import bounded_broadcast
+    from corpusflow.plans.strategy import bounded_broadcast, materialize
 
+    hits = materialize(hits, "hits")  # k rows per query, used twice
     hit_docs, _ = bounded_broadcast(hits.select("doc_id").distinct())
     docs = T(spark, sf, "documents").join(hit_docs, "doc_id", "left_semi")
     return hits.join(ch.chunk_text(docs, "doc_id", "text", size, overlap), ["doc_id", "chunk_index"])
@@ -633,9 +632,9 @@ SELECT doc_id, bucket, round(weight, 6) AS weight FROM hv WHERE weight <> 0""",
 
 
 def q_index_rows(spark, sf):
-    chunks = _chunks(spark, sf).join(T(spark, sf, "documents").select("doc_id", F.col("source").alias("url")), "doc_id")
-    vecs = ix.embed_hashed(chunks, ["doc_id", "chunk_index"], "content", 64)
-    rows = ix.index_rows(chunks, vecs)
+    docs = T(spark, sf, "documents").select("doc_id", "text", F.col("source").alias("url"))
+    chunks = ch.chunk_text(docs, ["doc_id", "url"], "text").withColumn("embedding", ix.embed_column("content", 64))
+    rows = ix.index_rows(chunks)
     return rows.select(
         "id", "doc_id", "chunk_index", F.size("embedding").alias("dimension"), "text",
         F.col("metadata")["url"].alias("meta_url"), F.col("metadata")["chunk_index"].alias("meta_chunk_index"),

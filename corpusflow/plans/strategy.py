@@ -1,54 +1,39 @@
 """Physical choices shared by the operators.
 
-Two rules live here so that every operator applies them the same way:
-
-* ``spread``: CPU-heavy text work (tokenising, windowing, regex chains) on an
-  input read from fewer files than the cluster has cores is hash-partitioned
-  on its key first. On a real corpus the scan already yields far more
-  partitions than cores and no shuffle is added.
-* ``bounded_broadcast``: a side is broadcast only after its row count has been
-  measured against a bound. Beyond the bound the caller gets the plain frame
-  and must take its shuffle path (AQE may still convert it at run time).
+* ``bounded_broadcast``: a side is written once, its rows and bytes are
+  measured, and only then is it hinted as a broadcast. Beyond the bound the
+  caller gets the plain frame and a shuffle join of the same rows.
+* ``dense_position`` and ``running_sum``: positions and running totals inside
+  groups of any size without gathering a group in one task.
+* ``materialize``: lineage cuts as parquet tables in the shared folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Rows of a query-side table we are willing to ship to every executor.
-# A query row carries at most a few hundred terms or one vector of <= 3072
-# floats, so 50k rows stay well under 1 GB.
+#: Rows and bytes of a side that we are willing to ship to every executor.
 MAX_BROADCAST_ROWS = 50_000
+MAX_BROADCAST_BYTES = 64_000_000
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition ``df`` on ``keys`` only when its input comes from fewer
-    files than the cluster has cores (a small table of one or two row groups
-    would otherwise run its CPU-heavy text work in one task). A real corpus
-    arrives in thousands of files and is returned untouched, with no shuffle.
-
-    The decision uses ``inputFiles()``, a file listing that runs no job.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    if keys:
-        return df.repartition(cores, *keys)
-    return df.repartition(cores)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows.
-
-    Returns the (possibly hinted) frame and whether the hint was applied.
-    """
-    n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> tuple[DataFrame, bool]:
+    """Write ``df`` once and broadcast it if it has at most ``max_rows`` rows
+    and ``max_bytes`` bytes (as JSON). Returns the written frame, hinted or
+    not, and whether it was. Its plan runs once either way."""
+    side = materialize(df, "side")
+    size = side.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")
+    ).first()
+    if size["n"] <= max_rows and size["b"] <= max_bytes:
+        return F.broadcast(side), True
+    return side, False
 
 
 def dense_position(df: DataFrame, part: list[str], order: list[str], name: str = "position") -> DataFrame:
@@ -114,13 +99,21 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
 
     Unlike ``checkpoint()`` the plan runs once (no separate count job) and the
     rows are stored columnar. The folder is shared, so a lost executor costs
-    nothing already written; nothing goes to a machine-local folder.
+    nothing already written; nothing goes to a machine-local folder. The tables
+    stay readable until ``drop_materialized``.
     """
-    import uuid
-
     from corpusflow.session import shared_path
 
     spark = df.sparkSession
     path = shared_path(spark, f"tables/{name}-{uuid.uuid4().hex[:16]}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete every table that ``materialize`` wrote in this application, once
+    the caller has written or collected its results."""
+    from corpusflow.session import shared_path
+
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_path(spark, "tables"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,7 +1,7 @@
 """Session helpers.
 
 Library code never changes session settings: the cluster owns shuffle sizing,
-AQE and the checkpoint folder. ``local_session`` is for tests, the bench and
+AQE and the checkpoint folder (on a local master alone an unset folder is made). ``local_session`` is for tests, the bench and
 the driver contract only.
 """
 
@@ -42,8 +42,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared folder and is used as is. Only
-    when it is unset (local tests) do we make our own folder.
+    On a cluster that setting names a shared folder and is used as is. Where
+    it is unset, a local master gets a temporary folder; any other master is an
+    error, as its executors could not see one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,8 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -13,11 +13,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corpusflow.functions.urls import normalize_url
 from corpusflow.operators.chunking import chunk_text
-from corpusflow.operators.index import embed_hashed
+from corpusflow.operators.index import embed_column
 from corpusflow.session import shared_path
 
 
@@ -29,39 +28,38 @@ def run_dir(spark: SparkSession, name: str) -> str:
 # ---------------------------------------------------------------- I1
 
 
-def index_writer(base: str, id_cols=("doc_id", "chunk_index")):
-    """foreachBatch sink of I1: each micro-batch appends its vectors as its
-    own version folder (``v=<batch id>``, rewritten as a whole if the batch is
-    retried, so retries are idempotent). Readers resolve newest-per-id with
-    ``read_index``; nothing already written is rewritten, so a batch costs
-    its own size, not the index's."""
+def index_writer(base: str, id_col: str = "doc_id"):
+    """foreachBatch sink of I1, called with a batch's documents and their
+    chunks: both are written as version folders (``v=<batch id>``, rewritten as
+    a whole if the batch is retried, so retries are idempotent). Nothing already
+    written is touched, so a batch costs its own size, not the index's."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch.withColumn("version", F.lit(int(batch_id)).cast("long"))
-        out.write.mode("overwrite").parquet(os.path.join(base, f"v={int(batch_id):010d}"))
+    def write(docs: DataFrame, chunks: DataFrame, batch_id: int) -> None:
+        at, version = f"v={int(batch_id):010d}", F.lit(int(batch_id)).cast("long").alias("version")
+        chunks.select("*", version).write.mode("overwrite").parquet(os.path.join(base, "chunks", at))
+        docs.select(id_col, version).distinct().write.mode("overwrite").parquet(os.path.join(base, "docs", at))
 
     return write
 
 
-def read_index(spark: SparkSession, base: str, key: str = "chunk_id") -> DataFrame:
-    """The current index: newest version of every id (A13 over all versions)."""
-    all_versions = spark.read.parquet(base).drop("v")
-    w = Window.partitionBy(key).orderBy(F.col("version").desc())
-    return all_versions.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+def read_index(spark: SparkSession, base: str, id_col: str = "doc_id") -> DataFrame:
+    """The current index: of every document the chunks of its newest version
+    alone, so chunks that a shorter or blank version lost are gone."""
+    newest = spark.read.parquet(os.path.join(base, "docs")).groupBy(id_col).agg(F.max("version").alias("version"))
+    return spark.read.parquet(os.path.join(base, "chunks")).drop("v").join(newest, [id_col, "version"])
 
 
 def stream_ingest(stream: DataFrame, base: str, checkpoint: str, id_col: str = "doc_id", text_col: str = "text",
                   dim: int = 64, available_now: bool = True):
     """New rows (or files) -> chunks -> hashed vectors -> upsert, incrementally.
-    Chunking and embedding are per-row and run inside each micro-batch."""
+    Chunking and embedding are one projection inside each micro-batch. A batch
+    that repeats a document keeps one of its texts, the greatest."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        chunks = chunk_text(batch.select(id_col, text_col), id_col, text_col)
-        vecs = embed_hashed(chunks, [id_col, "chunk_index"], "content", dim)
-        rows = chunks.join(vecs, [id_col, "chunk_index"]).withColumn(
-            "chunk_id", F.concat_ws(":", F.col(id_col).cast("string"), F.col("chunk_index").cast("string"))
-        )
-        index_writer(base)(rows, batch_id)
+        docs = batch.groupBy(id_col).agg(F.max(text_col).alias(text_col))
+        rows = chunk_text(docs, id_col, text_col).withColumn("embedding", embed_column("content", dim)).where("embedding is not null")
+        rows = rows.withColumn("chunk_id", F.concat_ws(":", F.col(id_col).cast("string"), F.col("chunk_index").cast("string")))
+        index_writer(base, id_col)(docs, rows, batch_id)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -89,7 +87,7 @@ def stream_rate(stream: DataFrame, rpm: int, ts_col: str = "ts", delay: str = "1
 
 def updates_writer(base: str):
     """foreachBatch sink for update-mode aggregates: every micro-batch appends
-    the rows it changed; ``latest_counts`` keeps each window's final value."""
+    the rows it changed; the greatest count of a window is its final value."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).write.mode("overwrite").parquet(

@@ -102,3 +102,21 @@ def test_stream_ingest_incremental_upsert(spark):
     assert v2 == {"1:0": v1["1:0"], "2:0": "zeta eta", "3:0": "theta"}
     # the checkpoint remembers the first file: nothing is ingested twice
     assert st.read_index(spark, base).count() == 3
+
+
+def test_stream_ingest_replaces_all_chunks_of_a_document(spark):
+    import os
+
+    src = st.run_dir(spark, "t-shrink-src")
+    base, ck = st.run_dir(spark, "t-shrink-index"), st.run_dir(spark, "t-shrink-ck")
+    schema = "doc_id long, text string"
+    spark.createDataFrame([(1, "word " * 1500), (2, "keep")], schema).write.parquet(os.path.join(src, "a"))
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+    st.stream_ingest(stream, base, ck).awaitTermination()
+    assert st.read_index(spark, base).where("doc_id = 1").count() > 2
+    spark.createDataFrame([(1, "short now")], schema).write.parquet(os.path.join(src, "b"))
+    st.stream_ingest(stream, base, ck).awaitTermination()
+    assert {r.content for r in st.read_index(spark, base).collect()} == {"short now", "keep"}
+    spark.createDataFrame([(2, "  ")], schema).write.parquet(os.path.join(src, "c"))
+    st.stream_ingest(stream, base, ck).awaitTermination()
+    assert {r.content for r in st.read_index(spark, base).collect()} == {"short now"}

@@ -101,7 +101,7 @@ def test_vector_topk_paths_agree_with_numpy(spark):
     qs = ix.embed_hashed(spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text"),
                          "query_id", "text", 64)
     a = rt.vector_topk(qs, emb, k=7).collect()
-    b = rt.vector_topk(qs, emb, k=7, max_broadcast_rows=0, block_rows=16).collect()
+    b = rt.vector_topk(qs, emb, k=7, block_rows=16, query_rows=8).collect()
     key = lambda rows: sorted((r.query_id, r.rank, r.vec_id, r.score) for r in rows)
     assert key(a) == key(b)
     V = {r.vec_id: np.asarray(r.embedding, dtype=float) for r in emb.collect()}
@@ -157,10 +157,53 @@ def test_inspect_and_suggest(spark):
 def test_bm25_paths_agree(spark):
     docs = ch.chunk_text(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), "doc_id", "text", 256, 20)
     qs = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
-    fast = rt.bm25_topk(qs, docs, k=7).collect()
-    joined = rt.bm25_topk(qs, docs, k=7, max_cells=0).collect()
     key = lambda rows: sorted((r.query_id, r.rank, r.doc_id, r.chunk_index, r.score) for r in rows)
-    assert key(fast) == key(joined)
+    one = key(rt.bm25_topk(qs, docs, k=7).collect())
+    assert one == key(rt.bm25_topk(qs, docs, k=7, max_pairs=400).collect())  # several query blocks
+    assert one == key(rt.bm25_topk(qs, docs, k=7, max_terms=0).collect())  # no term is left out of the documents
+    pairs = rt.top_k(rt.bm25_scores(qs, docs), ["query_id"], "score", ["doc_id", "chunk_index"], 7)
+    assert one == key(pairs.collect())
+
+
+def test_bm25_odd_rows_same_for_all_blocks(spark):
+    """Null texts, string ids, scores that round to 0 and ties."""
+    rows = [(f"d{i:04d}", "w common" if i % 2 else "common " * 40) for i in range(300)] + [("null", None), ("empty", "")]
+    docs = spark.createDataFrame(rows, "doc_id string, content string")
+    qs = spark.createDataFrame([("b", "common"), ("a", "w"), ("c", "absent"), ("d", None), ("e", "W, common!")], "query_id string, text string")
+    key = lambda rows: sorted((r.query_id, r.rank, r.doc_id, r.score) for r in rows)
+    one = key(rt.bm25_topk(qs, docs, k=400, doc_keys="doc_id").collect())
+    assert {q for q, *_ in one} == {"a", "b", "e"} and sum(q == "b" for q, *_ in one) == 300
+    for kw in ({"max_pairs": 1}, {"max_terms": 0}):
+        assert one == key(rt.bm25_topk(qs, docs, k=400, doc_keys="doc_id", **kw).collect())
+    assert one == key(rt.top_k(rt.bm25_scores(qs, docs, doc_keys="doc_id"), ["query_id"], "score", ["doc_id"], 400).collect())
+    assert [d for q, r, d, _ in one if q == "a"][:2] == ["d0001", "d0003"]
+
+
+def test_rounding_is_that_of_spark(spark):
+    x = [0.0000005, 0.1234565, 2.5e-7, 1.0000004999, 3.3333335, 7.0, 0.4999995]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in x], "x double").select(F.round("x", 6)).collect()]
+    assert rt._round(np.array(x)).tolist() == got
+
+
+def test_search_over_stored_ids_and_wide_keys(spark):
+    """Ids keep their type: sha256 ids of index_rows, and 64-bit keys in the hybrid."""
+    chunks = spark.createDataFrame(
+        [(1 << 60, 0, "alpha beta"), ((1 << 60) + 1, 1 << 21, "alpha gamma"), (-5, 3, "delta")], "doc_id long, chunk_index int, content string"
+    ).withColumn("embedding", ix.embed_column("content"))
+    rows = ix.index_rows(chunks)
+    qs = spark.createDataFrame([("q", "alpha gamma"), ("z", "!!")], "query_id string, text string").withColumn("embedding", ix.embed_column("text"))
+    got = rt.vector_topk(qs, rows, k=2, id_col="id").collect()
+    best = [r for r in got if r["rank"] == 1]
+    assert len(got) == 2 and len(best[0]["id"]) == 64 and best[0]["score"] == 1.0
+    hits = rt.hybrid_search(qs, chunks, k=60).collect()
+    assert {(r.doc_id, r.chunk_index) for r in hits} == {(1 << 60, 0), ((1 << 60) + 1, 1 << 21), (-5, 3)}
+    assert hits[0].query_id == "q" and [r.doc_id for r in hits if r["rank"] == 1] == [(1 << 60) + 1]
+
+
+def test_row_local_plans_have_no_exchange(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for df in (ch.chunk_text(docs, "doc_id", "text"), ix.embed_hashed(docs, "doc_id", "text")):
+        assert "Exchange" not in df._jdf.queryExecution().toString()
 
 
 def test_match_text_brute_force(spark):
@@ -182,7 +225,7 @@ def test_vector_topk_mixed_dimensions(spark):
         "vec_id long, embedding array<double>",
     )
     q = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, embedding array<double>")
-    for rows in (rt.vector_topk(q, idx, k=5).collect(), rt.vector_topk(q, idx, k=5, max_broadcast_rows=0, block_rows=2).collect()):
+    for rows in (rt.vector_topk(q, idx, k=5).collect(), rt.vector_topk(q, idx, k=5, block_rows=2, query_rows=1).collect()):
         got = sorted((r.rank, r.vec_id, r.score) for r in rows)
         # vectors of another size (or none) never match
         assert got == [(1, 1, 1.0), (2, 4, 0.8), (3, 2, 0.5)]
