@@ -42,6 +42,15 @@ def int8_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row-wise products in float64, summed from the first component on, so
+    that the same pair has the same score wherever it is computed."""
+    out = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        out += a[:, j] * b[:, j]
+    return out
+
+
 def tile_topk(qid, q, vid, v, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query id, vector id, exact product) of at most k per query, such that
     the k nearest of the tile are among them."""
@@ -62,7 +71,7 @@ def tile_topk(qid, q, vid, v, k: int) -> Iterator[tuple[np.ndarray, np.ndarray,
         r, c = np.nonzero((mid + err >= best[:, None]) & ~own)
         for i in range(0, len(r), 1 << 16):
             ri, ci = r[i : i + (1 << 16)], c[i : i + (1 << 16)]
-            exact = np.einsum("ij,ij->i", q[ri], vv[ci])
+            exact = exact_products(q[ri], vv[ci])
             for row, score, x in zip(ri.tolist(), exact.tolist(), ids[ci].tolist()):
                 heap = kept[row]
                 if len(heap) < k:

@@ -63,7 +63,8 @@ class CRF:
         self.index = {f: i for i, f in enumerate(names)}
         d = len(names)
         self.weights = np.zeros((d + 1, k))  # the last row is the padding
-        coded = [[[self.index[f] for f in tok if f in self.index] for tok in s] for s in sequences]
+        codes = {id(tok): [self.index[f] for f in tok if f in self.index] for s in sequences for tok in s}
+        coded = [[codes[id(tok)] for tok in s] for s in sequences]
         width = max((len(tok) for s in coded for tok in s), default=1) or 1
         order = np.random.default_rng(7).permutation(len(coded)) if coded else np.array([], int)
         order = sorted(order.tolist(), key=lambda i: len(coded[i]) // 8)

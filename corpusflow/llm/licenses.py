@@ -92,7 +92,7 @@ FORMS = (
     (0.95, " under ", "under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?", " licen[cs]e"),
     (0.90, "ed by ", "(?:covered|governed) by (?:the )?", "(?: licen[cs]e)?"),
     (0.85, " licen", "licen[cs]e ", ""),
-    (0.70, " licen", "(?:the )?", " licen[cs]e"),
+    (0.70, " licen", "(?:the )?", "(?: v(?:ersion)?)?(?: [0-9]){0,2}(?: international| unported)? licen[cs]e"),
 )
 # Sentences that stand in one license's own text.
 SIGNATURES = (
@@ -134,7 +134,7 @@ BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2
 def _literal_words(pattern: str) -> list[str]:
     """Words of a pattern that every match holds: those outside of groups."""
     depth, flat = 0, []
-    for ch in pattern:
+    for ch in pattern.replace(" ?", " \0 "):  # an optional space joins words
         depth += ch == "("
         flat.append(ch if depth == 0 else " \0 ")
         depth -= ch == ")"

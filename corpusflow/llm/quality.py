@@ -21,7 +21,7 @@ from corpusflow.llm.toxicity import model_broadcast
 #: Hashed buckets of the indicators.
 BUCKETS = 1 << 18
 #: Training sample: documents per class and the longest document taken.
-PER_CLASS = {0: 2500, 1: 2500}
+PER_CLASS = {0: 2000, 1: 2000}
 TRAIN_CHARS = 20_000
 THRESHOLD = 0.3
 REPEATS = (1, 2, 4, 8)
@@ -117,10 +117,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, label: str =
     class alone every score is that class."""
     sample, weight = labelled_sample(docs, labels, label, train, per_class)
     short = sample.where(F.char_length("_text") <= TRAIN_CHARS)
-    got = short.select("_id", "_y", _indicator_column(F.col("_text")).alias("f")).collect()
-    got.sort(key=lambda r: (r["_id"], len(r["f"])))
-    rows, y = [np.array(r["f"], np.int32) for r in got], np.array([r["_y"] for r in got], int)
-    del got
+    got = short.select("_id", "_y", _indicator_column(F.col("_text")).alias("f")).toArrow()
+    table = zip(got["_id"].to_pylist(), got["_y"].to_pylist(), got["f"])
+    table = sorted(((i, k, f.values.to_numpy().astype(np.int32)) for i, k, f in table), key=lambda r: (r[0], len(r[2])))
+    rows, y = [r[2] for r in table], np.array([r[1] for r in table], int)
+    del got, table
+    return train_quality(rows, y, weight)
+
+
+def train_quality(rows: list[np.ndarray], y: np.ndarray, weight: dict[int, float]) -> QualityModel:
+    """Fit on the indicators and the labels (0 or 1) of documents; ``weight``
+    is how many labelled rows a row of each class stands for."""
     model = QualityModel()
     if len(rows) == 0 or y.min() == y.max():
         model.platt = (0.0 if len(rows) == 0 else 6.0 * (2 * int(y[0]) - 1), 0.0)

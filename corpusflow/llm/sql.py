@@ -1,3 +1,115 @@
-"""DuckDB SQL of the queries that SQL can express on whole tables."""
+"""DuckDB SQL of the queries that SQL can express on whole tables. The SQL
+carries its own patterns and constants."""
+
+from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op1_nearest"] = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.v, v.v) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.v) = len(v.v) WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLE["op5_token_rollups"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+  WHERE doc_id IS NOT NULL AND doc_id % 7 <> 3
+), f AS (
+  SELECT lang, CASE WHEN doc_id % 11 = 2 AND doc_id % 5 <> 1 THEN 'moved' ELSE source END AS source,
+    CASE WHEN doc_id % 5 = 1 THEN text || ' ' || text ELSE text END AS text FROM d
+), c AS (
+  SELECT source, lang, 'words-1' AS tokenizer,
+    len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS tokens FROM f
+  UNION ALL
+  SELECT source, lang, 'quarter-1', CAST((length(text) + 3) // 4 AS BIGINT) FROM f
+)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM c GROUP BY ALL
+"""
+
+_WORDS = (
+    "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+)
+
+ORACLE["op9_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT item_id, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS o FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, array_to_string(w[o + 1 : o + 10], ' ') AS g, CAST(least(len(w), 10) AS BIGINT) AS n FROM bw),
+lens AS (SELECT DISTINCT n FROM win),
+grams AS (
+  SELECT doc_id, n, s, array_to_string(w[s + 1 : s + n], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM d, lens WHERE len(w) >= n)
+),
+hit AS (SELECT doc_id, s, win.n, item_id FROM grams JOIN win ON grams.g = win.g AND grams.n = win.n),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+
+def _template_level(i: int) -> str:
+    """One level of the tree: counts, node totals, literal segments, step."""
+    src = f"t{i}"
+    return f"""
+s{i} AS (SELECT *, segs[{i + 1}] AS s FROM {src}),
+c{i} AS (SELECT host, template, s, count(*) AS n FROM s{i} WHERE s IS NOT NULL GROUP BY ALL),
+l{i} AS (SELECT host, template, s FROM (SELECT *, sum(n) OVER (PARTITION BY host, template) AS total FROM c{i}) WHERE n >= 4 AND n >= total * 0.02),
+t{i + 1} AS (
+  SELECT s{i}.* EXCLUDE (s, template), CASE WHEN s{i}.s IS NULL THEN s{i}.template
+    ELSE s{i}.template || '/' || CASE WHEN l{i}.s IS NOT NULL THEN s{i}.s ELSE '*' || regexp_extract(s{i}.s, '(\\.[A-Za-z][A-Za-z0-9]{{0,4}})$', 1) END END AS template
+  FROM s{i} LEFT JOIN l{i} ON s{i}.host = l{i}.host AND s{i}.template = l{i}.template AND s{i}.s = l{i}.s
+),"""
+
+
+ORACLE["op10_url_filter"] = (
+    r"""
+WITH u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), r AS (
+  SELECT *, CASE
+      WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM u
+), m AS (SELECT CAST(doc_id AS VARCHAR) AS key, max(1 - quality) AS bad FROM labels WHERE doc_id IS NOT NULL AND quality IN (0, 1) GROUP BY 1),
+t0 AS (
+  SELECT page_id, host, path, rule, bad, string_split(regexp_replace(path, '^/', ''), '/') AS segs, '' AS template
+  FROM r LEFT JOIN m ON regexp_extract(path, '/([0-9]+)(?:[./]|$)', 1) = m.key
+),"""
+    + "".join(_template_level(i) for i in range(4))
+    + r"""
+t AS (SELECT * REPLACE (CASE WHEN len(segs) > 4 THEN template || '/**' ELSE template END AS template) FROM t4),
+n AS (SELECT *, regexp_replace(template, '^/[^/]*', '') AS node FROM t),
+leaf AS (SELECT host, node, template, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM n GROUP BY ALL),
+whole AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.0) AS prior FROM leaf),
+rated AS (
+  SELECT *, CAST(sum(bad) OVER (PARTITION BY host, node) AS DOUBLE) / greatest(sum(n) OVER (PARTITION BY host, node), 1) AS rate FROM leaf
+),
+merged AS (SELECT *, abs(bad - n * rate) <= 1.96::DOUBLE * sqrt(n * rate * (1.0::DOUBLE - rate)) AS merged FROM rated),
+judged AS (
+  SELECT host, template,
+    CASE WHEN merged THEN sum(bad) FILTER (WHERE merged) OVER (PARTITION BY host, node) ELSE bad END AS b,
+    CASE WHEN merged THEN sum(n) FILTER (WHERE merged) OVER (PARTITION BY host, node) ELSE n END AS k FROM merged
+)
+SELECT page_id, n.host, path, rule,
+  CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN (b + 8.0::DOUBLE * prior) / (k + 8.0::DOUBLE) >= 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+  n.template
+FROM n JOIN judged ON n.host = judged.host AND n.template = judged.template, whole
+"""
+)
