@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusflow.functions.html import COMMENT, SCRIPT, STYLE, decode_entities, strip_edges
+from corpusflow.functions.html import ATTRS, COMMENT, SCRIPT, STYLE, decode_entities, strip_edges
 from corpusflow.functions.urls import in_scope, normalize_url, resolve_url, skip_extension, url_host
 from corpusflow.plans.strategy import dense_position
 
-A_TAG = r"(?is)<a\s[^>]*>"
+A_TAG = r"(?is)<a\s" + ATTRS + ">"
 HREF_DQ = r'(?is)\shref\s*=\s*"([^"]*)"'
 HREF_SQ = r"(?is)\shref\s*=\s*'([^']*)'"
 HREF_NQ = r"""(?is)\shref\s*=\s*([^\s"'>]+)"""

@@ -17,7 +17,7 @@ from corpusflow.operators import chunking as ch
 from corpusflow.operators import index as ix
 from corpusflow.operators import retrieval as rt
 from corpusflow.plans import sql_parts as S
-from corpusflow.session import read_table
+from corpusflow.session import read_table, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -325,6 +325,23 @@ register("html_text", f"SELECT page_id, {S.html_text('html')} AS text FROM pages
     lambda spark, sf: oh.extract_text(_pages(spark, sf, "page_id", "html")).select("page_id", "text")
 )
 
+def _odd_pages(spark, sf) -> DataFrame:
+    """Pages whose text and links are known, built around their id and url."""
+    i = F.col("page_id").cast("string")
+    body = F.concat(
+        F.lit('<title>No &'), i, F.lit('</title><p title="1>0">'), i, F.lit(" &lt; &eacute;&rarr; 1 < 2 and 3 > 2 &#38;amp; &#9999999;</p>"),
+        F.lit("<!-- <a href='/gone'> --><a title=\'x>y\' href=/q/"), i, F.lit(">q</a> <a\n href = '?p=1&amp;r=2'>r</a><a name=n>n</a>"),
+    )
+    end = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<script>var a = '</p>' <a href='/no'>"), i)).otherwise(F.lit("<style>p{}</style>end"))
+    return _pages(spark, sf, "page_id", "url").withColumn("html", F.concat(body, end))
+
+
+register(
+    "html_text_odd",
+    """SELECT page_id, 'No &' || page_id || ' ' || page_id || ' < é→ 1 < 2 and 3 > 2 &amp; ' || chr(65533) || ' q r n'
+       || CASE WHEN page_id % 2 = 0 THEN '' ELSE ' end' END AS text FROM pages""",
+)(lambda spark, sf: oh.extract_text(_odd_pages(spark, sf)).select("page_id", "text"))
+
 register("page_title", f"SELECT page_id, {S.title('html')} AS title FROM pages")(
     lambda spark, sf: oh.page_titles(_pages(spark, sf, "page_id", "html")).select("page_id", "title")
 )
@@ -503,8 +520,34 @@ SELECT host, arg_min(sitemap_url, pos) AS sitemap_url FROM s WHERE sitemap_url I
 )(q_robots)
 
 
+_HREFS = ["/abs", "rel", "../up", "./here", "?q=1", "#top", "//other.example.com/x", "mailto:a@b.c", "https://else.example.org/y?z#f", "a/../b/."]
+
+
+def _varied_links(spark, sf) -> DataFrame:
+    """One link of every kind per page."""
+    return _pages(spark, sf, "page_id", "url").select("page_id", "url", F.posexplode(F.array(*map(F.lit, _HREFS))).alias("pos", "href"))
+
+
+_VARIED_SQL = f"""v AS (SELECT page_id, url, CAST(unnest(range({len(_HREFS)})) AS INTEGER) AS pos, unnest([{", ".join(S.q(h) for h in _HREFS)}]) AS href FROM pages)"""
+
+# The expected target of each kind, from the url's scheme, host, path and query.
+_TARGET_SQL = """p AS (
+  SELECT *, regexp_extract(url, '^([a-z]+):', 1) AS sch, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS org,
+    regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS pa, split_part(url, '#', 1) AS nofrag FROM v
+), d AS (SELECT *, regexp_replace(pa, '[^/]*$', '') AS dir FROM p),
+t AS (SELECT page_id, url, pos, href, regexp_replace(split_part(CASE pos
+    WHEN 0 THEN org || '/abs' WHEN 1 THEN org || dir || 'rel' WHEN 2 THEN org || regexp_replace(rtrim(dir, '/'), '[^/]*$', '') || CASE WHEN rtrim(dir, '/') = '' THEN '/up' ELSE 'up' END
+    WHEN 3 THEN org || dir || 'here' WHEN 4 THEN split_part(nofrag, '?', 1) || '?q=1' WHEN 5 THEN nofrag
+    WHEN 6 THEN sch || '://other.example.com/x' WHEN 7 THEN 'mailto:a@b.c' WHEN 8 THEN 'https://else.example.org/y?z' WHEN 9 THEN org || dir || 'b/'
+    END, '#', 1), '/+$', '') AS target FROM d)"""
+
+register("resolve_links_varied", f"WITH {_VARIED_SQL}, {_TARGET_SQL} SELECT page_id, pos, href, target FROM t")(
+    lambda spark, sf: ol.resolve_links(_varied_links(spark, sf)).select("page_id", "pos", "href", "target")
+)
+
+
 def q_redact(spark, sf):
-    links = ol.resolve_links(ol.harvest_links(_pages(spark, sf, "page_id", "url", "html")))
+    links = ol.resolve_links(_varied_links(spark, sf))
     req = links.select(
         "page_id", "pos", F.col("target").alias("url"), F.col("url").alias("root"),
         F.concat(F.lit("session="), F.col("page_id").cast("string")).alias("cookies"),
@@ -515,9 +558,9 @@ def q_redact(spark, sf):
 
 register(
     "redact_credentials",
-    f"""WITH {S.links_cte()},
-r AS (SELECT page_id, pos, {S.resolve('url', 'href')} AS target, url AS root FROM links),
-s AS (SELECT *, {S.in_scope('target', 'root', False)} AS ok FROM r)
+    f"""WITH {_VARIED_SQL}, {_TARGET_SQL},
+h AS (SELECT *, lower(regexp_extract(target, '^[a-z]+://([^/?#:]*)', 1)) AS th, lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) AS rh FROM t),
+s AS (SELECT *, th <> '' AND th = rh AS ok FROM h)
 SELECT page_id, pos, target AS url, CASE WHEN ok THEN 'session=' || CAST(page_id AS VARCHAR) END AS cookies,
        CASE WHEN ok THEN 'X-Page: ' || CAST(page_id AS VARCHAR) END AS headers, ok AS send_credentials FROM s""",
 )(q_redact)
@@ -901,25 +944,32 @@ SELECT job, files_processed, files_failed, total_chunks, total_chunks AS vectors
 )(q_ingest_report)
 
 
+_STATUSES = [200, 204, 401, 402, 403, 404, 418, 422, 429, 500, 502, 503]
+
+
 def q_status(spark, sf):
-    pages = _pages(spark, sf, "page_id", "url", "html")
-    links = ol.resolve_links(ol.harvest_links(pages))
-    fetch = ol.page_keys(pages).select(F.col("nurl").alias("target"), F.lit(True).alias("_f"))
-    log = links.join(fetch, "target", "left").select(
-        F.when(F.col("_f"), F.lit(200)).otherwise(F.lit(404)).alias("status"), F.lit(None).cast("string").alias("retry_after")
+    """Every event is a response: its id picks a status and a retry_after that
+    is a number, a text or missing."""
+    i = F.col("event_id")
+    log = T(spark, sf, "events").select(
+        F.element_at(F.array(*map(F.lit, _STATUSES)), (i % len(_STATUSES) + 1).cast("int")).alias("status"),
+        F.when(i % 5 == 0, F.lit("30")).when(i % 5 == 1, F.lit("soon")).when(i % 5 == 2, F.lit("")).when(i % 5 == 3, (i % 600).cast("string")).alias("retry_after"),
+    )
+    return oa.classify_status(log).groupBy("error_class").agg(
+        F.count(F.lit(1)).alias("n"), F.count("retry_after_s").alias("n_retry"), F.sum("retry_after_s").cast("long").alias("retry_s")
     )
-    return oa.status_counts(oa.classify_status(log))
 
 
 register(
     "classify_status",
-    f"""WITH {S.links_cte()},
-r AS (SELECT {S.resolve('url', 'href')} AS target FROM links),
-fe AS (SELECT DISTINCT {S.normalize_url('url')} AS target FROM pages),
-lg AS (SELECT CASE WHEN fe.target IS NOT NULL THEN 200 ELSE 404 END AS status FROM r LEFT JOIN fe USING (target))
-SELECT CASE WHEN status BETWEEN 200 AND 299 THEN 'ok' WHEN status = 402 THEN 'credits' WHEN status IN (401, 403) THEN 'auth'
+    f"""WITH lg AS (
+  SELECT {_STATUSES}[event_id % {len(_STATUSES)} + 1] AS status,
+    CASE event_id % 5 WHEN 0 THEN 30 WHEN 3 THEN event_id % 600 END AS retry FROM events
+)
+SELECT CASE WHEN status IN (200, 204) THEN 'ok' WHEN status = 402 THEN 'credits' WHEN status IN (401, 403) THEN 'auth'
             WHEN status = 422 THEN 'validation' WHEN status = 429 THEN 'rate_limit' WHEN status = 503 THEN 'busy'
-            WHEN status >= 500 THEN 'server' ELSE 'generic' END AS error_class, count(*) AS n
+            WHEN status IN (500, 502) THEN 'server' ELSE 'generic' END AS error_class, count(*) AS n,
+  count(retry) FILTER (WHERE status = 503) AS n_retry, CAST(sum(retry) FILTER (WHERE status = 503) AS BIGINT) AS retry_s
 FROM lg GROUP BY 1""",
 )(q_status)
 
@@ -1042,8 +1092,8 @@ FROM conversations GROUP BY conv_id, floor(turn / 1000)""",
 register(
     "xml_text",
     f"""WITH {_sitemaps_sql()}
-SELECT sitemap_url AS file, CASE WHEN regexp_matches(xml, {S.q(fm.XML_DOC)})
-  THEN array_to_string(list_filter(list_transform(regexp_extract_all(xml, {S.q(fm.XML_TEXT)}, 1), lambda t: {S.strip_edges(S.decode('t'))}), lambda t: t <> ''), chr(10))
+SELECT sitemap_url AS file, CASE WHEN ends_with(xml, '</urlset>')
+  THEN array_to_string(list_filter(list_transform(regexp_extract_all(xml, '<loc>([^<]+)', 1), lambda t: {S.strip_edges(S.decode('t'))}), lambda t: t <> ''), chr(10))
   ELSE xml END AS text FROM sm""",
 )(
     lambda spark, sf: fm.xml_text(ol.build_sitemaps(_pages(spark, sf, "page_id", "url")).select(F.col("sitemap_url").alias("file"), F.col("xml").alias("text")))
@@ -1068,11 +1118,27 @@ UNION ALL SELECT l_orderkey, 1, 0, row_index, 'qty', qty FROM r""",
 
 
 def q_scan(spark, sf):
-    return sfiles.scan_corpus(spark, sf, extensions=[".parquet"]).select("name", "suffix", "source_type", "length")
+    """Documents and pages are written as text, JSON and CSV files into nested
+    folders of the shared checkpoint folder and scanned back: one row per line."""
+    import uuid
 
+    base = shared_path(spark, f"scan/{uuid.uuid4().hex[:12]}")
+    d = T(spark, sf, "documents").select("doc_id", "lang", F.regexp_replace("text", r"[\r\n]+", " ").alias("text"))
+    d.select("lang", "text").write.partitionBy("lang").text(f"{base}/docs")
+    T(spark, sf, "pages").select("url").write.json(f"{base}/pages/json")
+    T(spark, sf, "pages").select("page_id").write.csv(f"{base}/pages/deep/csv")
+    T(spark, sf, "pages").select("page_id").write.orc(f"{base}/pages/other")
+    found = sfiles.scan_corpus(spark, base)
+    lines = found.select("suffix", "source_type", F.explode(F.split(F.regexp_replace("text", r"\n$", ""), "\n")).alias("line"))
+    return lines.groupBy("suffix", "source_type").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.char_length("line")).alias("n_chars"))
 
-# A folder listing has no SQL form over the registered views.
-register("scan_corpus")(q_scan)
+
+register(
+    "scan_corpus",
+    r"""SELECT '.txt' AS suffix, 'text' AS source_type, count(*) AS n_lines, CAST(sum(length(regexp_replace(text, '[\r\n]+', ' ', 'g'))) AS BIGINT) AS n_chars FROM documents
+UNION ALL SELECT '.json', 'json', count(*), CAST(sum(length('{"url":"' || url || '"}')) AS BIGINT) FROM pages
+UNION ALL SELECT '.csv', 'csv', count(*), CAST(sum(length(CAST(page_id AS VARCHAR))) AS BIGINT) FROM pages""",
+)(q_scan)
 
 
 def q_missing(spark, sf):

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.plans.strategy import MAX_BROADCAST_ROWS
+
 # Default suffixes of a folder ingest.
 DEFAULT_EXTENSIONS = [
     ".md", ".txt", ".text", ".json", ".yaml", ".yml", ".csv", ".xlsx", ".xls", ".docx", ".ipynb",
@@ -58,23 +60,26 @@ def scan_corpus(
     ``max_files``. Bytes that are not UTF-8 become U+FFFD. Output: path, name,
     suffix, source_type, length, text.
 
-    Spark's file listing skips hidden names (leading '.' or '_'); the
-    reference's ``rglob`` does not.
+    The suffixes are a glob of the listing, so other files are never opened;
+    ``max_files`` is decided on the listing alone, and only the files that stay
+    are read. Spark's listing itself leaves out names with a leading '.' or '_'.
     """
     exts = list(DEFAULT_EXTENSIONS if extensions is None else extensions)
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    glob = "*{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in exts) + "}"
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     name = F.element_at(F.split("path", "/"), -1)
     df = raw.select("path", name.alias("name"), "length", "content").withColumn("suffix", file_suffix("name"))
     df = df.where(F.col("suffix").isin(exts))
     if not recursive:
         root = path.rstrip("/")
         df = df.where(F.regexp_replace("path", r"^file:", "").rlike("^(?:/+)?" + _rx(root.lstrip("/")) + "/[^/]+$"))
+    if max_files is not None:
+        first = df.select("path").orderBy("path").limit(max_files)  # the content is pruned here
+        df = df.join(F.broadcast(first) if max_files <= MAX_BROADCAST_ROWS else first, "path", "left_semi").orderBy("path")
     out = df.select(
         "path", "name", "suffix", classify_source_type("path").alias("source_type"), "length",
         F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
     )
-    if max_files is not None:
-        out = out.orderBy("path").limit(max_files)
     return out
 
 

@@ -18,6 +18,7 @@ from corpusflow.functions.html import decode_entities
 JSON_TEXT_KEYS = ["text", "content", "html", "body", "markdown", "description"]
 XML_TEXT = r"<(?:[A-Za-z_:]|[A-Za-z_:][^<>]*[^<>/])>([^<]+)"
 XML_DOC = r"(?s)^\s*(?:<\?xml[^>]*\?>\s*)?(?:<!--.*?-->\s*)*<[A-Za-z_:][^>]*>.*</[A-Za-z_:][A-Za-z0-9_:.\-]*\s*>\s*$"
+XML_TAG = r"""(?s)</?[A-Za-z_:](?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>"""
 PY_WS = r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$"
 
 
@@ -167,13 +168,46 @@ def notebook_text(files: DataFrame, file_col: str = "file", text_col: str = "tex
     return g.unionByName(bad)
 
 
+def _plain_xml(x: Column) -> Column:
+    """Without comments and processing instructions, CDATA as escaped text."""
+    x = F.regexp_replace(x, r"(?s)<!--.*?-->", "")
+    x = F.regexp_replace(x, r"(?s)<\?.*?\?>", "")
+    pieces = F.split(x, r"<!\[CDATA\[")
+
+    def unwrap(p: Column) -> Column:
+        end = F.instr(p, "]]>")
+        body = F.replace(F.replace(F.replace(F.substring(p, F.lit(1), end - 1), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        return F.when(end > 0, F.concat(body, F.substring(p, end + 3, F.length(p)))).otherwise(F.concat(F.lit("<![CDATA["), p))
+
+    rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), unwrap)
+    return F.concat(pieces[0], F.array_join(rest, ""))
+
+
+def _balanced(x: Column) -> Column:
+    """Do the tags open and close in pairs, inside one root? The open names are
+    a stack in one string; an end that does not fit leaves a mark."""
+    tags = F.regexp_extract_all(x, F.lit(XML_TAG), 0)
+
+    def step(stack: Column, tag: Column) -> Column:
+        name = F.concat(F.regexp_extract(tag, r"^</?([^\s/>]+)", 1), F.lit("\u0002"))
+        return (
+            F.when(tag.startswith("</"), F.when(F.endswith(stack, F.concat(F.lit("\u0002"), name)), F.substring(stack, F.lit(1), F.length(stack) - F.length(name))).otherwise(F.lit("!")))
+            .when(tag.endswith("/>"), stack)
+            .otherwise(F.concat(stack, name))
+        )
+
+    return F.aggregate(tags, F.lit("\u0002"), step) == F.lit("\u0002")
+
+
 def xml_text(files: DataFrame, file_col: str = "file", text_col: str = "text") -> DataFrame:
     """Each element's own leading text (tails ignored), stripped,
-    non-blank, newline-joined in document order; a document that does not
-    look well formed (root element not closed at the end) stays raw."""
+    non-blank, newline-joined in document order. Comments are no text, CDATA
+    is; a document whose tags do not pair up stays raw."""
     x = F.col(text_col)
-    parts = F.filter(F.transform(F.regexp_extract_all(x, F.lit(XML_TEXT), 1), lambda t: _strip(decode_entities(t))), lambda t: t != "")
-    return files.select(file_col, F.when(x.rlike(XML_DOC), F.array_join(parts, "\n")).otherwise(x).alias("text"))
+    plain = files.select(file_col, x.alias("_raw"), _plain_xml(x).alias("_x"))
+    parts = F.filter(F.transform(F.regexp_extract_all("_x", F.lit(XML_TEXT), 1), lambda t: _strip(decode_entities(t))), lambda t: t != "")
+    good = F.col("_x").rlike(XML_DOC) & _balanced(F.col("_x"))
+    return plain.select(file_col, F.when(good, F.array_join(parts, "\n")).otherwise(F.col("_raw")).alias("text"))
 
 
 def flatten_tables(df: DataFrame, id_col: str = "doc_id", tables_col: str = "tables") -> DataFrame:

@@ -1,12 +1,11 @@
 """B1, B2, B6, B7, A8 against the standard library on small tables."""
 
-from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.functions.html import html_text, page_title
+from corpusflow.functions.html import decode_entities, html_text, page_title
 from corpusflow.functions.urls import in_scope, normalize_url, resolve_url
 from corpusflow.operators.links import harvest_links
 from tests.conftest import SF_SMALL
@@ -57,57 +56,49 @@ def test_normalize(spark):
     assert [r.n for r in df.select(normalize_url("u").alias("n")).collect()] == ["https://a.com/x", "https://a.com/x", "https://a.com/x?q=1"]
 
 
-class _Text(HTMLParser):
-    def __init__(self):
-        super().__init__()
-        self.parts, self.skip = [], False
-
-    def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self.skip = True
-
-    def handle_endtag(self, tag):
-        if tag in ("script", "style"):
-            self.skip = False
-
-    def handle_data(self, data):
-        if not self.skip and data.strip():
-            self.parts.append(data.strip())
-
-
-class _Links(HTMLParser):
-    def __init__(self):
-        super().__init__()
-        self.links = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "a":
-            for k, v in attrs:
-                if k == "href" and v:
-                    self.links.append(v)
-
-
-def test_html_text_and_links_match_stdlib(spark):
-    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
-    extra = spark.createDataFrame(
-        [(10_000, "https://x.com/", "<p>a &lt;b&gt; &#233;&#x41; &amp;lt;</p><a href='/q'>q</a><a href=/r>r</a><a href=\"\">e</a><!-- <a href='/no'> -->"),
-         (10_001, "https://x.com/y", "<html><head><title> T &amp; t </title></head><body><SCRIPT>x<y</SCRIPT>  z  </body></html>")],
-        "page_id long, url string, html string",
-    )
-    pages = pages.unionByName(extra)
-    rows = pages.select("page_id", "html", html_text("html").alias("t")).collect()
-    for r in rows:
-        p = _Text()
-        p.feed(r.html)
-        assert r.t == " ".join(p.parts), r.page_id
-    links = harvest_links(pages).collect()
-    got = {}
-    for r in sorted(links, key=lambda r: (r.page_id, r.pos)):
-        got.setdefault(r.page_id, []).append(r.href)
-    for r in rows:
-        p = _Links()
-        p.feed(r.html)
-        assert got.get(r.page_id, []) == p.links, r.page_id
+# (html, visible text, links): written by hand.
+HTML_CASES = [
+    ("<p>a &lt;b&gt; &#233;&#x41; &amp;lt;</p><a href='/q'>q</a><a href=/r>r</a><a href=\"\">e</a><!-- <a href='/no'> -->", "a <b> éA &lt; q r e", ["/q", "/r"]),
+    ("<html><head><title> T &amp; t </title></head><body><SCRIPT>x<y</SCRIPT>  z  </body></html>", "T & t z", []),
+    ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2", []),
+    ('<a title="1>0" href="/y">y</a>', "y", ["/y"]),
+    ("<a title='a>b' href=/z>z</a><b>x</b>", "z x", ["/z"]),
+    ("before<script>var a = '</p>'; <a href='/no'>", "before", []),
+    ("before<style>p{}", "before", []),
+    ("&eacute;&rarr;&notit;&copy 5 &unknown; & &#9999999; &#38;amp; &#0; &#x80; &AMP", "é→¬it;© 5 &unknown; & \ufffd &amp; \ufffd € &", []),
+    ("<!DOCTYPE html><?php x ?>t<br/>u", "t u", []),
+    ("", "", []),
+]
+
+
+def test_html_text_and_links_by_hand(spark):
+    pages = spark.createDataFrame([(i, "https://x.com/", h) for i, (h, _, _) in enumerate(HTML_CASES)], "page_id long, url string, html string")
+    text = {r.page_id: r.t for r in pages.select("page_id", html_text("html").alias("t")).collect()}
+    links = {}
+    for r in sorted(harvest_links(pages).collect(), key=lambda r: (r.page_id, r.pos)):
+        links.setdefault(r.page_id, []).append(r.href)
+    for i, (h, t, hrefs) in enumerate(HTML_CASES):
+        assert text[i] == t, h
+        assert links.get(i, []) == hrefs, h
+
+
+def test_entities_equal_the_standard_library(spark):
+    import html as stdlib
+    import html.entities
+
+    names = [f"x&{n}y &{n}" for n in html.entities.html5]
+    names += [f"&#{n};|&#x{n:x};|&#{n}" for n in [*range(0, 300), 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF, 0x110000, 10**9]]
+    names += ["&", "&;", "&#;", "&#x;", "&&lt;&", "a&b&c", "&ltx", "&amp;amp;", "no reference"]
+    df = spark.createDataFrame([(n,) for n in names], "s string")
+    for r in df.select("s", decode_entities("s").alias("d")).collect():
+        assert r.d == stdlib.unescape(r.s), r.s
+
+
+def test_long_tags_do_not_recurse(spark):
+    page = "<a " + " ".join(f'data-{i}="{i}>"' for i in range(3000)) + ' href="/end">t</a>'
+    df = spark.createDataFrame([(1, "https://x.com/", page)], "page_id long, url string, html string")
+    assert [r.href for r in harvest_links(df).collect()] == ["/end"]
+    assert df.select(html_text("html").alias("t")).first().t == "t"
 
 
 def test_title(spark):
