@@ -3,25 +3,19 @@
 SQL (C7) is row-local: a file's lines, its boundary positions and its blocks
 are arrays of the file's own row, so splitting needs no shuffle at all.
 
-Python (C8-C10) is a line-table job: one row per line, flags per line, and
-per-file windows (a file was one row to begin with, so a window group is
-bounded by one file). Units are found from column-0 lines instead of an AST:
-a column-0 ``class`` / ``def`` / ``async def`` opens a unit that ends at its
-last code line before the next column-0 line that is not blank, a comment or
-a lone closing bracket. This differs from an AST only inside multi-line
-strings that hold column-0 text, and on files with syntax errors (which the
-reference keeps whole).
-
-Lines are split on ``\\n`` only.
+Python (C8-C10) is row-local too: a small Arrow helper gives the line spans of
+a file's top-level statements as Python's own parser sees them, everything
+else (texts, uncovered runs, relevant imports) is arrays of the file's row. A
+file that does not parse is kept whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+import ast
 
-from corpusflow.plans.strategy import materialize
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # The statement-start pattern and the statement types, in order.
 SQL_STATEMENT = (
@@ -48,9 +42,6 @@ SQL_TYPES = [
     "INSERT INTO", "UPDATE", "DELETE FROM", "SELECT", "WITH", "MERGE", "TRUNCATE", "GRANT", "REVOKE",
 ]
 PY_STRIP = r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$"
-PY_OPENER = r"^(class|def|async[ \t]+def)[ \t]+([A-Za-z_][A-Za-z0-9_]*)"
-PY_LONE_BRACKET = r"^[)\]}][)\]}:,; \t]*$"
-PY_IMPORT = r"^(import|from)[ \t]"
 
 
 def _strip(c):
@@ -91,92 +82,82 @@ def sql_units(files: DataFrame, file_col: str = "file", text_col: str = "text")
     return blocks.unionByName(whole)
 
 
-def _lines(files: DataFrame, file_col: str, text_col: str) -> DataFrame:
-    # Lines as str.splitlines() gives them for '\n' endings: no empty last line.
-    lines = F.split(F.regexp_replace(F.col(text_col), "\n$", ""), "\n")
-    ln = files.select(file_col, F.posexplode(lines).alias("_i", "line"))
-    ln = ln.select(file_col, (F.col("_i") + 1).alias("ln"), "line")
-    sig = (
-        F.col("line").rlike(r"^[^ \t#\r\f\x0B]")
-        & ~F.col("line").rlike(PY_LONE_BRACKET)
-    )
-    code = (_strip("line") != "") & ~_strip("line").startswith("#")
-    w = Window.partitionBy(file_col).orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
-    return ln.withColumn("sig", sig).withColumn("code", code).withColumn("seg", F.sum(F.col("sig").cast("int")).over(w))
-
-
-def _segments(lines: DataFrame, file_col: str) -> DataFrame:
-    """Per column-0 segment: its first line, kind and last code line."""
-    first = lines.where("sig").select(file_col, "seg", F.col("ln").alias("start"), F.col("line").alias("head"))
-    last = lines.where("code").groupBy(file_col, "seg").agg(F.max("ln").alias("end"))
-    s = first.join(last, [file_col, "seg"], "left").withColumn("end", F.coalesce("end", "start"))
-    kind = (
-        F.when(F.col("head").rlike(r"^class[ \t]"), F.lit("class"))
-        .when(F.col("head").rlike(r"^async[ \t]+def[ \t]"), F.lit("async_function"))
-        .when(F.col("head").rlike(r"^def[ \t]"), F.lit("function"))
-        .when(F.col("head").rlike(PY_IMPORT), F.lit("import"))
-    )
-    return s.withColumn("kind", kind).withColumn("name", F.regexp_extract("head", PY_OPENER, 2))
+_SPAN = "array<struct<kind:string,name:string,s:int,e:int,names:array<string>>>"
+_KINDS = {ast.ClassDef: "class", ast.FunctionDef: "function", ast.AsyncFunctionDef: "async_function"}
 
 
-def _import_names(stmt) -> F.Column:
-    """Names an import statement binds (brackets and line breaks removed, so
-    ``from x import (a, b)`` binds a and b)."""
-    flat = F.regexp_replace(F.regexp_replace(stmt, r"[()\\]", " "), r"[ \t\r\n]+", " ")
-    flat = _strip(flat)
-    after = F.when(flat.startswith("from "), F.element_at(F.split(flat, " import ", 2), 2)).otherwise(
-        F.substring(flat, 8, 1 << 30)
-    )
-    parts = F.transform(F.split(F.coalesce(after, F.lit("")), ","), lambda p: _strip(p))
-    names = F.transform(parts, lambda p: F.when(p.contains(" as "), _strip(F.element_at(F.split(p, " as "), -1))).otherwise(p))
-    return F.filter(names, lambda n: n != "")
+def _spans_of(text: str) -> list[dict] | None:
+    """Top-level definitions and imports with their lines; None where the text
+    is not Python."""
+    try:
+        body = ast.parse(text or "").body
+    except (SyntaxError, ValueError, RecursionError, MemoryError):
+        return None
+    out = []
+    for node in body:
+        kind = _KINDS.get(type(node))
+        if kind:
+            out.append({"kind": kind, "name": node.name, "s": node.lineno, "e": node.end_lineno, "names": []})
+        elif isinstance(node, (ast.Import, ast.ImportFrom)):
+            bound = [alias.asname or alias.name for alias in node.names]
+            out.append({"kind": "import", "name": "", "s": node.lineno, "e": node.end_lineno, "names": bound})
+    return out
+
+
+def _spans(text: Column) -> Column:
+    @F.pandas_udf(_SPAN)
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([_spans_of(t) for t in texts], dtype=object)
+
+    return run(text)
+
+
+def _text(first, last) -> Column:
+    return F.array_join(F.slice("_l", first, last - first + 1), "\n")
 
 
 def python_units(files: DataFrame, file_col: str = "file", text_col: str = "text") -> DataFrame:
     """Class / function / async_function units with the imports they
-    use prepended, global_scope blocks for the other lines, or one 'module'
-    unit when a file has neither. Output: file, type, name, line_start,
-    line_end, text, ordered by line_start within a file."""
-    lines = _lines(files, file_col, text_col)
-    seg = _segments(lines, file_col)
-    spans = seg.where(F.col("kind").isNotNull()).select(file_col, "seg", "kind", "name", "start", "end")
-    tagged = lines.join(spans, [file_col, "seg"], "left").withColumn(
-        "covered", F.col("kind").isNotNull() & (F.col("ln") >= F.col("start")) & (F.col("ln") <= F.col("end"))
-    )
-    tagged = materialize(tagged, "py-lines")
-
-    def gather(df, keys):
-        return df.groupBy(*keys).agg(
-            F.array_join(F.sort_array(F.collect_list(F.struct("ln", "line"))).getField("line"), "\n").alias("src"),
-            F.min("ln").alias("line_start"),
-            F.max("ln").alias("line_end"),
-        )
-
-    defs = gather(tagged.where(F.col("covered") & (F.col("kind") != "import")), [file_col, "seg", "kind", "name"])
-    imports = gather(tagged.where(F.col("covered") & (F.col("kind") == "import")), [file_col, "seg"])
-    imports = imports.select(file_col, "line_start", F.col("src").alias("stmt"), _import_names(F.col("src")).alias("names"))
-    per_file = imports.groupBy(file_col).agg(F.sort_array(F.collect_list(F.struct("line_start", "stmt", "names"))).alias("_imp"))
-    d = defs.join(per_file, file_col, "left")
-    rel = F.filter(F.coalesce("_imp", F.array().cast(per_file.schema["_imp"].dataType)),
-                   lambda i: F.exists(i["names"], lambda n: F.col("src").contains(n)))
-    text = F.when(F.size(rel) > 0, F.concat(F.array_join(F.transform(rel, lambda i: i["stmt"]), "\n"), F.lit("\n\n"), F.col("src"))).otherwise(F.col("src"))
-    units = d.select(file_col, F.col("kind").alias("type"), "name", "line_start", "line_end", text.alias("text"))
-
-    # Uncovered lines in consecutive runs (gaps and islands).
-    un = tagged.where(~F.col("covered"))
-    w = Window.partitionBy(file_col).orderBy("ln")
-    un = un.withColumn("_grp", F.col("ln") - F.row_number().over(w))
-    glob = gather(un, [file_col, "_grp"]).select(
-        file_col, F.lit("global_scope").alias("type"), F.lit("<module>").alias("name"), "line_start", "line_end",
-        _strip("src").alias("text"),
-    ).where(F.col("text") != "")
-    out = units.unionByName(glob)
-    have = out.select(file_col).distinct()
-    module = files.join(have, file_col, "left_anti").select(
-        file_col, F.lit("module").alias("type"), F.lit("<module>").alias("name"), F.lit(1).cast("long").alias("line_start"),
-        F.size(F.split(F.regexp_replace(F.col(text_col), "\n$", ""), "\n")).cast("long").alias("line_end"), F.col(text_col).alias("text"),
-    )
-    return out.select(file_col, "type", "name", F.col("line_start").cast("long"), F.col("line_end").cast("long"), "text").unionByName(module)
+    use prepended (an import is used if a name that it binds occurs in the
+    unit's text), global_scope blocks for runs of the other lines, or one
+    'module' unit for a file that has neither or does not parse. Output: file,
+    type, name, line_start, line_end, text. No shuffle."""
+    raw = F.coalesce(F.col(text_col), F.lit(""))
+    clean = F.regexp_replace(raw, r"\r\n?", "\n")
+    f = files.select(file_col, raw.alias("_raw"), F.split(F.regexp_replace(clean, r"\n\z", ""), "\n").alias("_l"), _spans(clean).alias("_s"))
+    imports = F.filter("_s", lambda x: x["kind"] == "import")
+    f = f.withColumn("_imp", F.transform(imports, lambda x: F.struct(_text(x["s"], x["e"]).alias("stmt"), x["names"].alias("names"))))
+
+    def row(kind, name, first, last, text):
+        return F.struct(kind.alias("type"), name.alias("name"), first.cast("long").alias("line_start"), last.cast("long").alias("line_end"), text.alias("text"))
+
+    def unit(x):
+        src = _text(x["s"], x["e"])
+        used = F.filter("_imp", lambda i: F.exists(i["names"], lambda n: F.contains(src, n)))
+        head = F.concat(F.array_join(F.transform(used, lambda i: i["stmt"]), "\n"), F.lit("\n\n"))
+        return row(x["kind"], x["name"], x["s"], x["e"], F.when(F.size(used) > 0, F.concat(head, src)).otherwise(src))
+
+    defs = F.transform(F.filter("_s", lambda x: x["kind"] != "import"), unit)
+    # The runs between spans, each from the last line covered before it:
+    # statements that share a line can overlap, hence the running maximum.
+    n = F.size("_l")
+    end = F.struct(F.lit("").alias("kind"), F.lit("").alias("name"), (n + 1).alias("s"), (n + 1).alias("e"), F.array().cast("array<string>").alias("names"))
+    gaps = F.aggregate(
+        F.concat(F.col("_s"), F.array(end)),
+        F.struct(F.lit(0).alias("last"), F.array().cast("array<struct<s:int,e:int>>").alias("runs")),
+        lambda acc, x: F.struct(
+            F.greatest(acc["last"], x["e"]).alias("last"),
+            F.when(x["s"] > acc["last"] + 1, F.concat(acc["runs"], F.array(F.struct((acc["last"] + 1).alias("s"), (x["s"] - 1).alias("e")))))
+            .otherwise(acc["runs"]).alias("runs"),
+        ),
+    )["runs"]
+    top = F.lit("<module>")
+    blocks = F.transform(gaps, lambda g: row(F.lit("global_scope"), top, g["s"], g["e"], _strip(_text(g["s"], g["e"]))))
+    blocks = F.filter(blocks, lambda u: u["text"] != "")
+    found = f.select(file_col, "_raw", "_l", F.concat(defs, blocks).alias("_u"))
+    module = F.array(row(F.lit("module"), top, F.lit(1), n, F.col("_raw")))
+    units = F.when(F.col("_u").isNull() | (F.size("_u") == 0), module).otherwise(F.col("_u"))
+    return found.select(file_col, F.explode(units).alias("_u")).select(file_col, "_u.*")
 
 
 def unit_urls(units: DataFrame, file_col: str = "file", kind: str = "python") -> DataFrame:

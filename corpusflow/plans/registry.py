@@ -1227,26 +1227,76 @@ SELECT file, statement_index, 'file://' || file || '#' || statement_type || '_'
 )(lambda spark, sf: cu.unit_urls(cu.sql_units(_sql_files(spark, sf)), "file", "sql").select("file", "statement_index", "url"))
 
 
+_PY_HEAD = "import os\nfrom typing import List as L, Dict\nfrom collections import (\n    OrderedDict,\n    defaultdict,\n)\n\n"
+
+
 def _py_files(spark, sf) -> DataFrame:
-    """One Python module per part: aliased imports, a decorated class with a
-    docstring and a method, an async function, module code between them."""
+    """One Python module per part: aliased and bracketed imports, a decorated
+    class whose docstring has text in column 0, an async function, a signature
+    over several lines, module code between them; every seventh is broken."""
     p = T(spark, sf, "part")
-    k = F.col("p_partkey").cast("string")
+    k, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
     text = F.concat(
-        F.lit("import os\nfrom typing import List as L, Dict\nfrom collections import (\n    OrderedDict,\n    defaultdict,\n)\n\n"),
-        F.lit("SIZE = "), F.col("p_size").cast("string"), F.lit("\n\n@register\nclass Part"), k, F.lit(":\n    \"\"\""),
-        F.col("p_name"), F.lit("\"\"\"\n\n    def price(self) -> Dict:\n        # list price\n        return "),
-        F.col("p_retailprice").cast("string"), F.lit("\n\n\n# helpers\nasync def fetch_"), k,
-        F.lit("(x):\n    return L[x]\n\n\nBRAND = '"), F.col("p_brand"), F.lit("'\nif SIZE > 25:\n    BRAND = BRAND.lower()\n\n\ndef size_"), k,
-        F.lit("(\n    a,\n    b,\n):\n    return os.path.join(a, b)\n"),
+        F.lit(_PY_HEAD + "SIZE = "), size, F.lit("\n\n@register\nclass Part"), k, F.lit(':\n    """'), F.col("p_name"),
+        F.lit('\ncolumn zero\n    """\n\n    def price(self) -> Dict:\n        # list price\n        return '), size,
+        F.lit("\n\n\n# helpers\nasync def fetch_"), k, F.lit("(x):\n    return L[x]\n\n\nBRAND = '"), F.col("p_brand"),
+        F.lit("'\nif SIZE > 25:\n    BRAND = BRAND.lower()\n\n\ndef size_"), k, F.lit("(\n    a,\n    b,\n) -> int:\n    return os.path.join(a, b)\n"),
+        F.when(F.col("p_partkey") % 7 == 0, F.lit("x = (\n")).otherwise(F.lit("")),
     )
     return p.select(F.concat(F.lit("part_"), k, F.lit(".py")).alias("file"), text.alias("text"))
 
 
-# Python units are checked against the standard-library AST on the same
-# generated modules (tests/test_code_units.py), not against SQL.
-register("python_units")(
-    lambda spark, sf: cu.unit_urls(cu.python_units(_py_files(spark, sf))).select("file", "type", "name", "line_start", "line_end", "text", "url")
+# The units of these modules are known; SQL states them. E'' strings read \n.
+_PY_SQL = r"""p AS (
+  SELECT 'part_' || p_partkey || '.py' AS file, p_partkey % 7 = 0 AS broken, p_partkey AS k, p_size AS z,
+    'class Part' || p_partkey || E':\n    \"\"\"' || p_name || E'\ncolumn zero\n    \"\"\"\n\n    def price(self) -> Dict:\n        # list price\n        return ' || p_size AS c,
+    'async def fetch_' || p_partkey || E'(x):\n    return L[x]' AS a,
+    'def size_' || p_partkey || E'(\n    a,\n    b,\n) -> int:\n    return os.path.join(a, b)' AS d,
+    E'BRAND = \'' || p_brand || E'\'\nif SIZE > 25:\n    BRAND = BRAND.lower()' AS g FROM part
+), u AS (
+  SELECT file, 'class' AS type, 'Part' || k AS name, 11 AS line_start, 18 AS line_end, c AS src FROM p WHERE NOT broken
+  UNION ALL SELECT file, 'async_function', 'fetch_' || k, 22, 23, a FROM p WHERE NOT broken
+  UNION ALL SELECT file, 'function', 'size_' || k, 31, 35, d FROM p WHERE NOT broken
+  UNION ALL SELECT file, 'global_scope', '<module>', 7, 10, 'SIZE = ' || z || E'\n\n@register' FROM p WHERE NOT broken
+  UNION ALL SELECT file, 'global_scope', '<module>', 19, 21, '# helpers' FROM p WHERE NOT broken
+  UNION ALL SELECT file, 'global_scope', '<module>', 24, 30, g FROM p WHERE NOT broken
+  UNION ALL SELECT file, 'module', '<module>', 1, 36,
+    E'import os\nfrom typing import List as L, Dict\nfrom collections import (\n    OrderedDict,\n    defaultdict,\n)\n\nSIZE = ' || z
+    || E'\n\n@register\n' || c || E'\n\n\n# helpers\n' || a || E'\n\n\n' || g || E'\n\n\n' || d || E'\nx = (\n' FROM p WHERE broken
+), i AS (
+  SELECT *, CASE WHEN type IN ('class', 'function', 'async_function') THEN array_to_string(list_filter([
+      CASE WHEN contains(src, 'os') THEN 'import os' END,
+      CASE WHEN contains(src, 'L') OR contains(src, 'Dict') THEN 'from typing import List as L, Dict' END,
+      CASE WHEN contains(src, 'OrderedDict') OR contains(src, 'defaultdict') THEN
+        E'from collections import (\n    OrderedDict,\n    defaultdict,\n)' END
+    ], lambda x: x IS NOT NULL), chr(10)) ELSE '' END AS used FROM u
+)"""
+
+
+def _py_units(spark, sf) -> DataFrame:
+    return cu.python_units(_py_files(spark, sf))
+
+
+register(
+    "python_units",
+    f"""WITH {_PY_SQL}
+SELECT file, type, name, CAST(line_start AS BIGINT) AS line_start, CAST(line_end AS BIGINT) AS line_end,
+  CASE WHEN used = '' THEN src ELSE used || chr(10) || chr(10) || src END AS text,
+  'file://' || file || CASE WHEN name = '<module>' THEN '' ELSE '#' || name END AS url FROM i""",
+)(lambda spark, sf: cu.unit_urls(_py_units(spark, sf)).select("file", "type", "name", "line_start", "line_end", "text", "url"))
+
+register(
+    "uncovered_blocks",
+    f"WITH {_PY_SQL} SELECT file, CAST(line_start AS BIGINT) AS line_start, CAST(line_end AS BIGINT) AS line_end, src AS text FROM i WHERE type = 'global_scope'",
+)(lambda spark, sf: _py_units(spark, sf).where("type = 'global_scope'").select("file", "line_start", "line_end", "text"))
+
+register(
+    "relevant_imports",
+    f"WITH {_PY_SQL} SELECT file, name, used AS imports FROM i WHERE type IN ('class', 'function', 'async_function')",
+)(
+    lambda spark, sf: _py_units(spark, sf).where("type in ('class', 'function', 'async_function')").select(
+        "file", "name", F.regexp_extract("text", r"(?s)\A(.*?)(?:\A|\n\n)(?:class|def|async def) ", 1).alias("imports")
+    )
 )
 
 

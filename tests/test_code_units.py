@@ -1,117 +1,55 @@
-"""C7-C11 against the reference's behaviour on plain Python data."""
+"""C7-C11 on hand-written files with their units."""
 
-import ast
-import re
+from corpusflow.operators.code_units import python_units, sql_units, unit_urls
 
-from pyspark.sql import functions as F
-
-from corpusflow.operators.code_units import SQL_STATEMENT, SQL_TYPES, python_units, sql_units, unit_urls
-from corpusflow.plans import registry as R
-from tests.conftest import SF_SMALL
-
-
-def ast_units(source):
-    """Units as the stdlib AST sees them (the reference's method), with the
-    import-name bracket fix we apply."""
-    tree = ast.parse(source)
-    lines = source.splitlines()
-    imports, import_lines = [], set()
-    for node in ast.iter_child_nodes(tree):
-        if isinstance(node, (ast.Import, ast.ImportFrom)):
-            names = [a.asname or a.name for a in node.names]
-            imports.append(("\n".join(lines[node.lineno - 1: node.end_lineno]), names))
-            import_lines.update(range(node.lineno, node.end_lineno + 1))
-    units, covered = [], set(import_lines)
-    for node in ast.iter_child_nodes(tree):
-        if isinstance(node, (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)):
-            src = "\n".join(lines[node.lineno - 1: node.end_lineno])
-            rel = [t for t, names in imports if any(n in src for n in names)]
-            kind = "class" if isinstance(node, ast.ClassDef) else "async_function" if isinstance(node, ast.AsyncFunctionDef) else "function"
-            units.append((kind, node.name, node.lineno, node.end_lineno, "\n".join(rel) + "\n\n" + src if rel else src))
-            covered.update(range(node.lineno, node.end_lineno + 1))
-    run = []
-    for i, text in enumerate(lines, 1):
-        if i in covered:
-            if run:
-                units.append(run)
-            run = []
-        else:
-            run.append((i, text))
-    if run:
-        units.append(run)
-    out = []
-    for u in units:
-        if isinstance(u, list):
-            t = "\n".join(x for _, x in u).strip()
-            if t:
-                out.append(("global_scope", "<module>", u[0][0], u[-1][0], t))
-        else:
-            out.append(u)
-    return sorted(out, key=lambda u: u[2])
-
-
-def test_python_units_match_ast(spark):
-    files = R._py_files(spark, SF_SMALL).limit(25).collect()
-    df = spark.createDataFrame([(f.file, f.text) for f in files], "file string, text string")
-    got = python_units(df).collect()
-    by_file = {}
-    for r in got:
-        by_file.setdefault(r.file, []).append((r.type, r.name, r.line_start, r.line_end, r.text))
-    for f in files:
-        assert sorted(by_file[f.file], key=lambda u: u[2]) == ast_units(f.text), f.file
+# (source, units as (type, name, first line, last line, text)): written by hand.
+TRICKY = [
+    ('"""Module doc."""\nimport os, sys as system\n\nX = call(\n    1,\n)\n\n# comment\n\ndef f(a,\n      b):\n    # inner\n    return os.path.join(a, b)\n    # trailing comment\n\n\nclass K(Base):\n    def m(self):\n        return system.argv\n\nif __name__ == "__main__":\n    f(1, 2)\n',
+     [("global_scope", "<module>", 1, 1, '"""Module doc."""'), ("global_scope", "<module>", 3, 9, "X = call(\n    1,\n)\n\n# comment"),
+      ("function", "f", 10, 13, "import os, sys as system\n\ndef f(a,\n      b):\n    # inner\n    return os.path.join(a, b)"),
+      ("global_scope", "<module>", 14, 16, "# trailing comment"),
+      ("class", "K", 17, 19, "import os, sys as system\n\nclass K(Base):\n    def m(self):\n        return system.argv"),
+      ("global_scope", "<module>", 20, 22, 'if __name__ == "__main__":\n    f(1, 2)')]),
+    ("from a import (\n    b,\n    c as d,\n)\n\n\n@dec\nasync def g():\n    return d\n\n\n\nY = [\n    1,\n]\nZ = 2\n",
+     [("global_scope", "<module>", 5, 7, "@dec"), ("async_function", "g", 8, 9, "from a import (\n    b,\n    c as d,\n)\n\nasync def g():\n    return d"),
+      ("global_scope", "<module>", 10, 16, "Y = [\n    1,\n]\nZ = 2")]),
+    ("def size(\n    a,\n) -> int:\n    return a", [("function", "size", 1, 4, "def size(\n    a,\n) -> int:\n    return a")]),
+    ('class C:\n    """doc\ncolumn zero\n# not a comment\n    """\n    def m(self):\n        pass\n', [("class", "C", 1, 7, 'class C:\n    """doc\ncolumn zero\n# not a comment\n    """\n    def m(self):\n        pass')]),
+    ("def only():\n    pass", [("function", "only", 1, 2, "def only():\n    pass")]),
+    ("x = 1\r\ny = 2\r\n", [("global_scope", "<module>", 1, 2, "x = 1\ny = 2")]),
+    ("import os; x = 1\ndef f(): pass; \n", [("function", "f", 2, 2, "def f(): pass; ")]),
+    ("import os\n\nfrom x import y\n", [("module", "<module>", 1, 3, "import os\n\nfrom x import y\n")]),
+    ("def broken(:\n    pass\n", [("module", "<module>", 1, 2, "def broken(:\n    pass\n")]),
+    ("", [("module", "<module>", 1, 1, "")]),
+    (None, [("module", "<module>", 1, 1, "")]),
+]
 
 
-def test_python_module_fallback(spark):
-    src = "import os\n\nfrom x import y\n"
-    df = spark.createDataFrame([("m.py", src)], "file string, text string")
-    r = python_units(df).collect()
-    assert [(u.type, u.name, u.text) for u in r] == [("module", "<module>", src)]
+def test_python_units_by_hand(spark):
+    df = spark.createDataFrame([(f"t{i}.py", s, 1) for i, (s, _) in enumerate(TRICKY)], "file string, text string, name int")
+    units = python_units(df)
+    assert "Exchange" not in units._jdf.queryExecution().toString()
+    got = units.collect()
+    for i, (src, want) in enumerate(TRICKY):
+        mine = sorted(((r.type, r.name, r.line_start, r.line_end, r.text) for r in got if r.file == f"t{i}.py"), key=lambda u: u[2])
+        assert mine == want, src
 
 
-def ref_sql_units(source):
-    pat = re.compile(SQL_STATEMENT[4:], re.I)
-    lines = source.split("\n")
-    bounds = [i for i, line in enumerate(lines) if pat.match(line)]
-    if not bounds:
-        return [(0, "unknown", source)]
-    out = []
-    for idx, (s, e) in enumerate(zip(bounds, bounds[1:] + [len(lines)])):
-        text = "\n".join(lines[s:e]).strip()
-        if not text:
-            continue
-        first = lines[s].strip().upper()
-        t = next((k.lower().replace(" ", "_") for k in SQL_TYPES if first.startswith(k)), "unknown")
-        out.append((idx, t, text))
-    return out
+# (file, blocks as (index, type, text)): written by hand.
+SQL_CASES = {
+    "a.sql": ("-- lost\nCREATE OR REPLACE VIEW v AS\n  SELECT 1;\nINSERT INTO t\nSELECT 2;\n",
+              [(0, "create_or_replace_view", "CREATE OR REPLACE VIEW v AS"), (1, "select", "SELECT 1;"), (2, "insert_into", "INSERT INTO t"), (3, "select", "SELECT 2;")]),
+    "b.sql": ("comment on table t is 'x';\nCREATE  TABLE u (a int);\n", [(0, "unknown", "comment on table t is 'x';"), (1, "unknown", "CREATE  TABLE u (a int);")]),
+    "c.sql": ("-- nothing here\n", [(0, "unknown", "-- nothing here\n")]),
+    "d.sql": ("  with x as (select 1)\nselect * from x;\nGRANT ALL ON t TO r;\nmerge into t using s on 1=1;",
+              [(0, "with", "with x as (select 1)"), (1, "select", "select * from x;"), (2, "grant", "GRANT ALL ON t TO r;"), (3, "merge", "merge into t using s on 1=1;")]),
+}
 
 
-def test_sql_units_quirks(spark):
-    cases = {
-        "a.sql": "-- lost\nCREATE OR REPLACE VIEW v AS\n  SELECT 1;\nINSERT INTO t\nSELECT 2;\n",
-        "b.sql": "comment on table t is 'x';\nCREATE  TABLE u (a int);\n",
-        "c.sql": "-- nothing here\n",
-        "d.sql": "  with x as (select 1)\nselect * from x;\nGRANT ALL ON t TO r;\nmerge into t using s on 1=1;",
-    }
-    df = spark.createDataFrame(list(cases.items()), "file string, text string")
+def test_sql_units_by_hand(spark):
+    df = spark.createDataFrame([(n, s) for n, (s, _) in SQL_CASES.items()], "file string, text string")
     got = sql_units(df).collect()
-    for name, src in cases.items():
-        mine = sorted((r.statement_index, r.statement_type, r.text) for r in got if r.file == name)
-        assert mine == ref_sql_units(src), name
+    for name, (_, want) in SQL_CASES.items():
+        assert sorted((r.statement_index, r.statement_type, r.text) for r in got if r.file == name) == want, name
     urls = {r.url for r in unit_urls(sql_units(df), "file", "sql").collect()}
     assert "file://a.sql#create_or_replace_view_0" in urls and "file://c.sql#unknown_0" in urls
-
-
-TRICKY = [
-    '"""Module doc."""\nimport os, sys as system\n\nX = call(\n    1,\n)\n\n# comment\n\ndef f(a,\n      b):\n    # inner\n    return os.path.join(a, b)\n    # trailing comment\n\n\nclass K(Base):\n    def m(self):\n        return system.argv\n\nif __name__ == "__main__":\n    f(1, 2)\n',
-    "from a import (\n    b,\n    c as d,\n)\n\n\n@dec\nasync def g():\n    return d\n\n\n\nY = [\n    1,\n]\nZ = 2\n",
-    "def only():\n    pass",
-    "x = 1\ny = 2\n",
-]
-
-
-def test_python_units_tricky_match_ast(spark):
-    df = spark.createDataFrame([(f"t{i}.py", s) for i, s in enumerate(TRICKY)], "file string, text string")
-    got = python_units(df).collect()
-    for i, src in enumerate(TRICKY):
-        mine = sorted(((r.type, r.name, r.line_start, r.line_end, r.text) for r in got if r.file == f"t{i}.py"), key=lambda u: u[2])
-        assert mine == ast_units(src), i
