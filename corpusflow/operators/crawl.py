@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusflow.functions.urls import in_scope, normalize_url, skip_extension
-from corpusflow.plans.strategy import bounded_broadcast, dense_position, materialize
+from corpusflow.plans.strategy import dense_position, fits_broadcast, materialize
 
 DEFAULT_MAX_PAGES = 50
 
@@ -113,10 +113,10 @@ def crawl_frontier(
         # visited. When the level's candidates pass the size check their keys
         # are broadcast and the visited set is only scanned (no shuffle of
         # the growing visited set); otherwise a shuffle anti-join.
-        cand = cand.groupBy("root", "url").agg(F.min("fifo_key").alias("fifo_key"))
-        keys, small = bounded_broadcast(cand.select("root", "url"))
-        if small:
-            seen = visited.select("root", "url").join(keys, ["root", "url"], "left_semi")
+        # The candidates are written once; their size is read from that.
+        cand = materialize(cand.groupBy("root", "url").agg(F.min("fifo_key").alias("fifo_key")), "crawl-candidates")
+        if fits_broadcast(cand):
+            seen = visited.select("root", "url").join(F.broadcast(cand.select("root", "url")), ["root", "url"], "left_semi")
             cand = cand.join(F.broadcast(seen), ["root", "url"], "left_anti")
         else:
             cand = cand.join(visited.select("root", "url"), ["root", "url"], "left_anti")

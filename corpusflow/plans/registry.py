@@ -619,16 +619,32 @@ def q_crawl(spark, sf):
 register("crawl_frontier", f"WITH RECURSIVE {_crawl_sql_ctes()} SELECT root, url, depth, page_id, ok FROM visits")(q_crawl)
 
 
+CRAWL_CAP = 5
+
+
 def q_crawl_capped(spark, sf):
     seeds, pages, links = _crawl_inputs(spark, sf)
-    return oc.crawl_frontier(seeds, pages, links, max_pages=oc.DEFAULT_MAX_PAGES).select(
-        "root", "crawl_rank", "url", "depth", "page_id", "ok"
-    )
+    return oc.crawl_frontier(seeds, pages, links, max_pages=CRAWL_CAP).select("root", "crawl_rank", "url", "depth", "page_id", "ok")
 
 
-# FIFO order and the page cap have no SQL form here; tests check them
-# against a plain queue on small graphs.
-register("crawl_frontier_capped")(q_crawl_capped)
+# A visit's place in the queue is the path of link positions that led to it
+# first; a capped crawl is the uncapped order up to the last page it may fetch.
+register(
+    "crawl_frontier_capped",
+    f"""WITH RECURSIVE {_crawl_sql_ctes()},
+keys(root, url, depth, k) AS (
+  SELECT root, url, depth, [CAST(0 AS BIGINT)] FROM visits WHERE depth = 0
+  UNION ALL
+  SELECT v.root, v.url, v.depth, min(list_append(p.k, l.pos))
+  FROM keys p JOIN visits pv ON pv.root = p.root AND pv.url = p.url AND pv.ok JOIN all_links l ON l.page_id = pv.page_id
+    JOIN visits v ON v.root = p.root AND v.url = l.target AND v.depth = p.depth + 1 GROUP BY v.root, v.url, v.depth
+),
+o AS (
+  SELECT v.*, row_number() OVER w AS crawl_rank, coalesce(count(*) FILTER (WHERE v.ok) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done
+  FROM visits v JOIN keys k USING (root, url) WINDOW w AS (PARTITION BY v.root ORDER BY v.depth, k.k)
+)
+SELECT root, crawl_rank, url, depth, page_id, ok FROM o WHERE done < {CRAWL_CAP}""",
+)(q_crawl_capped)
 
 
 def _page_chunks(spark, sf) -> DataFrame:

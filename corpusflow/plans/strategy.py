@@ -21,19 +21,23 @@ MAX_BROADCAST_ROWS = 50_000
 MAX_BROADCAST_BYTES = 64_000_000
 
 
+def fits_broadcast(written: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Has a frame that is already written at most ``max_rows`` rows and
+    ``max_bytes`` bytes (as JSON)?"""
+    size = written.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")
+    ).first()
+    return size["n"] <= max_rows and size["b"] <= max_bytes
+
+
 def bounded_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> tuple[DataFrame, bool]:
-    """Write ``df`` once and broadcast it if it has at most ``max_rows`` rows
-    and ``max_bytes`` bytes (as JSON). Returns the written frame, hinted or
-    not, and whether it was. Its plan runs once either way."""
+    """Write ``df`` once and broadcast it if it fits. Returns the written
+    frame, hinted or not, and whether it was. Its plan runs once either way."""
     side = materialize(df, "side")
-    size = side.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")
-    ).first()
-    if size["n"] <= max_rows and size["b"] <= max_bytes:
-        return F.broadcast(side), True
-    return side, False
+    small = fits_broadcast(side, max_rows, max_bytes)
+    return (F.broadcast(side) if small else side), small
 
 
 def dense_position(df: DataFrame, part: list[str], order: list[str], name: str = "position") -> DataFrame:
