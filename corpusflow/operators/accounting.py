@@ -71,25 +71,31 @@ def running_balance(costs: DataFrame, opening: DataFrame | float, account: str =
 
 
 def ingest_report(files: DataFrame, chunks: DataFrame, job: str = "job", file: str = "file", error: str = "error",
-                  chunk_file: str = "file") -> DataFrame:
+                  chunk_file: str = "file", remaining: str | None = None, order: str | None = None) -> DataFrame:
     """H3: per job, files processed / failed, chunks, vectors, credits and
     status (success when no file failed, else partial). Blank files count
-    as processed with no chunks. The error list is ``ingest_errors``."""
+    as processed with no chunks. The error list is ``ingest_errors``. With
+    ``remaining`` (the balance that a file's response reported) also
+    ``credits_remaining``, the last one by ``order`` (the file by default) of
+    the files that did not fail and reported one."""
     per_file = chunks.groupBy(chunk_file).agg(F.count(F.lit(1)).alias("_n"))
-    f = files.select(job, file, error).join(per_file, F.col(file) == F.col(chunk_file), "left") if chunk_file != file else \
-        files.select(job, file, error).join(per_file, file, "left")
+    extra = [F.col(remaining).alias("_left"), F.col(order or file).alias("_at")] if remaining else []
+    f = files.select(job, file, error, *extra)
+    f = f.join(per_file, F.col(file) == F.col(chunk_file), "left") if chunk_file != file else f.join(per_file, file, "left")
     fee = F.lit(Decimal("0.0005") + Decimal("0.0030")).cast(MONEY)
     failed = F.col(error).isNotNull()
     rep = f.groupBy(job).agg(
         F.count_if(~failed).alias("files_processed"),
         F.count_if(failed).alias("files_failed"),
         F.coalesce(F.sum(F.when(~failed, F.col("_n"))), F.lit(0)).cast("long").alias("total_chunks"),
+        *([F.max_by("_left", F.when(~failed & F.col("_left").isNotNull(), F.col("_at"))).alias("credits_remaining")] if remaining else []),
     )
     return rep.select(
         job, "files_processed", "files_failed", "total_chunks",
         F.col("total_chunks").alias("vectors_upserted"),
         (F.col("total_chunks") * fee).cast(MONEY).alias("credits_used"),
         F.when(F.col("files_failed") == 0, F.lit("success")).otherwise(F.lit("partial")).alias("status"),
+        *(["credits_remaining"] if remaining else []),
     )
 
 

@@ -940,9 +940,10 @@ def q_ingest_report(spark, sf):
     files = docs.join(labels, "doc_id", "left").select(
         F.col("lang").alias("job"), F.col("doc_id").alias("file"),
         F.when(F.col("toxic") == 1, F.lit("rejected: toxic content")).alias("error"),
+        F.when(F.col("doc_id") % 3 != 0, 5_000_000 - F.col("doc_id")).alias("left"),
     )
     chunks = _chunks(spark, sf).select(F.col("doc_id").alias("file"))
-    r = oa.ingest_report(files, chunks)
+    r = oa.ingest_report(files, chunks, remaining="left")
     return r.withColumn("credits_used", F.col("credits_used").cast("double"))
 
 
@@ -953,8 +954,9 @@ cs AS (SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id),
 f AS (SELECT d.lang AS job, d.doc_id, CASE WHEN l.toxic = 1 THEN 'rejected: toxic content' END AS error, cs.n
       FROM documents d LEFT JOIN labels l USING (doc_id) LEFT JOIN cs USING (doc_id)),
 g AS (SELECT job, count(*) FILTER (WHERE error IS NULL) AS files_processed, count(*) FILTER (WHERE error IS NOT NULL) AS files_failed,
-             CAST(coalesce(sum(n) FILTER (WHERE error IS NULL), 0) AS BIGINT) AS total_chunks FROM f GROUP BY job)
-SELECT job, files_processed, files_failed, total_chunks, total_chunks AS vectors_upserted,
+             CAST(coalesce(sum(n) FILTER (WHERE error IS NULL), 0) AS BIGINT) AS total_chunks,
+             5000000 - max(doc_id) FILTER (WHERE error IS NULL AND doc_id % 3 <> 0) AS credits_remaining FROM f GROUP BY job)
+SELECT job, files_processed, files_failed, total_chunks, total_chunks AS vectors_upserted, credits_remaining,
        CAST(CAST(total_chunks * CAST(0.0035 AS DECIMAL(18,4)) AS DECIMAL(18,4)) AS DOUBLE) AS credits_used,
        CASE WHEN files_failed = 0 THEN 'success' ELSE 'partial' END AS status FROM g""",
 )(q_ingest_report)

@@ -109,5 +109,7 @@ def run_available_now(df: DataFrame, checkpoint: str, mode: str = "append", sink
 
 
 def file_stream(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
-    """A parquet file stream over the files named ``name`` in ``folder``."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
+    """A parquet stream over the table ``name`` in ``folder``, which may be one
+    file or a folder of files: a glob that only this name matches, as a stream
+    takes no plain file."""
+    return spark.readStream.schema(schema).parquet(os.path.join(folder, f"[{name[0]}]{name[1:]}"))
