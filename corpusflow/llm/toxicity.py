@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -278,9 +279,8 @@ def toxicity_column(text: Column, model: ToxicityModel) -> Column:
 
 
 def model_broadcast(model):
-    from pyspark.sql import SparkSession
-
-    return SparkSession.getActiveSession().sparkContext.broadcast(model)
+    """Ship a fitted model (a few MB) to the executors."""
+    return SparkContext.getOrCreate().broadcast(model)
 
 
 def _spans(text: str, odds: np.ndarray, bar: float) -> list[dict]:
