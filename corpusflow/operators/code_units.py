@@ -163,7 +163,7 @@ def python_units(files: DataFrame, file_col: str = "file", text_col: str = "text
 def unit_urls(units: DataFrame, file_col: str = "file", kind: str = "python") -> DataFrame:
     """C11: ``file://name.py#Unit`` (plain for module-level units) and
     ``file://name.sql#type_index``."""
-    base = F.concat(F.lit("file://"), F.col(file_col))
+    base = F.concat(F.lit("file://"), F.element_at(F.split(F.col(file_col), "/"), -1))
     if kind == "sql":
         url = F.concat(base, F.lit("#"), F.col("statement_type"), F.lit("_"), F.col("statement_index").cast("string"))
     else:

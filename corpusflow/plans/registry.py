@@ -1012,7 +1012,7 @@ def _json_files(spark, sf) -> DataFrame:
                                                          F.concat(F.lit("https://x.example.com/"), F.col("doc_id").cast("string")).alias("link"))))
     de = F.concat(F.lit("["), F.array_join(F.transform(texts, lambda t: F.to_json(F.array(t)).substr(F.lit(2), F.length(F.to_json(F.array(t))) - 2)), ","),
                   F.when(F.size("_c") > 0, F.lit(",")).otherwise(F.lit("")), F.lit("3,null]"))
-    es = F.to_json(F.struct(F.element_at(texts, 1).alias("body"), F.col("source").alias("url")))
+    es = F.to_json(F.struct(F.try_element_at(texts, F.lit(1)).alias("body"), F.col("source").alias("url")))
     body = F.when(F.col("lang") == "en", en).when(F.col("lang") == "fr", fr).when(F.col("lang") == "de", de).otherwise(es)
     return d.select(F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("file"), body.alias("text"))
 
@@ -1318,6 +1318,64 @@ register(
 )
 
 
+# ---------------------------------------------------------------- whole jobs
+from corpusflow.plans import ingest as ing  # noqa: E402
+
+
+def _mixed_files(spark, sf) -> DataFrame:
+    """Documents as Markdown, JSON exports, Python and SQL sources, HTML pages
+    and one CSV per order."""
+    md = T(spark, sf, "documents").select(F.concat(F.lit("md/"), F.col("doc_id").cast("string"), F.lit(".MD")).alias("file"), "text")
+    html = _pages(spark, sf, F.concat(F.lit("site/"), F.col("page_id").cast("string"), F.lit(".htm")).alias("file"), F.col("html").alias("text"))
+    o = T(spark, sf, "orders")
+    table = o.select(
+        F.concat(F.lit("orders/"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("file"),
+        F.concat(F.lit('id,status,none,"a ""note"""\n'), F.col("o_orderkey").cast("string"), F.lit(","), F.col("o_orderstatus"), F.lit(',,"line 1\nline 2"\n,,,\n')).alias("text"),
+    )
+    out = md
+    for other in (_json_files(spark, sf), _py_files(spark, sf), _sql_files(spark, sf), html, table):
+        out = out.unionByName(other.select("file", "text"))
+    return out
+
+
+def q_ingest_files(spark, sf):
+    from corpusflow.plans.strategy import materialize
+
+    rows = ing.ingest_files(materialize(_mixed_files(spark, sf), "files"))  # every type reads the files
+    return rows.groupBy("file", "source_type").agg(
+        F.count_distinct("unit").alias("n_units"), F.count(F.lit(1)).alias("n_chunks"), F.sum("token_estimate").alias("tokens")
+    )
+
+
+register(
+    "ingest_files",
+    f"""WITH {_PY_SQL},
+js AS ({ORACLE["json_records"]}),
+sq AS ({_sql_units_sql()}),
+raw AS (
+  SELECT 'md/' || doc_id || '.MD' AS file, 'markdown' AS source_type, text FROM documents
+  UNION ALL SELECT file, 'json', text FROM js
+  UNION ALL SELECT file, 'code', CASE WHEN used = '' THEN src ELSE used || chr(10) || chr(10) || src END FROM i
+  UNION ALL SELECT file, 'code', text FROM sq
+  UNION ALL SELECT 'site/' || page_id || '.htm', 'html', {S.html_text('html')} FROM pages
+  UNION ALL SELECT 'orders/' || o_orderkey || '.csv', 'csv', 'Row 1: id: ' || o_orderkey || ' | status: ' || o_orderstatus || ' | a "note": line 1' || chr(10) || 'line 2' FROM orders
+),
+units AS (SELECT *, row_number() OVER () AS unit FROM raw),
+{S.chunks_cte('ck', table='units', id_col='file, source_type, unit', text_col='text')}
+SELECT file, source_type, count(DISTINCT unit) AS n_units, count(*) AS n_chunks, CAST(sum(token_estimate) AS BIGINT) AS tokens FROM ck GROUP BY ALL""",
+)(q_ingest_files)
+
+
+def q_crawl_chunks(spark, sf):
+    pages = _pages(spark, sf, "page_id", "url", "html")
+    seeds, _, links = _crawl_inputs(spark, sf)
+    _, report = ing.crawl_to_chunks(seeds, pages, links, max_pages=None, with_rank=False)
+    return report
+
+
+register("crawl_to_chunks", ORACLE["crawl_report"])(q_crawl_chunks)
+
+
 # ---------------------------------------------------------------- I: streaming
 from corpusflow.streaming import streams as st  # noqa: E402
 
