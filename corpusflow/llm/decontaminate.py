@@ -46,7 +46,9 @@ def rarest_words(docs: DataFrame, windows: DataFrame, text_col: str, small: bool
     counts = tokens.join(F.broadcast(vocab) if small else vocab, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     each = windows.select("win").distinct().select("win", F.posexplode("win").alias("off", "word"))
     n = F.coalesce("n", F.lit(0))
-    first = each.join(counts, "word", "left").groupBy("win").agg(F.min(F.struct(n.alias("n"), "word", "off")).alias("r"))
+    # One row per word of the windows; a word that many windows hold is no hot
+    # key if the counts are broadcast.
+    first = each.join(F.broadcast(counts) if small else counts, "word", "left").groupBy("win").agg(F.min(F.struct(n.alias("n"), "word", "off")).alias("r"))
     return first.select("win", "r.off", F.col("r.word").alias("rare"))
 
 
