@@ -1,10 +1,11 @@
 """URL filters: host rules first, then a path-template tree per host.
 
 The tree is built level by level. Under one node (host and template so far) a
-segment stays literal while it holds a fair share of the node's urls; all
-other segments become one wildcard. Leaves of one node whose labelled rates
-do not differ statistically are merged, and a template whose smoothed share of
-bad labels is high is rejected. DataFrame operations only.
+segment stays literal if enough urls have it; all other segments become one
+wildcard. From the deepest level up, children of one node whose labelled rates
+do not differ statistically from the node's are merged and go on as one child
+of the node above; the others are judged on their own. A group whose smoothed
+share of bad labels is high is rejected. DataFrame operations only.
 """
 
 from __future__ import annotations
@@ -12,19 +13,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.plans.strategy import materialize
+from corpusflow.plans.strategy import bounded_broadcast, materialize
 
 #: (verdict, host suffix, path prefix); the longest fitting rule wins.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Tree depth; deeper segments share one tail wildcard.
-DEPTH = 4
-#: A segment stays literal with at least this many urls and this share of its
-#: node's urls (so a node has at most 1 / share literal children).
-MIN_URLS, MIN_SHARE = 4, 0.02
-#: Leaves within this many standard errors of their node's rate are merged.
+#: A segment stays literal with at least this many urls, whatever its share.
+MIN_URLS = 4
+#: Children within this many standard errors of their node's rate are merged.
 MERGE_Z = 1.96
-#: Weight of the overall bad rate in a template's smoothed bad share, and the
-#: share from which the template is rejected.
+#: Weight of the overall bad rate in a group's smoothed bad share, and the
+#: share from which the group is rejected.
 PRIOR_WEIGHT, REJECT_AT = 8.0, 0.5
 
 
@@ -55,32 +53,78 @@ def _wildcard(segment: Column) -> Column:
     return F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z][A-Za-z0-9]{0,4})$", 1))
 
 
-def path_templates(urls: DataFrame, depth: int = DEPTH, min_urls: int = MIN_URLS, min_share: float = MIN_SHARE) -> DataFrame:
-    """Adds ``node`` and ``template`` to rows with ``host`` and ``path``: the
-    template of the whole path, and of all but its last literal segment.
+def path_templates(urls: DataFrame, min_urls: int = MIN_URLS) -> DataFrame:
+    """Adds ``template`` and ``level`` to rows with ``host`` and ``path``: the
+    template of the whole path, and how many of its segments are nodes of the
+    tree.
 
     One partial aggregate per level gives the counts of a node's segments; the
     literal ones, a small share of all, are joined back on (host, template,
-    segment)."""
+    segment). Only rows with segments left go on. Once no node has
+    ``min_urls`` urls with segments left, no literal can follow, and what
+    remains becomes wildcards at once, below the last node."""
     t = urls.withColumn("_seg", F.split(F.regexp_replace("path", "^/", ""), "/")).withColumn("template", F.lit(""))
-    for i in range(depth):
-        seg = F.get("_seg", F.lit(i))
-        t = materialize(t.withColumn("_s", seg), "templates")
-        counts = t.where(F.col("_s").isNotNull()).groupBy("host", "template", "_s").agg(F.count(F.lit(1)).alias("n"))
-        node = counts.groupBy("host", "template").agg(F.sum("n").alias("total"))
-        lit = counts.where(F.col("n") >= min_urls).join(node, ["host", "template"]).where(F.col("n") >= F.col("total") * min_share)
-        lit = lit.select("host", "template", "_s", F.lit(True).alias("_literal"))
+    done, level = None, 0
+    while True:
+        t = materialize(t.withColumn("_s", F.get("_seg", F.lit(level))), "templates")
+        ended = t.where(F.col("_s").isNull()).drop("_seg", "_s").withColumn("level", F.lit(level))
+        done = ended if done is None else done.unionByName(ended)
+        t = t.where(F.col("_s").isNotNull())
+        counts = materialize(t.groupBy("host", "template", "_s").agg(F.count(F.lit(1)).alias("n")), "segments")
+        if not counts.groupBy("host", "template").agg(F.sum("n").alias("n")).where(F.col("n") >= min_urls).head(1):
+            break
+        lit = counts.where(F.col("n") >= min_urls).select("host", "template", "_s", F.lit(True).alias("_literal"))
         t = t.join(lit, ["host", "template", "_s"], "left")
-        step = F.concat(F.lit("/"), F.when(F.col("_literal"), F.col("_s")).otherwise(_wildcard(F.col("_s"))))
-        t = t.withColumn("template", F.when(F.col("_s").isNull(), F.col("template")).otherwise(F.concat("template", step))).drop("_literal", "_s")
-    t = t.withColumn("template", F.when(F.size("_seg") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template")))
-    # The node above the first segment: leaves that differ there are siblings.
-    return t.withColumn("node", F.regexp_replace("template", "^/[^/]*", "")).drop("_seg")
+        step = F.when(F.col("_literal"), F.col("_s")).otherwise(_wildcard(F.col("_s")))
+        t = t.withColumn("template", F.concat("template", F.lit("/"), step)).drop("_literal", "_s")
+        level += 1
+    rest = F.transform(F.slice("_seg", F.lit(level + 1), F.size("_seg")), _wildcard)
+    rest = t.withColumn("template", F.concat("template", F.lit("/"), F.array_join(rest, "/"))).drop("_seg", "_s")
+    return done.unionByName(rest.withColumn("level", F.lit(level)))
+
+
+def merge_siblings(leaf: DataFrame) -> DataFrame:
+    """(host, template, n, bad) with the counts of the group that each row of
+    ``leaf(host, template, level, n, bad)`` belongs to.
+
+    From the deepest level up, the children of a node are its own leaves and
+    what the nodes below it merged to. Those at the node's labelled rate are
+    merged and become a child of the node above; each other one is a group, as
+    is what reaches a host's root. A leaf belongs to the deepest group above
+    it. Below the last level a node has too few urls for a difference."""
+    deepest = leaf.agg(F.max("level")).first()[0]
+    if deepest is None:
+        return leaf.select("host", "template", "n", "bad")
+    own = leaf.select(
+        "host", F.expr("substring_index(template, '/', level + 1)").alias("node"), F.col("template").alias("origin"),
+        F.lit(-1).alias("at"), "n", "bad", "level",
+    )
+    carry, groups = None, None
+    for level in range(deepest, -1, -1):
+        here = own.where(F.col("level") == level).drop("level")
+        here = here if carry is None else here.unionByName(carry)
+        node = here.groupBy("host", "node").agg(F.sum("n").alias("node_n"), F.sum("bad").alias("node_bad"))
+        rate = F.col("node_bad") / F.greatest("node_n", F.lit(1))
+        # |bad - n p| <= z sqrt(n p (1 - p)): the child may have the node's rate
+        near = F.abs(F.col("bad") - F.col("n") * rate) <= F.lit(MERGE_Z) * F.sqrt(F.col("n") * rate * (F.lit(1.0) - rate))
+        here = materialize(here.join(node, ["host", "node"]).withColumn("merged", near).drop("node_n", "node_bad"), "url-nodes")
+        apart = here.where(~F.col("merged")).select("host", "origin", "at", "n", "bad")
+        groups = apart if groups is None else groups.unionByName(apart)
+        pool = here.where("merged").groupBy("host", F.col("node").alias("origin")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        carry = pool.select(
+            "host", F.substring_index("origin", "/", level).alias("node"), "origin", F.lit(level).alias("at"), "n", "bad"
+        )
+    groups, _ = bounded_broadcast(groups.unionByName(carry.drop("node")))
+    # The leaf itself, then every node above it.
+    above = F.expr("transform(sequence(0, level), i -> struct(substring_index(template, '/', i + 1) as origin, i as at, i as depth))")
+    self_ = F.expr("array(struct(template as origin, -1 as at, level + 1 as depth))")
+    up = leaf.select("host", "template", F.explode(F.concat(above, self_)).alias("_p")).select("host", "template", "_p.*")
+    found = up.join(groups, ["host", "origin", "at"]).groupBy("host", "template")
+    return found.agg(F.max_by(F.struct("n", "bad"), "depth").alias("_g")).select("host", "template", "_g.*")
 
 
 def judge_urls(
-    pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, depth: int = DEPTH,
-    min_urls: int = MIN_URLS, min_share: float = MIN_SHARE,
+    pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, min_urls: int = MIN_URLS,
 ) -> DataFrame:
     """One row per row of ``pages``: ``page_id``, ``host``, ``path``, ``rule``,
     ``verdict`` (the rule's, else the tree's) and ``template``.
@@ -99,24 +143,14 @@ def judge_urls(
     marks = labels.select(F.col("key").cast("string").alias("_key"), F.col("bad").cast("int").alias("bad")).where("_key is not null and bad in (0, 1)")
     marks = marks.groupBy("_key").agg(F.max("bad").alias("_bad"))
     p = p.withColumn("_key", F.regexp_extract("path", r"/([0-9]+)(?:[./]|$)", 1)).join(marks, "_key", "left").drop("_key")
-    t = materialize(path_templates(p, depth, min_urls, min_share), "url-templates")
+    t = materialize(path_templates(p, min_urls), "url-templates")
 
-    leaf = t.groupBy("host", "node", "template").agg(F.count("_bad").alias("n"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad"))
+    leaf = t.groupBy("host", "template", "level").agg(F.count("_bad").alias("n"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad"))
     leaf = materialize(leaf, "url-leaves")
-    node = leaf.groupBy("host", "node").agg(F.sum("n").alias("node_n"), F.sum("bad").alias("node_bad"))
     whole = leaf.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     prior = whole["bad"] / whole["n"] if whole["n"] else 0.0
-    rate = F.col("node_bad") / F.greatest("node_n", F.lit(1))
-    leaf = leaf.join(node, ["host", "node"]).withColumn(
-        # |bad - n p| <= z sqrt(n p (1 - p)): the leaf may have the node's rate
-        "merged", F.abs(F.col("bad") - F.col("n") * rate) <= F.lit(MERGE_Z) * F.sqrt(F.col("n") * rate * (F.lit(1.0) - rate))
-    ).select("host", "node", "template", "n", "bad", "merged")
-    pool = leaf.where("merged").groupBy("host", "node").agg(F.sum("n").alias("pool_n"), F.sum("bad").alias("pool_bad"))
-    leaf = leaf.join(pool, ["host", "node"], "left")
-    n = F.when(F.col("merged"), F.col("pool_n")).otherwise(F.col("n"))
-    bad = F.when(F.col("merged"), F.col("pool_bad")).otherwise(F.col("bad"))
-    share = (bad + F.lit(PRIOR_WEIGHT) * F.lit(float(prior))) / (n + F.lit(PRIOR_WEIGHT))
-    judged = leaf.select("host", "template", F.when(share >= REJECT_AT, "block").otherwise("allow").alias("_tree"), share.alias("bad_share"))
+    share = (F.col("bad") + F.lit(PRIOR_WEIGHT) * F.lit(float(prior))) / (F.col("n") + F.lit(PRIOR_WEIGHT))
+    judged = merge_siblings(leaf).select("host", "template", F.when(share >= REJECT_AT, "block").otherwise("allow").alias("_tree"))
     return t.join(judged, ["host", "template"], "left").select(
         "page_id", "host", "path", "rule", F.coalesce("_verdict", "_tree", F.lit("allow")).alias("verdict"), "template"
     )

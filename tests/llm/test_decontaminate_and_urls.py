@@ -112,3 +112,37 @@ def test_bad_templates_are_rejected(spark):
     for r in got:
         by.setdefault(r["template"], set()).add(r["verdict"])
     assert by == {"/ads/*.html": {"block"}, "/news/*.html": {"allow"}, "/*/x": {"allow"}}
+
+
+def verdicts(spark, rows, bad):
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame(list(bad.items()), "key long, bad int")
+    return {r["page_id"]: (r["template"], r["verdict"]) for r in U.judge_urls(pages, labels).collect()}
+
+
+def test_small_bad_section_of_a_hot_host(spark):
+    """One bad section among 100 of a host, with 1% of its urls."""
+    rows = [(i, f"https://h.test/s{i % 100}/{i}") for i in range(2000)]
+    got = verdicts(spark, rows, {i: int(i % 100 == 37) for i in range(2000)})
+    for i in range(2000):
+        assert got[i] == (f"/s{i % 100}/*", "block" if i % 100 == 37 else "allow")
+
+
+def test_branches_that_differ_in_a_deep_segment(spark):
+    rows = [(i, f"https://h.test/a/b/c/d/e/{'bad' if i % 2 else 'good'}/{i}.html") for i in range(100)]
+    rows.append((1000, "https://h.test/a/b/c/d/e" + "/x.html" * 3000))  # one long path costs no levels
+    got = verdicts(spark, rows, {i: i % 2 for i in range(100)})
+    assert got.pop(1000)[0] == "/a/b/c/d/e" + "/*.html" * 3000
+    assert {v for v in got.values()} == {("/a/b/c/d/e/bad/*.html", "block"), ("/a/b/c/d/e/good/*.html", "allow")}
+
+
+def test_siblings_merge_under_their_parent(spark):
+    """Sections too small to be judged alone, all bad, under one bad parent;
+    a good child of that parent and the rest of the host stay."""
+    rows = [(i, f"https://h.test/spam/s{i % 10}/{i}") for i in range(40)]
+    rows += [(i, f"https://h.test/spam/fine/{i}") for i in range(40, 60)]
+    rows += [(i, f"https://h.test/ok/s{i % 10}/{i}") for i in range(60, 460)]
+    got = verdicts(spark, rows, {i: int(i < 40) for i in range(460)})
+    assert {got[i] for i in range(40)} == {(f"/spam/s{i}/*", "block") for i in range(10)}
+    assert {got[i] for i in range(40, 60)} == {("/spam/fine/*", "allow")}
+    assert {v for _, v in (got[i] for i in range(60, 460))} == {"allow"}
