@@ -15,12 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of a query block and of a candidate block, and columns of one int8
-#: product (127 * 127 * 1024 < 2^24, so sums stay exact in float32).
+#: product (127 * 127 * 1024 < 2^24, so sums stay exact in float32). A task
+#: holds about QUERY_DEAL queries and multiplies a query block at a time.
 QUERY_BLOCK = 1024
+QUERY_DEAL = 16_384
 VECTOR_BLOCK = 32_768
 STRIP = 4096
 EXACT_DIMS = 1024
@@ -86,16 +88,16 @@ def tile_topk(qid, q, vid, v, k: int) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v) of vectors that are not null, empty or zero and hold only
-    finite numbers, one row per id (the copies of an id count once; of
-    different vectors under one id the largest array stays)."""
+    """(vec_id, v, n) of vectors that are not null, empty or zero and hold only
+    finite numbers, one row per id and vector; ``n`` is how many rows have
+    both."""
     v = F.col(vec_col).cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     ok = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull()
     )
     ok = ok.where(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0))
-    return ok.groupBy("vec_id").agg(F.max("v").alias("v"))
+    return ok.groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _stack(column: pa.Array) -> np.ndarray:
@@ -105,7 +107,7 @@ def _stack(column: pa.Array) -> np.ndarray:
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-    query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK,
+    query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK, query_deal: int = QUERY_DEAL,
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` of the ``k``
     vectors with the largest inner product for each query, ties to the smaller
@@ -113,34 +115,44 @@ def nearest(
     length. The result is exact, so recall is 1.
 
     Defined cases: vectors that are null, empty, zero or hold null or
-    non-finite components take no part on either side, nor do null ids; rows
-    that repeat an id count once; fewer than k candidates give all of them;
+    non-finite components take no part on either side, nor do null ids; every
+    other row is a candidate, also where an id or a vector repeats; queries
+    that repeat id and vector count once, and different vectors under one
+    query id share its k places; fewer than k candidates give all of them;
     empty tables give no rows; other columns are ignored.
 
-    The queries are a stated set: they are dealt to every candidate block, the
-    candidates move once. A task holds one query block and one candidate
-    block, both of fixed size.
+    Queries and candidates are dealt to groups of one query share and one
+    candidate block, of about ``query_deal`` and ``vector_block`` rows; a task
+    holds one group at a time and gives its results by ``query_block``.
     """
     base = usable(vectors, id_col, vec_col)
-    asked = usable(queries, id_col, vec_col)
-    sized = base.withColumn("dim", F.size("v"))
+    asked = usable(queries, id_col, vec_col).withColumn("dim", F.size("v"))
+    # More than k equal rows cannot take more than k places.
+    copies = F.sequence(F.lit(1).cast("long"), F.least("n", F.lit(k).cast("long")))
+    sized = base.select("vec_id", "v", F.explode(copies).alias("copy")).withColumn("dim", F.size("v"))
     counts = {r["dim"]: r["n"] for r in sized.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     schema = "query_id long, vec_id long, score double"
-    if not counts:
+    q_counts = {r["dim"]: r["n"] for r in asked.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts or not q_counts:
         return base.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    # Blocks of about vector_block rows: hash-dealt within each dimension.
-    blocks = F.create_map(*[F.lit(x) for d, n in counts.items() for x in (d, -(-n // vector_block))])
-    cand = sized.withColumn("cb", F.pmod(F.xxhash64("vec_id"), blocks[F.col("dim")])).select(
-        "dim", "cb", F.lit(1).alias("side"), F.col("vec_id").alias("id"), "v"
-    )
-    q = asked.withColumn("dim", F.size("v")).where(F.col("dim").isin(*counts))
-    q = q.withColumn("cb", F.explode(F.sequence(F.lit(0).cast("long"), blocks[F.col("dim")].cast("long") - 1))).select(
-        "dim", "cb", F.lit(0).alias("side"), F.col("vec_id").alias("id"), "v"
-    )
+
+    def blocks(rows: int, of: dict[int, int]) -> Column:
+        """Number of blocks of about ``rows`` rows, by dimension."""
+        return F.create_map(*[F.lit(x) for d in counts for x in (d, max(1, -(-of.get(d, 0) // rows)))])[F.col("dim")].cast("long")
+
+    def every(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+
+    # Hash-dealt within each dimension; each side goes to all blocks of the other.
+    n_cand, n_query = blocks(vector_block, counts), blocks(query_deal, q_counts)
+    cand = sized.withColumn("cb", F.pmod(F.xxhash64("vec_id", "v", "copy"), n_cand)).withColumn("qb", every(n_query))
+    cand = cand.where(F.col("dim").isin(*q_counts)).select("dim", "qb", "cb", F.lit(1).alias("side"), F.col("vec_id").alias("id"), "v")
+    q = asked.where(F.col("dim").isin(*counts)).withColumn("qb", F.pmod(F.xxhash64("vec_id", "v"), n_query)).withColumn("cb", every(n_cand))
+    q = q.select("dim", "qb", "cb", F.lit(0).alias("side"), F.col("vec_id").alias("id"), "v")
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted by block, then queries before candidates: the queries of a
-        block are held, its candidates stream past them."""
+        """Sorted by group, then queries before candidates: the queries of a
+        group are held, its candidates stream past them."""
         key, qi, qv = None, [], []
         parts: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -148,25 +160,22 @@ def nearest(
             if not parts or not qi:
                 return
             vid, v = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            qid, qm = np.concatenate(qi), np.concatenate(qv)
-            for s in range(0, len(qid), query_block):
-                for x, y, z in tile_topk(qid[s : s + query_block], qm[s : s + query_block], vid, v, k):
-                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(z)], ["query_id", "vec_id", "score"])
-
-        def merged(it):
-            rows = list(it)
-            if rows:
-                yield pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+            if len(qi) > 1:
+                qi[:], qv[:] = [np.concatenate(qi)], [np.concatenate(qv)]
+            for s in range(0, len(qi[0]), query_block):
+                rows = list(tile_topk(qi[0][s : s + query_block], qv[0][s : s + query_block], vid, v, k))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows)], ["query_id", "vec_id", "score"])
 
         for batch in batches:
-            dim, cb, side = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("dim", "cb", "side"))
-            edge = np.flatnonzero((np.diff(dim) != 0) | (np.diff(cb) != 0) | (np.diff(side) != 0)) + 1
+            dim, qb, cb, side = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("dim", "qb", "cb", "side"))
+            edge = np.flatnonzero((np.diff(dim) != 0) | (np.diff(qb) != 0) | (np.diff(cb) != 0) | (np.diff(side) != 0)) + 1
             for s, e in zip([0, *edge.tolist()], [*edge.tolist(), len(dim)]):
                 if s == e:
                     continue
-                if (dim[s], cb[s]) != key:
-                    yield from merged(product())
-                    key, qi, qv, parts = (dim[s], cb[s]), [], [], []
+                if (dim[s], qb[s], cb[s]) != key:
+                    yield from product()
+                    key, qi, qv, parts = (dim[s], qb[s], cb[s]), [], [], []
                 ids = batch.column("id").slice(s, e - s).to_numpy(zero_copy_only=False)
                 m = _stack(batch.column("v").slice(s, e - s))
                 if side[s] == 0:
@@ -175,11 +184,11 @@ def nearest(
                 else:
                     parts.append((ids, m))
                     if sum(len(p[0]) for p in parts) >= vector_block:
-                        yield from merged(product())
+                        yield from product()
                         parts = []
-        yield from merged(product())
+        yield from product()
 
-    both = cand.unionByName(q).repartition("dim", "cb").sortWithinPartitions("dim", "cb", "side")
+    both = cand.unionByName(q).repartition("dim", "qb", "cb").sortWithinPartitions("dim", "qb", "cb", "side")
     found = both.mapInArrow(tiles, schema)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

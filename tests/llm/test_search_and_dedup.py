@@ -50,6 +50,31 @@ def test_nearest_odd_vectors(spark):
     assert ann.nearest(df, none, 3).count() == 0
 
 
+def test_every_row_is_a_candidate(spark):
+    """Two vectors under one id are two candidates; many equal rows too."""
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [5.0, 9.0]), (1, [7.0, 1.0]), *[(2, [6.0, 0.0])] * 5, (3, [4.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = df.where("vec_id = 0")
+    for k, want in ((3, [(1, 7.0), (2, 6.0), (2, 6.0)]), (9, [(1, 7.0), *[(2, 6.0)] * 5, (1, 5.0), (3, 4.0)])):
+        got = sorted((r["rank"], r["vec_id"], r["score"]) for r in ann.nearest(df, q, k).collect())
+        assert got == [(i + 1, *w) for i, w in enumerate(want)]
+
+
+def test_nearest_is_the_same_for_every_deal(spark):
+    """Also with query ids that hold several vectors, of several lengths."""
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(0, 150)), rng.integers(-3, 4, 4 + i % 2).astype(float).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = {(i, tuple(v)) for i, v in rows if i % 5 == 0 and any(v)}
+    want = []
+    for i in {i for i, _ in q}:
+        s = sorted((-float(np.dot(v, w)), j) for x, v in q if x == i for j, w in rows if j != i and len(w) == len(v) and any(w))
+        want += [(i, n + 1, j, -x) for n, (x, j) in enumerate(s[:7])]
+    for deal, block in ((3, 11), (16, 1000), (10_000, 50)):
+        got = ann.nearest(df, df.where("vec_id % 5 = 0"), 7, query_block=2, vector_block=block, query_deal=deal).collect()
+        assert sorted(tuple(r) for r in got) == sorted(want), (deal, block)
+
+
 def slow_fingerprint(text, k):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
     for sep in "\t\n\x0b\x0c\r":
