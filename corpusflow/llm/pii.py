@@ -194,13 +194,18 @@ class PiiModel:
                 self.trans[[i for i in range(k) if i not in (j - 1, j)], j] = -1e4
         self.start = crf.start.copy()
         self.start[2::2] = -1e4
-        # Replacing tag s by O at one word changes the transitions around it by
-        # at most this much; a larger score of O proves O.
+        # A word is O for certain where each other tag s has a better path with
+        # O in its place. If s ends its span, only the transitions around the
+        # word change, by at most self.bound[s - 1]; if I follows, that I has
+        # to become B, which moves the next word's score as well.
         t = self.trans
-        self.bound = float(max(
-            (np.max([t[a, s] - t[a, 0] for a in range(k)] + [self.start[s] - self.start[0]]))
-            + max(0.0, np.max([t[s, b] - t[0, b] for b in range(k) if not (b and b % 2 == 0)])) for s in range(1, k)
-        )) + 1e-6
+        b_of = [s if s % 2 else s - 1 for s in range(1, k)]
+        before = [max(np.max(t[:, s] - t[:, 0]), self.start[s] - self.start[0]) for s in range(1, k)]
+        free = [b for b in range(k) if b % 2 or not b]
+        self.bound = np.array([x + max(0.0, np.max(t[s, free] - t[0, free])) for s, x in zip(range(1, k), before)]) + 1e-6
+        self.bound_on = np.array([
+            x + t[s, b + 1] - t[0, b] + max(0.0, np.max(t[b + 1] - t[b])) for s, x, b in zip(range(1, k), before, b_of)
+        ]) + 1e-6
         self._reset()
 
     def _reset(self) -> None:
@@ -263,10 +268,17 @@ class PiiModel:
             table = own[b] + left[a] + right[c]
         else:
             table, inv = own[ids[place]] + left[ids[place - 1]] + right[ids[place + 1]], np.arange(n)
-        open_ = (table[:, 0] - table[:, 1:].max(axis=1) <= self.bound)[inv]
+        doc = np.repeat(np.arange(len(docs)), lens)
+        cols = np.ascontiguousarray(table.T)
+        ahead = cols[0] - cols[1:]
+        open_ = (ahead <= self.bound[:, None]).any(axis=0)[inv]
+        # By kind: the least lead of O over B and I, and what B lacks against I.
+        ahead -= self.bound_on[:, None]
+        lead, lack = np.minimum(ahead[0::2], ahead[1::2]), cols[2::2] - cols[1::2]
+        maybe = np.flatnonzero((doc[:-1] == doc[1:]) & ~open_[:-1] & (lead.min(axis=0)[inv[:-1]] <= lack.max(axis=0)[inv[1:]]))
+        open_[maybe] = (lead[:, inv[maybe]] <= lack[:, inv[maybe + 1]]).any(axis=0)
         if not open_.any():
             return []
-        doc = np.repeat(np.arange(len(docs)), lens)
         first_of = np.r_[0, np.cumsum(lens)[:-1]]
         at = np.flatnonzero(open_)
         new = np.r_[True, (at[1:] != at[:-1] + 1) | (doc[at[1:]] != doc[at[:-1]])]

@@ -240,3 +240,30 @@ def test_added_spans_and_redaction(spark, odd_docs, no_docs):
         assert pii.pii_block([plain], model) == [([], [])], plain
     rows = pii.pii_spans(odd_docs, model).collect()
     assert len(rows) == 8 and {r["spans"] for r in rows} == {""} and pii.pii_spans(no_docs, model).count() == 0
+
+
+def test_pii_cut_equals_plain_viterbi_for_any_weights():
+    """Words that are not in the training table, and models whose words prefer
+    I to B or the other way round."""
+    rng = np.random.default_rng(4)
+    words = ["qq", "7", "88", "a@b", "1.2", "(5)", "+4", "zz:", "90-1", "x9", "ff:0"]
+    feats = sorted({f for w in words for f in pii.shape(w)} | {"edge"})
+    spans = 0
+    for trial in range(40):
+        crf = CRF(pii.TAGS)
+        crf.index = {f: i for i, f in enumerate([*feats, *("<" + f for f in feats), *(">" + f for f in feats)])}
+        k = len(pii.TAGS)
+        crf.weights = np.vstack([rng.normal(scale=1.5, size=(len(crf.index), k)), np.zeros((1, k))])
+        crf.weights[:, 0] += 1.0
+        crf.start, crf.trans = rng.normal(size=k) * 0.5, rng.normal(size=(k, k)) * 0.5
+        m = pii.PiiModel(crf)
+        docs = [[words[j] for j in rng.integers(0, len(words), n)] for n in rng.integers(0, 12, 60)]
+        want = []
+        for i, d in enumerate(docs):
+            if d:
+                e = np.array([[crf.emission(f) for f in pii.sequence_features(d)]])
+                path = viterbi(e, np.array([len(d)]), m.start[None], m.trans, np.zeros((1, k)))[0]
+                want += [(i, j, int(t)) for j, t in enumerate(path) if t]
+        assert m.tag(docs) == want, trial
+        spans += len(want)
+    assert spans > 1000
