@@ -222,8 +222,9 @@ def near_links(fps: DataFrame, max_bits: int, segments: int | None = None, split
     connect everything linked at ``max_bits`` or fewer differing bits.
 
     A bucket that holds more than ``split_at`` table entries is dealt out again
-    by segments of its free bits, up to two times; by then at least 50 bits
-    are shared, so no bucket can pass 2^14 different table entries.
+    by segments of its free bits, up to two times; after that it stays as it
+    is. A dense region can still be large then: with ``f`` bits free, up to 2^f
+    table entries, and f is 14 to 24 for 2 to 5 segments and 4 bits.
     """
     if segments is None:
         segments = segment_count(fps.count(), max_bits)
