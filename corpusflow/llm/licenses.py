@@ -103,7 +103,7 @@ SIGNATURES = (
     ("apache-2", "www apache org licenses license 2 0"),
     ("bsd-2-clause", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("bsd-3-clause", "neither the name of .{1,60} nor the names of its contributors may be used to endorse or promote products"),
-    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledg"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
     ("gpl-2", "either version 2 of the license or at your option any later version"),
     ("gpl-3", "either version 3 of the license or at your option any later version"),
     ("gpl-3", "www gnu org licenses gpl 3 0"),

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -127,6 +128,18 @@ def test_suppression_and_labels():
         assert scan(plain)["labels"] == "" and scan(plain)["score"] == 0
 
 
+def test_every_signature_fires():
+    """Each sentence as a license writes it, with words around it."""
+    scanner = licenses.Scanner()
+    fill = ((".{1,60}", "the University"), ("[1-4]", "4"), ("(?:unauthorized|no part)", "no part"), ("(?:dedicated|released|placed) (?:in)?to", "released into"))
+    for label, text in licenses.SIGNATURES:
+        for spelt in ("acknowledgement", "acknowledgment"):
+            real = re.sub(r"acknowledg\S*", spelt, text)
+            for a, b in fill:
+                real = real.replace(a, b)
+            found = scanner.scan(f"x1 {real}: x2")
+            assert label in found["labels"].split(","), (label, real)
+
 def test_license_rows(spark, odd_docs, no_docs):
     rows = licenses.license_scan(odd_docs).collect()
     assert len(rows) == 8 and {r["first_word"] for r in rows} == {None}
