@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import ann, bpe, decontaminate, licenses, pii, quality, simhash, token_rollups, toxicity, url_filter
+from corpusflow.llm import ann, bpe, decontaminate, licenses, pii, quality, simhash, token_rollups, topk, toxicity, url_filter
 from corpusflow.llm.common import held_out
 from corpusflow.session import read_table, shared_path
 
@@ -89,6 +89,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), labels)
 
 
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "embeddings")
+    return topk.exact_topk(e, e.where(F.col("vec_id") % 50 == 0), 5)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,6 +104,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_nearest, op2_quality, op3_simhash, op4_toxicity, op5_token_rollups, op6_pii, op7_licenses, op8_bpe, op9_decontaminate,
-        op10_url_filter, pipeline,
+        op10_url_filter, op13_topk, pipeline,
     )
 }

@@ -113,3 +113,16 @@ SELECT page_id, n.host, path, rule,
 FROM n JOIN judged ON n.host = judged.host AND n.template = judged.template, whole
 """
 )
+
+ORACLE["op13_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.v, v.v) AS BIGINT) AS score
+  FROM (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0) AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.v) = len(v.v)
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
