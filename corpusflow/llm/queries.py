@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import ann, bpe, decontaminate, lexical, licenses, pii, quality, simhash, token_rollups, topk, toxicity, url_filter
+from corpusflow.llm import ann, bpe, decontaminate, lexical, licenses, pii, prefix_trie, quality, simhash, token_rollups, topk, toxicity, url_filter
 from corpusflow.llm.common import held_out
 from corpusflow.session import read_table, shared_path
 
@@ -89,6 +89,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), labels)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(*prefix_trie.graft(prefix_trie.turn_rows(read_table(spark, sf_dir, "conversations"))))
+
+
 def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), 10)
 
@@ -108,6 +112,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_nearest, op2_quality, op3_simhash, op4_toxicity, op5_token_rollups, op6_pii, op7_licenses, op8_bpe, op9_decontaminate,
-        op10_url_filter, op12_ranked, op13_topk, pipeline,
+        op10_url_filter, op11_prefix_trie, op12_ranked, op13_topk, pipeline,
     )
 }

@@ -149,3 +149,37 @@ s AS (
 x AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM x WHERE rank <= 10
 """
+
+_CRC32 = (
+    "xor(list_reduce([4294967295]::BIGINT[] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT), "
+    "lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda e, z: xor(e >> 1, 3988292384 * (e & 1)))), 4294967295)"
+)
+
+ORACLE["op11_prefix_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS sha,
+    strlen(coalesce(text, '')) AS bytes FROM conversations WHERE conv_id IS NOT NULL
+), o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha) AS pos FROM t),
+c AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, {_CRC32} % 9 AS h FROM o GROUP BY conv_id),
+k AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS kept FROM c LEFT JOIN c AS b ON b.conv_id = c.base),
+rebuilt AS (
+  SELECT k.conv_id, o.pos, o.sha, o.bytes FROM k JOIN o ON o.conv_id = k.base AND o.pos <= k.h
+  UNION ALL
+  SELECT k.conv_id, o.pos - k.h + k.kept, o.sha, o.bytes FROM k JOIN o ON o.conv_id = k.conv_id AND o.pos > k.h
+), path AS (
+  SELECT conv_id, pos AS depth, bytes, string_agg(sha, ',') OVER w AS node, coalesce(string_agg(sha, ',') OVER b, '') AS parent FROM rebuilt
+  WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING), b AS (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '', NULL FROM c
+), node AS (SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs FROM path GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n FROM node WHERE parent IS NOT NULL GROUP BY parent),
+own AS (
+  SELECT node.*, coalesce(kids.n, 0) AS n_children, (n_convs - 1) * bytes AS saved FROM node LEFT JOIN kids USING (node)
+), sub AS (
+  SELECT path.node, count(*) FILTER (WHERE own.n_children = 0) AS n_leaves, sum(own.saved) AS saved FROM own
+  JOIN path ON path.conv_id = own.conv_id AND path.depth <= own.depth GROUP BY path.node
+), last AS (SELECT conv_id, max(depth) AS depth FROM path GROUP BY conv_id),
+fin AS (SELECT node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM path JOIN last USING (conv_id, depth) GROUP BY node)
+SELECT own.conv_id, CAST(own.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, own.n_convs, own.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM own JOIN sub USING (node) LEFT JOIN own AS up ON up.node = own.parent LEFT JOIN fin ON fin.node = own.node
+"""

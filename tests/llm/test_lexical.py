@@ -80,9 +80,11 @@ def test_empty_tables_and_clashing_names(spark, odd_docs, no_docs):
 
 def test_accumulators_are_dropped_only_by_the_bound():
     """A document that cannot reach the k-th score goes, one that can stays."""
-    users = [{"item": 1, "rest": 5}]
+    def users(rest):
+        return pa.array([[{"item": 1, "rest": rest}]] * 2)
+
     met = pa.table({
-        "block": pa.array([0, 0], pa.int64()), "bundle": pa.array([0, 0], pa.int64()), "weight": pa.array([10, 1], pa.int64()), "users": [users, users],
+        "block": pa.array([0, 0], pa.int64()), "bundle": pa.array([0, 0], pa.int64()), "weight": pa.array([10, 1], pa.int64()), "users": users(5),
         "docs": pa.array([[0, 2], [0, 1, 2, 3]], pa.list_(pa.int32())), "tfs": pa.array([[1, 1], [1, 1, 1, 1]], pa.list_(pa.int64())),
         "lens": pa.array([[10, 10], [10] * 4], pa.list_(pa.int64())),
     })
@@ -90,7 +92,6 @@ def test_accumulators_are_dropped_only_by_the_bound():
                       ("docs", pa.list_(pa.int32())), ("scores", pa.list_(pa.int64())))})
     out = lexical.stage(10, 100, 2)(state, met)
     assert out.column("docs").to_pylist() == [[0, 2]]
-    users[0]["rest"] = 10**9
-    out = lexical.stage(10, 100, 2)(state, met.set_column(3, "users", [[users[0]], [users[0]]]))
+    out = lexical.stage(10, 100, 2)(state, met.set_column(3, "users", users(10**9)))
     assert out.column("docs").to_pylist() == [[0, 1, 2, 3]]
     assert np.all(np.diff(out.column("docs").to_pylist()[0]) > 0)
