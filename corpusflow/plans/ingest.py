@@ -1,16 +1,14 @@
 """Whole jobs composed of the operators: folder ingest and crawl to chunks.
 
-A folder is scanned once and its texts are written once; every source type
-then reads only its own files. All steps from a file to its chunk rows are
-row-local.
+A folder is scanned once; its texts are written once, in a folder per route, so
+that every source type reads its own files alone. All steps from a file to its
+chunk rows are row-local.
 """
 
 from __future__ import annotations
 
-import csv
-import io
+import uuid
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,55 +20,42 @@ from corpusflow.operators.crawl import crawl_frontier, crawl_report
 from corpusflow.operators.html import to_markdown
 from corpusflow.operators.index import embed_column
 from corpusflow.plans.strategy import materialize
+from corpusflow.session import shared_path
 from corpusflow.sources.files import classify_source_type, file_suffix, scan_corpus
-from corpusflow.sources.formats import json_records, notebook_text, xml_text
+from corpusflow.sources.formats import csv_text, json_records, notebook_text, xml_text
 
 #: Types whose text needs a codec that is not part of this library.
 BINARY_TYPES = ("pdf", "excel", "docx")
 UNSUPPORTED = "unsupported file type"
 
 
-def csv_rows_text(text: str) -> str:
-    """``Row i: k: v | k: v`` of a CSV text with a header: empty values are left
-    out, a row with nothing left is skipped but counts; a file without any row
-    stays as it is. Quoted line breaks belong to their field."""
-    lines = []
-    for i, row in enumerate(csv.DictReader(io.StringIO(text)), 1):
-        cells = [f"{k}: {v}" for k, v in row.items() if k is not None and isinstance(v, str) and v != ""]
-        if " | ".join(cells).strip():
-            lines.append(f"Row {i}: " + " | ".join(cells))
-    return "\n".join(lines) or text
-
-
-def csv_text(text: Column) -> Column:
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([csv_rows_text(t) if isinstance(t, str) else "" for t in texts], dtype=object)
-
-    return run(text)
-
-
 def file_units(files: DataFrame, file_col: str = "file", text_col: str = "text") -> DataFrame:
     """``file, source_type, unit, url, text``: the pieces of each file that are
     chunked on their own. JSON files give their records, Python and SQL sources
     their units, CSV, HTML, XML and notebooks their text, all others the file.
-    ``unit`` orders the pieces of a file. Types that need a codec give none."""
+    ``unit`` orders the pieces of a file. Types that need a codec give none.
+    The texts are written once, partitioned by route; a route reads its own."""
     name = F.element_at(F.split(F.col(file_col), "/"), -1)
     f = files.select(
         F.col(file_col).alias("file"), F.col(text_col).alias("text"), classify_source_type(file_col).alias("source_type"),
         file_suffix(name).alias("_sfx"), F.concat(F.lit("file://"), name).alias("url"),
     ).withColumn("_route", F.when(F.col("_sfx").isin(".py", ".sql"), F.col("_sfx")).otherwise(F.col("source_type")))
+    special = ("json", "csv", "html", "xml", "notebook", ".py", ".sql")
+    f = f.where(~F.col("_route").isin(*BINARY_TYPES))
+    f = f.withColumn("_route", F.when(F.col("_route").isin(*special), F.regexp_replace("_route", r"^\.", "")).otherwise(F.lit("whole")))
+    path = shared_path(files.sparkSession, f"tables/routes-{uuid.uuid4().hex[:16]}")
+    f.drop("_sfx").write.partitionBy("_route").parquet(path)
+    schema = f.drop("_sfx").schema
     first = F.lit(0).cast("long").alias("unit")
 
     def route(kind: str) -> DataFrame:
-        return f.where(F.col("_route") == kind)
+        return files.sparkSession.read.schema(schema).parquet(path).where(F.col("_route") == kind)
 
     def whole(df: DataFrame, text: Column) -> DataFrame:
         return df.select("file", "source_type", first, "url", text.alias("text"))
 
-    special = ("json", "csv", "html", "xml", "notebook", ".py", ".sql", *BINARY_TYPES)
     parts = [
-        whole(f.where(~F.col("_route").isin(*special)), F.col("text")),
+        whole(route("whole"), F.col("text")),
         whole(route("csv"), csv_text(F.col("text"))),
         whole(route("html"), html_text("text")),
         json_records(route("json")).select("file", F.lit("json").alias("source_type"), F.col("item_index").cast("long").alias("unit"), "url", "text"),
@@ -78,9 +63,9 @@ def file_units(files: DataFrame, file_col: str = "file", text_col: str = "text")
     for kind, convert in (("xml", xml_text), ("notebook", notebook_text)):
         url = F.concat(F.lit("file://"), F.element_at(F.split("file", "/"), -1))
         parts.append(whole(convert(route(kind)).withColumn("source_type", F.lit(kind)).withColumn("url", url), F.col("text")))
-    py = unit_urls(python_units(route(".py")))
+    py = unit_urls(python_units(route("py")))
     parts.append(py.select("file", F.lit("code").alias("source_type"), F.col("line_start").alias("unit"), "url", "text"))
-    sql = unit_urls(sql_units(route(".sql")), "file", "sql")
+    sql = unit_urls(sql_units(route("sql")), "file", "sql")
     parts.append(sql.select("file", F.lit("code").alias("source_type"), F.col("statement_index").cast("long").alias("unit"), "url", "text"))
     out = parts[0]
     for p in parts[1:]:
@@ -95,13 +80,18 @@ def ingest_files(files: DataFrame, size: int = DEFAULT_SIZE, overlap: int = DEFA
 
 
 def ingest_folder(spark: SparkSession, path: str, job: str = "folder", **options) -> tuple[DataFrame, DataFrame]:
-    """Scan ``path`` and return (chunk rows, report). Files whose type needs a
-    codec are reported as failed. ``options`` go to ``ingest_files``."""
-    files = materialize(scan_corpus(spark, path).select(F.col("path").alias("file"), "text", "source_type"), "scan")
-    rows = materialize(ingest_files(files.select("file", "text"), **options), "ingest")
-    error = F.when(F.col("source_type").isin(*BINARY_TYPES), F.lit(UNSUPPORTED))
-    listed = files.select(F.lit(job).alias("job"), "file", error.alias("error"))
-    return rows, ingest_report(listed, rows.select("file"))
+    """Scan ``path`` and return (chunk rows, report). Files that cannot be read
+    and files whose type needs a codec are reported as failed, the others go
+    on. ``options`` go to ``ingest_files``."""
+    files = materialize(scan_corpus(spark, path).select(F.col("path").alias("file"), "text", "source_type", "error"), "scan")
+    rows = materialize(ingest_files(files.where("error is null").select("file", "text"), **options), "ingest")
+    return rows, ingest_report(folder_errors(files, job), rows.select("file"))
+
+
+def folder_errors(files: DataFrame, job: str = "folder") -> DataFrame:
+    """``job, file, error`` of scanned files: why a file gave no text, or null."""
+    error = F.coalesce("error", F.when(F.col("source_type").isin(*BINARY_TYPES), F.lit(UNSUPPORTED)))
+    return files.select(F.lit(job).alias("job"), "file", error.alias("error"))
 
 
 def crawl_to_chunks(seeds: DataFrame, pages: DataFrame, links: DataFrame, **options) -> tuple[DataFrame, DataFrame]:

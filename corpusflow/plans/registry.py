@@ -1135,27 +1135,57 @@ UNION ALL SELECT l_orderkey, 1, 0, row_index, 'qty', qty FROM r""",
 )(q_flatten)
 
 
-def q_scan(spark, sf):
-    """Documents and pages are written as text, JSON and CSV files into nested
-    folders of the shared checkpoint folder and scanned back: one row per line."""
+def _corpus_folder(spark, sf) -> str:
+    """A folder with one file per document and page, named by rule: plain,
+    hidden and underscored names and folders, other suffixes, empty files."""
     import uuid
 
-    base = shared_path(spark, f"scan/{uuid.uuid4().hex[:12]}")
-    d = T(spark, sf, "documents").select("doc_id", "lang", F.regexp_replace("text", r"[\r\n]+", " ").alias("text"))
-    d.select("lang", "text").write.partitionBy("lang").text(f"{base}/docs")
-    T(spark, sf, "pages").select("url").write.json(f"{base}/pages/json")
-    T(spark, sf, "pages").select("page_id").write.csv(f"{base}/pages/deep/csv")
-    T(spark, sf, "pages").select("page_id").write.orc(f"{base}/pages/other")
+    base = shared_path(spark, f"corpus/{uuid.uuid4().hex[:12]}")
+    i = F.col("doc_id")
+    n = i.cast("string")
+    name = (
+        F.when(i % 8 == 0, F.concat(F.lit("docs/_"), n, F.lit(".md")))
+        .when(i % 8 == 1, F.concat(F.lit("docs/."), n, F.lit(".txt")))
+        .when(i % 8 == 2, F.concat(F.lit(".store/"), n, F.lit(".RST")))
+        .when(i % 8 == 3, F.concat(F.lit("docs/_deep/"), n, F.lit(".MD")))
+        .otherwise(F.concat(F.lit("docs/"), n, F.lit(".txt")))
+    )
+    docs = T(spark, sf, "documents").select(name.alias("path"), F.when(i % 9 == 0, F.lit("")).otherwise(F.coalesce("text", F.lit(""))).alias("content"))
+    page = T(spark, sf, "pages").select(F.concat(F.lit("site/"), F.col("page_id").cast("string"), F.lit(".html")).alias("path"), F.col("html").alias("content"))
+    table = T(spark, sf, "nation").select(
+        F.concat(F.lit("tables/"), F.col("n_nationkey").cast("string"), F.lit(".csv")).alias("path"),
+        F.concat(F.lit("key,name\n"), F.col("n_nationkey").cast("string"), F.lit(",\""), F.col("n_name"), F.when(F.col("n_nationkey") % 2 == 0, F.lit('"\n')).otherwise(F.lit("")))
+        .alias("content"),
+    )
+    codec = T(spark, sf, "region").select(F.concat(F.lit("tables/"), F.col("r_name"), F.lit(".xlsx")).alias("path"), F.lit("bytes").alias("content"))
+    sfiles.write_files(docs.unionByName(page).unionByName(table).unionByName(codec), base)
+    return base
+
+
+_CORPUS_SQL = """corpus AS (
+  SELECT CASE doc_id % 8 WHEN 0 THEN 'docs/_' || doc_id || '.md' WHEN 1 THEN 'docs/.' || doc_id || '.txt' WHEN 2 THEN '.store/' || doc_id || '.RST'
+      WHEN 3 THEN 'docs/_deep/' || doc_id || '.MD' ELSE 'docs/' || doc_id || '.txt' END AS path,
+    CASE WHEN doc_id % 9 = 0 THEN '' ELSE coalesce(text, '') END AS text,
+    CASE WHEN doc_id % 8 IN (0, 3) THEN 'markdown' ELSE 'text' END AS source_type FROM documents WHERE doc_id % 8 <> 2
+  UNION ALL SELECT 'site/' || page_id || '.html', html, 'html' FROM pages
+  UNION ALL SELECT 'tables/' || n_nationkey || '.csv', 'key,name' || chr(10) || n_nationkey || ',"' || n_name || CASE WHEN n_nationkey % 2 = 0 THEN '"' || chr(10) ELSE '' END, 'csv' FROM nation
+  UNION ALL SELECT 'tables/' || r_name || '.xlsx', 'bytes', 'excel' FROM region
+)"""
+
+
+def q_scan(spark, sf):
+    """One row per file of a folder that holds names of every kind."""
+    base = _corpus_folder(spark, sf)
     found = sfiles.scan_corpus(spark, base)
-    lines = found.select("suffix", "source_type", F.explode(F.split(F.regexp_replace("text", r"\n$", ""), "\n")).alias("line"))
-    return lines.groupBy("suffix", "source_type").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.char_length("line")).alias("n_chars"))
+    at = F.regexp_replace(F.col("path"), r"^.*?/corpus/[0-9a-f]{12}/", "")
+    return found.select(at.alias("path"), "name", "suffix", "source_type", "length", F.sha2("text", 256).alias("text_sha256"), F.col("error").isNotNull().alias("failed"))
 
 
 register(
     "scan_corpus",
-    r"""SELECT '.txt' AS suffix, 'text' AS source_type, count(*) AS n_lines, CAST(sum(length(regexp_replace(text, '[\r\n]+', ' ', 'g'))) AS BIGINT) AS n_chars FROM documents
-UNION ALL SELECT '.json', 'json', count(*), CAST(sum(length('{"url":"' || url || '"}')) AS BIGINT) FROM pages
-UNION ALL SELECT '.csv', 'csv', count(*), CAST(sum(length(CAST(page_id AS VARCHAR))) AS BIGINT) FROM pages""",
+    f"""WITH {_CORPUS_SQL}
+SELECT path, string_split(path, '/')[-1] AS name, lower(regexp_extract(path, '(\\.[^./]+)$', 1)) AS suffix, source_type,
+  CAST(strlen(text) AS BIGINT) AS length, sha256(text) AS text_sha256, false AS failed FROM corpus""",
 )(q_scan)
 
 
@@ -1338,13 +1368,25 @@ def _mixed_files(spark, sf) -> DataFrame:
     return out
 
 
+def _chunk_digest(rows: DataFrame, *cols: str) -> DataFrame:
+    """One row per chunk: its text's digest and a number that depends on every
+    component of its vector."""
+    weighed = F.aggregate(F.transform("embedding", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return rows.select(*cols, "chunk_index", "token_estimate", F.sha2("content", 256).alias("content_sha256"), F.round(F.coalesce(weighed, F.lit(0.0)), 5).alias("vector"))
+
+
+def _chunk_digest_sql(units: str, cols: str, cols_of_vector: str) -> str:
+    return f"""{S.chunks_cte('ck', table='units', id_col=cols_of_vector, text_col='text')},
+{S.hashed_cte('cv', 'ck', cols_of_vector + ', chunk_index', 'content', 64)},
+vec AS (SELECT {cols_of_vector}, chunk_index, sum(weight * (bucket + 1)) AS vector FROM cv GROUP BY ALL)
+SELECT {cols}, chunk_index, token_estimate, sha256(content) AS content_sha256, round(coalesce(vector, 0), 5) AS vector
+FROM ck LEFT JOIN vec USING ({cols_of_vector}, chunk_index)"""
+
+
 def q_ingest_files(spark, sf):
     from corpusflow.plans.strategy import materialize
 
-    rows = ing.ingest_files(materialize(_mixed_files(spark, sf), "files"))  # every type reads the files
-    return rows.groupBy("file", "source_type").agg(
-        F.count_distinct("unit").alias("n_units"), F.count(F.lit(1)).alias("n_chunks"), F.sum("token_estimate").alias("tokens")
-    )
+    return _chunk_digest(ing.ingest_files(materialize(_mixed_files(spark, sf), "files")), "file", "source_type")
 
 
 register(
@@ -1361,11 +1403,49 @@ raw AS (
   UNION ALL SELECT 'orders/' || o_orderkey || '.csv', 'csv', 'Row 1: id: ' || o_orderkey || ' | status: ' || o_orderstatus || ' | a "note": line 1' || chr(10) || 'line 2' FROM orders
 ),
 units AS (SELECT *, row_number() OVER () AS unit FROM raw),
-{S.chunks_cte('ck', table='units', id_col='file, source_type, unit', text_col='text')}
-SELECT file, source_type, count(DISTINCT unit) AS n_units, count(*) AS n_chunks, CAST(sum(token_estimate) AS BIGINT) AS tokens FROM ck GROUP BY ALL""",
+{_chunk_digest_sql('units', 'file, source_type', 'file, source_type, unit')}""",
 )(q_ingest_files)
 
 
+def q_ingest_folder(spark, sf):
+    """Scan a folder with names of every kind, chunk and embed what it holds.
+    The report's error rows stand beside the chunks, without one."""
+    rows, _ = ing.ingest_folder(spark, _corpus_folder(spark, sf))
+    at = F.regexp_replace(F.col("file"), r"^.*?/corpus/[0-9a-f]{12}/", "")
+    return _chunk_digest(rows.withColumn("file", at), "file", "source_type", "url")
+
+
+register(
+    "ingest_folder",
+    f"""WITH {_CORPUS_SQL},
+units AS (
+  SELECT path AS file, source_type, 'file://' || string_split(path, '/')[-1] AS url, CASE source_type
+    WHEN 'html' THEN {S.html_text('text')}
+    WHEN 'csv' THEN 'Row 1: key: ' || regexp_extract(text, chr(10) || '([0-9]+),', 1) || ' | name: ' || regexp_extract(text, '"([^"]+)', 1)
+    ELSE text END AS text FROM corpus WHERE source_type <> 'excel'
+),
+{_chunk_digest_sql('units', 'file, source_type, url', 'file, source_type, url')}""",
+)(q_ingest_folder)
+
+
+def q_folder_report(spark, sf):
+    """The job's report: files that need a codec failed, empty ones did not."""
+    _, report = ing.ingest_folder(spark, _corpus_folder(spark, sf), "all")
+    return report.withColumn("credits_used", F.col("credits_used").cast("double"))
+
+
+register(
+    "folder_report",
+    f"""WITH {_CORPUS_SQL},
+units AS (SELECT path AS file, CASE source_type WHEN 'html' THEN {S.html_text('text')} ELSE text END AS text FROM corpus WHERE source_type <> 'excel'),
+{S.chunks_cte('ck', table='units', id_col='file', text_col='text')},
+n AS (SELECT count(*) AS n FROM ck)
+SELECT 'all' AS job, count(*) FILTER (WHERE source_type <> 'excel') AS files_processed, count(*) FILTER (WHERE source_type = 'excel') AS files_failed,
+  any_value(n.n) AS total_chunks, any_value(n.n) AS vectors_upserted, any_value(n.n) * 0.0035::DOUBLE AS credits_used, 'partial' AS status
+FROM corpus, n""",
+)(q_folder_report)
+
+
 def q_crawl_chunks(spark, sf):
     pages = _pages(spark, sf, "page_id", "url", "html")
     seeds, _, links = _crawl_inputs(spark, sf)

@@ -1,17 +1,20 @@
 """Folder scan, source types and chunk export.
 
-The scan is Spark's ``binaryFile`` source: listing and reading are spread
-over executors, and the suffix filter is a column predicate.
+The scan is a data source of its own (``corpus_files``): one listing, files
+dealt by size to partitions that executors read.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.plans.strategy import MAX_BROADCAST_ROWS
+from corpusflow.sources import corpus_files
 
 # Default suffixes of a folder ingest.
 DEFAULT_EXTENSIONS = [
@@ -56,37 +59,51 @@ def scan_corpus(
     max_files: int | None = None,
 ) -> DataFrame:
     """A1: files whose lower-cased suffix is in ``extensions`` (a caller's own
-    list is used as given, so '.JSON' never matches), sorted by path, the first
-    ``max_files``. Bytes that are not UTF-8 become U+FFFD. Output: path, name,
-    suffix, source_type, length, text.
-
-    The suffixes are a glob of the listing, so other files are never opened;
-    ``max_files`` is decided on the listing alone, and only the files that stay
-    are read. Spark's listing itself leaves out names with a leading '.' or '_'.
+    list is used as given, so '.JSON' never matches), in the order of their
+    paths, the first ``max_files``. Bytes that are not UTF-8 become U+FFFD.
+    Output: path, name, suffix, source_type, length, text, error (null, or why
+    the file could not be read; its text is null then).
+
+    Names that begin with a dot or an underscore and empty files are listed
+    too. Suffixes and ``max_files`` are decided on the listing alone; only the
+    files that stay are read. A store that only Spark reaches is listed by
+    Spark, which leaves out such names.
     """
     exts = list(DEFAULT_EXTENSIONS if extensions is None else extensions)
+    if corpus_files.readable(path):
+        corpus_files.register(spark)
+        reader = spark.read.format(corpus_files.FORMAT).option("suffixes", json.dumps(exts)).option("recursive", str(recursive).lower())
+        raw = (reader if max_files is None else reader.option("first", str(max_files))).load(path)
+    else:
+        raw = _spark_scan(spark, path, exts, recursive, max_files).withColumn("error", F.lit(None).cast("string"))
+    name = F.element_at(F.split("path", "/"), -1)
+    return raw.select(
+        "path", name.alias("name"), file_suffix(name).alias("suffix"), classify_source_type("path").alias("source_type"), "length",
+        F.make_valid_utf8(F.col("content").cast("string")).alias("text"), "error",
+    )
+
+
+def _spark_scan(spark: SparkSession, path: str, exts: list[str], recursive: bool, max_files: int | None) -> DataFrame:
+    """path, length, content by Spark's own listing; the suffixes are a glob of
+    the listing, so other files are never opened."""
     glob = "*{" + ",".join("".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in e) for e in exts) + "}"
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
-    name = F.element_at(F.split("path", "/"), -1)
-    df = raw.select("path", name.alias("name"), "length", "content").withColumn("suffix", file_suffix("name"))
-    df = df.where(F.col("suffix").isin(exts))
+    df = raw.select("path", "length", "content").where(file_suffix(F.element_at(F.split("path", "/"), -1)).isin(exts))
     if not recursive:
         root = path.rstrip("/")
-        df = df.where(F.regexp_replace("path", r"^file:", "").rlike("^(?:/+)?" + _rx(root.lstrip("/")) + "/[^/]+$"))
+        df = df.where(F.regexp_replace("path", r"^[a-z0-9]+:", "").rlike("^(?:/+)?" + re.escape(re.sub("^[a-z0-9]+:", "", root).lstrip("/")) + "/[^/]+$"))
     if max_files is not None:
         first = df.select("path").orderBy("path").limit(max_files)  # the content is pruned here
         df = df.join(F.broadcast(first) if max_files <= MAX_BROADCAST_ROWS else first, "path", "left_semi").orderBy("path")
-    out = df.select(
-        "path", "name", "suffix", classify_source_type("path").alias("source_type"), "length",
-        F.make_valid_utf8(F.col("content").cast("string")).alias("text"),
-    )
-    return out
-
+    return df
 
-def _rx(s: str) -> str:
-    import re
 
-    return re.escape(s)
+def write_files(rows: DataFrame, path: str, name_col: str = "path", content_col: str = "content") -> None:
+    """One file per row below ``path``, named by ``name_col`` (a relative path,
+    folders are made); text is written as UTF-8."""
+    corpus_files.register(rows.sparkSession)
+    out = rows.select(F.col(name_col).alias("path"), F.col(content_col).alias("content"))
+    out.write.format(corpus_files.FORMAT).mode("append").save(path)
 
 
 def write_chunks(chunks: DataFrame, path: str, fmt: str = "json", url_col: str = "url") -> None:

@@ -7,8 +7,10 @@ one row to begin with, so its group is bounded by that row).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,10 +56,10 @@ def json_records(files: DataFrame, file_col: str = "file", text_col: str = "text
     """A3: records of a JSON file. An array gives one record per object item
     (text = first key holding a non-blank string, else the item's JSON text)
     and per non-blank string item; numbers, nulls and lists are dropped;
-    nothing kept gives one raw record. An object gives its text key or the
-    raw file; a JSON string gives that string; bad JSON gives the raw text.
-    url = the item's url, else link, else file://name. The item JSON text is
-    compact (no spaces after ',' and ':'), key order kept.
+    nothing kept gives one raw record. An object gives its text key or itself,
+    indented by two; a JSON string gives that string; bad JSON gives the raw
+    text. url = the item's url, else link, else file://name. An item's JSON
+    text has a space after ',' and ':', key order and letters kept.
     Output: file, item_index, text, url."""
     src_url = F.concat(F.lit("file://"), F.element_at(F.split(F.col(file_col), "/"), -1))
     f = files.select(file_col, text_col, src_url.alias("_src"), F.try_parse_json(text_col).alias("_v"))
@@ -71,12 +73,14 @@ def json_records(files: DataFrame, file_col: str = "file", text_col: str = "text
         v = it["v"]
         t = _vtype(v)
         s = F.try_variant_get(v, "$", "string")
-        text = F.when(t == "OBJECT", F.coalesce(_first_text(v, text_keys), it["j"])).when((t == "STRING") & (_strip(s) != ""), s)
+        found = _first_text(v, text_keys)
+        text = F.when(t == "OBJECT", F.coalesce(found, it["j"])).when((t == "STRING") & (_strip(s) != ""), s)
         url = F.when(t == "OBJECT", _item_url(v, F.col("_src"))).otherwise(F.col("_src"))
-        return F.struct(i.cast("int").alias("item_index"), text.alias("text"), url.alias("url"))
+        form = F.when((t == "OBJECT") & found.isNull(), F.lit(1)).otherwise(F.lit(0))
+        return F.struct(i.cast("int").alias("item_index"), text.alias("text"), url.alias("url"), form.alias("_form"))
 
-    def one(text, url):
-        return F.array(F.struct(F.lit(0).alias("item_index"), text.alias("text"), url.alias("url")))
+    def one(text, url, form=0):
+        return F.array(F.struct(F.lit(0).alias("item_index"), text.alias("text"), url.alias("url"), F.lit(form).alias("_form")))
 
     kept = F.filter(F.transform(items, record), lambda r: r["text"].isNotNull())
     raw = one(F.col(text_col), F.col("_src"))
@@ -84,11 +88,109 @@ def json_records(files: DataFrame, file_col: str = "file", text_col: str = "text
     recs = (
         F.when(F.col("_t") == "ARRAY", F.when(F.size(kept) > 0, kept).otherwise(raw))
         .when((F.col("_t") == "OBJECT") & obj_text.isNotNull(), one(obj_text, _item_url(F.col("_v"), F.col("_src"))))
+        .when(F.col("_t") == "OBJECT", one(F.col(text_col), F.col("_src"), 2))
         .when(F.col("_t") == "STRING", one(F.try_variant_get("_v", "$", "string"), F.col("_src")))
         .otherwise(raw)
     )
     # Row-local: one file in, its records out; no join, no shuffle.
-    return f.select(file_col, F.inline(recs))
+    out = f.select(file_col, F.inline(recs))
+    written = _spaced_json(F.when(F.col("_form") > 0, F.col("text")), F.col("_form"))
+    return out.withColumn("text", F.when(F.col("_form") > 0, F.coalesce(written, "text")).otherwise(F.col("text"))).drop("_form")
+
+
+def _spaced_json(text: Column, form: Column) -> Column:
+    """A JSON text written anew: on one line with spaces (form 1) or indented
+    by two (form 2). Null stays null."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, forms: pd.Series) -> pd.Series:
+        def write(t, f):
+            try:
+                return json.dumps(json.loads(t), ensure_ascii=False, indent=2 if f == 2 else None)
+            except (ValueError, RecursionError):
+                return t
+
+        return pd.Series([write(t, f) if isinstance(t, str) else None for t, f in zip(texts, forms)], dtype=object)
+
+    return run(text, form)
+
+
+#: One field with what ends it. A field is quoted only if a quote opens it.
+CSV_FIELD = r'(?s)(?:"(?:[^"]++|"")*+(?:"[^,\n]*+)?+|[^,\n"][^,\n]*+|)(?:,|\n|\z)'
+CSV_QUOTED = r'(?s)^"((?:[^"]++|"")*+)(?:"(.*))?$'
+CSV_CLOSED = r'(?s)^"(?:[^"]++|"")*+"'
+#: A longer field makes the whole text unreadable as CSV.
+CSV_FIELD_LIMIT = 131_072
+# Noncharacters that mark rows, fields and quoted fields in between.
+_ROW, _FIELD, _QUOTED = "\ufdd0", "\ufdd1", "\ufdd2"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def csv_text(text: str | Column) -> Column:
+    """A4 for a whole CSV text with a header, as a column: ``Row i: k: v | k: v``
+    per row, empty values left out; blank lines do not count, a row without a
+    value counts but is skipped; a value beyond the header has no name and is
+    left out; of columns that share a name the last one counts. Quoted line
+    breaks and doubled quotes belong to their field, a quote that is never
+    closed runs to the end. A text without any row, and one that cannot be read
+    (a field over ``CSV_FIELD_LIMIT`` characters), stays as it is; null is
+    empty."""
+    c = F.col(text) if isinstance(text, str) else text
+    raw = F.coalesce(c, F.lit(""))
+
+    def cut(tokens: Column) -> Column:
+        """Without the empty match at the end, unless a comma opened a field."""
+        n = F.size(tokens)
+        real = (n > 1) & F.endswith(F.try_element_at(tokens, n - 1), F.lit(","))
+        return F.when(real, tokens).otherwise(F.slice(tokens, 1, F.greatest(n - 1, F.lit(0))))
+
+    def field(token: Column) -> Column:
+        quoted = token.startswith('"')
+        is_open = quoted & ~token.rlike(CSV_CLOSED)
+        body = F.when(is_open, token).otherwise(F.regexp_replace(token, r"[,\n]\z", ""))
+        inner = F.concat(
+            F.lit(_QUOTED), F.replace(F.regexp_extract(body, CSV_QUOTED, 1), F.lit('""'), F.lit('"')), F.regexp_extract(body, CSV_QUOTED, 2)
+        )
+        end = F.when(~is_open & token.endswith(","), F.lit(_FIELD)).otherwise(F.lit(_ROW))
+        return F.concat(F.when(quoted, inner).otherwise(body), end)
+
+    def plain(value: Column) -> Column:
+        return F.replace(value, F.lit(_QUOTED), F.lit(""))
+
+    def named(header: Column) -> Column:
+        first = F.filter(F.transform(header, lambda h, i: F.struct(h.alias("h"), i.alias("i"))), lambda x: F.array_position(header, x["h"]) == x["i"] + 1)
+        return F.transform(first, lambda x: F.struct(x["h"].alias("name"), (F.size(header) - F.array_position(F.reverse(header), x["h"])).cast("int").alias("at")))
+
+    def lines(rows: Column) -> Column:
+        kept = F.filter(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), lambda r: r != "")
+
+        def with_names(names: Column) -> Column:
+            def line(row: Column, i: Column) -> Column:
+                def cells(values: Column) -> Column:
+                    shown = F.transform(names, lambda n: _let(plain(F.get(values, n["at"])), lambda v: F.when(v != "", F.concat(n["name"], F.lit(": "), v))))
+                    return F.filter(shown, lambda x: x.isNotNull())
+
+                text_of = _let(_let(F.split(row, _FIELD), cells), lambda x: F.when(F.size(x) > 0, F.array_join(x, " | ")))
+                return F.concat(F.lit("Row "), (i + 1).cast("string"), F.lit(": "), text_of)
+
+            return F.filter(F.transform(kept, line), lambda x: x.isNotNull())
+
+        header = F.when(rows[0] != "", F.transform(F.split(rows[0], _FIELD), plain)).otherwise(F.array().cast("array<string>"))
+        return _let(_let(header, named), with_names)
+
+    normal = F.regexp_replace(raw, r"\r\n?", "\n")
+    tokens = _let(F.regexp_extract_all(normal, F.lit(CSV_FIELD), 0), cut)
+
+    def read(fields: Column) -> Column:
+        odd = F.exists(fields, lambda x: F.length(plain(x)) > CSV_FIELD_LIMIT + 1) | raw.rlike(f"[{_ROW}{_FIELD}{_QUOTED}]")
+        rows = F.split(F.array_join(fields, ""), _ROW)
+        return F.when(odd, F.lit("")).otherwise(F.array_join(_let(rows, lines), "\n"))
+
+    return _let(_let(F.transform(tokens, field), read), lambda x: F.when(x != "", x).otherwise(raw))
 
 
 def row_text(rows: DataFrame, group: str, order: str, cols: Sequence[str]) -> DataFrame:
@@ -122,50 +224,58 @@ def sheet_text(rows: DataFrame, book: str, sheet: str, sheet_order: str, order:
 def gfm_table(rows: DataFrame, group: str, order: str, cols: Sequence[str], header: bool = True) -> DataFrame:
     """GitHub Markdown table per group: the first row (the header when
     ``header``), a dash separator, the rest; column width = longest cell, at
-    least 3; cells left-justified."""
+    least 3; cells left-justified. One grouping collects a table's rows and
+    widths."""
     cols = list(cols)
-    cells = rows.select(group, F.lit(1).alias("_h"), F.col(order).alias("_o"),
-                        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in cols])
+    names = [f"_c{i}" for i in range(len(cols))]
+    cells = rows.select(group, F.col(order).alias("_o"), *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in zip(cols, names)])
+    g = cells.groupBy(group).agg(
+        F.sort_array(F.collect_list(F.struct("_o", *names))).alias("_rows"), *[F.max(F.length(n)).alias(f"_w{i}") for i, n in enumerate(names)]
+    )
+    widths = [F.greatest(F.col(f"_w{i}"), F.lit(max(3, len(c) if header else 0))) for i, c in enumerate(cols)]
+
+    def line(values: Sequence[Column]) -> Column:
+        return F.concat(F.lit("| "), F.concat_ws(" | ", *[F.rpad(v, w, " ") for v, w in zip(values, widths)]), F.lit(" |"))
+
+    dashes = line([F.repeat(F.lit("-"), w) for w in widths])
+    body = F.transform("_rows", lambda r: line([r[n] for n in names]))
     if header:
-        head = cells.select(group).distinct().select(
-            group, F.lit(0).alias("_h"), F.lit(None).cast(cells.schema["_o"].dataType).alias("_o"), *[F.lit(c).alias(c) for c in cols]
-        )
-        cells = head.unionByName(cells)
-    widths = cells.groupBy(group).agg(*[F.greatest(F.max(F.length(c)), F.lit(3)).alias(f"_w_{i}") for i, c in enumerate(cols)])
-    j = cells.join(widths, group)
-    line = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.rpad(F.col(c), F.col(f"_w_{i}"), " ") for i, c in enumerate(cols)]), F.lit(" |"))
-    sep = F.concat(F.lit("| "), F.concat_ws(" | ", *[F.repeat(F.lit("-"), F.col(f"_w_{i}")) for i in range(len(cols))]), F.lit(" |"))
-    j = j.select(group, "_h", "_o", line.alias("_l"), sep.alias("_sep"))
-    g = j.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("_h", "_o", "_l"))).getField("_l").alias("_ls"), F.first("_sep").alias("_sep"))
-    body = F.concat(F.slice("_ls", 1, 1), F.array("_sep"), F.slice("_ls", 2, F.greatest(F.size("_ls") - 1, F.lit(0))))
-    return g.select(group, F.array_join(body, "\n").alias("text"))
+        out = F.concat(F.array(line([F.lit(c) for c in cols]), dashes), body)
+    else:
+        out = _let(body, lambda x: F.concat(F.slice(x, 1, 1), F.array(dashes), F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0)))))
+    return g.select(group, F.array_join(out, "\n").alias("text"))
 
 
 def notebook_text(files: DataFrame, file_col: str = "file", text_col: str = "text") -> DataFrame:
     """Markdown cells as they are, code cells fenced as python, blank and
     other cells skipped, blocks joined by a blank line; ``source`` may be a
-    string or a list of strings. Bad JSON gives the raw text."""
+    string or a list of strings. A text that is no notebook stays raw: bad JSON,
+    no object, cells or sources of another kind. Row-local."""
     v = F.try_parse_json(text_col)
+
+    def source(c: Column) -> Column:
+        src = F.try_variant_get(c, "$.source", "variant")
+        joined = F.array_join(F.try_variant_get(c, "$.source", "array<string>"), "")
+        return F.when(src.isNull(), F.lit("")).when(_vtype(src) == "ARRAY", joined).otherwise(F.try_variant_get(c, "$.source", "string"))
+
+    def fits(c: Column) -> Column:
+        src = F.try_variant_get(c, "$.source", "variant")
+        parts = F.coalesce(F.try_variant_get(c, "$.source", "array<variant>"), F.array().cast("array<variant>"))
+        kind = _vtype(src)
+        strings = (kind == "STRING") | ((kind == "ARRAY") & ~F.exists(parts, lambda p: p.isNull() | (_vtype(p) != "STRING")))
+        return c.isNotNull() & (_vtype(c) == "OBJECT") & (src.isNull() | strings)
+
+    def block(c: Column) -> Column:
+        kind = F.try_variant_get(c, "$.cell_type", "string")
+        fenced = lambda s: F.concat(F.lit("```python\n"), s, F.lit("\n```"))
+        return _let(source(c), lambda s: F.when(_strip(s) == "", F.lit(None)).when(kind == "markdown", s).when(kind == "code", fenced(s)))
+
     f = files.select(file_col, text_col, v.alias("_v"))
-    cells = f.where(F.col("_v").isNotNull()).select(
-        file_col, F.posexplode_outer(F.try_variant_get("_v", "$.cells", "array<variant>")).alias("_i", "_c")
-    )
-    src_v = F.try_variant_get("_c", "$.source", "variant")
-    src = F.when(_vtype(src_v) == "ARRAY", F.array_join(F.try_variant_get("_c", "$.source", "array<string>"), "")).otherwise(
-        F.try_variant_get("_c", "$.source", "string")
-    )
-    kind = F.try_variant_get("_c", "$.cell_type", "string")
-    block = (
-        F.when(_strip(F.coalesce(src, F.lit(""))) == "", F.lit(None))
-        .when(kind == "markdown", src)
-        .when(kind == "code", F.concat(F.lit("```python\n"), src, F.lit("\n```")))
-    )
-    b = cells.select(file_col, "_i", block.alias("_b"))
-    g = b.groupBy(file_col).agg(
-        F.array_join(F.sort_array(F.collect_list(F.when(F.col("_b").isNotNull(), F.struct("_i", "_b")))).getField("_b"), "\n\n").alias("text")
-    )
-    bad = f.where(F.col("_v").isNull()).select(file_col, F.col(text_col).alias("text"))
-    return g.unionByName(bad)
+    cells = F.try_variant_get("_v", "$.cells", "variant")
+    listed = F.coalesce(F.try_variant_get("_v", "$.cells", "array<variant>"), F.array().cast("array<variant>"))
+    good = (_vtype(F.col("_v")) == "OBJECT") & (cells.isNull() | (_vtype(cells) == "ARRAY")) & F.forall(listed, fits)
+    text = F.array_join(F.filter(F.transform(listed, block), lambda b: b.isNotNull()), "\n\n")
+    return f.select(file_col, F.when(F.coalesce(good, F.lit(False)), text).otherwise(F.col(text_col)).alias("text"))
 
 
 def _plain_xml(x: Column) -> Column:

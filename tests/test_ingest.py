@@ -3,13 +3,7 @@
 import os
 import tempfile
 
-from corpusflow.plans.ingest import crawl_to_chunks, csv_rows_text, file_units, ingest_folder
-
-
-def test_csv_text():
-    assert csv_rows_text('a,b\n1,\n,\n"x\ny","say ""hi"""\n') == 'Row 1: a: 1\nRow 3: a: x\ny | b: say "hi"'
-    assert csv_rows_text("") == "" and csv_rows_text("only,header\n") == "only,header\n"
-    assert csv_rows_text("a\n1,2,3\n") == "Row 1: a: 1"
+from corpusflow.plans.ingest import crawl_to_chunks, file_units, ingest_folder
 
 
 def test_file_units_by_type(spark):
@@ -31,7 +25,7 @@ def test_file_units_by_type(spark):
 def test_ingest_folder(spark):
     base = tempfile.mkdtemp(prefix="cf-ingest-")
     os.makedirs(os.path.join(base, "deep"))
-    for name, text in (("a.md", "alpha " * 600), ("deep/B.TXT", "beta"), ("c.docx", "x"), ("skip.bin", "x"), ("empty.txt", "")):
+    for name, text in (("a.md", "alpha " * 600), ("deep/B.TXT", "beta"), ("c.docx", "x"), ("skip.bin", "x"), ("empty.txt", ""), ("_notes.md", "gamma"), ("bad.csv", 'a\n"' + "x " * 100_000)):
         with open(os.path.join(base, name), "w") as f:
             f.write(text)
     rows, report = ingest_folder(spark, base, "j")
@@ -39,9 +33,28 @@ def test_ingest_folder(spark):
     for r in rows.collect():
         got.setdefault(os.path.basename(r.file), []).append(r.chunk_index)
         assert len(r.embedding) == 64
-    assert {k: sorted(v) for k, v in got.items()} == {"a.md": [0, 1], "B.TXT": [0]}
+    assert {k: sorted(v) for k, v in got.items()} == {"a.md": [0, 1], "B.TXT": [0], "_notes.md": [0], "bad.csv": list(range(len(got["bad.csv"])))}
     r = report.collect()[0]
-    assert (r.job, r.files_processed, r.files_failed, r.total_chunks, r.status) == ("j", 2, 1, 3, "partial")  # Spark lists no empty files
+    assert (r.job, r.files_processed, r.files_failed, r.total_chunks, r.status) == ("j", 5, 1, 4 + len(got["bad.csv"]), "partial")
+
+
+def test_unreadable_files_are_reported(spark):
+    from corpusflow.plans.ingest import folder_errors
+
+    files = [("a.md", "markdown", None), ("b.pdf", "pdf", None), ("c.md", "markdown", "PermissionError: no")]
+    got = folder_errors(spark.createDataFrame(files, "file string, source_type string, error string")).collect()
+    assert [(r.file, r.error) for r in got] == [("a.md", None), ("b.pdf", "unsupported file type"), ("c.md", "PermissionError: no")]
+
+
+def test_every_route_reads_its_own_files(spark):
+    df = spark.createDataFrame([("a.md", "x"), ("b.csv", "k\n1"), ("c.html", "<p>y</p>")], "file string, text string")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = file_units(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [x for x in plan.splitlines() if "FileScan" in x]
+    assert scans and all("_route" in x.split("PartitionFilters: ")[1].split("]")[0] for x in scans)
 
 
 def test_crawl_to_chunks(spark):
