@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.plans.strategy import materialize
+
 #: Upper bound on the characters that one numpy block of texts holds at once
 #: (a single longer text is a block of its own).
 BLOCK_CHARS = 4_000_000
@@ -51,23 +53,28 @@ def held_out(id_col: Column, modulus: int, fold: int) -> Column:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: dict[int, int],
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", max_chars: int | None = None,
 ) -> tuple[DataFrame, dict[int, float]]:
     """At most ``per_class[c]`` labelled documents of each class, the ones with
     the smallest hash of their id, and the weight (all labelled rows of the
     class / sampled rows) of each class.
 
-    ``train`` is a condition over ``id_col``. The sample is drawn from the
-    label table alone, so only sampled texts are moved: its ids (at most the
-    sum of ``per_class``) are broadcast and the documents are scanned once.
-    Conflicting labels of one id count as the larger one.
+    ``train`` is a condition over ``id_col``. With ``max_chars`` only documents
+    of at most so many characters are sampled and counted, before the limit, so
+    that long ones do not thin the sample. Only ids are shuffled to draw it: its
+    ids (at most the sum of ``per_class``) are broadcast and the documents are
+    scanned for them. Conflicting labels of one id count as the larger one.
     """
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     lab = (
         labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y"))
         .where(F.col("_id").isNotNull() & F.col("_y").isin(*per_class))
         .groupBy("_id").agg(F.max("_y").alias("_y"))
         .withColumnRenamed("_id", id_col).where(train).withColumnRenamed(id_col, "_id")
     )
+    if max_chars is not None:
+        texts = texts.where(F.char_length(F.coalesce("_text", F.lit(""))) <= max_chars)
+        lab = materialize(lab.join(texts.select("_id").distinct(), "_id", "left_semi"), "labelled")
     total = {r["_y"]: r["n"] for r in lab.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = [
         lab.where(F.col("_y") == c).orderBy(F.xxhash64("_id"), "_id").limit(n) for c, n in sorted(per_class.items())
@@ -75,7 +82,7 @@ def labelled_sample(
     picked = parts[0]
     for p in parts[1:]:
         picked = picked.unionByName(p)
-    sample = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id")
+    sample = texts.join(F.broadcast(picked), "_id")
     weight = {c: total.get(c, 0) / max(1, min(n, total.get(c, 0))) for c, n in per_class.items()}
     return sample, weight
 

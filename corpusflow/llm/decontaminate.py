@@ -19,9 +19,10 @@ from corpusflow.llm.common import lower_ascii
 from corpusflow.plans.strategy import materialize
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The windows are broadcast only up to this many words in total (at some 20
-#: bytes a word below 100 MB); beyond it the shuffle path places them.
+#: The windows are broadcast only up to this many words and bytes (of words and
+#: item ids) in total; beyond it the shuffle path places them.
 MAX_BROADCAST_WORDS = 4_000_000
+MAX_BROADCAST_BYTES = 64_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -73,13 +74,16 @@ def contamination(
     window consists of frequent words alone.
     """
     windows = materialize(windows_of(items.where(F.col(item_col).isNotNull()), size, item_col, item_text_col), "windows")
-    total = windows.agg(F.coalesce(F.sum(F.size("win")), F.lit(0))).first()[0]
-    small = total <= max_broadcast_words
+    weight = F.octet_length(F.array_join("win", " ")) + F.octet_length("item_id") + 8 * F.size("win")
+    total = windows.agg(F.coalesce(F.sum(F.size("win")), F.lit(0)), F.coalesce(F.sum(weight), F.lit(0))).first()
+    small = total[0] <= max_broadcast_words and total[1] <= MAX_BROADCAST_BYTES
     rare = materialize(rarest_words(docs, windows, text_col, small), "rarest")
     base = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_doc"),
         *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)], words_of(F.col(text_col)).alias("_w"),
     )
+    if not small:  # read twice below: the row numbers must agree
+        base = materialize(base, "numbered")
     keys = ["_row", "_doc", *[f"_keep_{i}" for i in range(len(keep))]]
     # Position -1 stands for the document itself, so that one pass gives both
     # its word count and its matches.

@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -207,16 +208,20 @@ class Scanner:
     def scan(self, text: str) -> dict:
         words = text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
         joined = b" " + b" ".join(words) + b" "
-        n_base, starts, base = 0, [], set()
+        # Place of the space before each word: positions become word numbers.
+        spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0x20)
+        starts, base = [], set()
         distinct = set(words)
         for phrase, label in self.base:
             if distinct.issuperset(phrase.split()):
                 at = joined.find(phrase)
                 while at >= 0:
-                    starts.append(joined.count(b" ", 0, at))
+                    starts.append(at)
                     base.add(label)
                     at = joined.find(phrase, at + 1)
+        starts = np.searchsorted(spaces, starts).tolist()
         kept = self.detect(joined, distinct)
+        first, last = (np.searchsorted(spaces, [d[i] for d in kept]) - 1 for i in (0, 1))
         miss = 1.0
         best: dict[str, float] = {}
         for _, _, i in kept:
@@ -230,8 +235,7 @@ class Scanner:
             "n_words": len(words), "n_base": len(starts), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
             "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(best)), "score": 1 - miss if best else 0.0,
             "detections": [
-                {"label": self.rules[i].label, "rule": i, "first": joined.count(b" ", 0, s) - 1, "last": joined.count(b" ", 0, e) - 1}
-                for s, e, i in kept
+                {"label": self.rules[d[2]].label, "rule": d[2], "first": a, "last": b} for d, a, b in zip(kept, first.tolist(), last.tolist())
             ],
         }
 

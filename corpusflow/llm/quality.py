@@ -111,13 +111,12 @@ def _indicator_column(text: Column) -> Column:
     return run(text)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality", per_class=PER_CLASS) -> QualityModel:
-    """Fit on at most ``per_class`` documents of at most ``TRAIN_CHARS``
+def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality", per_class=PER_CLASS, max_chars: int = TRAIN_CHARS) -> QualityModel:
+    """Fit on at most ``per_class`` documents of at most ``max_chars``
     characters (a bounded sample whose indicators are collected); with one
     class alone every score is that class."""
-    sample, weight = labelled_sample(docs, labels, label, train, per_class)
-    short = sample.where(F.char_length("_text") <= TRAIN_CHARS)
-    got = short.select("_id", "_y", _indicator_column(F.col("_text")).alias("f")).toArrow()
+    sample, weight = labelled_sample(docs, labels, label, train, per_class, max_chars=max_chars)
+    got = sample.select("_id", "_y", _indicator_column(F.col("_text")).alias("f")).toArrow()
     table = zip(got["_id"].to_pylist(), got["_y"].to_pylist(), got["f"])
     table = sorted(((i, k, f.values.to_numpy().astype(np.int32)) for i, k, f in table), key=lambda r: (r[0], len(r[2])))
     rows, y = [r[2] for r in table], np.array([r[1] for r in table], int)

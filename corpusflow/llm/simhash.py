@@ -250,11 +250,13 @@ def near_links(fps: DataFrame, max_bits: int, segments: int | None = None, split
 
 def simhash_groups(
     docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text",
-    segments: int | None = None, split_at: int = SPLIT_AT,
+    segments: int | None = None, split_at: int = SPLIT_AT, keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits)
     and ``component_id``, the smallest id reachable over links of at most
-    ``max_bits`` differing bits.
+    ``max_bits`` differing bits. ``keep`` names further columns of ``docs`` to
+    return, and with them ``group_id``, a number of the component that rows
+    without an id have too.
 
     Defined cases: a null text is empty, an empty text has fingerprint zero
     (which links like any other); repeated rows give repeated rows; a null id
@@ -266,11 +268,18 @@ def simhash_groups(
     row. Joins are plain equi-joins, whose hot keys adaptive execution splits.
     """
     rows = materialize(
-        docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash"
+        docs.select(
+            F.col(id_col).alias("doc_id"), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
+            fingerprint_column(F.col(text_col), shingle).alias("fp"),
+        ),
+        "simhash",
     )
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-nodes")
     roots = connected_components(near_links(nodes.select("fp"), max_bits, segments, split_at))
     linked = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     best = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = linked.join(best, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", hex_column(F.col("fp")).alias("fingerprint"), "component_id")
+    named = linked.join(best, "root").select("fp", "component_id", "root")
+    kept = [F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)]
+    return rows.join(named, "fp").select(
+        "doc_id", hex_column(F.col("fp")).alias("fingerprint"), "component_id", *kept, *([F.col("root").alias("group_id")] if keep else [])
+    )

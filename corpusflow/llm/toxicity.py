@@ -180,12 +180,12 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic", per_class=PER_CLASS) -> ToxicityModel:
-    """Fit on at most ``per_class`` documents of at most ``TRAIN_CHARS``
+def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, label: str = "toxic", per_class=PER_CLASS, max_chars: int = TRAIN_CHARS) -> ToxicityModel:
+    """Fit on at most ``per_class`` documents of at most ``max_chars``
     characters (a bounded sample, collected); without toxic labels every score
     is near 0."""
-    sample, weight = labelled_sample(docs, labels, label, train, per_class)
-    rows = sample.where(F.char_length("_text") <= TRAIN_CHARS).select("_id", "_text", "_y").collect()
+    sample, weight = labelled_sample(docs, labels, label, train, per_class, max_chars=max_chars)
+    rows = sample.select("_id", F.coalesce("_text", F.lit("")).alias("_text"), "_y").collect()
     return train_toxicity(sorted((r["_id"], r["_text"], r["_y"]) for r in rows), weight)
 
 

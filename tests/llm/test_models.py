@@ -123,6 +123,17 @@ def test_sample_is_bounded_and_weighted(spark):
     assert all(r["_id"] % 10 and r["_y"] == int(r["_id"] < 40) for r in rows)
 
 
+def test_long_documents_do_not_thin_the_sample(spark):
+    """The length bound holds before the limit, and weights count what it left."""
+    docs = spark.createDataFrame([(i, "x" * (50 if i % 2 else 5)) for i in range(200)] + [(400, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(300)] + [(400, 1)], "doc_id long, quality int")
+    sample, weight = labelled_sample(docs, labels, "quality", F.lit(True), {0: 20, 1: 500}, max_chars=10)
+    rows = sample.collect()
+    assert all(r["_id"] % 2 == 0 for r in rows)
+    assert sum(r["_y"] == 0 for r in rows) == 20 and sum(r["_y"] == 1 for r in rows) == 51
+    assert weight == {0: 2.5, 1: 1.0}
+
+
 def test_quality_held_out(spark):
     docs, labels = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
     fold = held_out(F.col("doc_id"), 5, 0)

@@ -27,6 +27,49 @@ def test_stages_take_odd_rows(spark, odd_docs, no_docs):
             assert len(out) == 8, name
 
 
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS)
+
+
+def test_a_shared_id_does_not_drop_another_text(spark):
+    """Copies leave, a text of its own under a copy's id stays; copies without
+    an id leave beside a named one, and one of them stays without."""
+    a, b, c = ("one two three four five six " * 9, "quite another text of other words altogether " * 9, "nobody named this long text of many words " * 9)
+    got = P.drop_near_copies(spark, _rows(spark, [(1, a), (2, a), (2, b), (None, a), (None, c), (None, c), (3, b), (4, None), (5, ""), (4, None)]), SF).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([(1, a), (2, b), (None, c), (4, None)], key=str)
+
+
+def test_a_shared_id_does_not_drop_a_clean_text(spark):
+    item = read_table(spark, SF, "benchmark").orderBy("item_id").first()["text"]
+    rows = [(5, "before " + item + " after"), (5, "clean words only"), (6, "clean words only"), (None, item), (None, "clean"), (7, None)]
+    got = P.drop_contaminated(spark, _rows(spark, rows), SF).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([rows[1], rows[2], rows[4], rows[5]], key=str)
+
+
+def test_last_stages_equal_the_library(spark):
+    """Token digests of the redacted texts, by the tokenizer library."""
+    import hashlib
+
+    from tokenizers import Tokenizer
+
+    from corpusflow.llm.queries import tokenizer_path
+
+    docs = P.redact_pii(spark, read_table(spark, SF, "documents"), SF)
+    want = {}
+    tok = Tokenizer.from_file(tokenizer_path())
+    tok.no_truncation()
+    tok.no_padding()
+    for r in docs.collect():
+        ids = tok.encode(r["text"] or "", add_special_tokens=False).ids
+        back = tok.decode(ids, skip_special_tokens=False)
+        want[r["doc_id"]] = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
+    got = {r["doc_id"]: tuple(r)[1:] for r in P.tokenize(spark, docs, SF).collect()}
+    assert got == want
+
+
 def test_redaction_takes_effect(spark):
     docs = spark.createDataFrame([(1, "write a@b.com é", "en", "s", 3), (2, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: r for r in P.redact_pii(spark, docs, SF).collect()}
@@ -67,7 +110,7 @@ def test_run_keeps_what_brute_force_keeps(spark):
 
 
 def test_queries_are_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
 
 
 def test_entry_works_without_the_subpackage():

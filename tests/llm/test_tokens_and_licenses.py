@@ -178,3 +178,20 @@ def test_counts(spark):
     rows = [(None,), ("",), (" a  b\t\n",), ("x y z",)]
     got = spark.createDataFrame(rows, "text string").select(word_count(F.col("text")), quarter_count(F.col("text"))).collect()
     assert [tuple(r) for r in got] == [(0, 0), (0, 0), (2, 2), (2, 2)]
+
+
+def test_license_scan_is_linear_in_the_text():
+    """Twice the phrases take about twice the time, and word numbers are right."""
+    import time
+
+    from corpusflow.llm.licenses import Scanner
+
+    scanner = Scanner()
+    scanner.scan("warm up")
+    times = []
+    for n in (20_000, 80_000):
+        t0 = time.perf_counter()
+        got = scanner.scan("cc by nc " * n)
+        times.append(time.perf_counter() - t0)
+        assert got["n_words"] == 3 * n and got["n_base"] == n and got["first_word"] == 0 and got["last_word"] == 3 * n - 3
+    assert times[1] < 10 * times[0] + 0.2, times
