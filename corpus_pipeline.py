@@ -26,34 +26,38 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with a key of id and text, 128 bits in two columns: rows that
+    share it are the same document, rows that share an id alone are not."""
+    names = [_free(docs, "_key1"), _free(docs, "_key2")]
+    whole = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text")]
+    return docs.select("*", *(F.xxhash64(F.lit(i), *whole).alias(n) for i, n in enumerate(names))), names
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest id. Of
-    rows that repeat an id one stays; rows without an id cannot be named and
-    stay."""
-    groups = materialize(simhash.simhash_groups(docs, shingle=4, max_bits=4).where("doc_id is not null"), "groups")
-    copies = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    kept = docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
-    again = groups.groupBy(F.col("doc_id").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_again")
-    again = materialize(again, "repeated")
+    """One document of each SimHash group: the one with the smallest id, rows
+    without an id last, then by key. Decided by id and text together: a text of
+    its own stays, whatever other rows carry its id; of equal rows one stays."""
+    keyed, key = _keyed(docs)
+    rows = materialize(simhash.simhash_groups(keyed, shingle=4, max_bits=4, keep=tuple(key)), "groups")
+    first = rows.groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *key)).alias("best"))
+    judged = rows.join(first, "group_id").withColumn("stays", (F.col(f"best.{key[0]}") == F.col(key[0])) & (F.col(f"best.{key[1]}") == F.col(key[1])))
+    judged = materialize(judged.groupBy(*key).agg(F.first("stays").alias("_stays"), F.count(F.lit(1)).alias("_n")).where("not _stays or _n > 1"), "judged")
+    kept = keyed.join(judged.where("not _stays").select(*key), key, "left_anti")
+    again = judged.where("_stays").select(*key)
     if not again.head(1):
-        return kept
-    same = F.col("doc_id") == F.col("_again")
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+        return kept.drop(*key)
+    once = kept.join(again, key, "left_semi").dropDuplicates(key)
+    return kept.join(again, key, "left_anti").unionByName(once).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window. Contaminated ids leave by an
-    anti-join, so texts are not shuffled; rows without an id carry their
-    columns along instead."""
-    items = read_table(spark, sf_dir, "benchmark")
-    named = docs.where("doc_id is not null")
-    bad = decontaminate.contamination(named, items, size=10).where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    out = named.join(bad, F.col("doc_id") == F.col("_hit"), "left_anti")
-    nameless = docs.where("doc_id is null")
-    if not nameless.head(1):
-        return out
-    found = decontaminate.contamination(nameless, items, size=10, keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return out.unionByName(found.where("not contaminated").select(docs.columns))
+    """Documents without a benchmark window. Decided by id and text together;
+    contaminated documents leave by an anti-join on their key."""
+    keyed, key = _keyed(docs)
+    found = decontaminate.contamination(keyed, read_table(spark, sf_dir, "benchmark"), size=10, keep=tuple(key))
+    bad = found.where("contaminated").select(*key).distinct()
+    return keyed.join(bad, key, "left_anti").select(docs.columns)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
