@@ -135,11 +135,13 @@ def suggest_models(inspected: DataFrame) -> DataFrame:
 
 
 def upsert_index(existing: DataFrame, incoming: DataFrame, key: str = "id", version: str = "version") -> DataFrame:
-    """Newest version of each id wins. Both sides shuffle on the id once;
-    ids are unique per version, so no key is hot."""
-    both = existing.unionByName(incoming, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(F.col(version).desc())
-    return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    """A13 over two frames: the newest version of each id wins, among equal
+    versions the incoming row. Both sides shuffle on the id once; ids are unique
+    per version, so no key is hot. ``IndexStore`` keeps an index over many
+    commits without rewriting it."""
+    both = existing.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    w = Window.partitionBy(key).orderBy(F.col(version).desc(), F.col("_new").desc())
+    return both.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_new")
 
 
 def upserted_count(incoming: DataFrame) -> DataFrame:

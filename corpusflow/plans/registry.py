@@ -772,6 +772,38 @@ SELECT vec_id, version, CAST(dimension AS INTEGER) AS dimension, first_value FRO
 )(q_upsert)
 
 
+def q_index_store(spark, sf):
+    """Chunks of all documents in a keyed store: inserted, partly revised and
+    deleted, the revision sent twice, compacted, revised again."""
+    import uuid
+
+    from corpusflow.sources.index_store import IndexStore
+
+    docs = T(spark, sf, "documents").select("doc_id", "text")
+    store = IndexStore(spark, shared_path(spark, f"store/{uuid.uuid4().hex[:16]}"), "doc_id", 16)
+
+    def chunks(cond: str, head: str = "") -> DataFrame:
+        return ch.chunk_text(docs.where(cond).withColumn("text", F.concat(F.lit(head), "text")), "doc_id", "text").withColumn("head", F.lit(head))
+
+    store.commit(chunks("true"), writer="a", batch=0)
+    for _ in range(2):
+        store.commit(chunks("doc_id % 5 = 1", "revised "), deletes=docs.where("doc_id % 7 = 3").select("doc_id"), writer="a", batch=1)
+    store.compact()
+    store.commit(chunks("doc_id % 11 = 2 and doc_id % 7 != 3", "again "), writer="b", batch=0)
+    return store.read().select("doc_id", "head", "chunk_index", "token_estimate", F.sha2("content", 256).alias("content_sha256"))
+
+
+register(
+    "index_store",
+    f"""WITH f AS (
+  SELECT doc_id, CASE WHEN doc_id % 11 = 2 AND doc_id % 7 <> 3 THEN 'again ' WHEN doc_id % 5 = 1 THEN 'revised ' ELSE '' END AS head, text FROM documents
+  WHERE doc_id % 7 <> 3 OR doc_id % 5 = 1
+), u AS (SELECT doc_id, head, head || text AS text FROM f),
+{S.chunks_cte('ck', table='u', id_col='doc_id, head', text_col='text')}
+SELECT doc_id, head, chunk_index, token_estimate, sha256(content) AS content_sha256 FROM ck""",
+)(q_index_store)
+
+
 # ---------------------------------------------------------------- G: extraction
 from corpusflow.operators import accounting as oa  # noqa: E402
 from corpusflow.operators import extraction as oe  # noqa: E402
@@ -1477,6 +1509,27 @@ SELECT doc_id, chunk_index, token_estimate, 64 AS dimension FROM chunks JOIN has
 )(q_stream_ingest)
 
 
+def q_stream_twice(spark, sf):
+    """Two streams with checkpoints of their own feed one index; the second
+    brings other texts for every third document."""
+    docs = st.file_stream(spark, sf, "documents.parquet", T(spark, sf, "documents").schema).select("doc_id", "text")
+    base = st.run_dir(spark, "index")
+    st.stream_ingest(docs, base, st.run_dir(spark, "ingest-ckpt")).awaitTermination()
+    third = docs.where("doc_id % 3 = 0").withColumn("text", F.concat(F.lit("second "), "text"))
+    st.stream_ingest(third, base, st.run_dir(spark, "ingest-ckpt")).awaitTermination()
+    return st.read_index(spark, base).select("doc_id", "chunk_index", "token_estimate", F.sha2("content", 256).alias("content_sha256"))
+
+
+register(
+    "stream_ingest_twice",
+    f"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'second ' || text ELSE text END AS text FROM documents),
+{S.chunks_cte(table='d')},
+{S.hashed_cte('cv', 'chunks', 'doc_id, chunk_index', 'content', 64)},
+has AS (SELECT DISTINCT doc_id, chunk_index FROM cv)
+SELECT doc_id, chunk_index, token_estimate, sha256(content) AS content_sha256 FROM chunks JOIN has USING (doc_id, chunk_index)""",
+)(q_stream_twice)
+
+
 def _event_urls(df: DataFrame) -> DataFrame:
     url = F.concat(
         F.lit("https://shop.example.com/"), F.col("event_type"), F.lit("/"), F.get_json_object("props", "$.k"),

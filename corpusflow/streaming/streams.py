@@ -8,6 +8,7 @@ drains what is there and stops, which is how a folder ingest runs as a job.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
@@ -18,6 +19,7 @@ from corpusflow.functions.urls import normalize_url
 from corpusflow.operators.chunking import chunk_text
 from corpusflow.operators.index import embed_column
 from corpusflow.session import shared_path
+from corpusflow.sources.index_store import IndexStore, read_small
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
@@ -28,38 +30,44 @@ def run_dir(spark: SparkSession, name: str) -> str:
 # ---------------------------------------------------------------- I1
 
 
-def index_writer(base: str, id_col: str = "doc_id"):
+def index_writer(base: str, id_col: str = "doc_id", writer: str = ""):
     """foreachBatch sink of I1, called with a batch's documents and their
-    chunks: both are written as version folders (``v=<batch id>``, rewritten as
-    a whole if the batch is retried, so retries are idempotent). Nothing already
-    written is touched, so a batch costs its own size, not the index's."""
+    chunks: one commit of the keyed store, in which a document's new chunks
+    replace all that it had (none, if it has none now). A batch that ``writer``
+    has already committed changes nothing, and a batch costs its own size, not
+    the index's."""
 
     def write(docs: DataFrame, chunks: DataFrame, batch_id: int) -> None:
-        at, version = f"v={int(batch_id):010d}", F.lit(int(batch_id)).cast("long").alias("version")
-        chunks.select("*", version).write.mode("overwrite").parquet(os.path.join(base, "chunks", at))
-        docs.select(id_col, version).distinct().write.mode("overwrite").parquet(os.path.join(base, "docs", at))
+        IndexStore(docs.sparkSession, base, id_col).commit(chunks, deletes=docs.select(id_col), writer=writer, batch=int(batch_id))
 
     return write
 
 
 def read_index(spark: SparkSession, base: str, id_col: str = "doc_id") -> DataFrame:
-    """The current index: of every document the chunks of its newest version
+    """The current index: of every document the chunks of its newest commit
     alone, so chunks that a shorter or blank version lost are gone."""
-    newest = spark.read.parquet(os.path.join(base, "docs")).groupBy(id_col).agg(F.max("version").alias("version"))
-    return spark.read.parquet(os.path.join(base, "chunks")).drop("v").join(newest, [id_col, "version"])
+    return IndexStore(spark, base, id_col).read()
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint: the same after a restart,
+    another one for a new checkpoint."""
+    return json.loads(read_small(spark, os.path.join(checkpoint, "metadata")))["id"]
 
 
 def stream_ingest(stream: DataFrame, base: str, checkpoint: str, id_col: str = "doc_id", text_col: str = "text",
                   dim: int = 64, available_now: bool = True):
     """New rows (or files) -> chunks -> hashed vectors -> upsert, incrementally.
     Chunking and embedding are one projection inside each micro-batch. A batch
-    that repeats a document keeps one of its texts, the greatest."""
+    that repeats a document keeps one of its texts, the greatest. Batches are
+    committed under the stream's own id, so several streams, or one that starts
+    anew, add to the same index."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         docs = batch.groupBy(id_col).agg(F.max(text_col).alias(text_col))
         rows = chunk_text(docs, id_col, text_col).withColumn("embedding", embed_column("content", dim)).where("embedding is not null")
         rows = rows.withColumn("chunk_id", F.concat_ws(":", F.col(id_col).cast("string"), F.col("chunk_index").cast("string")))
-        index_writer(base, id_col)(docs, rows, batch_id)
+        index_writer(base, id_col, stream_id(batch.sparkSession, checkpoint))(docs, rows, batch_id)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
