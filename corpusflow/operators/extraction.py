@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+from corpusflow.functions.elements import elements, matching, outer_html
 from corpusflow.plans.strategy import dense_position
 
 # Fixed values.
@@ -63,14 +64,39 @@ def extract_fields(pages: DataFrame, spec: dict[str, str], rules: dict[str, str]
 
 
 def extract_list(pages: DataFrame, spec: dict[str, str], rules: dict[str, str], text_col: str = "html",
-                 id_col: str = "page_id") -> DataFrame:
-    """Every match of every field, zipped by position into items.
-    Output: id, item_index, one column per field, item_count."""
+                 id_col: str = "page_id", record: str | None = None) -> DataFrame:
+    """The items of every page, each field's first match inside the item; a
+    field that an item lacks is null there and moves to no other item.
+
+    An item is an element that the CSS selector ``record`` matches, or, without
+    one, what stands from one match of the first field of ``spec`` to the next.
+    Items without any field are left out. Output: id, item_index, one column
+    per field, item_count."""
     _, rows = parse_schema(spec)
-    arrs = [F.regexp_extract_all(F.col(text_col), F.lit(rules[f]), 1).alias(f) for f, _, _ in rows]
-    z = pages.select(id_col, F.arrays_zip(*arrs).alias("_items"))
+    text = F.col(text_col)
+    if record is None:
+        mark = "\ufdd0"
+        cut = F.split(F.regexp_replace(F.replace(text, F.lit(mark), F.lit("")), rules[rows[0][0]], mark + "$0"), mark)
+        parts = F.slice(cut, 2, F.greatest(F.size(cut) - 1, F.lit(0)))
+        z = pages.select(id_col, F.coalesce(parts, F.array().cast("array<string>")).alias("_parts"))
+    else:
+        tree = pages.select(id_col, text_col, elements(text_col).alias("_tree"))
+        z = tree.select(id_col, F.transform(matching(F.col("_tree"), record), lambda e: outer_html(text, e)).alias("_parts"))
+
+    def item(part: Column) -> Column:
+        return F.struct(*[_typed(F.regexp_extract(part, rules[f], 1), t).alias(f) for f, t, _ in rows])
+
+    items = F.filter(F.transform("_parts", item), lambda x: _any_field(x, rows))
+    z = z.select(id_col, items.alias("_items"))
     z = z.select(id_col, F.size("_items").cast("long").alias("item_count"), F.posexplode("_items").alias("item_index", "_it"))
-    return z.select(id_col, "item_index", *[_typed(F.col(f"_it.{f}"), t).alias(f) for f, t, _ in rows], "item_count")
+    return z.select(id_col, "item_index", *[F.col(f"_it.{f}").alias(f) for f, _, _ in rows], "item_count")
+
+
+def _any_field(item: Column, rows: list[tuple[str, str, str]]) -> Column:
+    found = F.lit(False)
+    for f, _, _ in rows:
+        found = found | item[f].isNotNull()
+    return found
 
 
 def page_status(extracted: DataFrame, spec: dict[str, str], url_col: str = "url") -> DataFrame:

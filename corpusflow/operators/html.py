@@ -1,7 +1,8 @@
 """Pages to text and Markdown.
 
 Everything is a projection over the ``pages`` table: no shuffle, and the
-``html`` column is read only by the operators that need it.
+``html`` column is read only by the operators that need it. Selectors look at
+the page's element tree, a row-local tag stack.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.functions.elements import elements, matching, outer_html
 from corpusflow.functions.html import html_text, html_to_markdown, page_title
 from corpusflow.functions.text import word_count
 
@@ -36,27 +38,23 @@ def open_tag_pattern(selector: str) -> str:
     return r"(?is)<(" + sel + r")\b[^>]*>"
 
 
-def _section(html: Column, selector: str) -> Column:
-    pat = open_tag_pattern(selector)
-    found = html.rlike(pat)
-    tag = F.lower(F.regexp_extract(html, pat, 1))
-    start = F.length(F.regexp_extract(html, "(?is)^(.*?)" + pat[5:], 1)) + 1
-    close = F.concat(F.lit("</"), tag)
-    lower = F.lower(html)
-    r = F.call_function("instr", F.reverse(lower), F.reverse(close))
-    last = F.length(html) - r - F.length(close) + 2
-    end = F.call_function("locate", F.lit(">"), html, last)
-    ok = found & (r > 0) & (last > start) & (end > 0)
-    return F.when(ok, F.substring(html, start, end - start + 1)).otherwise(html)
+def select_sections(pages: DataFrame, selectors: dict[str, str], html_col: str = "html") -> DataFrame:
+    """D2 for several selectors at once: one column per name with the first
+    element that its selector matches, from its opening to its own closing tag;
+    the whole page where none does. The page's elements are found once."""
+    tree = pages.withColumn("_tree", elements(html_col))
+    cols = {}
+    for name, selector in selectors.items():
+        first = F.try_element_at(matching(F.col("_tree"), selector), F.lit(1))
+        cols[name] = F.transform(F.array(first), lambda e: F.when(e.isNull(), F.col(html_col)).otherwise(outer_html(F.col(html_col), e)))[0]
+    return tree.withColumns(cols).drop("_tree")
 
 
 def select_section(pages: DataFrame, selector: str | None, html_col: str = "html") -> DataFrame:
-    """Restrict the page to the first element matching ``selector`` (from
-    its opening tag to the last closing tag of that name); no match keeps the
-    whole page."""
-    if not selector:
-        return pages
-    return pages.withColumn(html_col, _section(F.col(html_col), selector))
+    """Restrict the page to the first element matching ``selector`` (tags,
+    #ids, .classes and compounds of them, descendants, children, alternatives);
+    no match keeps the whole page."""
+    return select_sections(pages, {html_col: selector}, html_col) if selector else pages
 
 
 def detect_selectors(pages: DataFrame, html_col: str = "html", candidates=CANDIDATE_SELECTORS) -> DataFrame:

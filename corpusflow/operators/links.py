@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from corpusflow.functions.html import ATTRS, COMMENT, SCRIPT, STYLE, decode_entities, strip_edges
 from corpusflow.functions.urls import in_scope, normalize_url, resolve_url, skip_extension, url_host
-from corpusflow.plans.strategy import dense_position
+from corpusflow.plans.strategy import dense_position, materialize
 
 A_TAG = r"(?is)<a\s" + ATTRS + ">"
 HREF_DQ = r'(?is)\shref\s*=\s*"([^"]*)"'
@@ -108,6 +108,44 @@ def robots_sitemaps(robots: DataFrame, available: DataFrame | None = None, key:
     return s.groupBy(key).agg(F.min_by(url_col, "pos").alias(url_col))
 
 
+def discover_sitemap_urls(roots: DataFrame, fetched: DataFrame, root_col: str = "root", url_col: str = "url", body_col: str = "body") -> DataFrame:
+    """B4 and B5 as one job: the page URLs that each root's sitemaps list.
+
+    ``fetched(url, body)`` holds what could be fetched. A root starts with
+    /sitemap.xml, else /sitemap_index.xml (if they hold a urlset or an index),
+    else the first fetched sitemap that its robots.txt names, else itself.
+    Entries of a sitemap index are sitemaps and are followed, level by level,
+    each once per root, so cycles end. Output: root, url, pos (the order of the
+    entries, an index's entry standing for what it lists)."""
+    docs = fetched.select(F.col(url_col).alias("_url"), F.col(body_col).alias("xml")).groupBy("_url").agg(F.max("xml").alias("xml"))
+    base = F.concat(F.regexp_extract(root_col, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1), F.lit("://"), F.regexp_extract(root_col, r"^[^:]+://([^/?#]*)", 1))
+    r = roots.select(F.col(root_col).alias("root"), base.alias("_base")).distinct()
+    tries = r.select("root", "_base", F.posexplode(F.array(*[F.concat("_base", F.lit(p)) for p in ("/sitemap.xml", "/sitemap_index.xml", "/robots.txt")])).alias("_try", "_url"))
+    got = materialize(tries.join(docs, "_url"), "tries")
+    direct = got.where("_try < 2 and (contains(xml, '<urlset') or contains(xml, '<sitemapindex'))")
+    direct = direct.groupBy("root").agg(F.min(F.struct("_try", "_url", "xml")).alias("s")).select("root", "s._url", "s.xml")
+    robots = got.where("_try = 2").join(direct.select("root"), "root", "left_anti")
+    named = robots_sitemaps(robots, docs.select(F.col("_url").alias("sitemap_url")), "root", "xml")
+    named = named.join(docs.withColumnRenamed("_url", "sitemap_url"), "sitemap_url").select("root", F.col("sitemap_url").alias("_url"), "xml")
+    level = materialize(direct.unionByName(named).withColumn("pos", F.lit("")), "sitemaps")
+    seen = level.select("root", "_url")
+    plain = r.join(level.select("root"), "root", "left_anti").select("root", F.col("root").alias("url"), F.lit("").alias("pos"))
+    found = [plain]
+    while True:
+        locs = sitemap_locs(level.withColumnRenamed("pos", "_at")).withColumn("pos", F.concat("_at", F.lpad(F.col("pos").cast("string"), 10, "0")))
+        locs = materialize(locs.select("root", "kind", F.col("loc").alias("url"), "pos"), "locs")
+        found.append(locs.where("kind = 'page'").drop("kind"))
+        nested = locs.where("kind = 'sitemap'").groupBy("root", F.col("url").alias("_url")).agg(F.min("pos").alias("pos"))
+        level = materialize(nested.join(seen, ["root", "_url"], "left_anti").join(docs, "_url").select("root", "_url", "xml", "pos"), "sitemaps")
+        if not level.head(1):
+            break
+        seen = seen.unionByName(level.select("root", "_url"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def redact_credentials(requests: DataFrame, url_col: str = "url", root_col: str = "root",
                        cols=("cookies", "headers"), allow_subdomains: bool = False) -> DataFrame:
     """Cookies and headers only travel to in-scope URLs."""

@@ -19,6 +19,7 @@ from corpusflow.operators.code_units import python_units, sql_units, unit_urls
 from corpusflow.operators.crawl import crawl_frontier, crawl_report
 from corpusflow.operators.html import to_markdown
 from corpusflow.operators.index import embed_column
+from corpusflow.operators.links import discover_sitemap_urls, filter_urls
 from corpusflow.plans.strategy import materialize
 from corpusflow.session import shared_path
 from corpusflow.sources.files import classify_source_type, file_suffix, scan_corpus
@@ -94,6 +95,24 @@ def folder_errors(files: DataFrame, job: str = "folder") -> DataFrame:
     return files.select(F.lit(job).alias("job"), "file", error.alias("error"))
 
 
+def sitemap_to_chunks(roots: DataFrame, fetched: DataFrame, pages: DataFrame, selector: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """Discover the URLs of ``roots`` from the sitemaps among ``fetched(url,
+    body)``, filter them (``options`` of ``filter_urls``), take those that are
+    in ``pages(page_id, url, html)``, convert and chunk them: (chunks with
+    their root, report per root). A URL without a page failed."""
+    urls = filter_urls(discover_sitemap_urls(roots, fetched), **options)
+    urls = materialize(urls.join(pages.select("page_id", "url"), "url", "left"), "urls")
+    text = to_markdown(pages.select("page_id", "url", "html").join(urls.select("page_id").distinct(), "page_id", "left_semi"), selector=selector)
+    chunks = chunk_text(text.select("page_id", "url", "markdown"), ["page_id", "url"], "markdown")
+    chunks = materialize(urls.where("page_id is not null").select("root", "page_id", "pos").join(chunks, "page_id"), "chunks")
+    per_root = chunks.groupBy("root").agg(F.count(F.lit(1)).alias("total_chunks"))
+    report = urls.groupBy("root").agg(
+        F.count_distinct("url").alias("pages_discovered"), F.count_distinct(F.when(F.col("page_id").isNotNull(), F.col("url"))).alias("pages_crawled")
+    )
+    report = roots.select("root").distinct().join(report, "root", "left").join(per_root, "root", "left").na.fill(0, ["pages_discovered", "pages_crawled", "total_chunks"])
+    return chunks, report.withColumn("pages_failed", F.col("pages_discovered") - F.col("pages_crawled"))
+
+
 def crawl_to_chunks(seeds: DataFrame, pages: DataFrame, links: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """Crawl from ``seeds`` over ``pages(page_id, url, html)`` and ``links``,
     convert what was fetched to Markdown and chunk it: (chunks, report per

@@ -347,26 +347,42 @@ register("page_title", f"SELECT page_id, {S.title('html')} AS title FROM pages")
 )
 
 
-def _section_sql(selector: str) -> str:
-    pat = oh.open_tag_pattern(selector)
-    tag = f"lower(regexp_extract(html, {S.q(pat)}, 1))"
-    start = f"(length(regexp_extract(html, {S.q('(?is)^(.*?)' + pat[5:])}, 1)) + 1)"
-    close = f"('</' || {tag})"
-    r = f"instr(reverse(lower(html)), reverse({close}))"
-    last = f"(length(html) - {r} - length({close}) + 2)"
-    end = f"(CASE WHEN {last} >= 1 AND instr(substr(html, {last}), '>') > 0 THEN instr(substr(html, {last}), '>') + {last} - 1 ELSE 0 END)"
-    ok = f"(regexp_matches(html, {S.q(pat)}) AND {r} > 0 AND {last} > {start} AND {end} > 0)"
-    return f"CASE WHEN {ok} THEN substr(html, {start}, {end} - {start} + 1) ELSE html END"
+def _nested_pages(spark, sf) -> DataFrame:
+    """Pages whose sections are known: nested, unclosed and quoted elements
+    around the page's id."""
+    i = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit("<body><!-- <div id=x> --><script>'<div id=x>'</script><div id='x'><div>in "), i, F.lit("</div></div><div class='a x'>out</div><ul><li>one "), i,
+        F.lit("<li>two<ul><li>deep</ul><li class=\"last b\">three</ul><div title='</div>'><p>first<p class=q>second "), i, F.lit("</div><br class=q><section><p class='b'>open "), i,
+    )
+    return _pages(spark, sf, "page_id").withColumn("html", html)
+
+
+NESTED = {
+    "by_id": "#x", "child": "ul > li.last", "deep": "li li", "unclosed": "div p.q", "open_end": "section .b", "either": ".missing, div.a", "none": "table td",
+}
 
 
+def q_nested_sections(spark, sf):
+    return oh.select_sections(_nested_pages(spark, sf), NESTED).drop("html")
+
+
+_ARTICLE_SQL = "CASE WHEN regexp_matches(html, '(?is)<article[\\s>]') THEN regexp_extract(html, '(?is)(<article[\\s>].*?</article\\s*>)', 1) ELSE html END"
+
 register(
     "select_section",
-    f"SELECT page_id, {_section_sql('article')} AS article, {_section_sql('.ad')} AS ad FROM pages",
-)(
-    lambda spark, sf: _pages(spark, sf, "page_id", "html").select(
-        "page_id", oh._section(F.col("html"), "article").alias("article"), oh._section(F.col("html"), ".ad").alias("ad")
-    )
-)
+    f"""SELECT page_id, {_ARTICLE_SQL} AS article,
+  CASE WHEN regexp_matches(html, '(?is)<div class="ad"') THEN regexp_extract(html, '(?is)(<div class="ad".*?</div\\s*>)', 1) ELSE html END AS ad FROM pages""",
+)(lambda spark, sf: oh.select_sections(_pages(spark, sf, "page_id", "html"), {"article": "article", "ad": ".ad"}).select("page_id", "article", "ad"))
+
+register(
+    "select_nested_section",
+    """SELECT page_id, '<div id=''x''><div>in ' || page_id || '</div></div>' AS by_id, '<li class="last b">three' AS child, '<li>deep' AS deep,
+  '<p class=q>second ' || page_id AS unclosed, '<p class=''b''>open ' || page_id AS open_end, '<div class=''a x''>out</div>' AS either,
+  '<body><!-- <div id=x> --><script>''<div id=x>''</script><div id=''x''><div>in ' || page_id || '</div></div><div class=''a x''>out</div><ul><li>one ' || page_id
+    || '<li>two<ul><li>deep</ul><li class="last b">three</ul><div title=''</div>''><p>first<p class=q>second ' || page_id || '</div><br class=q><section><p class=''b''>open '
+    || page_id AS "none" FROM pages""",
+)(q_nested_sections)
 
 register(
     "detect_selectors",
@@ -393,7 +409,7 @@ register(
     "thin_content",
     f"""SELECT page_id, CAST({_words_sql('md')} AS BIGINT) AS n_words,
        CASE WHEN {_words_sql('md')} < 50 THEN {S.q(oh.THIN_CONTENT_WARNING)} END AS content_warning
-FROM (SELECT page_id, {S.markdown(_section_sql('article'))} AS md FROM pages)""",
+FROM (SELECT page_id, {S.markdown(_ARTICLE_SQL)} AS md FROM pages)""",
 )(
     lambda spark, sf: oh.thin_content(oh.to_markdown(_pages(spark, sf, "page_id", "html"), selector="article")).select(
         "page_id", word_count("markdown").alias("n_words"), "content_warning"
@@ -865,6 +881,29 @@ SELECT page_id, CAST(unnest(range(greatest(len(a), len(b)))) AS INTEGER) AS item
 FROM l""",
 )(lambda spark, sf: oe.extract_list(_pages(spark, sf, "page_id", "html"), LIST_SPEC, LIST_RULES))
 
+def _shop_pages(spark, sf) -> DataFrame:
+    """Five items a page; every third price and every fourth name left out."""
+    i = F.col("page_id")
+
+    def item(k) -> F.Column:
+        n = i * 5 + k
+        name = F.when(n % 4 != 0, F.concat(F.lit("<b>name "), n.cast("string"), F.lit("</b>"))).otherwise(F.lit(""))
+        price = F.when(n % 3 != 0, F.concat(F.lit("<i>$"), (n % 97).cast("string"), F.lit("</i>"))).otherwise(F.lit(""))
+        return F.concat(F.lit('<div class="item"><div><u>'), n.cast("string"), F.lit("</u>"), price, name, F.lit("</div></div>"))
+
+    return _pages(spark, sf, "page_id").withColumn("html", F.concat(F.lit("<i>$0</i>"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(4)), item), "\n"), F.lit("<b>end</b>")))
+
+
+SHOP_SPEC = {"sku": "number — the number", "name": "string — the name", "price": "number — the price"}
+SHOP_RULES = {"sku": r"<u>([0-9]+)</u>", "name": r"<b>(name[^<]*)</b>", "price": r"<i>\$([0-9]+)</i>"}
+_SHOP_SQL = """SELECT page_id, CAST(k AS INTEGER) AS item_index, CAST(page_id * 5 + k AS DOUBLE) AS sku,
+  CASE WHEN (page_id * 5 + k) % 4 <> 0 THEN 'name ' || (page_id * 5 + k) END AS name,
+  CASE WHEN (page_id * 5 + k) % 3 <> 0 THEN CAST((page_id * 5 + k) % 97 AS DOUBLE) END AS price, CAST(5 AS BIGINT) AS item_count
+FROM pages, range(5) AS r(k)"""
+
+register("extract_list_aligned", _SHOP_SQL)(lambda spark, sf: oe.extract_list(_shop_pages(spark, sf), SHOP_SPEC, SHOP_RULES))
+register("extract_list_records", _SHOP_SQL)(lambda spark, sf: oe.extract_list(_shop_pages(spark, sf), SHOP_SPEC, SHOP_RULES, record="div.item"))
+
 register(
     "extract_report",
     f"""WITH {_extract_sql()}
@@ -1488,6 +1527,64 @@ def q_crawl_chunks(spark, sf):
 register("crawl_to_chunks", ORACLE["crawl_report"])(q_crawl_chunks)
 
 
+def _sitemap_inputs(spark, sf):
+    """Four kinds of sites by the length of the host's name: a urlset; an index
+    that names itself and a urlset; robots.txt whose second sitemap is an index
+    of an index; nothing at all."""
+    p = _pages(spark, sf, "page_id", "url", "html").withColumn("host", fu.url_host("url"))
+    top = F.concat(F.lit("https://"), F.col("host"))
+    entries = p.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("page_id", "url"))).alias("e"))
+    urlset = F.concat(F.lit("<urlset>"), F.array_join(F.transform("e", lambda x: F.concat(F.lit("<url><loc> "), F.replace(x["url"], F.lit("&"), F.lit("&amp;")), F.lit("</loc></url>"))), ""), F.lit("</urlset>"))
+
+    def index(*paths: str):
+        return F.concat(F.lit("<sitemapindex>"), *[F.concat(F.lit("<sitemap><loc>"), top, F.lit(x + "</loc></sitemap>")) for x in paths], F.lit("</sitemapindex>"))
+
+    def at(path: str, body):
+        return F.struct(F.concat(top, F.lit(path)).alias("url"), body.alias("body"))
+
+    kind = F.length("host") % 4
+    docs = (
+        F.when(kind == 0, F.array(at("/sitemap.xml", urlset)))
+        .when(kind == 1, F.array(at("/sitemap.xml", F.lit("not found")), at("/sitemap_index.xml", index("/sitemap_index.xml", "/a.xml", "/gone.xml")), at("/a.xml", urlset)))
+        .when(kind == 2, F.array(at("/robots.txt", F.concat(F.lit("User-agent: *\nSitemap: "), top, F.lit("/no.xml\nSITEMAP: "), top, F.lit("/deep.xml"))),
+                                 at("/deep.xml", index("/deeper.xml")), at("/deeper.xml", index("/deep.xml", "/last.xml")), at("/last.xml", urlset)))
+        .otherwise(F.array(at("/robots.txt", F.lit("User-agent: *"))))
+    )
+    return entries.select(top.alias("root")), entries.select(F.inline(docs)), p.drop("host")
+
+
+_SITE_SQL = f"""u AS (
+  SELECT page_id, url, html, 'https://' || {S.host("url")} AS root, length({S.host("url")}) % 4 AS kind FROM pages
+), ok AS (SELECT * FROM u WHERE kind < 3 AND {S.in_scope('url', 'root', False)} AND NOT {S.skip_ext('url')}),
+md AS (SELECT root, page_id, {S.markdown('html')} AS markdown FROM ok),
+{S.chunks_cte('ck', table='md', id_col='root, page_id', text_col='markdown')}"""
+
+
+def q_sitemap_chunks(spark, sf):
+    chunks, _ = ing.sitemap_to_chunks(*_sitemap_inputs(spark, sf))
+    return chunks.select("root", "page_id", "chunk_index", "token_estimate", F.sha2("content", 256).alias("content_sha256"))
+
+
+register(
+    "sitemap_to_chunks",
+    f"WITH {_SITE_SQL} SELECT root, page_id, chunk_index, token_estimate, sha256(content) AS content_sha256 FROM ck",
+)(q_sitemap_chunks)
+
+
+def q_sitemap_report(spark, sf):
+    _, report = ing.sitemap_to_chunks(*_sitemap_inputs(spark, sf))
+    return report
+
+
+register(
+    "sitemap_report",
+    f"""WITH {_SITE_SQL},
+r AS (SELECT DISTINCT root, kind FROM u), n AS (SELECT root, count(DISTINCT url) AS n FROM ok GROUP BY root), c AS (SELECT root, count(*) AS n FROM ck GROUP BY root)
+SELECT root, CASE WHEN kind = 3 THEN 1 ELSE coalesce(n.n, 0) END AS pages_discovered, coalesce(n.n, 0) AS pages_crawled, coalesce(c.n, 0) AS total_chunks,
+  CASE WHEN kind = 3 THEN 1 ELSE 0 END AS pages_failed FROM r LEFT JOIN n USING (root) LEFT JOIN c USING (root)""",
+)(q_sitemap_report)
+
+
 # ---------------------------------------------------------------- I: streaming
 from corpusflow.streaming import streams as st  # noqa: E402
 
