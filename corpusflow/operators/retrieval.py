@@ -7,11 +7,9 @@ Fixed definitions (SURVEY §2.0):
 * RRF (Cormack 2009): sum of 1 / (60 + rank), 1-based ranks, 50 candidates per list.
 
 Physical plan:
-* BM25 keeps, in one pass over the documents, each one's length and its terms,
-  and scores documents against blocks of queries: a task multiplies the
-  postings of its documents with the block's (term x query) matrix and keeps k
-  rows per query and batch, so no (query, document) pairs are shuffled. Blocks
-  bound the matrix; any number of queries takes the same path.
+* BM25 asks an inverted index (``operators.inverted``): postings in blocks with
+  bounds, a query scores the block of its best bound first and skips blocks
+  that cannot reach the k-th score; k rows per query and block are shuffled.
 * Vector top-k deals both sides into blocks of fixed size per dimension; a
   task multiplies one query block with one vector block.
 * Both select by the rounded score with ties by id, and give ids of any type.
@@ -33,6 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusflow.functions.text import is_blank, search_terms
+from corpusflow.operators.inverted import BLOCK_TERMS, InvertedIndex, build_inverted
 from corpusflow.plans.strategy import MAX_BROADCAST_ROWS, bounded_broadcast, dense_position, materialize
 
 # Fixed values.
@@ -122,7 +121,7 @@ def _round(x: np.ndarray) -> np.ndarray:
     return np.array([float(Decimal(repr(float(v))).quantize(step, ROUND_HALF_UP)) for v in uniq])[inv]
 
 
-def _best(score: np.ndarray, order: list[np.ndarray], k: int) -> np.ndarray:
+def best_rounded(score: np.ndarray, order: list[np.ndarray], k: int) -> np.ndarray:
     """Indices of the k best by rounded score descending, then by ``order``."""
     cand = np.arange(len(score))
     if len(score) > k:
@@ -144,7 +143,7 @@ def _fields(df: DataFrame, cols: Sequence[str]) -> list[T.StructField]:
 
 def bm25_topk(
     queries: DataFrame,
-    docs: DataFrame,
+    docs: DataFrame | InvertedIndex,
     k: int = DEFAULT_TOP_K,
     query_id: str = "query_id",
     query_text: str = "text",
@@ -152,93 +151,24 @@ def bm25_topk(
     doc_text: str = "content",
     k1: float = BM25_K1,
     b: float = BM25_B,
-    max_terms: int = MAX_BROADCAST_ROWS,
-    max_pairs: int = 50_000,
-    max_cells: int = 20_000_000,
+    block_terms: int = BLOCK_TERMS,
 ) -> DataFrame:
     """k best documents per query by BM25; ids of any type, null texts are
     empty documents, a document without a common term is no hit.
 
-    Exact and pair-free. The queries are taken in blocks of about ``max_pairs``
-    (query, term) rows and ``max_cells`` (term x query) cells; each block is
-    one scan of the compact documents, in which a task holds the block's matrix
-    and, at a time, at most ``SCORE_CELLS`` (posting x query) cells.
+    ``docs`` is a table, which is indexed first, or an index that
+    ``build_inverted`` wrote. Exact: a block of documents is left out for a
+    query only if its bound stays below the k-th score already found. Queries
+    stay in Spark; a task holds one block's postings and a group of queries.
     """
-    keys = _ids(doc_keys)
-    qt = materialize(query_terms(queries, query_id, query_text), "query-terms")
-    size = qt.agg(F.count(F.lit(1)).alias("p"), F.count_distinct("term").alias("t"), F.count_distinct(query_id).alias("q")).first()
-    blocks = max(1, math.ceil(size["p"] / max_pairs), math.ceil(size["t"] * size["q"] / max_cells))
-    compact = _doc_terms(docs, keys, doc_text, qt, max_terms)
-    n_docs, avgdl = _corpus_stats(compact)
-    df = qt.select("term").distinct().join(_doc_freq(compact), "term")
-    qt = materialize(qt.join(df, "term", "left").withColumn("_b", F.pmod(F.xxhash64(query_id), F.lit(blocks))), "query-terms")
-    schema = T.StructType([*_fields(qt, [query_id]), *_fields(docs, keys), T.StructField("score", T.DoubleType())])
-    out = None
-    for block in range(blocks):
-        pairs = qt.where(F.col("_b") == block).select(query_id, "term", "df").toPandas()
-        found = compact.mapInPandas(_bm25_scan(docs.sparkSession, pairs, query_id, keys, n_docs, avgdl, k, k1, b), schema)
-        out = found if out is None else out.unionByName(found)
-    return top_k(out.withColumn("score", F.round("score", SCORE_DECIMALS)), [query_id], "score", keys, k)
-
-
-#: Cells of the (posting x query) product that a task holds at a time.
-SCORE_CELLS = 4_000_000
-
-
-def _bm25_scan(spark, pairs: pd.DataFrame, query_id: str, keys: list[str], n_docs: int, avgdl: float, k: int, k1: float, b: float):
-    qx, qids = pd.factorize(pairs[query_id])
-    tx, terms = pd.factorize(pairs["term"])
-    df = np.zeros(len(terms))
-    df[tx] = pairs["df"].fillna(0).to_numpy(dtype=float)
-    matrix = np.zeros((len(terms), len(qids)))
-    matrix[tx, qx] = 1.0
-    idf = np.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
-    bc = spark.sparkContext.broadcast(({t: i for i, t in enumerate(terms)}, idf, matrix, list(qids)))
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, idf, matrix, qids = bc.value
-        n_q = len(qids)
-        for pdf in batches:
-            known = [[index[t] for t in ts if t in index] for ts in pdf["_t"]]
-            lens = np.array([len(x) for x in known], dtype=np.int64)
-            if not lens.sum():
-                continue
-            rows = np.repeat(np.arange(len(pdf)), lens)
-            tids = np.concatenate([np.array(x, np.int64) for x in known if x])
-            pair, tf = np.unique(rows * len(idf) + tids, return_counts=True)
-            prow, pterm = pair // len(idf), pair % len(idf)
-            dl = pdf["dl"].to_numpy(dtype=float)[prow]
-            w = idf[pterm] * tf * (k1 + 1.0) / (tf + k1 * ((1.0 - b) + b * dl / avgdl))
-            hit_rows, starts = np.unique(prow, return_index=True)
-            ends = np.r_[starts[1:], len(prow)]
-            best: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(n_q)]
-            lo = 0
-            while lo < len(hit_rows):
-                hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + SCORE_CELLS // max(n_q, 1), "right")))
-                a, z = starts[lo], ends[hi - 1]
-                score = np.add.reduceat(w[a:z, None] * matrix[pterm[a:z]], starts[lo:hi] - a, axis=0)
-                for j in range(n_q):
-                    c = np.flatnonzero(score[:, j] > 0)
-                    if len(c) > 4 * k:  # a superset of the k best of these rows
-                        kth = np.partition(score[c, j], len(c) - k)[len(c) - k]
-                        c = c[score[c, j] >= kth - 2.0 * 10.0**-SCORE_DECIMALS]
-                    if len(c):
-                        best[j].append((hit_rows[lo + c], score[c, j]))
-                lo = hi
-            order = _ranks(pdf, keys)
-            take_q, take_r, take_s = [], [], []
-            for j, parts in enumerate(best):
-                if parts:
-                    r, s = (np.concatenate(x) for x in zip(*parts))
-                    sel = _best(s, [o[r] for o in order], k)
-                    take_q += [qids[j]] * len(sel)
-                    take_r.append(r[sel])
-                    take_s.append(s[sel])
-            got = pdf[keys].iloc[np.concatenate(take_r)].reset_index(drop=True)
-            got.insert(0, query_id, take_q)
-            yield got.assign(score=np.concatenate(take_s))
-
-    return scan
+    keys = docs.keys if isinstance(docs, InvertedIndex) else _ids(doc_keys)
+    pairs = materialize(query_terms(queries, query_id, query_text), "query-terms")
+    if isinstance(docs, InvertedIndex):
+        index = docs
+    else:
+        index = build_inverted(docs, keys, doc_text, block_terms=block_terms, only=pairs.select("term").distinct())
+    found = index.topk(pairs, k, k1, b, query_id)
+    return top_k(found.withColumn("score", F.round("score", SCORE_DECIMALS)), [query_id], "score", keys, k)
 
 
 def match_text(
@@ -339,7 +269,7 @@ def vector_topk(
         for lo in range(0, len(qm), 64):
             score = (1.0 + qm[lo : lo + 64] @ xm.T) / 2.0
             for j, s in enumerate(score):
-                sel = _best(s, order, k)
+                sel = best_rounded(s, order, k)
                 rows.append(np.full(len(sel), lo + j))
                 take.append(sel)
                 scores.append(s[sel])

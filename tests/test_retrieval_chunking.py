@@ -2,15 +2,19 @@
 
 import math
 import re
+import tempfile
 from collections import Counter
 
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from corpusflow.operators import chunking as ch
 from corpusflow.operators import index as ix
+from corpusflow.operators import inverted
 from corpusflow.operators import retrieval as rt
+from corpusflow.operators.inverted import build_inverted, open_inverted
 from tests.conftest import SF_SMALL
 
 
@@ -159,8 +163,12 @@ def test_bm25_paths_agree(spark):
     qs = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text")
     key = lambda rows: sorted((r.query_id, r.rank, r.doc_id, r.chunk_index, r.score) for r in rows)
     one = key(rt.bm25_topk(qs, docs, k=7).collect())
-    assert one == key(rt.bm25_topk(qs, docs, k=7, max_pairs=400).collect())  # several query blocks
-    assert one == key(rt.bm25_topk(qs, docs, k=7, max_terms=0).collect())  # no term is left out of the documents
+    assert one == key(rt.bm25_topk(qs, docs, k=7, block_terms=600).collect())  # many blocks
+    path = tempfile.mkdtemp(prefix="cf-inverted-") + "/index"
+    build_inverted(docs, ["doc_id", "chunk_index"], "content", path, block_terms=2000)
+    index = open_inverted(spark, path)
+    assert one == key(rt.bm25_topk(qs, index, k=7).collect())  # written once, opened again
+    assert key(rt.bm25_topk(qs.where("query_id = 3"), index, k=7).collect()) == [r for r in one if r[0] == 3]
     pairs = rt.top_k(rt.bm25_scores(qs, docs), ["query_id"], "score", ["doc_id", "chunk_index"], 7)
     assert one == key(pairs.collect())
 
@@ -173,12 +181,29 @@ def test_bm25_odd_rows_same_for_all_blocks(spark):
     key = lambda rows: sorted((r.query_id, r.rank, r.doc_id, r.score) for r in rows)
     one = key(rt.bm25_topk(qs, docs, k=400, doc_keys="doc_id").collect())
     assert {q for q, *_ in one} == {"a", "b", "e"} and sum(q == "b" for q, *_ in one) == 300
-    for kw in ({"max_pairs": 1}, {"max_terms": 0}):
+    for kw in ({"block_terms": 1}, {"block_terms": 90}):
         assert one == key(rt.bm25_topk(qs, docs, k=400, doc_keys="doc_id", **kw).collect())
     assert one == key(rt.top_k(rt.bm25_scores(qs, docs, doc_keys="doc_id"), ["query_id"], "score", ["doc_id"], 400).collect())
     assert [d for q, r, d, _ in one if q == "a"][:2] == ["d0001", "d0003"]
 
 
+def test_blocks_below_the_kth_score_are_not_read(spark):
+    """One block holds the best documents of a term; the others are skipped."""
+    rows = [(i, "rare word " * (9 if i < 8 else 1) + "filler " * (0 if i < 8 else 200)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, content string").coalesce(1)
+    qs = spark.createDataFrame([(1, "rare word")], "query_id long, text string")
+    index = build_inverted(docs, ["doc_id"], "content", tempfile.mkdtemp(prefix="cf-inverted-") + "/i", block_terms=2000)
+    assert index.docs().select("block").distinct().count() > 20
+    written, real = {}, inverted.materialize
+    inverted.materialize = lambda df, name: written.setdefault(name, real(df, name))
+    try:
+        got = rt.bm25_topk(qs, index, k=5)
+        assert [r.doc_id for r in got.collect()] == [0, 1, 2, 3, 4]
+    finally:
+        inverted.materialize = real
+    assert written["bounds"].count() > 20 and written["rest"].count() == 0
+
+
 def test_rounding_is_that_of_spark(spark):
     x = [0.0000005, 0.1234565, 2.5e-7, 1.0000004999, 3.3333335, 7.0, 0.4999995]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in x], "x double").select(F.round("x", 6)).collect()]
