@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.plans.strategy import materialize
+
 #: Rows of a query block and of a candidate block, and columns of one int8
 #: product (127 * 127 * 1024 < 2^24, so sums stay exact in float32). A task
 #: holds about QUERY_DEAL queries and multiplies a query block at a time.
@@ -28,12 +30,16 @@ STRIP = 4096
 EXACT_DIMS = 1024
 
 
-def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """int8 codes, scale, norm of the decoded vector, norm of the residual."""
+def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """int8 codes, scale, norm of the decoded vector, norm of the residual, all
+    of the vector times 2^-power, whose largest component lies in [1/2, 1);
+    and the power. Scaling by a power of two is exact at any magnitude."""
+    power = np.frexp(np.abs(x).max(axis=1))[1]
+    x = np.ldexp(x, -power[:, None])
     scale = np.abs(x).max(axis=1) / 127.0
     codes = np.rint(x / scale[:, None]).astype(np.int8)
     decoded = codes * scale[:, None]
-    return codes, scale, np.linalg.norm(decoded, axis=1), np.linalg.norm(x - decoded, axis=1)
+    return codes, scale, np.linalg.norm(decoded, axis=1), np.linalg.norm(x - decoded, axis=1), power
 
 
 def int8_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -48,29 +54,39 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise products in float64, summed from the first component on, so
     that the same pair has the same score wherever it is computed."""
     out = np.zeros(len(a))
-    for j in range(a.shape[1]):
-        out += a[:, j] * b[:, j]
-    return out
+    with np.errstate(over="ignore", invalid="ignore"):
+        for j in range(a.shape[1]):
+            out += a[:, j] * b[:, j]
+    return np.where(np.isnan(out), -np.inf, out)  # sums of both infinities rank last
 
 
 def tile_topk(qid, q, vid, v, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query id, vector id, exact product) of at most k per query, such that
     the k nearest of the tile are among them."""
-    qc, qs, qn, qe = quantise(q)
+    qc, qs, qn, qe, qp = quantise(q)
+    # Bounds are of the product times 2^-qp. There the largest double, and what
+    # an underflow of the summed products can hide:
+    with np.errstate(over="ignore"):
+        top = np.ldexp(np.finfo(float).max, -qp)
+        hidden = np.ldexp(np.full(len(q), np.finfo(float).tiny * 4.0 * q.shape[1]), -qp)
     best = np.full(len(q), -np.inf)
     kept: list[list[tuple[float, int]]] = [[] for _ in range(len(q))]
     for s in range(0, len(v), STRIP):
         vv, ids = v[s : s + STRIP], vid[s : s + STRIP]
-        vc, vs, vn, ve = quantise(vv)
+        vc, vs, vn, ve, vp = quantise(vv)
         mid = int8_product(qc, vc) * qs[:, None] * vs[None, :]
         # |<x,y> - <x',y'>| <= |x'||y - y'| + |x - x'||y|, and a margin for rounding
         err = qn[:, None] * ve[None, :] + qe[:, None] * (vn + ve)[None, :]
         err += 1e-9 * (qn + qe)[:, None] * (vn + ve)[None, :]
+        with np.errstate(over="ignore", invalid="ignore"):
+            mid, err = np.ldexp(mid, vp[None, :]), np.ldexp(err, vp[None, :]) + hidden[:, None]
+            high, low = mid + err, np.minimum(mid - err, top[:, None])
+        high, low = np.where(np.isnan(high), np.inf, high), np.where(np.isnan(low), -np.inf, low)
         own = ids[None, :] == qid[:, None]
-        low = np.where(own, -np.inf, mid - err)
+        low = np.where(own, -np.inf, low)
         if low.shape[1] >= k:
             best = np.maximum(best, np.partition(low, -k, axis=1)[:, -k])
-        r, c = np.nonzero((mid + err >= best[:, None]) & ~own)
+        r, c = np.nonzero((high >= best[:, None]) & ~own)
         for i in range(0, len(r), 1 << 16):
             ri, ci = r[i : i + (1 << 16)], c[i : i + (1 << 16)]
             exact = exact_products(q[ri], vv[ci])
@@ -81,7 +97,9 @@ def tile_topk(qid, q, vid, v, k: int) -> Iterator[tuple[np.ndarray, np.ndarray,
                 elif (score, -x) > heap[0]:
                     heapq.heapreplace(heap, (score, -x))
         full = [i for i, h in enumerate(kept) if len(h) == k]
-        best[full] = np.maximum(best[full], [kept[i][0][0] for i in full])
+        with np.errstate(over="ignore"):
+            found = np.minimum(np.ldexp([kept[i][0][0] for i in full], -qp[full]) - hidden[full], top[full])
+        best[full] = np.maximum(best[full], np.where(np.isnan(found), -np.inf, found))
     for i, heap in enumerate(kept):
         if heap:
             yield np.full(len(heap), qid[i]), np.array([-x for _, x in heap]), np.array([s for s, _ in heap])
@@ -92,7 +110,6 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     finite numbers, one row per id and vector; ``n`` is how many rows have
     both."""
     v = F.col(vec_col).cast("array<double>")
-    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     ok = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull()
     )
@@ -116,7 +133,9 @@ def nearest(
 
     Defined cases: vectors that are null, empty, zero or hold null or
     non-finite components take no part on either side, nor do null ids; every
-    other row is a candidate, also where an id or a vector repeats; queries
+    other row is a candidate, also where an id or a vector repeats, at any
+    magnitude (a product beyond the doubles is infinite, a sum of both
+    infinities ranks last as minus infinity); queries
     that repeat id and vector count once, and different vectors under one
     query id share its k places; fewer than k candidates give all of them;
     empty tables give no rows; other columns are ignored.
@@ -125,8 +144,8 @@ def nearest(
     candidate block, of about ``query_deal`` and ``vector_block`` rows; a task
     holds one group at a time and gives its results by ``query_block``.
     """
-    base = usable(vectors, id_col, vec_col)
-    asked = usable(queries, id_col, vec_col).withColumn("dim", F.size("v"))
+    base = materialize(usable(vectors, id_col, vec_col), "usable")
+    asked = materialize(usable(queries, id_col, vec_col).withColumn("dim", F.size("v")), "asked")
     # More than k equal rows cannot take more than k places.
     copies = F.sequence(F.lit(1).cast("long"), F.least("n", F.lit(k).cast("long")))
     sized = base.select("vec_id", "v", F.explode(copies).alias("copy")).withColumn("dim", F.size("v"))

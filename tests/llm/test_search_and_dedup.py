@@ -26,10 +26,12 @@ def test_nearest_equals_brute_force(spark):
 def test_int8_bounds_hold():
     rng = np.random.default_rng(1)
     x, y = rng.normal(size=(40, 1500)), rng.normal(size=(50, 1500))
-    xc, xs, xn, xe = ann.quantise(x)
-    yc, ys, yn, ye = ann.quantise(y)
+    xc, xs, xn, xe, xp = ann.quantise(x)
+    yc, ys, yn, ye, yp = ann.quantise(y)
     prod = ann.int8_product(xc, yc)
     assert (prod == xc.astype(int) @ yc.astype(int).T).all()
+    x, y = np.ldexp(x, -xp[:, None]), np.ldexp(y, -yp[:, None])
+    assert (np.abs(x).max(axis=1) < 1).all() and (np.abs(x).max(axis=1) >= 0.5).all()
     err = np.abs(x @ y.T - prod * xs[:, None] * ys[None, :])
     assert (err <= xn[:, None] * ye[None, :] + xe[:, None] * (yn + ye)[None, :] + 1e-9).all()
 
@@ -50,6 +52,26 @@ def test_nearest_odd_vectors(spark):
     assert ann.nearest(df, none, 3).count() == 0
 
 
+def test_nearest_at_every_magnitude(spark):
+    """From 1e-160 to 1e160, exactly quantised vectors among them; products
+    that underflow or overflow tie and go by id."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(500):
+        v = rng.integers(-127, 128, 6).astype(float) if i % 3 else rng.normal(size=6)
+        rows.append((i, (v * 10.0 ** int(rng.integers(-160, 161))).tolist()))
+    rows += [(1000 + i, [1e155 * (i + 1)] * 6) for i in range(12)] + [(2000 + 20 * i, [10.0**p] * 6) for i, p in enumerate((-308, -160, 0, 150, 155, 160, 307))]
+    rows = [(i, v if any(v) else [1.0] * 6) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.nearest(df, df.where("vec_id % 20 = 0"), 9, query_block=5, vector_block=97).collect()}
+    m, ids = np.array([v for _, v in rows]), [i for i, _ in rows]
+    for q, v in rows:
+        if q % 20 == 0:
+            s = ann.exact_products(np.repeat(np.array([v]), len(m), 0), m)
+            want = sorted((-x, i) for x, i in zip(s.tolist(), ids) if i != q)[:9]
+            assert [got[q, k + 1] for k in range(9)] == [(i, -x) for x, i in want], q
+
+
 def test_every_row_is_a_candidate(spark):
     """Two vectors under one id are two candidates; many equal rows too."""
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [5.0, 9.0]), (1, [7.0, 1.0]), *[(2, [6.0, 0.0])] * 5, (3, [4.0, 0.0])]
