@@ -66,7 +66,7 @@ class InvertedIndex:
         """(query, keys, ``score``): a superset of each query's ``k`` best, at
         most ``k`` per query and block; ``pairs`` are distinct (query, term)."""
         n, avg = self.n_docs, self.avg_len
-        post = self.postings(pairs)
+        post = materialize(self.postings(pairs), "postings")  # the asked terms alone, read four times
         freq = post.groupBy("term").agg(F.sum(F.size("places")).alias("df"))
         weight = F.log(F.lit(1.0) + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
         asked = materialize(pairs.select(F.col(query_id).alias("query"), "term").join(freq, "term").select("query", "term", weight.alias("w")), "asked")
