@@ -25,7 +25,7 @@ from corpusflow.llm.common import text_blocks
 MAX_MODEL_BYTES = 64_000_000
 #: Words that one Python worker remembers; the table is emptied when full, so
 #: its memory is bounded and results do not depend on it.
-MAX_CACHED_WORDS = 300_000
+MAX_CACHED_WORDS = 150_000
 MAX_CACHED_CHARS = 64
 
 

@@ -23,7 +23,7 @@ from corpusflow.llm.crf import CRF, viterbi
 from corpusflow.llm.toxicity import model_broadcast
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 200_000
 
 # The base patterns. A look-behind only skips starts inside a
 # run of digits that has already failed at its first digit.
@@ -248,7 +248,7 @@ class PiiModel:
 
     def tag(self, docs: list[list[str]]) -> list[tuple[int, int, int]]:
         """(document, word, tag) of all words that are not O."""
-        if len(self._word) > MAX_CACHED_WORDS or len(self._cls) > MAX_CACHED_WORDS // 20:
+        if len(self._word) > MAX_CACHED_WORDS or len(self._cls) > MAX_CACHED_WORDS // 10:
             self._reset()
         lens = np.array([len(d) for d in docs])
         n = int(lens.sum())

@@ -43,7 +43,7 @@ SPAN_AT = 0.5
 NOISE = 0.1
 #: Words of one piece of a long document.
 PIECE = 512
-MAX_CACHED_WORDS = 400_000
+MAX_CACHED_WORDS = 150_000
 
 _WORD = re.compile(r"[^\W_]+")
 
