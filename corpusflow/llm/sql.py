@@ -60,23 +60,11 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
 
-def _template_level(i: int) -> str:
-    """One level of the tree: counts, node totals, literal segments, step."""
-    src = f"t{i}"
-    return f"""
-s{i} AS (SELECT *, segs[{i + 1}] AS s FROM {src}),
-c{i} AS (SELECT host, template, s, count(*) AS n FROM s{i} WHERE s IS NOT NULL GROUP BY ALL),
-l{i} AS (SELECT host, template, s FROM (SELECT *, sum(n) OVER (PARTITION BY host, template) AS total FROM c{i}) WHERE n >= 4 AND n >= total * 0.02),
-t{i + 1} AS (
-  SELECT s{i}.* EXCLUDE (s, template), CASE WHEN s{i}.s IS NULL THEN s{i}.template
-    ELSE s{i}.template || '/' || CASE WHEN l{i}.s IS NOT NULL THEN s{i}.s ELSE '*' || regexp_extract(s{i}.s, '(\\.[A-Za-z][A-Za-z0-9]{{0,4}})$', 1) END END AS template
-  FROM s{i} LEFT JOIN l{i} ON s{i}.host = l{i}.host AND s{i}.template = l{i}.template AND s{i}.s = l{i}.s
-),"""
-
+_WILD = r"'*' || regexp_extract({0}, '(\.[A-Za-z][A-Za-z0-9]{{0,4}})$', 1)"
 
 ORACLE["op10_url_filter"] = (
     r"""
-WITH u AS (
+WITH RECURSIVE u AS (
   SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
 ), r AS (
@@ -87,31 +75,60 @@ WITH u AS (
       WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
   FROM u
 ), m AS (SELECT CAST(doc_id AS VARCHAR) AS key, max(1 - quality) AS bad FROM labels WHERE doc_id IS NOT NULL AND quality IN (0, 1) GROUP BY 1),
-t0 AS (
-  SELECT page_id, host, path, rule, bad, string_split(regexp_replace(path, '^/', ''), '/') AS segs, '' AS template
-  FROM r LEFT JOIN m ON regexp_extract(path, '/([0-9]+)(?:[./]|$)', 1) = m.key
-),"""
-    + "".join(_template_level(i) for i in range(4))
-    + r"""
-t AS (SELECT * REPLACE (CASE WHEN len(segs) > 4 THEN template || '/**' ELSE template END AS template) FROM t4),
-n AS (SELECT *, regexp_replace(template, '^/[^/]*', '') AS node FROM t),
-leaf AS (SELECT host, node, template, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM n GROUP BY ALL),
+p AS (
+  SELECT host, path, count(*) AS w, count(bad) AS lab, coalesce(sum(bad), 0) AS bad
+  FROM r LEFT JOIN m ON regexp_extract(path, '/([0-9]+)(?:[./]|$)', 1) = m.key GROUP BY ALL
+),
+-- one level of the paths a step; a level is that of the last node above
+grow(host, path, w, lab, bad, template, level, segs) AS (
+  SELECT host, path, w, lab, bad, '', 0, string_split(regexp_replace(path, '^/', ''), '/') FROM p
+  UNION ALL
+  SELECT host, path, w, lab, bad,
+    CASE WHEN nn < 4 THEN template || '/' || array_to_string(list_transform(segs, lambda x: WILD(x)), '/')
+      WHEN cand AND (4.0::DOUBLE * n >= sqrt(nn) OR abs(nb - nl * rate)
+        > (1.96::DOUBLE + sqrt(2.0::DOUBLE * ln(greatest(d, 1)))) * sqrt(nl * rate * (1.0::DOUBLE - rate))) THEN template || '/' || s
+      ELSE template || '/' || WILD(s) END,
+    CASE WHEN nn < 4 THEN level ELSE level + 1 END, CASE WHEN nn < 4 THEN segs[1:0] ELSE segs[2:] END
+  FROM (SELECT *, count(DISTINCT CASE WHEN cand THEN s END) OVER (PARTITION BY host, template) AS d FROM (
+    SELECT *, n >= 4 AND NOT starts_with(s, '*') AS cand FROM (
+      SELECT *, sum(w) OVER b AS n, CAST(sum(lab) OVER b AS DOUBLE) AS nl, CAST(sum(bad) OVER b AS DOUBLE) AS nb, sum(w) OVER k AS nn,
+        CAST(sum(bad) OVER k AS DOUBLE) / greatest(sum(lab) OVER k, 1) AS rate
+      FROM (SELECT *, segs[1] AS s FROM grow WHERE len(segs) > 0)
+      WINDOW b AS (PARTITION BY host, template, s), k AS (PARTITION BY host, template)
+  )))
+),
+t AS (SELECT * FROM grow WHERE len(segs) = 0),
+leaf AS (SELECT host, template, level, sum(lab) AS n, sum(bad) AS bad FROM t GROUP BY ALL),
 whole AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.0) AS prior FROM leaf),
-rated AS (
-  SELECT *, CAST(sum(bad) OVER (PARTITION BY host, node) AS DOUBLE) / greatest(sum(n) OVER (PARTITION BY host, node), 1) AS rate FROM leaf
+-- from the deepest level up: pools go to the node above, the others are groups
+items(host, node, level, origin, place, grp, n, bad) AS (
+  SELECT host, array_to_string(string_split(template, '/')[1 : level + 1], '/'), level, template, -1, false, CAST(n AS DOUBLE), CAST(bad AS DOUBLE) FROM leaf
+  UNION ALL
+  SELECT host, CASE WHEN act AND near THEN array_to_string(string_split(node, '/')[1 : level], '/') ELSE node END AS node,
+    CASE WHEN act AND near THEN level - 1 ELSE level END AS level, CASE WHEN act AND near THEN node ELSE origin END AS origin,
+    CASE WHEN act AND near THEN level ELSE place END AS place, act AND NOT near AS grp, sum(n), sum(bad)
+  FROM (SELECT *, abs(bad - n * rate) <= 1.96::DOUBLE * sqrt(n * rate * (1.0::DOUBLE - rate)) AS near FROM (
+    SELECT *, level = max(level) OVER () AS act, sum(bad) OVER k / greatest(sum(n) OVER k, 1) AS rate FROM items WHERE NOT grp AND level >= 0
+    WINDOW k AS (PARTITION BY host, node, level)))
+  GROUP BY 1, 2, 3, 4, 5, 6
+),
+groups AS (SELECT host, origin, place, n, bad FROM items WHERE grp OR level = -1),
+chain AS (
+  SELECT host, template, template AS origin, -1 AS place, level + 1 AS depth FROM leaf
+  UNION ALL
+  SELECT host, template, array_to_string(string_split(template, '/')[1 : i + 1], '/'), i, i
+  FROM (SELECT host, template, unnest(range(0, level + 1)) AS i FROM leaf)
 ),
-merged AS (SELECT *, abs(bad - n * rate) <= 1.96::DOUBLE * sqrt(n * rate * (1.0::DOUBLE - rate)) AS merged FROM rated),
 judged AS (
-  SELECT host, template,
-    CASE WHEN merged THEN sum(bad) FILTER (WHERE merged) OVER (PARTITION BY host, node) ELSE bad END AS b,
-    CASE WHEN merged THEN sum(n) FILTER (WHERE merged) OVER (PARTITION BY host, node) ELSE n END AS k FROM merged
+  SELECT host, template, arg_max(bad, depth) AS b, arg_max(n, depth) AS k FROM chain JOIN groups USING (host, origin, place) GROUP BY ALL
 )
-SELECT page_id, n.host, path, rule,
+SELECT page_id, r.host, r.path, rule,
   CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
     WHEN (b + 8.0::DOUBLE * prior) / (k + 8.0::DOUBLE) >= 0.5 THEN 'block' ELSE 'allow' END AS verdict,
-  n.template
-FROM n JOIN judged ON n.host = judged.host AND n.template = judged.template, whole
+  t.template
+FROM r JOIN t ON r.host = t.host AND r.path = t.path JOIN judged ON t.host = judged.host AND t.template = judged.template, whole
 """
+    .replace("WILD(x)", _WILD.format("x")).replace("WILD(s)", _WILD.format("s"))
 )
 
 ORACLE["op13_topk"] = """

@@ -1,9 +1,13 @@
 import hashlib
+import math
 import random
 import re
 
+import duckdb
+
 from corpusflow.llm import decontaminate as D
 from corpusflow.llm import url_filter as U
+from corpusflow.llm.sql import ORACLE
 
 
 def words(t):
@@ -146,3 +150,119 @@ def test_siblings_merge_under_their_parent(spark):
     assert {got[i] for i in range(40)} == {(f"/spam/s{i}/*", "block") for i in range(10)}
     assert {got[i] for i in range(40, 60)} == {("/spam/fine/*", "allow")}
     assert {v for _, v in (got[i] for i in range(60, 460))} == {"allow"}
+
+
+def grown(rows, min_urls=4):
+    """The tree as the module describes it, one segment at a time: rows are
+    (segments, label or None); returns the template and group of each."""
+    template, group = {}, {}
+    wild = lambda s: "*" + (re.search(r"(\.[A-Za-z][A-Za-z0-9]{0,4})$", s) or [""])[0]
+    known = lambda ids: [rows[i][1] for i in ids if rows[i][1] is not None]
+
+    def node(prefix, ids, depth):
+        leaves, branches = {}, {}
+        on = [i for i in ids if len(rows[i][0]) > depth]
+        for i in ids:
+            if i not in on or len(on) < min_urls:
+                template[i] = prefix + "".join("/" + wild(s) for s in rows[i][0][depth:])
+                leaves.setdefault(template[i], []).append(i)
+        if len(on) >= min_urls:
+            same = {}
+            for i in on:
+                same.setdefault(rows[i][0][depth], []).append(i)
+            cand = {s for s, x in same.items() if len(x) >= min_urls and not s.startswith("*")}
+            total = known(on)
+            rate = sum(total) / max(len(total), 1)
+            z = U.MERGE_Z + math.sqrt(2.0 * math.log(max(len(cand), 1)))
+            for s, x in same.items():
+                k = known(x)
+                other = abs(sum(k) - len(k) * rate) > z * math.sqrt(len(k) * rate * (1.0 - rate))
+                literal = s in cand and (4.0 * len(x) >= math.sqrt(len(on)) or other)
+                branches.setdefault(s if literal else wild(s), []).extend(x)
+        kids = list(leaves.values()) + [node(f"{prefix}/{s}", x, depth + 1) for s, x in branches.items()]
+        k = known([i for x in kids for i in x])
+        rate = sum(k) / max(len(k), 1)
+        pool = []
+        for x in kids:
+            k = known(x)
+            if abs(sum(k) - len(k) * rate) <= U.MERGE_Z * math.sqrt(len(k) * rate * (1.0 - rate)):
+                pool.extend(x)
+            else:
+                group.update(dict.fromkeys(x, frozenset(x)))
+        return pool
+
+    left = node("", list(range(len(rows))), 0)
+    group.update(dict.fromkeys(left, frozenset(left)))
+    return template, group
+
+
+def random_paths(rng, n, depth):
+    """Deep branching paths: few words, recurring and single ids, chains."""
+    out = []
+    for _ in range(n):
+        segs = []
+        for d in range(rng.randrange(1, depth + 1)):
+            kind = rng.random()
+            if kind < 0.6:
+                segs.append(rng.choice("abc"))
+            elif kind < 0.75:
+                segs.append(f"k{rng.randrange(12)}.html")
+            elif kind < 0.8:
+                segs.append(rng.choice(["*", "*x", "", "=", "=a"]))
+            elif kind < 0.9:
+                segs += ["p", "q", "r"]
+            else:
+                segs.append(f"r{rng.randrange(10**6)}")
+        out.append(segs)
+    return out
+
+
+def test_random_deep_trees_equal_the_plain_tree(spark):
+    rng = random.Random(5)
+    pages, expected, key = [], {}, 0
+    for host, (n, depth) in enumerate([(400, 8), (250, 14), (60, 3), (3, 5)]):
+        rows = []
+        for segs in random_paths(rng, n, depth):
+            segs = [*segs, f"n{key}", str(10**7 + key)] if rng.random() < 0.5 else segs
+            bad = None
+            if segs[-1].startswith("1000") and rng.random() < 0.9:
+                bad = int(rng.random() < (0.9 if segs[0] in ("b", "") else 0.2))
+            rows.append((segs, bad, key))
+            key += 1
+        rows += rows[:20]  # repeated urls count again
+        template, group = grown([(s, b) for s, b, _ in rows])
+        for i, (segs, bad, k) in enumerate(rows):
+            members = [rows[j][1] for j in group[i] if rows[j][1] is not None]
+            expected[len(pages)] = (template[i], len(members), sum(members), bad, k)
+            pages.append((len(pages), f"http://h{host}.test/" + "/".join(segs)))
+    marks = {10**7 + k: bad for _, _, _, bad, k in expected.values() if bad is not None}
+    counted = [bad for _, _, _, bad, _ in expected.values() if bad is not None]
+    prior = sum(counted) / len(counted)
+    got = verdicts(spark, pages, marks)
+    for i, (template, n, bad, _, _) in expected.items():
+        verdict = "block" if (bad + 8.0 * prior) / (n + 8.0) >= 0.5 else "allow"
+        assert got[i] == (template, verdict), pages[i]
+    assert len({v for _, v in got.values()}) == 2
+    # The query's SQL keeps the same rules at any depth.
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR); CREATE TABLE labels (doc_id BIGINT, quality INT)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", pages)
+    con.executemany("INSERT INTO labels VALUES (?, ?)", [(k, 1 - bad) for k, bad in marks.items()])
+    sql = con.execute(f"SELECT page_id, template, verdict FROM ({ORACLE['op10_url_filter']})").fetchall()
+    assert {i: (t, v) for i, t, v in sql} == got
+
+
+def test_rounds_follow_the_branching(spark, monkeypatch):
+    """A path of 500 segments seen four times, and ids that recur."""
+    written = []
+    plain = U.materialize
+    monkeypatch.setattr(U, "materialize", lambda df, name="t": written.append(name) or plain(df, name))
+    trap = "/".join(f"s{i}" for i in range(500))
+    spread = ["/".join(f"{i}x{j}" for j in range(200)) for i in range(5)]
+    rows = [(i, f"https://h.test/{trap}") for i in range(4)] + [(10 + i, f"https://g.test/{p}") for i, p in enumerate(spread)]
+    rows += [(100 + i, f"https://i.test/{i % 1000}/x") for i in range(4000)]
+    got = verdicts(spark, rows, {})
+    assert {got[i][0] for i in range(4)} == {"/" + trap}
+    assert {got[10 + i][0] for i in range(5)} == {"/*" * 200}
+    assert {got[100 + i][0] for i in range(4000)} == {"/*/x"}
+    assert written.count("templates") <= U.DEEP + 4
