@@ -12,7 +12,9 @@ The FIFO key of a URL is its parent's key with the link position appended:
 at one level all keys have the same length, and their lexicographic order is
 the queue order. Each level is written as a parquet table in the shared
 ``spark.checkpoint.dir`` and read back, so lineage stays one level deep and a
-lost executor only recomputes one level. The driver sees counts only.
+lost executor only recomputes one level. The driver sees counts only. With a
+``CrawlStore`` the levels are committed there instead, and a crawl that was
+stopped goes on from its last committed level.
 
 ``max_pages`` stops a root after that many successful fetches (failures are
 visited but not counted). Within the level that crosses the budget the cut is
@@ -28,6 +30,7 @@ from pyspark.sql.window import Window
 
 from corpusflow.functions.urls import in_scope, normalize_url, skip_extension
 from corpusflow.plans.strategy import dense_position, fits_broadcast, materialize
+from corpusflow.sources.crawl_store import CrawlStore, union_levels
 
 DEFAULT_MAX_PAGES = 50
 
@@ -51,6 +54,7 @@ def crawl_frontier(
     allow_subdomains: bool = False,
     max_levels: int | None = None,
     with_rank: bool = True,
+    store: CrawlStore | None = None,
 ) -> DataFrame:
     """Visits of a FIFO breadth-first crawl per root.
 
@@ -59,7 +63,13 @@ def crawl_frontier(
     Output: root, url, depth, fifo_key, page_id (null when the fetch
     failed), ok, crawl_rank (1-based visit order per root; left out when
     ``with_rank`` is false, which saves a distributed sort).
+
+    With ``store`` every level is committed as it ends. A later call with the
+    same store, settings and inputs (after a stop, a failure, or
+    ``max_levels``) reads what is committed, runs the levels that lack, and
+    returns what one uninterrupted crawl returns.
     """
+    settings = {"max_pages": max_pages, "include": include, "exclude": exclude, "allow_subdomains": allow_subdomains}
     # Both tables are read at every level: materialise them once instead of
     # re-running their regex work per level.
     fetch = pages.select(normalize_url("url").alias("url"), "page_id").groupBy("url").agg(F.min("page_id").alias("page_id"))
@@ -90,14 +100,19 @@ def crawl_frontier(
         lv = lv.join(cut, "root", "left").where(F.col("_cut").isNull() | (F.col("fifo_key") <= F.col("_cut")))
         return lv.drop("_cut", "_done")
 
-    level = materialize(fetch_and_cut(level, None), "crawl-level")
-    visited = level
-    depth = 0
+    def keep(depth: int, rows: DataFrame) -> DataFrame:
+        return store.commit(depth, rows, settings) if store else materialize(rows, "crawl-level")
+
+    def successes(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("root").agg(F.count_if(F.col("ok")).alias("_done"))
+
+    levels = (store.levels(settings) if store else []) or [keep(0, fetch_and_cut(level, None))]
+    visited, level, depth = union_levels(levels), levels[-1], len(levels) - 1
+    # Successes per root, carried from level to level.
+    done = materialize(successes(visited), "crawl-done") if max_pages is not None else None
     has_ok = level.where("ok").limit(1).count() > 0
     while has_ok and (max_levels is None or depth < max_levels):
-        done = None
-        if max_pages is not None:
-            done = visited.groupBy("root").agg(F.count_if(F.col("ok")).alias("_done"))
+        if done is not None:
             open_roots = done.where(F.col("_done") < max_pages).select("root")
             parents = level.where("ok").join(open_roots, "root", "left_semi")
         else:
@@ -115,14 +130,15 @@ def crawl_frontier(
         # the growing visited set); otherwise a shuffle anti-join.
         # The candidates are written once; their size is read from that.
         cand = materialize(cand.groupBy("root", "url").agg(F.min("fifo_key").alias("fifo_key")), "crawl-candidates")
+        before = (store.hit(visited, cand) if store else visited).select("root", "url")
         if fits_broadcast(cand):
-            seen = visited.select("root", "url").join(F.broadcast(cand.select("root", "url")), ["root", "url"], "left_semi")
+            seen = before.join(F.broadcast(cand.select("root", "url")), ["root", "url"], "left_semi")
             cand = cand.join(F.broadcast(seen), ["root", "url"], "left_anti")
         else:
-            cand = cand.join(visited.select("root", "url"), ["root", "url"], "left_anti")
+            cand = cand.join(before, ["root", "url"], "left_anti")
         cand = cand.where(_pop_filter(F.col("url"), include, exclude))
         depth += 1
-        nxt = materialize(fetch_and_cut(cand.withColumn("depth", F.lit(depth)), done), "crawl-level")
+        nxt = keep(depth, fetch_and_cut(cand.withColumn("depth", F.lit(depth)), done))
         size = nxt.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ok")).alias("k")).first()
         if size["n"] == 0:
             break
@@ -130,6 +146,9 @@ def crawl_frontier(
         visited = visited.unionByName(nxt)
         level = nxt
         has_ok = size["k"] > 0
+        if done is not None and has_ok:
+            done = done.unionByName(successes(nxt)).groupBy("root").agg(F.sum("_done").alias("_done"))
+            done = materialize(done, "crawl-done")
     if not with_rank:
         return visited.select("root", "url", "depth", "fifo_key", "page_id", "ok")
     ranked = dense_position(visited, ["root"], ["depth", "fifo_key"], "crawl_rank")

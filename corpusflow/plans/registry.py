@@ -6,6 +6,7 @@ expressible in SQL, ``ORACLE[name]`` with the same columns for DuckDB.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -590,6 +591,7 @@ register(
 
 # ---------------------------------------------------------------- B8, B11: crawl
 from corpusflow.operators import crawl as oc  # noqa: E402
+from corpusflow.sources.crawl_store import CrawlStore  # noqa: E402
 
 
 def _crawl_inputs(spark, sf):
@@ -643,6 +645,18 @@ def q_crawl_capped(spark, sf):
     return oc.crawl_frontier(seeds, pages, links, max_pages=CRAWL_CAP).select("root", "crawl_rank", "url", "depth", "page_id", "ok")
 
 
+def q_crawl_resumed(spark, sf):
+    """A crawl with a store that is stopped after two levels and goes on."""
+    seeds, pages, links = _crawl_inputs(spark, sf)
+    base = shared_path(spark, f"crawls/{uuid.uuid4().hex[:16]}")
+    oc.crawl_frontier(seeds, pages, links, max_pages=None, max_levels=2, with_rank=False, store=CrawlStore(spark, base))
+    visits = oc.crawl_frontier(seeds, pages, links, max_pages=None, with_rank=False, store=CrawlStore(spark, base))
+    return visits.select("root", "url", "depth", "page_id", "ok")
+
+
+register("crawl_frontier_resumed", f"WITH RECURSIVE {_crawl_sql_ctes()} SELECT root, url, depth, page_id, ok FROM visits")(q_crawl_resumed)
+
+
 # A visit's place in the queue is the path of link positions that led to it
 # first; a capped crawl is the uncapped order up to the last page it may fetch.
 register(
