@@ -10,8 +10,9 @@ Physical plan:
 * BM25 asks an inverted index (``operators.inverted``): postings in blocks with
   bounds, a query scores the block of its best bound first and skips blocks
   that cannot reach the k-th score; k rows per query and block are shuffled.
-* Vector top-k deals both sides into blocks of fixed size per dimension; a
-  task multiplies one query block with one vector block.
+* Vector top-k asks a metric index (``operators.vector_index``): balls around
+  pivots, a query asks its nearest ball first and skips balls that cannot reach
+  the k-th score; a task multiplies a block of a ball with a group of queries.
 * Both select by the rounded score with ties by id, and give ids of any type.
 * Top-k per query uses ``row_number() <= k``, which Spark plans as a partial
   WindowGroupLimit before the shuffle.
@@ -19,19 +20,18 @@ Physical plan:
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusflow.functions.text import is_blank, search_terms
 from corpusflow.operators.inverted import BLOCK_TERMS, InvertedIndex, build_inverted
+from corpusflow.operators.vector_index import BALL_CELLS, BLOCK_CELLS, QUERY_GROUP, VectorIndex, build_vector_index
 from corpusflow.plans.strategy import MAX_BROADCAST_ROWS, bounded_broadcast, dense_position, materialize
 
 # Fixed values.
@@ -132,15 +132,11 @@ def best_rounded(score: np.ndarray, order: list[np.ndarray], k: int) -> np.ndarr
     return cand[np.lexsort((*[o[cand] for o in reversed(order)], -rounded))[:k]]
 
 
-def _ranks(pdf: pd.DataFrame, cols: Sequence[str]) -> list[np.ndarray]:
+def id_ranks(pdf: pd.DataFrame, cols: Sequence[str]) -> list[np.ndarray]:
     """Sort positions of id columns of any type (nulls first)."""
     return [pd.factorize(pdf[c], sort=True)[0] for c in cols]
 
 
-def _fields(df: DataFrame, cols: Sequence[str]) -> list[T.StructField]:
-    return [T.StructField(c, df.schema[c].dataType) for c in cols]
-
-
 def bm25_topk(
     queries: DataFrame,
     docs: DataFrame | InvertedIndex,
@@ -207,29 +203,17 @@ def match_text(
 # --------------------------------------------------------------------------- vectors
 
 
-def _unit(m: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(m, axis=1, keepdims=True)
-    norms[norms == 0] = 1.0
-    return m / norms
-
-
-def _finite(df: DataFrame, ids: list[str], vec: str) -> DataFrame:
-    """Rows whose vector is not null or empty and holds numbers only."""
-    v = F.col(vec).cast("array<double>")
-    bad = F.exists("_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return df.select(*ids, v.alias("_v")).where("size(_v) > 0").where(~bad).withColumn("_dim", F.size("_v"))
-
-
 def vector_topk(
     queries: DataFrame,
-    index: DataFrame,
+    index: DataFrame | VectorIndex,
     k: int = DEFAULT_TOP_K,
     query_id: str = "query_id",
     query_vec: str = "embedding",
     id_col: str | Sequence[str] = "vec_id",
     vec_col: str = "embedding",
-    block_rows: int = 32_768,
-    query_rows: int = 4096,
+    ball_cells: int = BALL_CELLS,
+    block_cells: int = BLOCK_CELLS,
+    query_rows: int = QUERY_GROUP,
 ) -> DataFrame:
     """F1: exact k nearest vectors per query by cosine; score = (1+cos)/2.
 
@@ -237,49 +221,16 @@ def vector_topk(
     another dimension than the query's never match; null, empty and non-finite
     vectors take no part; a zero vector scores 0.5.
 
-    Both sides are dealt into blocks per dimension (vectors by hash of their
-    id, queries copied to every vector block and the other way round), so a
-    task holds one block of each, multiplies them and keeps k rows per query.
+    ``index`` is a table, which is indexed first, or an index that
+    ``build_vector_index`` wrote. Exact: a ball is left out for a query only if
+    its bound stays below the k-th score that the query's nearest ball gave.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    ids = _ids(id_col)
-    # Names of the sides must not meet: queries go by position.
-    q = _finite(queries.select(F.col(query_id).alias("_q"), F.col(query_vec).alias("_qv")), ["_q"], "_qv")
-    x = _finite(index, ids, vec_col)
-    schema = T.StructType([T.StructField("_q", queries.schema[query_id].dataType), *_fields(index, ids), T.StructField("score", T.DoubleType())])
-    count = lambda df: {r["_dim"]: r["n"] for r in df.groupBy("_dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_x, n_q = count(x), count(q)
-    dims = sorted(set(n_x) & set(n_q))
-    blocks = {d: (math.ceil(n_x[d] / block_rows), math.ceil(n_q[d] / query_rows)) for d in dims}
-    of = lambda i: F.create_map(*[F.lit(v) for d in dims for v in (d, blocks[d][i])])[F.col("_dim")]
-    if not dims:
-        empty = index.sparkSession.createDataFrame([], schema).withColumnRenamed("_q", query_id)
-        return empty.withColumn("rank", F.lit(1))
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    x = x.where(F.col("_dim").isin(dims)).withColumn("_xb", F.pmod(F.xxhash64(*ids), of(0)).cast("int")).withColumn("_qb", every(of(1)))
-    q = q.where(F.col("_dim").isin(dims)).withColumn("_qb", F.pmod(F.xxhash64("_q"), of(1)).cast("int")).withColumn("_xb", every(of(0)))
-
-    def tile(qpdf: pd.DataFrame, xpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or xpdf.empty:
-            return pd.DataFrame({f.name: [] for f in schema.fields})
-        qm, xm = _unit(np.stack(qpdf["_v"].to_list())), _unit(np.stack(xpdf["_v"].to_list()))
-        order = _ranks(xpdf, ids)
-        rows, take, scores = [], [], []
-        for lo in range(0, len(qm), 64):
-            score = (1.0 + qm[lo : lo + 64] @ xm.T) / 2.0
-            for j, s in enumerate(score):
-                sel = best_rounded(s, order, k)
-                rows.append(np.full(len(sel), lo + j))
-                take.append(sel)
-                scores.append(s[sel])
-        got = xpdf[ids].iloc[np.concatenate(take)].reset_index(drop=True)
-        got.insert(0, "_q", qpdf["_q"].to_numpy()[np.concatenate(rows)])
-        return got.assign(score=np.concatenate(scores))
-
-    by = ["_dim", "_qb", "_xb"]
-    cand = q.groupBy(*by).cogroup(x.groupBy(*by)).applyInPandas(tile, schema).withColumnRenamed("_q", query_id)
-    return top_k(cand.withColumn("score", F.round("score", SCORE_DECIMALS)), [query_id], "score", ids, k)
+    if not isinstance(index, VectorIndex):
+        index = build_vector_index(index, _ids(id_col), vec_col, ball_cells=ball_cells, block_cells=block_cells)
+    found = index.topk(queries, k, query_id, query_vec, query_rows)
+    return top_k(found.withColumn("score", F.round("score", SCORE_DECIMALS)), [query_id], "score", index.ids, k)
 
 
 # --------------------------------------------------------------------------- fusion

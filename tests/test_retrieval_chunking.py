@@ -14,6 +14,7 @@ from corpusflow.operators import chunking as ch
 from corpusflow.operators import index as ix
 from corpusflow.operators import inverted
 from corpusflow.operators import retrieval as rt
+from corpusflow.operators import vector_index as vi
 from corpusflow.operators.inverted import build_inverted, open_inverted
 from tests.conftest import SF_SMALL
 
@@ -105,7 +106,7 @@ def test_vector_topk_paths_agree_with_numpy(spark):
     qs = ix.embed_hashed(spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select(F.col("item_id").alias("query_id"), "text"),
                          "query_id", "text", 64)
     a = rt.vector_topk(qs, emb, k=7).collect()
-    b = rt.vector_topk(qs, emb, k=7, block_rows=16, query_rows=8).collect()
+    b = rt.vector_topk(qs, emb, k=7, ball_cells=640, block_cells=1024, query_rows=8).collect()
     key = lambda rows: sorted((r.query_id, r.rank, r.vec_id, r.score) for r in rows)
     assert key(a) == key(b)
     V = {r.vec_id: np.asarray(r.embedding, dtype=float) for r in emb.collect()}
@@ -250,7 +251,64 @@ def test_vector_topk_mixed_dimensions(spark):
         "vec_id long, embedding array<double>",
     )
     q = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, embedding array<double>")
-    for rows in (rt.vector_topk(q, idx, k=5).collect(), rt.vector_topk(q, idx, k=5, block_rows=2, query_rows=1).collect()):
+    for rows in (rt.vector_topk(q, idx, k=5).collect(), rt.vector_topk(q, idx, k=5, ball_cells=2, block_cells=4, query_rows=1).collect()):
         got = sorted((r.rank, r.vec_id, r.score) for r in rows)
         # vectors of another size (or none) never match
         assert got == [(1, 1, 1.0), (2, 4, 0.8), (3, 2, 0.5)]
+
+
+def _nearest(queries, rows, k):
+    """(query, rank, id, score) by plain arithmetic; ``rows`` are (id, vector)."""
+    def cos(a, b):
+        a, b = (np.asarray(x) / max(np.abs(x).max(), 1e-320) for x in (a, b))
+        n = np.linalg.norm(a) * np.linalg.norm(b)
+        return float(a @ b / n) if n else 0.0
+
+    out = []
+    for q, v in queries:
+        best = sorted((-round((1 + cos(v, x)) / 2, 6), i) for i, x in rows if len(x) == len(v))[:k]
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    return sorted(out)
+
+
+def test_vector_index_equals_brute_force(spark):
+    """Clusters, exact copies, zero vectors and magnitudes from 1e-160 to 1e160."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(12, 8))
+    near = [centres[i % 12] + 0.05 * rng.normal(size=8) for i in range(400)]
+    rows = [(i, (v * 10.0 ** rng.integers(-160, 160)).tolist()) for i, v in enumerate(near)]
+    rows += [(1000 + i, [1.0] + [0.0] * 7) for i in range(60)] + [(2000, [0.0] * 8), (2001, [0.0] * 8), (3000, [1.0, 2.0, 3.0])]
+    queries = [(i, (centres[i] * 10.0 ** (40 * i - 160)).tolist()) for i in range(8)] + [(90, [1.0] + [0.0] * 7), (91, [0.0] * 8), (92, [1.0, 0.0, 0.0]), (93, [1.0, 2.0])]
+    other = [(5000, None), (5001, []), (5002, [1.0] * 7 + [None]), (5003, [float("nan")] * 8), (5004, [float("inf")] * 8)]
+    idx = spark.createDataFrame(rows + other, "vec_id long, embedding array<double>").repartition(3)
+    q = spark.createDataFrame(queries + [(99, None)], "query_id long, embedding array<double>")
+    for k in (1, 6, 100):
+        want = _nearest(queries, rows, k)
+        for sizes in ({}, {"ball_cells": 160, "block_cells": 240, "query_rows": 2}):
+            got = rt.vector_topk(q, idx, k=k, **sizes).collect()
+            assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == want, (k, sizes)
+
+
+def test_vector_index_skips_balls(spark):
+    """On clustered vectors a query leaves most blocks out, and an index that
+    is opened again gives the same rows."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 16))
+    rows = [(i, (centres[i % 20] + 0.02 * rng.normal(size=16)).tolist()) for i in range(2000)]
+    idx = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = [(i, centres[i].tolist()) for i in range(20)]
+    q = spark.createDataFrame(queries, "query_id long, embedding array<double>")
+    made = vi.build_vector_index(idx, ball_cells=400, block_cells=1600)
+    again = vi.open_vector_index(spark, made.path)
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in rt.vector_topk(q, again, k=5).collect()) == _nearest(queries, rows, 5)
+    asked = q.select(F.col("query_id").alias("qn"), F.lit(0).alias("part"), F.lit(16).alias("dim"), F.col("embedding").alias("v"), F.lit(0.9995).cast("double").alias("floor"))
+    blocks = int(made.balls[16].blocks.sum())
+    assert again.visits(asked, 5, True).count() == 20
+    assert again.visits(asked, 5, False).count() < 20 * blocks / 4
+
+
+def test_vector_index_of_nothing(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, embedding array<double>")
+    none = spark.createDataFrame([], "vec_id string, embedding array<double>")
+    assert rt.vector_topk(q, none).collect() == []
+    assert rt.vector_topk(q.limit(0), spark.createDataFrame([("a", [1.0, 0.0])], "vec_id string, embedding array<double>")).collect() == []
