@@ -3,17 +3,15 @@
 SQL (C7) is row-local: a file's lines, its boundary positions and its blocks
 are arrays of the file's own row, so splitting needs no shuffle at all.
 
-Python (C8-C10) is row-local too: a small Arrow helper gives the line spans of
-a file's top-level statements as Python's own parser sees them, everything
-else (texts, uncovered runs, relevant imports) is arrays of the file's row. A
-file that does not parse is kept whole.
+Python (C8-C10) is row-local too. One pattern cuts a source into strings,
+comments and code, so lines are known as code with their brackets; a fold over
+them gives the spans of the top-level statements. Texts, uncovered runs and
+relevant imports are arrays of the file's row. A file whose quotes or brackets
+do not pair up is kept whole; other errors of syntax are not looked for.
 """
 
 from __future__ import annotations
 
-import ast
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,34 +80,92 @@ def sql_units(files: DataFrame, file_col: str = "file", text_col: str = "text")
     return blocks.unionByName(whole)
 
 
-_SPAN = "array<struct<kind:string,name:string,s:int,e:int,names:array<string>>>"
-_KINDS = {ast.ClassDef: "class", ast.FunctionDef: "function", ast.AsyncFunctionDef: "async_function"}
-
-
-def _spans_of(text: str) -> list[dict] | None:
-    """Top-level definitions and imports with their lines; None where the text
-    is not Python."""
-    try:
-        body = ast.parse(text or "").body
-    except (SyntaxError, ValueError, RecursionError, MemoryError):
-        return None
-    out = []
-    for node in body:
-        kind = _KINDS.get(type(node))
-        if kind:
-            out.append({"kind": kind, "name": node.name, "s": node.lineno, "e": node.end_lineno, "names": []})
-        elif isinstance(node, (ast.Import, ast.ImportFrom)):
-            bound = [alias.asname or alias.name for alias in node.names]
-            out.append({"kind": "import", "name": "", "s": node.lineno, "e": node.end_lineno, "names": bound})
-    return out
-
-
-def _spans(text: Column) -> Column:
-    @F.pandas_udf(_SPAN)
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([_spans_of(t) for t in texts], dtype=object)
-
-    return run(text)
+# Comments, strings and line continuations of Python, then runs of
+# anything else; possessive, so a long string costs no stack.
+PY_TOKEN = (
+    r"(?s)#[^\n]*+"
+    r'|"""(?:[^"\\]++|\\.|"(?!""))*+"""'
+    r"|'''(?:[^'\\]++|\\.|'(?!''))*+'''"
+    r'|"(?:[^"\\\n]++|\\.)*+"'
+    r"|'(?:[^'\\\n]++|\\.)*+'"
+    r"|\\\n|[^#\"'\\]++|."
+)
+#: Begins a line that goes on from the one before, inside a string or after a
+#: backslash. The character cannot stand in Python code.
+_ON = "\x02"
+
+
+def _code_lines(clean: Column) -> Column:
+    """The lines of Python sources as code alone: a comment is ``#``, a string
+    ``'``. Null where a quote or a backslash stands without its partner."""
+    tokens = F.regexp_extract_all(clean, F.lit(PY_TOKEN), F.lit(0))
+    breaks = lambda t: F.regexp_replace(F.regexp_replace(t, r"[^\n]", ""), "\n", "\n" + _ON)
+    plain = lambda t: (
+        F.when(t.startswith("#"), F.lit("#"))
+        .when(t == "\\\n", F.lit("\n" + _ON))
+        .when(t.startswith('"') | t.startswith("'"), F.concat(F.lit("'"), breaks(t)))
+        .otherwise(t)
+    )
+    open_ = F.exists(tokens, lambda t: t.isin('"', "'", "\\") | F.contains(t, F.lit(_ON)) & ~t.startswith("#") & ~t.startswith('"') & ~t.startswith("'"))
+    return F.when(~open_, F.split(F.array_join(F.transform(tokens, plain), ""), "\n"))
+
+
+def _bound_names(stmt: Column) -> Column:
+    """The names that the imports of a line bind, as written after ``as``."""
+    parts = F.filter(F.split(stmt, ";"), lambda p: p.rlike(r"^\s*(import|from)\b"))
+    lists = F.transform(parts, lambda p: F.split(F.regexp_replace(F.regexp_replace(p, r"^\s*(from\b.*?\bimport\b|import\b)", ""), r"[()#\x02]", " "), ","))
+    names = F.transform(F.flatten(lists), lambda n: F.regexp_replace(F.regexp_replace(n, r"^.*\sas\s", ""), r"\s", ""))
+    return F.filter(names, lambda n: n != "")
+
+
+def _spans(lines: Column) -> Column:
+    """Top-level definitions and imports of code lines (``kind``, ``name``, first
+    and last line ``s`` and ``e``, ``names`` that an import binds). A line in
+    column 0, outside of brackets and strings, begins a statement, which ends
+    with its last line of code. Null where brackets do not pair up or the first
+    statement is indented."""
+    word = r"([\w_][\w\d_]*)"
+
+    def line(x, i):
+        def named(pattern):
+            return F.regexp_extract(x, r"(?U)^\f*" + pattern + r"\s+" + word, 1)
+
+        count = lambda keep: F.length(F.regexp_replace(x, keep, ""))
+        kind = (
+            F.when(x.rlike(r"^\f*class\s"), "class").when(x.rlike(r"^\f*def\s"), "function")
+            .when(x.rlike(r"^\f*async\s+def\s"), "async_function").when(x.rlike(r"^\f*(import|from)\b"), "import").otherwise("")
+        )
+        return F.struct(
+            (i + 1).alias("i"), x.rlike(r"^\f*[^\s\x02]").alias("col0"), kind.alias("kind"),
+            F.coalesce(*[F.nullif(named(p), F.lit("")) for p in ("class", "def", r"async\s+def")], F.lit("")).alias("name"),
+            (count(r"[^(\[{]") - count(r"[^)\]}]")).alias("net"),
+        )
+
+    code = F.filter(F.transform(lines, lambda x, i: F.when(~x.rlike(r"^\s*#?$"), line(x, i))), lambda x: x.isNotNull())
+    none = F.array().cast("array<struct<kind:string,name:string,s:int,e:int>>")
+
+    def closed(acc):
+        last = F.struct(acc["kind"].alias("kind"), acc["name"].alias("name"), acc["s"].alias("s"), acc["e"].alias("e"))
+        return F.when(acc["kind"] != "", F.concat(acc["spans"], F.array(last))).otherwise(acc["spans"])
+
+    def step(acc, x):
+        begins = (acc["depth"] == 0) & x["col0"]
+        new = lambda a, b: F.when(begins, a).otherwise(b)
+        return F.struct(
+            (acc["depth"] + x["net"]).alias("depth"),
+            (acc["bad"] | (acc["depth"] + x["net"] < 0) | ((acc["s"] == 0) & ~x["col0"])).alias("bad"),
+            new(x["kind"], acc["kind"]).alias("kind"), new(x["name"], acc["name"]).alias("name"),
+            new(x["i"], acc["s"]).alias("s"), x["i"].alias("e"), new(closed(acc), acc["spans"]).alias("spans"),
+        )
+
+    start = F.struct(
+        F.lit(0).alias("depth"), F.lit(False).alias("bad"), F.lit("").alias("kind"), F.lit("").alias("name"), F.lit(0).alias("s"), F.lit(0).alias("e"), none.alias("spans")
+    )
+    full = lambda x: F.struct(
+        x["kind"].alias("kind"), x["name"].alias("name"), x["s"].alias("s"), x["e"].alias("e"),
+        F.when(x["kind"] == "import", _bound_names(F.array_join(F.slice(lines, x["s"], x["e"] - x["s"] + 1), " "))).otherwise(F.array().cast("array<string>")).alias("names"),
+    )
+    return F.aggregate(code, start, step, lambda acc: F.when(~acc["bad"] & (acc["depth"] == 0), F.transform(closed(acc), full)))
 
 
 def _text(first, last) -> Column:
@@ -124,7 +180,9 @@ def python_units(files: DataFrame, file_col: str = "file", text_col: str = "text
     type, name, line_start, line_end, text. No shuffle."""
     raw = F.coalesce(F.col(text_col), F.lit(""))
     clean = F.regexp_replace(raw, r"\r\n?", "\n")
-    f = files.select(file_col, raw.alias("_raw"), F.split(F.regexp_replace(clean, r"\n\z", ""), "\n").alias("_l"), _spans(clean).alias("_s"))
+    body = F.regexp_replace(clean, r"\n\z", "")
+    f = files.select(file_col, raw.alias("_raw"), F.split(body, "\n").alias("_l"), _code_lines(body).alias("_m"))
+    f = f.withColumn("_s", _spans(F.col("_m"))).drop("_m")
     imports = F.filter("_s", lambda x: x["kind"] == "import")
     f = f.withColumn("_imp", F.transform(imports, lambda x: F.struct(_text(x["s"], x["e"]).alias("stmt"), x["names"].alias("names"))))
 

@@ -53,3 +53,45 @@ def test_sql_units_by_hand(spark):
         assert sorted((r.statement_index, r.statement_type, r.text) for r in got if r.file == name) == want, name
     urls = {r.url for r in unit_urls(sql_units(df), "file", "sql").collect()}
     assert "file://a.sql#create_or_replace_view_0" in urls and "file://c.sql#unknown_0" in urls
+
+
+# Statements in any order: strings with quotes, brackets and hashes in them,
+# continued lines, nested definitions, comments in and after bodies.
+PIECES = [
+    "import os", "import os.path as osp, sys", "from a.b import (c,  # why\n    d as e,\n)", "from . import x; y = 2", "from m import \\\n    n, \\\n    o",
+    "x = 1", "s = 'it\\'s # no (comment'", 'doc = """a\nclass No:\n# no\n"quoted" \\""" (\n"""', "t = r'\\\\' + \"'\"", "v = f\"{x['a']}\" '''\ndef no(): '''",
+    "z = {\n'k': [1,\n2],\n# in brackets\n}", "# comment (", "", "@dec(1,\n2)\ndef f(a,\nb=(1, 2)):\n    '''doc\nzero\n    '''\n    return a  # end",
+    "class K(Base):\n    x = 1\n\n    def m(self): return '}'\n    # trailing", "async  def g():\n\tawait h()", "class Ü: pass", "if x:\n    def inner(): pass\nelse:\n    import q",
+    "def one(): return 1; \n", "total = 1 + \\\n  2", "def s():\n    return \"\"\"\nend\"\"\"", "for i in range(3):\n    pass",
+]
+
+
+def _units_by_parser(text):
+    """(type, name, first line, last line) of definitions, as Python's parser sees them."""
+    import ast
+
+    kinds = {ast.ClassDef: "class", ast.FunctionDef: "function", ast.AsyncFunctionDef: "async_function"}
+    return [(kinds[type(n)], n.name, n.lineno, n.end_lineno) for n in ast.parse(text).body if type(n) in kinds]
+
+
+def test_python_units_agree_with_the_parser(spark):
+    import random
+
+    rnd = random.Random(5)
+    files = ["\n".join(rnd.choices(PIECES, k=rnd.randint(1, 12))) + rnd.choice(["", "\n", "\n\n# end\n"]) for _ in range(300)] + PIECES
+    got = python_units(spark.createDataFrame(list(enumerate(files)), "file int, text string")).collect()
+    mine: dict = {}
+    for r in got:
+        mine.setdefault(r.file, []).append((r.type, r.name, r.line_start, r.line_end))
+    for i, text in enumerate(files):
+        units = [u for u in mine[i] if u[0] not in ("module", "global_scope")]
+        assert sorted(units, key=lambda u: u[2]) == _units_by_parser(text), text
+
+
+def test_python_units_of_odd_sources(spark):
+    """Broken sources are one module; long strings and many lines pass."""
+    bad = ["x = '", 'y = """a\n', "def f(:\n  pass", "a)\n(b", "  x = 1\n", "x = \\", "\x02def f(): pass"]
+    long = ["s = '''" + "\\' \n" * 100_000 + "'''\ndef f():\n    pass\n", "x = 1\n" * 20_000 + "def f(): pass\n"]
+    got = python_units(spark.createDataFrame(list(enumerate(bad + long)), "file int, text string")).select("file", "type", "line_start").collect()
+    assert sorted((r.file, r.type) for r in got if r.file < len(bad)) == [(i, "module") for i in range(len(bad))]
+    assert [(r.file - len(bad), r.line_start) for r in sorted(got) if r.type == "function"] == [(0, 100_002), (1, 20_001)]
