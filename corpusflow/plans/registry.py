@@ -1657,10 +1657,24 @@ def q_stream_dedupe(spark, sf):
     return spark.read.parquet(path)
 
 
-register(
-    "stream_dedupe_urls",
-    f"""SELECT DISTINCT {S.normalize_url("'https://shop.example.com/' || event_type || '/' || json_extract_string(props, '$.k') || CASE WHEN value > 25 THEN '/#top' ELSE '' END")} AS nurl FROM events""",
-)(q_stream_dedupe)
+_EVENT_URLS_SQL = f"""SELECT DISTINCT {S.normalize_url("'https://shop.example.com/' || event_type || '/' || json_extract_string(props, '$.k') || CASE WHEN value > 25 THEN '/#top' ELSE '' END")} AS nurl FROM events"""
+
+register("stream_dedupe_urls", _EVENT_URLS_SQL)(q_stream_dedupe)
+
+
+def q_stream_visited(spark, sf):
+    """The events of odd ids, then after a restart from the checkpoint those of
+    even ids: every URL passes once, though its repeats come days later."""
+    ev = T(spark, sf, "events")
+    src, path, ck = (st.run_dir(spark, f"visited{x}") for x in ("-src", "", "-ckpt"))
+    for part in (1, 0):
+        ev.where(F.col("event_id") % 2 == part).write.mode("append").parquet(src)
+        urls = _event_urls(spark.readStream.schema(ev.schema).parquet(src))
+        st.run_available_now(st.stream_visited_urls(urls), ck, "append", path=path)
+    return spark.read.parquet(path)
+
+
+register("stream_visited_urls", _EVENT_URLS_SQL)(q_stream_visited)
 
 
 def q_stream_rate(spark, sf):

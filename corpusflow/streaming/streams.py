@@ -11,9 +11,11 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from corpusflow.functions.urls import normalize_url
 from corpusflow.operators.chunking import chunk_text
@@ -85,6 +87,58 @@ def stream_dedupe_urls(stream: DataFrame, url_col: str = "url", ts_col: str = "t
     return s.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(["nurl"])
 
 
+def stream_visited_urls(stream: DataFrame, url_col: str = "url") -> DataFrame:
+    """I2 without a watermark: a normalised URL passes at its first sight,
+    however late it comes again, also after a restart from the checkpoint.
+
+    The visited set is keyed state. It grows with the distinct URLs, so a
+    cluster keeps it in RocksDB on the executors' disks, with changes written to
+    the checkpoint (``spark.sql.streaming.stateStore.providerClass``). Output:
+    ``nurl``."""
+    return stream.select(normalize_url(url_col).alias("nurl")).dropDuplicates(["nurl"])
+
+
+def stream_revisits(stream: DataFrame, ttl: timedelta, url_col: str = "url", ts_col: str = "ts", delay: str = "1 hour") -> DataFrame:
+    """I2 with a time to live: a normalised URL passes at its first sight and
+    again once ``ttl`` of event time lies between, as in a crawl that visits its
+    pages anew; in one micro-batch at most once, at the earliest time that may
+    pass. State is dropped when the watermark is past the time to live, so it
+    holds the URLs of one ``ttl``. Needs the RocksDB state store. Output:
+    ``nurl``, ``ts``."""
+    rows = stream.select(normalize_url(url_col).alias("nurl"), F.col(ts_col).cast("timestamp").alias("ts")).where("nurl is not null and ts is not null")
+    keyed = rows.withWatermark("ts", delay).withColumn("us", F.unix_micros("ts")).groupBy("nurl")
+    passed = keyed.transformWithState(_Revisits(ttl // timedelta(microseconds=1)), "nurl string, us long", "append", "EventTime")
+    return passed.select("nurl", F.timestamp_micros("us").alias("ts"))
+
+
+class _Revisits(StatefulProcessor):
+    """The time (in microseconds) at which a key passed last; cleared by a timer
+    ``ttl`` later."""
+
+    def __init__(self, ttl: int):
+        self.ttl = ttl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.last = handle, handle.getValueState("last", "us long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        after = self.last.get()[0] + self.ttl if self.last.exists() else None
+        at = min((r["us"] for r in rows if after is None or r["us"] >= after), default=None)
+        if at is not None:
+            self.last.update((at,))
+            self.handle.registerTimer(-(-(at + self.ttl) // 1000))
+            yield Row(nurl=key[0], us=at)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        # A later pass has a timer of its own.
+        if self.last.exists() and self.last.get()[0] + self.ttl <= expiredTimerInfo.getExpiryTimeInMs() * 1000:
+            self.last.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def stream_rate(stream: DataFrame, rpm: int, ts_col: str = "ts", delay: str = "10 minutes", key: str | None = None) -> DataFrame:
     """Calls per tumbling minute (per key), flagged above ``rpm``."""
     s = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, delay)

@@ -1,5 +1,7 @@
 """G, H, I and the skew-safe helpers."""
 
+from collections import Counter
+from datetime import datetime, timedelta
 from decimal import Decimal
 import itertools
 import random
@@ -120,3 +122,40 @@ def test_stream_ingest_replaces_all_chunks_of_a_document(spark):
     spark.createDataFrame([(2, "  ")], schema).write.parquet(os.path.join(src, "c"))
     st.stream_ingest(stream, base, ck).awaitTermination()
     assert {r.content for r in st.read_index(spark, base).collect()} == {"short now"}
+
+
+def _run_days(spark, days, schema, query):
+    """Rows that pass in each run; a run adds one day and goes on from the checkpoint."""
+    src, path, ck = (st.run_dir(spark, f"t-visited{x}") for x in ("-src", "", "-ck"))
+    passed, before = [], Counter()
+    for rows in days:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        st.run_available_now(query(spark.readStream.schema(schema).parquet(src)), ck, "append", path=path)
+        now = Counter(tuple(r) for r in spark.read.parquet(path).collect())
+        passed.append(sorted((now - before).elements()))
+        before = now
+    return passed
+
+
+def test_stream_visited_over_restarts(spark):
+    days = [["https://a.com/x", "https://a.com/x#1", "https://a.com/y"], ["https://a.com/y", "https://a.com/z"], ["https://a.com/x", "https://a.com/z#top"], ["https://b.com/p"]]
+    got = _run_days(spark, [[(u,) for u in day] for day in days], "url string", st.stream_visited_urls)
+    assert got == [[("https://a.com/x",), ("https://a.com/y",)], [("https://a.com/z",)], [], [("https://b.com/p",)]]
+
+
+def test_stream_revisits_after_the_time_to_live(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    at = lambda d, h=0: datetime(2024, 1, d, h)
+    x, y = "https://a.com/x", "https://a.com/y"
+    days = [
+        [(x, at(1, 5)), (x + "#1", at(1, 3)), (y, at(1)), (None, at(1)), (x, None)],
+        [(x, at(2)), (y, at(2, 23))],
+        [(x, at(4, 3)), (x, at(4, 4)), (y, at(3, 23))],
+        [(x, at(5)), (y, at(9))],
+    ]
+    try:
+        got = _run_days(spark, days, "url string, ts timestamp", lambda s: st.stream_revisits(s, timedelta(days=3)))
+    finally:
+        spark.conf.unset(key)
+    assert got == [[(x, at(1, 3)), (y, at(1))], [], [(x, at(4, 3))], [(y, at(9))]]
