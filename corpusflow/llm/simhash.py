@@ -112,18 +112,17 @@ def _deal(rows: DataFrame, paths: dict[int, list[int]], m: int, d: int) -> tuple
     """Deal ``rows(bucket, path, fp, is_table)`` to sub-buckets by segments of
     the bits that ``paths[path]`` leaves free; also the next paths."""
     after: dict[int, list[int]] = {}
-    when = None
+    table = []
     for path, bits in paths.items():
-        entries = []
         for mask, flips in _balls(bits, min(m, len(bits)), d):
             nxt = len(after)
             after[nxt] = [b for b in bits if not mask >> b & 1]
-            entries += [f"struct({nxt} as path, {_signed(mask)}L as mask, {_signed(f)}L as flip)" for f in flips]
-        probes = F.expr("array(" + ", ".join(entries).replace("-9223372036854775808L", "(-9223372036854775807L - 1L)") + ")")
-        when = F.when(F.col("path") == path, probes) if when is None else when.when(F.col("path") == path, probes)
-    dealt = rows.select("bucket", "fp", "is_table", F.explode(when).alias("p")).select(
-        F.xxhash64("bucket", "p.path", F.col("fp").bitwiseAND(F.col("p.mask")).bitwiseXOR(F.col("p.flip"))).alias("bucket"),
-        F.col("p.path").alias("path"), "fp", (F.col("is_table") & (F.col("p.flip") == 0)).alias("is_table"),
+            table += [(path, nxt, _signed(mask), _signed(f)) for f in flips]
+    # A row per path, segment and flip: their number does not depend on the data.
+    probes = rows.sparkSession.createDataFrame(table, "path int, next int, mask long, flip long")
+    dealt = rows.join(F.broadcast(probes), "path").select(
+        F.xxhash64("bucket", "next", F.col("fp").bitwiseAND(F.col("mask")).bitwiseXOR(F.col("flip"))).alias("bucket"),
+        F.col("next").alias("path"), "fp", (F.col("is_table") & (F.col("flip") == 0)).alias("is_table"),
     )
     return dealt, after
 
@@ -222,30 +221,28 @@ def near_links(fps: DataFrame, max_bits: int, segments: int | None = None, split
     connect everything linked at ``max_bits`` or fewer differing bits.
 
     A bucket that holds more than ``split_at`` table entries is dealt out again
-    by segments of its free bits, up to two times; after that it stays as it
-    is. A dense region can still be large then: with ``f`` bits free, up to 2^f
-    table entries, and f is 14 to 24 for 2 to 5 segments and 4 bits.
+    by segments of its free bits until none does. Every deal fixes about a
+    third of the free bits, and ``f`` free bits leave room for 2^f entries, so
+    this ends, after at most five further deals at the usual sizes.
     """
     if segments is None:
         segments = segment_count(fps.count(), max_bits)
     rows = fps.select(F.lit(0).cast("long").alias("bucket"), F.lit(0).alias("path"), "fp", F.lit(True).alias("is_table"))
-    paths, out = {0: list(range(BITS))}, None
-    for level in range(3):
+    paths, out, level = {0: list(range(BITS))}, None, 0
+    while True:
         rows, paths = _deal(rows, paths, segments if level == 0 else min(3, max_bits + 1), max_bits)
-        hot = None
-        if level < 2:
-            hot = materialize(
-                rows.where("is_table").groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split_at).select("bucket"), "hot"
-            )
-            if not hot.head(1):
-                hot = None
-        calm = rows if hot is None else rows.join(hot, "bucket", "left_anti")
+        count = rows.where("is_table").groupBy("bucket", "path").agg(F.count(F.lit(1)).alias("n"))
+        hot = materialize(count.where(F.col("n") > split_at).select("bucket", "path"), "hot")
+        again = {r["path"] for r in hot.select("path").distinct().collect()}  # of the numbered paths
+        calm = rows.join(hot.select("bucket"), "bucket", "left_anti") if again else rows
         links = _links(calm, max_bits)
         out = links if out is None else out.unionByName(links)
-        if hot is None:
-            break
-        rows = rows.join(hot, "bucket", "left_semi")
-    return out
+        if not again:
+            return out
+        rows = rows.join(hot.select("bucket"), "bucket", "left_semi")
+        if level:  # no deal starts from the first one again
+            rows = materialize(rows, "dense")
+        paths, level = {p: b for p, b in paths.items() if p in again}, level + 1
 
 
 def simhash_groups(

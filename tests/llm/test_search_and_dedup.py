@@ -186,3 +186,31 @@ def test_simhash_groups_odd_rows(spark, odd_docs, no_docs):
     assert got[1] == (format(slow_fingerprint("a b c d e f", 4), "016x"), 1)
     assert got[None][1] is None
     assert simhash.simhash_groups(no_docs).count() == 0
+
+
+def test_dense_region_leaves_no_hot_bucket(spark, monkeypatch):
+    """128 fingerprints that differ in seven bits alone and some far from them:
+    buckets are dealt until none is hot, and no link is lost."""
+    fps = [(n << 2) ^ 0x0F0F00FF for n in range(128)]
+    far = [f ^ (((1 << 20) - 1) << 41) for f in fps[:10]]
+    signed = [(simhash._signed(f),) for f in fps + far]
+    sizes, plain = [], simhash._links
+
+    def measured(rows, d):
+        sizes.append(rows.where("is_table").groupBy("bucket").count().agg(F.max("count")).first()[0] or 0)
+        return plain(rows, d)
+
+    monkeypatch.setattr(simhash, "_links", measured)
+    links = simhash.near_links(spark.createDataFrame(signed, "fp long"), 4, 4, 8).distinct().collect()
+    assert len(sizes) > 3 and max(sizes) <= 8
+    parent = {f: f for (f,) in signed}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        assert bin((a ^ b) & (2**64 - 1)).count("1") <= 4
+        parent[root(a)] = root(b)
+    assert len({root(f) for (f,) in signed}) == 2
