@@ -118,11 +118,16 @@ def _deal(rows: DataFrame, paths: dict[int, list[int]], m: int, d: int) -> tuple
             nxt = len(after)
             after[nxt] = [b for b in bits if not mask >> b & 1]
             table += [(path, nxt, _signed(mask), _signed(f)) for f in flips]
-    # A row per path, segment and flip: their number does not depend on the data.
-    probes = rows.sparkSession.createDataFrame(table, "path int, next int, mask long, flip long")
-    dealt = rows.join(F.broadcast(probes), "path").select(
+    # One per path, segment and flip: their number does not depend on the data.
+    if len(paths) == 1:
+        number = lambda x: F.lit(x).cast("long")
+        each = F.array(*[F.struct(number(n).alias("next"), number(x).alias("mask"), number(f).alias("flip")) for _, n, x, f in table])
+        probed = rows.select("bucket", "fp", "is_table", F.inline(each))
+    else:
+        probed = rows.join(F.broadcast(rows.sparkSession.createDataFrame(table, "path int, next long, mask long, flip long")), "path")
+    dealt = probed.select(
         F.xxhash64("bucket", "next", F.col("fp").bitwiseAND(F.col("mask")).bitwiseXOR(F.col("flip"))).alias("bucket"),
-        F.col("next").alias("path"), "fp", (F.col("is_table") & (F.col("flip") == 0)).alias("is_table"),
+        F.col("next").cast("int").alias("path"), "fp", (F.col("is_table") & (F.col("flip") == 0)).alias("is_table"),
     )
     return dealt, after
 
