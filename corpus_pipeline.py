@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import bpe, decontaminate, pii, simhash, toxicity
 from corpusflow.llm.queries import tokenizer_path, toxicity_model
-from corpusflow.plans.strategy import materialize
+from corpusflow.plans.strategy import bounded_broadcast, materialize
 from corpusflow.session import read_table, shared_path
 
 
@@ -43,8 +43,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = rows.groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *key)).alias("best"))
     judged = rows.join(first, "group_id").withColumn("stays", (F.col(f"best.{key[0]}") == F.col(key[0])) & (F.col(f"best.{key[1]}") == F.col(key[1])))
     judged = materialize(judged.groupBy(*key).agg(F.first("stays").alias("_stays"), F.count(F.lit(1)).alias("_n")).where("not _stays or _n > 1"), "judged")
-    kept = keyed.join(judged.where("not _stays").select(*key), key, "left_anti")
-    again = judged.where("_stays").select(*key)
+    gone, _ = bounded_broadcast(judged.where("not _stays").select(*key))
+    kept = keyed.join(gone, key, "left_anti")
+    again, _ = bounded_broadcast(judged.where("_stays").select(*key))
     if not again.head(1):
         return kept.drop(*key)
     once = kept.join(again, key, "left_semi").dropDuplicates(key)
@@ -56,7 +57,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     contaminated documents leave by an anti-join on their key."""
     keyed, key = _keyed(docs)
     found = decontaminate.contamination(keyed, read_table(spark, sf_dir, "benchmark"), size=10, keep=tuple(key))
-    bad = found.where("contaminated").select(*key).distinct()
+    bad, _ = bounded_broadcast(found.where("contaminated").select(*key).distinct())
     return keyed.join(bad, key, "left_anti").select(docs.columns)
 
 
